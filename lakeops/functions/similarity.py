@@ -53,6 +53,18 @@ def deletion_variants(text: Column) -> Column:
     return F.array_distinct(F.concat(F.array(text), F.when(F.length(text) > 0, shorter).otherwise(F.array(text))))
 
 
+def one_edit_apart(a: Column, b: Column) -> Column:
+    """One insertion, removal, replacement, or swap of neighbouring letters."""
+    spots = F.filter(F.sequence(F.lit(1), F.length(a)), lambda i: F.substring(a, i, F.lit(1)) != F.substring(b, i, F.lit(1)))
+    first, second = F.try_element_at(spots, F.lit(1)), F.try_element_at(spots, F.lit(2))
+    swapped = (
+        (F.length(a) == F.length(b)) & (F.size(spots) == 2) & (second == first + 1)
+        & (F.substring(a, first, F.lit(1)) == F.substring(b, second, F.lit(1)))
+        & (F.substring(a, second, F.lit(1)) == F.substring(b, first, F.lit(1)))
+    )
+    return (F.levenshtein(a, b, 1) == 1) | F.coalesce(swapped, F.lit(False))
+
+
 def similar_names(df: DataFrame, block: Sequence[str], name: str, key: str) -> DataFrame:
     """Names one edit apart inside the same block, one row per pair of distinct names.
 
@@ -70,8 +82,7 @@ def similar_names(df: DataFrame, block: Sequence[str], name: str, key: str) -> D
         .drop("_variant")
         .dropDuplicates([*block, f"{name}_a", f"{name}_b"])
     )
-    distance = F.levenshtein(F.col(f"{name}_a"), F.col(f"{name}_b"), 1)
-    return pairs.where(distance == 1).withColumn(
+    return pairs.where(one_edit_apart(F.col(f"{name}_a"), F.col(f"{name}_b"))).withColumn(
         "similarity", F.round(jaro_winkler(F.col(f"{name}_a"), F.col(f"{name}_b")), 6))
 
 
