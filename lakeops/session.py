@@ -54,3 +54,9 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Rebalance a scan of fewer files than cores before per-row heavy work; large scans pass unchanged."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if len(scan.inputFiles()) < cores else scan
