@@ -98,7 +98,7 @@ DEMO_KEY = "0123456789abcdef0123456789abcdef"
 
 
 @query("encrypt_column", """SELECT c_custkey AS customer_id, right('000000' || (c_custkey * 7919), 6) || '-' || (c_custkey % 90000 + 10000) AS national_id,
-  CAST(DATE '2026-01-01' - CAST(c_custkey * 37 % 20000 AS INTEGER) - 6570 AS DATE) AS date_of_birth, TRUE AS is_encrypted, NULL AS without_key, NULL AS moved
+  CAST(DATE '2026-01-01' - CAST(c_custkey * 37 % 20000 AS INTEGER) - 6570 AS DATE) AS date_of_birth, TRUE AS is_encrypted, CAST(NULL AS VARCHAR) AS without_key, CAST(NULL AS VARCHAR) AS moved
 FROM customer""")
 def encrypt_column(t):
     key = F.col("c_custkey")

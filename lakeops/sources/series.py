@@ -1,0 +1,34 @@
+"""Deterministic web events computed from a number series."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Fixed values of the series: 92 days from the start, multipliers, ranges and labels.
+START = "2026-07-01 00:00:00"
+EVENT_TYPES = ("page_view", "search", "product_view", "product_view", "add_to_cart", "purchase")
+DEVICES = ("mobile", "desktop", "tablet")
+
+
+def web_events(numbers: DataFrame, column: str = "i") -> DataFrame:
+    """One event per number ``i``."""
+    i = F.col(column)
+    seconds = (i * 7919) % (92 * 86400)
+    at = F.timestamp_add("SECOND", seconds, F.lit(START).cast("timestamp_ntz"))
+    pick = lambda names, index: F.element_at(F.array(*[F.lit(n) for n in names]), index.cast("int"))
+    return numbers.select(
+        F.concat(F.lit("E"), i.cast("string")).alias("event_id"),
+        F.to_date(at).alias("event_date"),
+        at.alias("event_time"),
+        F.concat(F.lit("S"), F.floor(i / 6).cast("string")).alias("session_id"),
+        F.when(i % 5 != 0, 1 + (i * 31) % 1200).alias("customer_id"),
+        pick(EVENT_TYPES, 1 + i % 6).alias("event_type"),
+        F.when((i % 6).isin(2, 3, 4), 1 + (i * 17) % 240).alias("product_id"),
+        pick(DEVICES, 1 + i % 3).alias("device"),
+        (200 + (i * 13) % 9000).alias("duration_ms"),
+    )
+
+
+def number_series(spark: SparkSession, first: int, last: int) -> DataFrame:
+    return spark.range(first, last + 1).withColumnRenamed("id", "i")
