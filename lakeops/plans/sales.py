@@ -369,12 +369,13 @@ def weighted_duration_totals(t):
         F.max("value").alias("largest"), F.count(F.lit(1)).alias("executions"))
 
 
-@query("safe_ratio", """SELECT user_id, round(sum(value) FILTER (WHERE event_type = 'purchase')
-  / nullif(count(*) FILTER (WHERE event_type = 'signup'), 0), 6) AS spend_per_signup FROM events GROUP BY 1""")
+@query("safe_ratio", """WITH s AS (SELECT user_id, CAST(sum(CAST(round(value * 100) AS BIGINT))
+  FILTER (WHERE event_type = 'purchase') AS BIGINT) AS cents, nullif(count(*) FILTER (WHERE event_type = 'signup'), 0) AS n FROM events GROUP BY 1)
+SELECT user_id, CAST(CAST((cents * 20000 + n) // (2 * n) AS DECIMAL(18,0)) * 0.000001 AS DECIMAL(18,6)) AS spend_per_signup FROM s""")
 def safe_ratio(t):
-    spend = F.sum(F.when(F.col("event_type") == "purchase", F.col("value")))
-    return t.events.groupBy("user_id").agg(
-        F.round(spend / F.nullif(F.count_if(F.col("event_type") == "signup"), F.lit(0)), 6).alias("spend_per_signup"))
+    spend = F.sum(F.when(F.col("event_type") == "purchase", money("value")))
+    signups = F.nullif(F.count_if(F.col("event_type") == "signup"), F.lit(0))
+    return t.events.groupBy("user_id").agg((spend / signups).cast("decimal(18,6)").alias("spend_per_signup"))
 
 
 # ---- windows, limits, sets ---------------------------------------------------------------------
@@ -429,14 +430,15 @@ def union_distinct_keys(t):
 
 @query("intersect_count", """WITH a AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderpriority = '1-URGENT'),
 b AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderpriority = '5-LOW')
-SELECT count(*) AS shared, round(count(*) / (SELECT count(*) FROM a), 6) AS share FROM a JOIN b USING (k)""")
+SELECT count(*) AS shared, CAST(CAST((count(*) * 2000000 + (SELECT count(*) FROM a)) // (2 * (SELECT count(*) FROM a)) AS DECIMAL(18,0)) * 0.000001 AS DECIMAL(9,6)) AS share FROM a JOIN b USING (k)""")
 def intersect_count(t):
     def buyers(priority):
         return t.orders.where(F.col("o_orderpriority") == priority).select("o_custkey").distinct()
 
     urgent = buyers("1-URGENT")
     flagged = urgent.join(buyers("5-LOW").withColumn("hit", F.lit(1)), "o_custkey", "left")
-    return flagged.agg(F.count("hit").alias("shared"), F.round(F.count("hit") / F.count(F.lit(1)), 6).alias("share"))
+    return flagged.agg(F.count("hit").alias("shared"), (
+        F.count("hit").cast("decimal(18,0)") / F.count(F.lit(1))).cast("decimal(9,6)").alias("share"))
 
 
 @query("numbered_items", """SELECT p_partkey, i AS line_number, w[i] AS item

@@ -110,24 +110,31 @@ def stream_negative_review_alerts(t):
     return appended(t, streams.negative_review_alerts(stream), "alerts")
 
 
-SQL_WINDOWS = """w AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) - to_minutes(5 * i) AS window_start, value FROM events, range(3) r(i)),
-g AS (SELECT window_start, avg(value) AS average, count(*) AS events FROM w GROUP BY 1)"""
+SQL_WINDOWS = """w AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) - to_minutes(5 * i) AS window_start, CAST(round(value * 100) AS BIGINT) AS cents
+  FROM events, range(3) r(i)),
+g AS (SELECT window_start, CAST(CAST((CAST(sum(cents) AS BIGINT) * 20000 + count(*)) // (2 * count(*)) AS DECIMAL(18,0)) * 0.000001 AS DECIMAL(22,6)) AS average,
+  count(*) AS events FROM w GROUP BY 1)"""
 
 
-@query("stream_sustained_alert", f"""WITH {SQL_WINDOWS} SELECT window_start, round(average, 6) AS average, events FROM g
+def priced_events(t):
+    return timed_events(t).withColumn("value", F.col("value").cast("decimal(18,2)"))
+
+
+
+@query("stream_sustained_alert", f"""WITH {SQL_WINDOWS} SELECT window_start, average, events FROM g
 WHERE average > 60 AND window_start + INTERVAL 15 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 10 MINUTE""")
 def stream_sustained_alert(t):
     """Closed windows only: the last ones stay open until the watermark passes them."""
-    return appended(t, streams.sustained_alert(written(t, timed_events(t), "metrics"), "ts", "value", 60), "sustained")
+    return appended(t, streams.sustained_alert(written(t, priced_events(t), "metrics"), "ts", "value", 60), "sustained")
 
 
-@query("sustained_alert", f"WITH {SQL_WINDOWS} SELECT window_start, round(average, 6) AS average, events FROM g WHERE average > 60")
+@query("sustained_alert", f"WITH {SQL_WINDOWS} SELECT window_start, average, events FROM g WHERE average > 60")
 def sustained_alert(t):
-    return streams.sustained_alert(timed_events(t), "ts", "value", 60)
+    return streams.sustained_alert(priced_events(t), "ts", "value", 60)
 
 
 @query("stream_delay_profile", """WITH d AS (SELECT date_trunc('hour', ts) AS window_start, date_diff('microsecond', ts, ts + to_seconds(user_id)) // 1000000 AS delay FROM events)
-SELECT window_start, round(avg(delay), 6) AS avg_delay, max(delay) AS max_delay, count(*) AS events FROM d GROUP BY 1
+SELECT window_start, CAST(CAST((CAST(sum(delay) AS BIGINT) * 2000000 + count(*)) // (2 * count(*)) AS DECIMAL(18,0)) * 0.000001 AS DECIMAL(22,6)) AS avg_delay, max(delay) AS max_delay, count(*) AS events FROM d GROUP BY 1
 HAVING window_start + INTERVAL 1 HOUR <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 1 DAY""")
 def stream_delay_profile(t):
     sent = timed_events(t).withColumn("sent_at", F.timestamp_add("SECOND", F.col("user_id"), F.col("ts")))

@@ -16,6 +16,7 @@ def build_session(app: str = "lakeops", cores: int | str = "*", partitions: int
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", "12g")

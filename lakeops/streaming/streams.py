@@ -144,12 +144,12 @@ def negative_review_alerts(stream: DataFrame, limit: int = 2) -> DataFrame:
 
 def sustained_alert(events: DataFrame, ts: str, value: str, threshold: float, lateness: str = "10 minutes",
                     length: str = "15 minutes", slide: str = "5 minutes") -> DataFrame:
-    """Sliding windows whose average stays above the threshold."""
+    """Sliding windows whose average stays above the threshold; pass decimals for exact averages."""
     marked = events.withWatermark(ts, lateness) if events.isStreaming else events
     return marked.groupBy(F.window(ts, length, slide)).agg(
         F.avg(value).alias("average"), F.count(F.lit(1)).alias("events")
     ).where(F.col("average") > threshold).select(
-        F.col("window.start").cast("timestamp_ntz").alias("window_start"), F.round("average", 6).alias("average"), "events")
+        F.col("window.start").cast("timestamp_ntz").alias("window_start"), "average", "events")
 
 
 def delay_profile(events: DataFrame, ts: str, sent: str, lateness: str = "1 day", length: str = "1 hour") -> DataFrame:
@@ -157,5 +157,5 @@ def delay_profile(events: DataFrame, ts: str, sent: str, lateness: str = "1 day"
     marked = events.withWatermark(ts, lateness) if events.isStreaming else events
     delay = F.timestamp_diff("SECOND", F.col(ts), F.col(sent))
     return marked.groupBy(F.window(ts, length)).agg(
-        F.avg(delay).alias("avg_delay"), F.max(delay).alias("max_delay"), F.count(F.lit(1)).alias("events")
-    ).select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), F.round("avg_delay", 6).alias("avg_delay"), "max_delay", "events")
+        F.avg(delay.cast("decimal(18,2)")).alias("avg_delay"), F.max(delay).alias("max_delay"), F.count(F.lit(1)).alias("events")
+    ).select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), "avg_delay", "max_delay", "events")
