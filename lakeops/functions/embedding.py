@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
@@ -44,15 +42,17 @@ def buckets(text: Column, dims: int = DIMENSIONS) -> Column:
 
 
 def dense(bucket_array: Column, dims: int = DIMENSIONS) -> Column:
-    """Bucket counts as a dense float vector."""
+    """Bucket counts as a dense float vector; a whole Arrow batch is counted at once."""
 
-    @F.pandas_udf(ArrayType(FloatType()))
-    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series([np.bincount(b, minlength=dims).astype(np.float32) if len(b) else np.zeros(dims, np.float32)
-                             for b in batch])
+    @F.arrow_udf(ArrayType(FloatType()))
+    def count(batch: pa.Array) -> pa.Array:
+        rows = len(batch)
+        row = np.repeat(np.arange(rows), batch.value_lengths().to_numpy(zero_copy_only=False))
+        cell = row * dims + batch.flatten().to_numpy(zero_copy_only=False)
+        counts = np.bincount(cell, minlength=rows * dims).astype(np.float32)
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, rows * dims + 1, dims, dtype=np.int32)), pa.array(counts))
 
-    return count(bucket_array)
+    return count(F.coalesce(bucket_array, F.array().cast("array<int>")))
 
 
 def toy_embedding(text: Column, dims: int = DIMENSIONS) -> Column:

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.functions.embedding import stem
-from lakeops.session import materialize
+from lakeops.operators.nearest import best_rows
 
 K1 = 1.2
 B = 0.75
@@ -52,31 +56,102 @@ def bm25(corpus: DataFrame, queries: DataFrame, top: int, key: str = "id", text:
          query_key: str = "query_id", query_text: str = "query_text") -> DataFrame:
     """Best ``top`` rows per query by BM25 over whole texts.
 
-    Postings are built only for words that occur in some query and counted before the shuffle.
-    They are written once, because document frequency and scoring both read them.
+    The corpus is scanned once for word statistics and once for scores. Each task scores its texts
+    against the query words and keeps ``top`` rows per query, so (query, text) pairs are never
+    shuffled. Queries are handled in blocks of bounded size.
     """
-    asked = queries.select(F.col(query_key).alias("query_id"), F.explode(F.array_distinct(tokens(F.col(query_text)))).alias("term"))
-    split = corpus.select(F.col(key).alias("id"), tokens(F.col(text)).alias("_words"))
-    sizes = split.agg(F.count(F.lit(1)).alias("docs"), F.avg(F.size("_words")).alias("avg_len"))
-    words = split.select("id", F.size("_words").alias("len"), F.explode("_words").alias("term"))
-    postings = materialize(
-        words.join(asked.select("term").distinct(), "term")
-        .groupBy("id", "len", "term").agg(F.count(F.lit(1)).alias("tf")),
-        "postings",
-    )
-    idf = (
-        postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-        .crossJoin(F.broadcast(sizes))
-        .select("term", "avg_len", F.log(1 + (F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
-    )
-    weight = F.col("idf") * F.col("tf") * (K1 + 1) / (
-        F.col("tf") + K1 * (1 - B + B * F.col("len") / F.col("avg_len")))
-    scored = (
-        postings.join(asked.join(idf, "term"), "term")
-        .groupBy("query_id", "id").agg(F.round(F.sum(weight), 6).alias("score"))
-    )
+    split = corpus.select(F.col(key).cast("bigint").alias("id"), tokens(F.col(text)).alias("words"))
+    found = None
+    for asked in _query_terms(queries, query_key, query_text):
+        vocabulary = sorted({term for terms in asked.values() for term in terms})
+        counted = split.select("words").mapInArrow(_word_statistics(vocabulary), "item int, n bigint")
+        totals = {r["item"]: r["n"] for r in counted.groupBy("item").agg(F.sum("n").alias("n")).collect()}  # one row per query word
+        docs, length = totals.get(_DOCS, 0), totals.get(_LENGTH, 0)
+        if not docs:
+            continue
+        df = np.array([totals.get(i, 0) for i in range(len(vocabulary))], np.float64)
+        idf = np.log(1 + (docs - df + 0.5) / (df + 0.5))
+        at = {term: i for i, term in enumerate(vocabulary)}
+        wanted = {q: np.array(sorted(at[t] for t in terms)) for q, terms in asked.items()}
+        part = split.mapInArrow(_word_scores(vocabulary, wanted, idf, max(length / docs, 1e-9), top), "query_id bigint, id bigint, score double")
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        found = corpus.sparkSession.createDataFrame([], "query_id bigint, id bigint, score double")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top).withColumn("rank", F.col("rank").cast("bigint"))
+
+
+QUERY_BLOCK = 256
+BLOCK_CELLS = 8_000_000
+_DOCS, _LENGTH = -1, -2
+
+
+def _query_terms(queries: DataFrame, key: str, text: str) -> Iterator[dict[int, list[str]]]:
+    """Distinct words per query, in blocks of about ``QUERY_BLOCK`` queries."""
+    blocks = max(1, math.ceil(queries.count() / QUERY_BLOCK))
+    cut = queries.select(F.col(key).cast("bigint").alias("q"), F.array_distinct(tokens(F.col(text))).alias("terms"))
+    for block in range(blocks):
+        part = cut if blocks == 1 else cut.where(F.pmod(F.xxhash64("q"), F.lit(blocks)) == block)
+        asked = {r["q"]: r["terms"] for r in part.collect() if r["terms"]}
+        if asked:
+            yield asked
+
+
+def _known_words(words: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row and vocabulary position of every word that some query asks for, and the length of each row."""
+    lengths = words.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    rows = np.repeat(np.arange(len(words)), lengths)
+    position = pc.index_in(words.flatten(), value_set=vocabulary)
+    known = position.is_valid().to_numpy(zero_copy_only=False)
+    return rows[known], position.drop_null().to_numpy(zero_copy_only=False).astype(np.int64), lengths
+
+
+def _word_statistics(vocabulary: list[str]):
+    """Arrow task: text count, total length and document frequency of each query word."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = pa.array(vocabulary, pa.string())
+        df = np.zeros(len(vocabulary), np.int64)
+        docs = length = 0
+        for batch in batches:
+            rows, position, lengths = _known_words(batch.column(0), terms)
+            pairs = np.unique(rows * len(vocabulary) + position)
+            df += np.bincount(pairs % len(vocabulary), minlength=len(vocabulary))
+            docs += len(lengths)
+            length += int(lengths.sum())
+        seen = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([seen, [_DOCS, _LENGTH]]).astype(np.int32)), pa.array(np.concatenate([df[seen], [docs, length]]).astype(np.int64))],
+            names=["item", "n"])
+
+    return run
+
+
+def _word_scores(vocabulary: list[str], wanted: dict[int, np.ndarray], idf: np.ndarray, average: float, top: int):
+    """Arrow task: BM25 of every text for every query of the block, ``top`` rows kept per query."""
+    step = max(1, BLOCK_CELLS // max(1, len(vocabulary)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = pa.array(vocabulary, pa.string())
+        best = {}
+        for whole in batches:
+            for start in range(0, whole.num_rows, step):
+                batch = whole.slice(start, step)
+                ids = batch.column(0).to_numpy(zero_copy_only=False)
+                rows, position, lengths = _known_words(batch.column(1), terms)
+                n = len(ids)
+                tf = np.bincount(position * n + rows, minlength=len(vocabulary) * n).reshape(len(vocabulary), n)
+                weight = idf[:, None] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths / average))
+                for q, at in wanted.items():
+                    scores = np.round(weight[at].sum(axis=0), 6)
+                    hit = np.flatnonzero((tf[at] > 0).any(axis=0))
+                    old_ids, old = best.get(q, (np.empty(0, np.int64), np.empty(0)))
+                    best[q] = best_rows(np.concatenate([old_ids, ids[hit]]), np.concatenate([old, -scores[hit]]), top)
+        for q, (ids, negative) in best.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(ids), q, np.int64)), pa.array(ids.astype(np.int64)), pa.array(-negative)],
+                names=["query_id", "id", "score"])
+
+    return run
 
 
 def contains_passage(documents: DataFrame, passages: DataFrame, window: int = 6) -> DataFrame:

@@ -24,7 +24,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
 
 
-def _best(ids: np.ndarray, distances: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def best_rows(ids: np.ndarray, distances: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The k smallest by (distance, id)."""
     if len(ids) > k:
         limit = np.partition(distances, k - 1)[k - 1]
@@ -68,7 +68,7 @@ def _scan(query_ids: np.ndarray, matrix: np.ndarray, k: int, probes: dict[int, n
                         continue
                     distance = np.round(1 - products[:, at] / (norms[rows] * lengths[q]), 6) + 0.0
                     old_ids, old = best.get(q, (np.empty(0, np.int64), np.empty(0)))
-                    best[q] = _best(np.concatenate([old_ids, ids[rows]]), np.concatenate([old, distance]), k)
+                    best[q] = best_rows(np.concatenate([old_ids, ids[rows]]), np.concatenate([old, distance]), k)
         for q, (ids, distance) in best.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(ids), query_ids[q])), pa.array(ids), pa.array(distance)],
@@ -79,7 +79,7 @@ def _scan(query_ids: np.ndarray, matrix: np.ndarray, k: int, probes: dict[int, n
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("query_id").orderBy("distance", "id")
-    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).withColumn("rank", F.col("rank").cast("bigint"))
 
 
 SCHEMA = "query_id bigint, id bigint, distance double"
@@ -121,8 +121,8 @@ def build_cell_index(stored: DataFrame, key: str = "id", vector: str = "embeddin
         return CellIndex(base.withColumn("cell", F.lit(0)), np.zeros((0, 0)), rows)
     cells = cells or max(2, min(4096, int(math.sqrt(rows) / 2)))
     unit = base.withColumn("_unit", V.normalize(F.col("embedding"))).where(F.col("_unit").isNotNull())
-    points = unit.select("*", array_to_vector("_unit").alias("features")).drop("_unit")
-    model = KMeans(k=cells, seed=seed, maxIter=10).fit(points)
+    points = materialize(unit, "unit_vectors").select("*", array_to_vector("_unit").alias("features")).drop("_unit")
+    model = KMeans(k=cells, seed=seed, maxIter=10, initSteps=1).fit(points)
     assigned = model.transform(points).withColumnRenamed("prediction", "cell").drop("features")
     stored_cells = materialize(assigned, "vector_cells", ("cell",))
     return CellIndex(stored_cells, np.array(model.clusterCenters()), rows)

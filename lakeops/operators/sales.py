@@ -101,7 +101,8 @@ def best_day_per_store(lines: DataFrame, orders: DataFrame, stores: DataFrame, e
 def top_children(children: DataFrame, parent: str, order: list[Column], n: int, position: str = "position") -> DataFrame:
     """First ``n`` rows per parent; the rank filter is pushed below the shuffle."""
     w = Window.partitionBy(parent).orderBy(*order)
-    return children.withColumn(position, F.row_number().over(w)).where(F.col(position) <= n)
+    return children.withColumn(position, F.row_number().over(w)).where(F.col(position) <= n).withColumn(
+        position, F.col(position).cast("bigint"))
 
 
 def region_of_order(orders: DataFrame, customers: DataFrame, stores: DataFrame) -> DataFrame:

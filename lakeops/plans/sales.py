@@ -394,7 +394,7 @@ def best_day_per_store(t):
   (ORDER BY o_totalprice DESC, o_orderkey) AS vec_rank, * FROM orders) WHERE vec_rank <= 50""")
 def rank_candidates(t):
     best = t.orders.select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(50)
-    return best.withColumn("vec_rank", F.row_number().over(Window.orderBy(F.desc("o_totalprice"), "o_orderkey")))
+    return best.withColumn("vec_rank", F.row_number().over(Window.orderBy(F.desc("o_totalprice"), "o_orderkey")).cast("bigint"))
 
 
 @query("top_k_per_group", f"""WITH {SQL_ORDERS} SELECT customer_id, order_id, order_total, position FROM (SELECT *,

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions import embedding, scalars, vectors
 from lakeops.plans.registry import query
+from lakeops.session import spread
 
 PHONES = r"\+[0-9] \([0-9]{3}\) [0-9]{3}-[0-9]{4}|" + scalars.PHONE_PATTERN
 
@@ -73,21 +74,21 @@ def json_extract(t):
   '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}')) AS match_value FROM documents""")
 def regex_matches(t):
     found = F.regexp_extract_all("text", F.lit(scalars.EMAIL_PATTERN), F.lit(0))
-    return t.documents.select("doc_id", F.explode(found).alias("match_value"))
+    return spread(t.documents).select("doc_id", F.explode(found).alias("match_value"))
 
 
 @query("find_and_mask_phones", rf"""WITH m AS (SELECT doc_id, unnest(regexp_extract_all(text, '{PHONES}')) AS phone_found FROM documents)
 SELECT doc_id, phone_found, regexp_replace(phone_found[:-5], '[0-9]', '*', 'g') || right(phone_found, 4) AS masked FROM m""")
 def find_and_mask_phones(t):
     found = F.regexp_extract_all("text", F.lit(PHONES), F.lit(0))
-    return t.documents.select("doc_id", F.explode(found).alias("phone_found")).withColumn(
+    return spread(t.documents).select("doc_id", F.explode(found).alias("phone_found")).withColumn(
         "masked", scalars.mask_digits_but_last(F.col("phone_found")))
 
 
 @query("redact_pii", rf"""SELECT doc_id, regexp_replace(regexp_replace(text,
   '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{{2,}}', '[email]', 'g'), '{PHONES}', '[phone]', 'g') AS text FROM documents""")
 def redact_pii(t):
-    return t.documents.select("doc_id", scalars.redact(F.col("text"), phone_pattern=PHONES).alias("text"))
+    return spread(t.documents).select("doc_id", scalars.redact(F.col("text"), phone_pattern=PHONES).alias("text"))
 
 
 SQL_DOT = "list_sum(list_transform(list_zip({0}, {1}), lambda p: CAST(p[1] AS DOUBLE) * CAST(p[2] AS DOUBLE)))"
@@ -133,7 +134,7 @@ SQL_BUCKET = r"CAST(('0x' || substr(sha256(unhex(regexp_replace(hex(word), '(..)
 
 @query("hash_buckets", f"""SELECT DISTINCT word, CAST({SQL_BUCKET} AS INTEGER) AS bucket FROM {sql_words('documents', 'doc_id', 'text')}""")
 def hash_buckets(t):
-    words = t.documents.select(F.explode(embedding.embedding_words(F.col("text"))).alias("word")).distinct()
+    words = spread(t.documents).select(F.explode(embedding.embedding_words(F.col("text"))).alias("word")).distinct()
     return words.withColumn("bucket", embedding.bucket_of(F.col("word")))
 
 
@@ -141,7 +142,7 @@ def hash_buckets(t):
 h AS (SELECT word, CAST({SQL_BUCKET} AS INTEGER) AS bucket FROM (SELECT DISTINCT word FROM w))
 SELECT doc_id, bucket, count(*) AS hits FROM w JOIN h USING (word) GROUP BY 1, 2""")
 def toy_embedding(t):
-    return t.documents.select("doc_id", F.explode(embedding.buckets(F.col("text"))).alias("bucket")).groupBy(
+    return spread(t.documents).select("doc_id", F.explode(embedding.buckets(F.col("text"))).alias("bucket")).groupBy(
         "doc_id", "bucket").agg(F.count(F.lit(1)).alias("hits"))
 
 
@@ -152,7 +153,7 @@ s AS (SELECT doc_id, CAST(sum(hits) AS DOUBLE) AS total, CAST(sum(hits * hits) A
 SELECT doc_id, 768 AS dims, coalesce(total, 0) AS total, coalesce(squares, 0) AS squares, coalesce(largest, 0) AS largest
 FROM documents LEFT JOIN s USING (doc_id)""")
 def toy_embedding_dense(t):
-    vector = t.documents.select("doc_id", embedding.toy_embedding(F.col("text")).alias("v"))
+    vector = spread(t.documents).select("doc_id", embedding.toy_embedding(F.col("text")).alias("v"))
     return vector.select(
         "doc_id", F.size("v").alias("dims"),
         F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x.cast("double")).alias("total"),

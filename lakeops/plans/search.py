@@ -94,7 +94,7 @@ SQL_CHUNKS = f"""{SQL_SOURCES}, chunks AS (SELECT CASE source_type WHEN 'Product
   FROM {sql_chunks('sources', 'source_type, source_id', 'doc_text', 500, 450)})"""
 
 
-@query("chunk_profile", f"""WITH {SQL_CHUNKS} SELECT source_type, count(*) AS chunks, sum(length(rtrim(text))) // count(*) AS avg_chars,
+@query("chunk_profile", f"""WITH {SQL_CHUNKS} SELECT source_type, count(*) AS chunks, CAST(sum(length(rtrim(text))) // count(*) AS BIGINT) AS avg_chars,
   'toy-hash-768' AS model, 768 AS dims, 4 * 768 * count(*) AS vector_bytes FROM chunks GROUP BY 1""")
 def chunk_profile(t):
     return docs.chunk_profile(docs.embed_chunks(docs.content_chunks(sources(t))), "source_type")
