@@ -106,10 +106,15 @@ def knn_exact(
 class CellIndex:
     """Vectors grouped into k-means cells, stored by cell so that a probe reads only its folders."""
 
-    def __init__(self, cells: DataFrame, centers: np.ndarray, rows: int):
+    def __init__(self, cells: DataFrame, centers: np.ndarray, rows: int, nprobe: int):
         self.cells = cells
-        self.centers = centers
+        self.centers = centers / np.maximum(np.linalg.norm(centers, axis=1, keepdims=True), 1e-12)
         self.rows = rows
+        self.nprobe = nprobe
+
+    def order(self, matrix: np.ndarray) -> np.ndarray:
+        """Cells per query, closest centre first."""
+        return np.argsort(-(matrix @ self.centers.T), axis=1, kind="stable")
 
 
 def build_cell_index(stored: DataFrame, key: str = "id", vector: str = "embedding", cells: int | None = None, seed: int = 7,
@@ -118,18 +123,36 @@ def build_cell_index(stored: DataFrame, key: str = "id", vector: str = "embeddin
     base = stored.where(F.col(vector).isNotNull()).select(F.col(key).cast("bigint").alias("id"), F.col(vector).alias("embedding"), *keep)
     rows = base.count()
     if rows < MIN_INDEX_ROWS:
-        return CellIndex(base.withColumn("cell", F.lit(0)), np.zeros((0, 0)), rows)
+        return CellIndex(base.withColumn("cell", F.lit(0)), np.zeros((0, 0)), rows, 0)
     cells = cells or max(2, min(4096, int(math.sqrt(rows) / 2)))
     unit = base.withColumn("_unit", V.normalize(F.col("embedding"))).where(F.col("_unit").isNotNull())
     points = materialize(unit, "unit_vectors").select("*", array_to_vector("_unit").alias("features")).drop("_unit")
     model = KMeans(k=cells, seed=seed, maxIter=10, initSteps=1).fit(points)
     assigned = model.transform(points).withColumnRenamed("prediction", "cell").drop("features")
     stored_cells = materialize(assigned, "vector_cells", ("cell",))
-    return CellIndex(stored_cells, np.array(model.clusterCenters()), rows)
+    index = CellIndex(stored_cells, np.array(model.clusterCenters()), rows, len(model.clusterCenters()))
+    index.nprobe = _calibrate(index)
+    return index
+
+
+def _calibrate(index: CellIndex, target: float = 0.98, probes: int = 64, k: int = 10) -> int:
+    """Cells to probe so that ``target`` of the true neighbours of some stored vectors are reached.
+
+    ``probes`` stored vectors act as queries; one exact scan finds their neighbours.
+    """
+    chosen = index.cells.orderBy(F.xxhash64("id"), "id").limit(probes).select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    chosen = materialize(chosen, "probe_vectors")
+    true = knn_exact(index.cells, chosen, k + 1).where("query_id <> id").join(index.cells.select("id", "cell"), "id")
+    place = {}
+    for ids, matrix in query_blocks(chosen, "query_id", "query_vector"):
+        for q, cells in zip(ids, index.order(matrix)):
+            place[int(q)] = np.argsort(cells)
+    depths = np.sort([place[r["query_id"]][r["cell"]] for r in true.select("query_id", "cell").collect()])
+    return int(depths[min(len(depths) - 1, math.ceil(target * len(depths)) - 1)]) + 1 if len(depths) else 1
 
 
-def ann_search(index: CellIndex, queries: DataFrame, k: int, nprobe: int = 8, condition: Column | None = None) -> DataFrame:
-    """Approximate k nearest: rows of the ``nprobe`` closest cells are scored exactly.
+def ann_search(index: CellIndex, queries: DataFrame, k: int, nprobe: int | None = None, condition: Column | None = None) -> DataFrame:
+    """Approximate k nearest: rows of the ``nprobe`` closest cells (calibrated by default) are scored exactly.
 
     ``condition`` filters rows before scoring. Queries left with fewer than ``k`` rows, and
     tables too small for an index, are answered by the exact scan.
@@ -137,10 +160,10 @@ def ann_search(index: CellIndex, queries: DataFrame, k: int, nprobe: int = 8, co
     rows = index.cells if condition is None else index.cells.where(condition)
     if index.rows < MIN_INDEX_ROWS:
         return knn_exact(rows, queries, k)
-    unit_centers = index.centers / np.maximum(np.linalg.norm(index.centers, axis=1, keepdims=True), 1e-12)
+    nprobe = nprobe or index.nprobe
     found = None
     for ids, matrix in query_blocks(queries, "query_id", "query_vector"):
-        nearest = np.argsort(-(matrix @ unit_centers.T), axis=1)[:, :nprobe]
+        nearest = index.order(matrix)[:, :nprobe]
         probes: dict[int, list[int]] = {}
         for q, cells in enumerate(nearest):
             for cell in cells:
