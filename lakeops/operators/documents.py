@@ -96,7 +96,7 @@ def refresh_chunks(chunks: DataFrame, sources: DataFrame) -> DataFrame:
     """
     keys = ["source_type", "source_id"]
     kept = chunks.where(~F.col("is_stale")).join(sources.select(*keys), keys, "left_semi")
-    missing = sources.join(kept.select(*keys), keys, "left_anti")
+    missing = sources.join(kept.select(*keys).distinct(), keys, "left_anti")
     added = embed_chunks(content_chunks(missing)).withColumn("is_stale", F.lit(False))
     have_vector = kept.where(F.col("embedding").isNotNull())
     late = embed_chunks(kept.where(F.col("embedding").isNull()).drop("embedding", "embedding_model"))

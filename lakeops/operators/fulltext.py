@@ -61,7 +61,7 @@ def bm25(corpus: DataFrame, queries: DataFrame, top: int, key: str = "id", text:
     shuffled. Queries are handled in blocks of bounded size.
     """
     split = corpus.select(F.col(key).cast("bigint").alias("id"), tokens(F.col(text)).alias("words"))
-    found = None
+    found = corpus.sparkSession.createDataFrame([], SCORE_SCHEMA)
     for asked in _query_terms(queries, query_key, query_text):
         vocabulary = sorted({term for terms in asked.values() for term in terms})
         counted = split.select("words").mapInArrow(_word_statistics(vocabulary), "item int, n bigint")
@@ -70,18 +70,15 @@ def bm25(corpus: DataFrame, queries: DataFrame, top: int, key: str = "id", text:
         if not docs:
             continue
         df = np.array([totals.get(i, 0) for i in range(len(vocabulary))], np.float64)
-        idf = np.log(1 + (docs - df + 0.5) / (df + 0.5))
-        at = {term: i for i, term in enumerate(vocabulary)}
-        wanted = {q: np.array(sorted(at[t] for t in terms)) for q, terms in asked.items()}
-        part = split.mapInArrow(_word_scores(vocabulary, wanted, idf, max(length / docs, 1e-9), top), "query_id bigint, id bigint, score double")
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = corpus.sparkSession.createDataFrame([], "query_id bigint, id bigint, score double")
+        idf = dict(zip(vocabulary, np.log(1 + (docs - df + 0.5) / (df + 0.5))))
+        found = found.unionByName(split.mapInArrow(_word_scores(asked, idf, max(length / docs, 1e-9), top), SCORE_SCHEMA))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top).withColumn("rank", F.col("rank").cast("bigint"))
 
 
-QUERY_BLOCK = 256
+SCORE_SCHEMA = "query_id bigint, id bigint, score double"
+QUERY_BLOCK = 8192
+QUERY_SLICE = 256
 BLOCK_CELLS = 8_000_000
 _DOCS, _LENGTH = -1, -2
 
@@ -126,26 +123,37 @@ def _word_statistics(vocabulary: list[str]):
     return run
 
 
-def _word_scores(vocabulary: list[str], wanted: dict[int, np.ndarray], idf: np.ndarray, average: float, top: int):
-    """Arrow task: BM25 of every text for every query of the block, ``top`` rows kept per query."""
-    step = max(1, BLOCK_CELLS // max(1, len(vocabulary)))
+def _word_scores(asked: dict[int, list[str]], idf: dict[str, float], average: float, top: int):
+    """Arrow task: BM25 of every text for every query, ``top`` rows kept per query.
+
+    Queries are scored in slices whose words form one weight matrix of bounded size.
+    """
+    def slices() -> Iterator[tuple[pa.Array, np.ndarray, dict[int, np.ndarray]]]:
+        keys = sorted(asked)
+        for start in range(0, len(keys), QUERY_SLICE):
+            part = keys[start:start + QUERY_SLICE]
+            words = sorted({w for q in part for w in asked[q]})
+            at = {w: i for i, w in enumerate(words)}
+            yield pa.array(words, pa.string()), np.array([idf[w] for w in words]), {q: np.array(sorted(at[w] for w in asked[q])) for q in part}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = pa.array(vocabulary, pa.string())
+        blocks = list(slices())
         best = {}
         for whole in batches:
-            for start in range(0, whole.num_rows, step):
-                batch = whole.slice(start, step)
-                ids = batch.column(0).to_numpy(zero_copy_only=False)
-                rows, position, lengths = _known_words(batch.column(1), terms)
-                n = len(ids)
-                tf = np.bincount(position * n + rows, minlength=len(vocabulary) * n).reshape(len(vocabulary), n)
-                weight = idf[:, None] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths / average))
-                for q, at in wanted.items():
-                    scores = np.round(weight[at].sum(axis=0), 6)
-                    hit = np.flatnonzero((tf[at] > 0).any(axis=0))
-                    old_ids, old = best.get(q, (np.empty(0, np.int64), np.empty(0)))
-                    best[q] = best_rows(np.concatenate([old_ids, ids[hit]]), np.concatenate([old, -scores[hit]]), top)
+            for words, weights, wanted in blocks:
+                step = max(1, BLOCK_CELLS // len(words))
+                for start in range(0, whole.num_rows, step):
+                    batch = whole.slice(start, step)
+                    ids = batch.column(0).to_numpy(zero_copy_only=False)
+                    rows, position, lengths = _known_words(batch.column(1), words)
+                    n = len(ids)
+                    tf = np.bincount(position * n + rows, minlength=len(words) * n).reshape(len(words), n)
+                    weight = weights[:, None] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths / average))
+                    for q, at in wanted.items():
+                        scores = np.round(weight[at].sum(axis=0), 6)
+                        hit = np.flatnonzero((tf[at] > 0).any(axis=0))
+                        old_ids, old = best.get(q, (np.empty(0, np.int64), np.empty(0)))
+                        best[q] = best_rows(np.concatenate([old_ids, ids[hit]]), np.concatenate([old, -scores[hit]]), top)
         for q, (ids, negative) in best.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(ids), q, np.int64)), pa.array(ids.astype(np.int64)), pa.array(-negative)],

@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from lakeops.functions import vectors as V
 from lakeops.session import materialize
 
-QUERY_BLOCK = 2048
+QUERY_BLOCK = 4096
+QUERY_SLICE = 256
+TRAIN_ROWS_PER_CELL = 256
 MIN_INDEX_ROWS = 100
 
 
@@ -62,13 +64,15 @@ def _scan(query_ids: np.ndarray, matrix: np.ndarray, k: int, probes: dict[int, n
                 if wanted is None:
                     continue
                 rows = np.flatnonzero((cells == cell) & (norms > 0))
-                products = vectors[rows] @ matrix[wanted].T
-                for at, q in enumerate(wanted):
-                    if lengths[q] == 0:
-                        continue
-                    distance = np.round(1 - products[:, at] / (norms[rows] * lengths[q]), 6) + 0.0
-                    old_ids, old = best.get(q, (np.empty(0, np.int64), np.empty(0)))
-                    best[q] = best_rows(np.concatenate([old_ids, ids[rows]]), np.concatenate([old, distance]), k)
+                for start in range(0, len(wanted), QUERY_SLICE):
+                    part = wanted[start:start + QUERY_SLICE]
+                    products = vectors[rows] @ matrix[part].T
+                    for at, q in enumerate(part):
+                        if lengths[q] == 0:
+                            continue
+                        distance = np.round(1 - products[:, at] / (norms[rows] * lengths[q]), 6) + 0.0
+                        old_ids, old = best.get(q, (np.empty(0, np.int64), np.empty(0)))
+                        best[q] = best_rows(np.concatenate([old_ids, ids[rows]]), np.concatenate([old, distance]), k)
         for q, (ids, distance) in best.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(ids), query_ids[q])), pa.array(ids), pa.array(distance)],
@@ -119,7 +123,11 @@ class CellIndex:
 
 def build_cell_index(stored: DataFrame, key: str = "id", vector: str = "embedding", cells: int | None = None, seed: int = 7,
                      keep: tuple[str, ...] = ()) -> CellIndex:
-    """Train cells on unit vectors and write the vectors out by cell."""
+    """Train cells on unit vectors and write the vectors out by cell.
+
+    Centres are learned from at most ``TRAIN_ROWS_PER_CELL`` vectors per cell; every vector is
+    then assigned and stored. A big cell is written as several files.
+    """
     base = stored.where(F.col(vector).isNotNull()).select(F.col(key).cast("bigint").alias("id"), F.col(vector).alias("embedding"), *keep)
     rows = base.count()
     if rows < MIN_INDEX_ROWS:
@@ -127,9 +135,11 @@ def build_cell_index(stored: DataFrame, key: str = "id", vector: str = "embeddin
     cells = cells or max(2, min(4096, int(math.sqrt(rows) / 2)))
     unit = base.withColumn("_unit", V.normalize(F.col("embedding"))).where(F.col("_unit").isNotNull())
     points = materialize(unit, "unit_vectors").select("*", array_to_vector("_unit").alias("features")).drop("_unit")
-    model = KMeans(k=cells, seed=seed, maxIter=10, initSteps=1).fit(points)
+    share = min(1.0, TRAIN_ROWS_PER_CELL * cells / rows)
+    model = KMeans(k=cells, seed=seed, maxIter=10, initSteps=1).fit(points if share == 1.0 else points.sample(share, seed))
     assigned = model.transform(points).withColumnRenamed("prediction", "cell").drop("features")
-    stored_cells = materialize(assigned, "vector_cells", ("cell",))
+    by_cell = assigned.repartition("cell", F.pmod(F.xxhash64("id"), F.lit(max(1, rows // (cells * 100_000)))))
+    stored_cells = materialize(by_cell, "vector_cells", ("cell",))
     index = CellIndex(stored_cells, np.array(model.clusterCenters()), rows, len(model.clusterCenters()))
     index.nprobe = _calibrate(index)
     return index

@@ -41,9 +41,21 @@ def shared_dir(spark: SparkSession) -> str:
     return fallback
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder; never reused, so a retry cannot read half-written data."""
-    return f"{shared_dir(spark)}/lakeops-{uuid.uuid4().hex}/{name}"
+    root = f"{shared_dir(spark)}/lakeops-{uuid.uuid4().hex}"
+    _SCRATCH.append(root)
+    return f"{root}/{name}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables this process wrote; call it when no result that reads them is needed."""
+    while _SCRATCH:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -58,6 +70,6 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
 
 
 def spread(scan: DataFrame) -> DataFrame:
-    """Rebalance a scan of fewer files than cores before per-row heavy work; large scans pass unchanged."""
+    """Rebalance a scan of fewer tasks than cores before per-row heavy work; large scans pass unchanged."""
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if len(scan.inputFiles()) < cores else scan
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

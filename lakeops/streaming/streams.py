@@ -73,6 +73,18 @@ def split_late(rows: DataFrame, arrived: str, ts: str, bound: Column) -> LateSpl
     return LateSplit(rows.where(~late), rows.where(late))
 
 
+def once(handle: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """Keep a micro-batch while a handler reads it several times."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            handle(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return run
+
+
 def late_router(arrived: str, ts: str, bound: Column, accepted: str, late: str) -> Callable[[DataFrame, int], None]:
     """Micro-batch handler that writes accepted and late rows to their own folders."""
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -80,46 +92,64 @@ def late_router(arrived: str, ts: str, bound: Column, accepted: str, late: str)
         write_batch(split.accepted, accepted, batch_id)
         write_batch(split.late, late, batch_id)
 
-    return handle
+    return once(handle)
 
 
-def upsert_handler(path: str, key: str, order: list[str]) -> Callable[[DataFrame, int], None]:
-    """Keep the newest row per key of each micro-batch; the work is proportional to the batch, not the state."""
+COMPACT_EVERY = 20
+
+
+def upsert_handler(path: str, key: str, order: list[str], every: int = COMPACT_EVERY) -> Callable[[DataFrame, int], None]:
+    """Keep the newest row per key of each micro-batch; every so many batches the state is compacted."""
     def handle(batch: DataFrame, batch_id: int) -> None:
+        _compact_before(batch.sparkSession, path, key, order, batch_id, every)
         write_batch(latest_per_key(batch, [key], order), path, batch_id)
 
     return handle
 
 
+def _state_folders(path: str, batch_id: int, every: int) -> list[str]:
+    """Folders holding the state before ``batch_id``: the last compaction and the batches since."""
+    base = (batch_id // every) * every
+    compacted = [f"{path}_base/upto={base}"] if base else []
+    return compacted + [f"{path}/batch_id={i}" for i in range(base, batch_id)]
+
+
+def _compact_before(spark: SparkSession, path: str, key: str, order: list[str], batch_id: int, every: int) -> None:
+    """At every ``every``-th batch, merge all earlier ones; reads only older folders, so a replay writes the same."""
+    if batch_id and batch_id % every == 0:
+        older = _state_folders(path, batch_id - 1, every) + [f"{path}/batch_id={batch_id - 1}"]
+        latest_per_key(spark.read.parquet(*older), [key], order).write.mode("overwrite").parquet(f"{path}_base/upto={batch_id}")
+
+
+def state_before(spark: SparkSession, path: str, key: str, order: list[str], batch_id: int, every: int = COMPACT_EVERY) -> DataFrame | None:
+    """State left by all batches before ``batch_id``; None before the first one."""
+    folders = _state_folders(path, batch_id, every)
+    return latest_per_key(spark.read.parquet(*folders), [key], order) if folders else None
+
+
 def upserted_state(spark: SparkSession, path: str, key: str, order: list[str]) -> DataFrame:
     """Current row per key over all written batches; out-of-order batches give the same result."""
     return latest_per_key(spark.read.parquet(path).drop("batch_id"), [key], order)
 
 
-def compact(spark: SparkSession, path: str, key: str, order: list[str], target: str) -> None:
-    """Write the current state as one batch of a new folder."""
-    write_batch(upserted_state(spark, path, key, order), target, 0)
-
-
-def change_event_handler(state: str, events: str, key: str, order: list[str], columns: list[str], source: str) -> Callable[[DataFrame, int], None]:
+def change_event_handler(state: str, events: str, key: str, order: list[str], columns: list[str], source: str,
+                         every: int = COMPACT_EVERY) -> Callable[[DataFrame, int], None]:
     """Upsert a micro-batch and write its changes against the earlier state as JSON events.
 
-    The earlier state is read from older batch folders only, so replaying a batch gives the same events.
+    The earlier state is read from older folders only, so replaying a batch gives the same events.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        _compact_before(spark, state, key, order, batch_id, every)
         newest = latest_per_key(batch, [key], order)
-        if batch_id > 0:
-            older = spark.read.parquet(*[f"{state}/batch_id={i}" for i in range(batch_id)])
-            before = latest_per_key(older, [key], order).join(newest.select(key), key, "left_semi")
-        else:
-            before = newest.where(F.lit(False))
+        older = state_before(spark, state, key, order, batch_id, every)
+        before = newest.where(F.lit(False)) if older is None else older.join(newest.select(key), key, "left_semi")
         current = latest_per_key(before.unionByName(newest), [key], order)
         write_batch(newest, state, batch_id)
         diff = changes.snapshot_diff(before, current, key, columns)
         write_batch(changes.change_events(diff, key, source, F.lit("2002-01-01T00:00:00Z")).select("event"), events, batch_id, "text")
 
-    return handle
+    return once(handle)
 
 
 def review_embedding_handler(staged: str, deleted: str, limit: int = 2000) -> Callable[[DataFrame, int], None]:
@@ -133,7 +163,7 @@ def review_embedding_handler(staged: str, deleted: str, limit: int = 2000) -> Ca
             F.lit(MODEL_NAME).alias("model")), staged, batch_id)
         write_batch(item.where("Operation = 2").select(F.col("ReviewID").alias("review_id")), deleted, batch_id)
 
-    return handle
+    return once(handle)
 
 
 def negative_review_alerts(stream: DataFrame, limit: int = 2) -> DataFrame:

@@ -134,7 +134,8 @@ def test_bm25_equals_brute_force(spark, monkeypatch):
     corpus = [(i, " ".join(rng.choice(["tent", "wind", "boot", "Leak", "rain", "the"]) for _ in range(rng.randint(0, 12)))) for i in range(150)]
     corpus += [(1000 + i, "tent wind") for i in range(75)]
     asked = [(1, "tent strong wind"), (2, "the boot"), (3, "nothing here"), (4, "rain rain")]
-    monkeypatch.setattr(fulltext, "QUERY_BLOCK", 2)
+    monkeypatch.setattr(fulltext, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(fulltext, "QUERY_SLICE", 1)
     monkeypatch.setattr(fulltext, "BLOCK_CELLS", 40)
     got = fulltext.bm25(spark.createDataFrame(corpus, "id long, text string").repartition(3),
                         spark.createDataFrame(asked, "query_id long, query_text string"), 7).collect()

@@ -26,13 +26,23 @@ def test_upsert_over_batches_equals_batch(spark, tmp_path):
     assert read() == want
     handler(spark.createDataFrame(BATCHES[1], ORDER_SCHEMA), 1)  # a replayed batch changes nothing
     assert read() == want
-    streams.compact(spark, str(tmp_path / "state"), "order_id", ["modified_at", "load_date"], str(tmp_path / "compact"))
-    assert spark.read.parquet(str(tmp_path / "compact")).count() == 3
+
+
+def test_compacted_state_equals_all_batches(spark, tmp_path):
+    path, order = str(tmp_path / "state"), ["modified_at", "load_date"]
+    handle = streams.upsert_handler(path, "order_id", order, every=2)
+    rows = [[(i % 3, f"s{i}", i, i), (9, "x", 1, 1)] for i in range(6)]
+    for number, batch in enumerate(rows):
+        handle(spark.createDataFrame(batch, ORDER_SCHEMA), number)
+    left = sorted(map(str, streams.state_before(spark, path, "order_id", order, 6 - 1, every=2).collect()))
+    want = {0: "s3", 1: "s4", 2: "s2", 9: "x"}
+    assert {r.order_id: r.status for r in streams.state_before(spark, path, "order_id", order, 5, every=2).collect()} == want and len(left) == 4
+    assert spark.read.parquet(path + "_base/upto=4").count() == 4
 
 
 def test_change_events_over_batches(spark, tmp_path):
     stream = feed(spark, tmp_path / "in", *BATCHES)
-    handler = streams.change_event_handler(str(tmp_path / "state"), str(tmp_path / "events"), "order_id", ["modified_at", "load_date"], ["status"], "sales.order")
+    handler = streams.change_event_handler(str(tmp_path / "state"), str(tmp_path / "events"), "order_id", ["modified_at", "load_date"], ["status"], "sales.order", every=2)
     streams.start_batches(stream, handler, str(tmp_path / "cp")).awaitTermination()
     events = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "events")).collect()]
     kinds = sorted((e["id"], e["type"].rsplit(".", 1)[1], e["data"]["after"]["status"]) for e in events)
