@@ -391,7 +391,17 @@ def rag_facts(t):
     return rag.product_facts(context_of(t, 6), catalog(t), article_reviews(t))
 
 
-@query("rag_payload")
+@query("rag_payload", f"""WITH {SQL_FACTS},
+f AS (SELECT query_id, string_agg('{{"productId":' || product_id || ',"name":' || to_json(product_name) || ',"category":' || to_json(category) || ',"priceEur":'
+  || list_price || ',"attributes":{{"size":' || p_size || ',"waterproof":' || CASE WHEN p_size >= 25 THEN 'true' ELSE 'false' END || '}}'
+  || coalesce(',"avgRating":' || CAST(CAST((200 * total + n) // (2 * n) AS DECIMAL(18,0)) * 0.01 AS DECIMAL(3,2)), '') || ',"reviewCount":' || coalesce(n, 0) || '}}',
+  ',' ORDER BY product_id) AS facts FROM wanted JOIN catalog USING (product_id) LEFT JOIN rated USING (product_id) GROUP BY 1),
+s AS (SELECT query_id, string_agg('{{"id":' || id || ',"type":"' || source_type || '","text":' || to_json(text) || '}}', ',' ORDER BY position) AS found FROM hybrid GROUP BY 1),
+u AS (SELECT item_id AS query_id, 'Question: ' || text || chr(10) || 'Product facts (JSON): [' || coalesce(facts, '') || ']' || chr(10)
+  || 'Sources (JSON): [' || coalesce(found, '') || ']' AS content FROM benchmark LEFT JOIN f ON f.query_id = item_id LEFT JOIN s ON s.query_id = item_id),
+p AS (SELECT query_id, '{{"messages":[{{"role":"system","content":' || to_json('{rag.SYSTEM_RULES}') || '}},{{"role":"user","content":' || to_json(content)
+  || '}}],"temperature":0.1,"max_tokens":700,"response_format":{{"type":"json_schema","json_schema":' || '{rag.ANSWER_SCHEMA}' || '}}}}' AS payload FROM u)
+SELECT query_id, payload, length(payload) // 4 AS rough_tokens FROM p""")
 def rag_payload(t):
     context = context_of(t, 6)
     return rag.payloads(questions(t), context, rag.product_facts(context, catalog(t), article_reviews(t)))
