@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions.scalars import is_json_array
-from lakeops.operators.skew import numbered
+from lakeops.operators.skew import left_join_sparse, numbered
+from lakeops.session import materialize
 
 # Reject codes.
 NOT_JSON, UNKNOWN_CUSTOMER, BAD_PRODUCT = 50010, 50011, 50012
@@ -74,13 +75,14 @@ def place_orders(requests: DataFrame, customers: DataFrame, products: DataFrame,
     """Turn order requests (one JSON array of lines each) into orders, all or nothing per request.
 
     Coded validation (bad JSON, customer, product) only rejects. Constraint failures (quantity,
-    missing region) are rejected and go to the error log as well.
+    missing region) are rejected and go to the error log as well. Judged requests and priced items
+    are written once, because all four results read them.
     """
     country_region = stores.groupBy("country").agg(F.min("region").alias("_country_region"))
     by_store = stores.select("store_id", F.col("region").alias("_store_region"))
+    asked = requests.join(customers.select("customer_id", "country", "loyalty_tier", F.lit(True).alias("_known")), "customer_id", "left")
     known = (
-        requests.join(customers.select("customer_id", "country", "loyalty_tier", F.lit(True).alias("_known")), "customer_id", "left")
-        .join(by_store, "store_id", "left").join(country_region, "country", "left")
+        left_join_sparse(asked, by_store, "store_id", "request_id").join(country_region, "country", "left")
         .withColumn("sales_region", F.when(F.col("channel") == "Store", F.col("_store_region")).otherwise(F.col("_country_region")))
         .withColumn("_array", F.coalesce(is_json_array(F.col("lines")), F.lit(False)))
         .drop("_store_region", "_country_region", "country")
@@ -90,20 +92,20 @@ def place_orders(requests: DataFrame, customers: DataFrame, products: DataFrame,
         "request_id", "loyalty_tier", F.posexplode(parsed).alias("_pos", "_l")
     ).select("request_id", "loyalty_tier", (F.col("_pos") + 1).alias("line_number"),
              F.col("_l.productId").cast("bigint").alias("product_id"), F.col("_l.qty").alias("quantity"))
-    priced = items.join(products.select("product_id", "list_price", "is_active"), "product_id", "left")
+    priced = materialize(items.join(products.select("product_id", "list_price", "is_active"), "product_id", "left"), "priced_items")
     faults = priced.groupBy("request_id").agg(
         F.max(F.coalesce(~F.col("is_active"), F.lit(True))).alias("_bad_product"),
         F.max(F.col("quantity").isNull()).alias("_no_quantity"),
         F.max(F.coalesce(F.col("quantity") <= 0, F.lit(False))).alias("_bad_quantity"),
     )
-    judged = known.join(faults, "request_id", "left").withColumn(
+    judged = materialize(known.join(faults, "request_id", "left").withColumn(
         "code",
         F.when(~F.col("_array"), NOT_JSON)
         .when(F.col("_known").isNull(), UNKNOWN_CUSTOMER)
         .when(F.col("_bad_product"), BAD_PRODUCT)
         .when(F.col("sales_region").isNull() | F.col("_no_quantity"), NULL_VIOLATION)
         .when(F.col("_bad_quantity"), CHECK_VIOLATION),
-    )
+    ).drop("lines"), "judged_requests")
     accepted = numbered(judged.where(F.col("code").isNull()), "request_id", "_n").withColumn(
         "order_id", F.col("_n") + F.lit(max_order_id))
     headers = accepted.select(

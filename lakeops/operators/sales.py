@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeops.operators.skew import rank_in_group
+from lakeops.operators.skew import left_join_sparse, rank_in_group
 from lakeops.tables import line_net
 
 
@@ -22,9 +22,9 @@ def order_summary(orders: DataFrame, customers: DataFrame, stores: DataFrame, li
     totals = lines.groupBy("order_id").agg(
         F.count("line_number").alias("line_count"), F.sum("line_total").alias("order_value")
     )
+    named = orders.join(customers.select("customer_id", "customer_name", "region"), "customer_id")
     return (
-        orders.join(customers.select("customer_id", "customer_name", "region"), "customer_id")
-        .join(stores.select("store_id", "store_name"), "store_id", "left")
+        left_join_sparse(named, stores.select("store_id", "store_name"), "store_id", "order_id")
         .join(totals, "order_id", "left")
         .select(
             "order_id", "order_number", F.to_date("order_date").alias("order_date"), "channel",
@@ -109,9 +109,9 @@ def region_of_order(orders: DataFrame, customers: DataFrame, stores: DataFrame)
     """Store orders take the store's region, others the region of any store in the customer's country."""
     country_region = stores.groupBy("country").agg(F.min("region").alias("_country_region"))
     by_store = stores.select("store_id", F.col("region").alias("_store_region"))
+    placed = orders.join(customers.select("customer_id", "country"), "customer_id", "left")
     return (
-        orders.join(customers.select("customer_id", "country"), "customer_id", "left")
-        .join(by_store, "store_id", "left")
+        left_join_sparse(placed, by_store, "store_id", "order_id")
         .join(country_region, "country", "left")
         .withColumn("sales_region", F.when(F.col("channel") == "Store", F.col("_store_region"))
                     .otherwise(F.col("_country_region")))

@@ -20,6 +20,17 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return top.select(*keys, "_row.*").select(*df.columns)
 
 
+def left_join_sparse(left: DataFrame, right: DataFrame, key: str, spread_by: str) -> DataFrame:
+    """Left join on an integer ``key`` that is often NULL.
+
+    NULL keys match nothing but would all be sent to one task; they get stand-in keys, far below
+    any real one, that spread them by ``spread_by``.
+    """
+    stand_in = F.lit(-(2**62)) - F.pmod(F.xxhash64(spread_by), F.lit(4096))
+    keyed = left.withColumn("_key", F.coalesce(F.col(key), stand_in))
+    return keyed.join(right.withColumnRenamed(key, "_key"), "_key", "left").drop("_key")
+
+
 def neighbour(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], bucket: Column,
     out: str, step: int = 1,

@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakeops.operators import sales
-from lakeops.operators.skew import exact_percentile
+from lakeops.operators.skew import exact_percentile, left_join_sparse
 from lakeops.plans.registry import query
 from lakeops.tables import (
     SQL_CUSTOMERS, SQL_GEO, SQL_LINES, SQL_ORDERS, SQL_PRODUCTS, SQL_REVIEWS, SQL_STORES, line_net, money,
@@ -200,8 +200,9 @@ def join_inner(t):
 @query("join_left", f"""WITH {SQL_GEO}, {SQL_STORES}, {SQL_ORDERS}
 SELECT o.order_id, o.channel, s.store_name FROM sales_orders o LEFT JOIN stores s ON s.store_id = o.store_id""")
 def join_left(t):
-    return t.sales_orders.select("order_id", "channel", "store_id").join(
-        t.stores.select("store_id", "store_name"), "store_id", "left").drop("store_id")
+    return left_join_sparse(
+        t.sales_orders.select("order_id", "channel", "store_id"), t.stores.select("store_id", "store_name"), "store_id", "order_id"
+    ).drop("store_id")
 
 
 @query("join_full_outer", f"""WITH o AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),

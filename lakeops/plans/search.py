@@ -120,7 +120,8 @@ def old_chunk_table(t):
 SELECT source_type, count(*) AS sources, CAST(sum(n) AS BIGINT) AS chunks, CAST(sum(chars) AS BIGINT) AS chars, 0 AS missing_vectors,
   0 AS still_stale FROM s GROUP BY 1""")
 def refresh_chunks(t):
-    current = docs.refresh_chunks(old_chunk_table(t), sources(t))
+    stored = materialize(old_chunk_table(t), "chunk_table")
+    current = docs.refresh_chunks(stored, sources(t))
     per_source = current.groupBy("source_type", "source_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.length("chunk_text")).alias("chars"),
         F.count_if(F.col("embedding").isNull()).alias("missing"), F.count_if("is_stale").alias("stale"))

@@ -76,6 +76,12 @@ def test_rank_in_group_equals_window(spark):
     same(got, df.withColumn("r", F.rank().over(w).cast("long")).select("k", "at", "r"))
 
 
+def test_left_join_sparse_equals_left_join(spark):
+    left = spark.createDataFrame([(i, None if i % 3 else i % 7) for i in range(200)], "id long, k long")
+    right = spark.createDataFrame([(0, "a"), (3, "b"), (None, "never")], "k long, name string")
+    same(skew.left_join_sparse(left, right, "k", "id").select("id", "k", "name"), left.join(right, "k", "left").select("id", "k", "name"))
+
+
 def test_numbered_is_dense(spark):
     df = spark.range(0, 5000).where("id % 7 <> 3")
     rows = skew.numbered(df, "id", "n", width=100).orderBy("id").collect()
