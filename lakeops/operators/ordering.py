@@ -88,9 +88,9 @@ def place_orders(requests: DataFrame, customers: DataFrame, products: DataFrame,
         .drop("_store_region", "_country_region", "country")
     )
     parsed = F.from_json("lines", "array<struct<productId: int, qty: int>>")
-    items = known.where("_array").select(
-        "request_id", "loyalty_tier", F.posexplode(parsed).alias("_pos", "_l")
-    ).select("request_id", "loyalty_tier", (F.col("_pos") + 1).alias("line_number"),
+    items = requests.where(F.coalesce(is_json_array(F.col("lines")), F.lit(False))).select(
+        "request_id", F.posexplode(parsed).alias("_pos", "_l")
+    ).select("request_id", (F.col("_pos") + 1).alias("line_number"),
              F.col("_l.productId").cast("bigint").alias("product_id"), F.col("_l.qty").alias("quantity"))
     priced = materialize(items.join(products.select("product_id", "list_price", "is_active"), "product_id", "left"), "priced_items")
     faults = priced.groupBy("request_id").agg(
@@ -113,7 +113,7 @@ def place_orders(requests: DataFrame, customers: DataFrame, products: DataFrame,
     discount = F.lit("0")
     for tier, value in TIER_DISCOUNT.items():
         discount = F.when(F.col("loyalty_tier") == tier, value).otherwise(discount)
-    lines = priced.join(headers.select("request_id", "order_id"), "request_id").select(
+    lines = priced.join(accepted.select("request_id", "order_id", "loyalty_tier"), "request_id").select(
         "order_id", "line_number", "product_id", "quantity", F.col("list_price").alias("unit_price"),
         discount.cast("decimal(4,2)").alias("discount_pct"),
     ).withColumn("line_total", (F.col("quantity") * F.col("unit_price") * (1 - F.col("discount_pct"))).cast("decimal(12,2)"))
