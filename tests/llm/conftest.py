@@ -1,0 +1,22 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from helpers import AWKWARD, SCHEMA
+
+
+@pytest.fixture(scope="session")
+def table(spark):
+    """``table(rows)`` gives documents; ``clash`` adds columns whose names operators use themselves."""
+    def make(rows, clash=()):
+        frame = spark.createDataFrame([(i, t, "en", "src", None if t is None else len(t)) for i, t in rows], SCHEMA)
+        return frame.selectExpr("*", *[f"'own' AS `{name}`" for name in clash])
+    return make
+
+
+@pytest.fixture(scope="session")
+def awkward():
+    return list(AWKWARD)
