@@ -6,16 +6,18 @@ batch has; one text is never cut, so a single long text makes one larger block.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+T = TypeVar("T")
 BLOCK_BYTES = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
-_POWERS: list[np.ndarray] = []
 
 _BYTES = np.arange(256)
 LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
@@ -37,11 +39,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def kept(name: str, make: Callable[[], T]) -> T:
+    """A value made once per Python process. Modules of this package may be sent to workers with each task, so it is kept outside them."""
+    values = vars(sys).setdefault("lakeops_kept", {})
+    if name not in values:
+        values[name] = make()
+    return values[name]
+
+
 def _powers(n: int) -> list[np.ndarray]:
-    if not _POWERS or len(_POWERS[0]) < n:
+    held = kept("powers", lambda: [np.empty(0), np.empty(0)])
+    if len(held[0]) < n:
         size = max(n, 2 * BLOCK_BYTES)
-        _POWERS[:] = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size, b, np.uint64)])) for b in (BASE, INVERSE)]
-    return _POWERS
+        held[:] = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size, b, np.uint64)])) for b in (BASE, INVERSE)]
+    return held
 
 
 class Block:

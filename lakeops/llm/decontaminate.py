@@ -97,10 +97,10 @@ class Winnower:
         return counts, lists(per_text, column)
 
 
-def _printed(frame: DataFrame, keys: str, winnower) -> DataFrame:
-    """The key columns of ``frame`` (all but the last, its text), word counts and fingerprints."""
+def _printed(frame: DataFrame, keys: str, table=None, **options) -> DataFrame:
+    """The key columns of ``frame`` (all but the last, its text), word counts and fingerprints; ``table`` is a broadcast bit table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = winnower.value if hasattr(winnower, "value") else winnower
+        own = Winnower(**options, table=None if table is None else table.value)
         for batch in batches:
             for low, high, block in blocks(batch.column(batch.num_columns - 1)):
                 counts, prints = own.of_block(block)
@@ -114,7 +114,7 @@ def item_prints(items: DataFrame, item_id: str, text: str, window: int, kgram: i
     """Fingerprints of the test items; an item shorter than a window has one, of all its words."""
     base = items.select(F.col(f"`{item_id}`").alias("item_id"), F.col(f"`{text}`").cast("string").alias("_text"))
     kind = dict(base.dtypes)["item_id"]
-    everything = _printed(base, f"item_id {kind}", Winnower(window, kgram, tuple(range(1, window)), " "))
+    everything = _printed(base, f"item_id {kind}", window=window, kgram=kgram, lengths=tuple(range(1, window)), pad=" ")
     prints = everything.select("item_id", "n_words", F.explode("prints").alias("p")).select("item_id", "n_words", "p.*")
     full = F.col("n_words") >= window
     wanted = F.when(full, F.size("words") == 2 * window - kgram).otherwise(F.size("words") == F.col("n_words"))
@@ -146,10 +146,10 @@ def benchmark_hits(
     spark = docs.sparkSession
     prints = materialize(item_prints(items, item_id, item_text, window, kgram), "item_prints")
     lengths = tuple(sorted(r[0] for r in prints.select(F.size("item_words")).distinct().collect() if r[0] < window))
-    winnower = spark.sparkContext.broadcast(Winnower(window, kgram, lengths, "", _bit_table(prints)))
+    bits = spark.sparkContext.broadcast(_bit_table(prints))
     base = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(f"`{text}`").alias("text_hash"), F.col(f"`{text}`").cast("string").alias("_text"))
     kind = dict(base.dtypes)["doc_id"]
-    marked = materialize(_printed(base, f"doc_id {kind}, text_hash bigint", winnower), "doc_prints")
+    marked = materialize(_printed(base, f"doc_id {kind}, text_hash bigint", bits, window=window, kgram=kgram, lengths=lengths, pad=""), "doc_prints")
     found = marked.select("doc_id", "text_hash", F.explode("prints").alias("p")).select("doc_id", "text_hash", "p.*").distinct()
     width = F.when(F.size("words") < window, F.size("words")).otherwise(F.lit(window))
     same = found.join(prints, "hash").withColumn("_width", width).withColumn("_at", F.expr(

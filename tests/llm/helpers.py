@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from pyspark.sql import types as T
 
 SCHEMA = T.StructType([
@@ -23,3 +25,17 @@ AWKWARD = [
     (6, prose(6, 120)), (6, prose(6, 120)), (7, prose(6, 120)), (8, "same " * 400), (9, prose(9, 30000)), (10, "x" * 70000),
     (11, "tab\tand  two spaces\x1c odd \x85 ends.\r\n\r\nNew \u00a0line "), (12, "\\x00\x00 \x01 nul"),
 ]
+
+
+@pytest.fixture(scope="session")
+def table(spark):
+    """``table(rows)`` gives documents; ``clash`` adds columns whose names operators use themselves."""
+    def make(rows, clash=()):
+        frame = spark.createDataFrame([(i, t, "en", "src", None if t is None else len(t)) for i, t in rows], SCHEMA)
+        return frame.selectExpr("*", *[f"'own' AS `{name}`" for name in clash])
+    return make
+
+
+@pytest.fixture(scope="session")
+def awkward():
+    return list(AWKWARD)

@@ -1,7 +1,7 @@
 import hashlib
 import re
 
-from helpers import prose
+from helpers import awkward, prose, table  # noqa: F401
 
 from lakeops.llm import decontaminate
 

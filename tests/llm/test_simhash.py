@@ -4,6 +4,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import xxhash
+from helpers import awkward, table  # noqa: F401
 from pyspark.sql import functions as F
 
 from lakeops.llm import simhash
