@@ -62,7 +62,7 @@ def window_entropies(text: str, size: int) -> Iterator[float]:
     """Entropy in bits a character of every window of ``size`` characters, from counts that change by two each step."""
     if len(text) < size:
         return
-    terms = [0.0, *(n * math.log2(n) for n in range(1, size + 1))]
+    terms = [0.0, *(n * math.log2(n) for n in range(1, size + 2))]
     counts: dict[str, int] = {}
     total = 0.0  # sum of n log n over the window's characters
     for i, character in enumerate(text):
