@@ -155,8 +155,8 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, n_rules: int, steps: int
     """Expectation-maximisation over vote patterns, from the number of bad votes on.
 
     Junk breaks few rules, each kind others, so a bad vote says much and a good vote little. The prior
-    counts as ``PRIOR`` of the documents and says so; and no rule may come out as voting bad more
-    often for good texts than for a third of bad ones, which keeps the classes from changing places.
+    counts as ``PRIOR`` of the documents and says so; and no rule may come out as voting bad for good
+    texts more than half as often as for bad ones, which keeps the classes from changing places.
     """
     table, total = _digits(patterns, n_rules), max(float(counts.sum()), 1.0)
     prior = np.array([[0.1, 0.6, 0.3], [0.1, 0.88, 0.02]]) * PRIOR * total + 0.1
@@ -167,7 +167,7 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, n_rules: int, steps: int
             for v in range(3):
                 chances[c, :, v] = (table == v).T @ (share * counts) + prior[c, v]
         chances /= chances.sum(axis=2, keepdims=True)
-        chances[1, :, 2] = np.minimum(chances[1, :, 2], chances[0, :, 2] / 3)
+        chances[1, :, 2] = np.minimum(chances[1, :, 2], chances[0, :, 2] / 2)
         chances[1] /= chances[1].sum(axis=1, keepdims=True)
         found = Accuracies(chances, float(np.clip((good @ counts + 0.9) / (total + 1), 0.01, 0.99)))
         new = found.posterior(patterns)

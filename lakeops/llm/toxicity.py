@@ -26,6 +26,7 @@ PER_CLASS = 3000
 FEATURES = 20_000
 PREFIXES = (4, 5, 6)
 SLOTS = 22
+EXCESS = 5.0
 LETTERS = ~members(bytes(range(0x41)) + b"[\\]^_`{|}~\x7f")  # A-Z, a-z and characters outside ASCII
 STOPS = members(b".!?\n")
 
@@ -92,8 +93,8 @@ def _document_log(text: np.ndarray, logit: np.ndarray, n: int) -> np.ndarray:
 def train(texts: list[tuple[Block, np.ndarray, np.ndarray]], features: int = FEATURES, steps: int = 300) -> Model:
     """Fit the sentence model to (block, label of each text, weight of each text).
 
-    Features are first screened by how much more often they occur in toxic documents; the noisy-or
-    likelihood then trains the weights of those that remain, by gradient steps with momentum.
+    Features are first screened: they must occur in toxic documents more often than in others, beyond
+    what chance explains. The noisy-or likelihood then trains the weights of those that remain, by gradient steps with momentum.
     """
     labels = np.concatenate([y for _, y, _ in texts]) if texts else np.empty(0)
     weight = np.concatenate([w for _, _, w in texts]) if texts else np.empty(0)
@@ -116,7 +117,9 @@ def train(texts: list[tuple[Block, np.ndarray, np.ndarray]], features: int = FEA
     with_toxic = np.bincount(place, toxic[all_text], len(keys))
     clean = np.bincount(place, (~toxic)[all_text], len(keys))
     lift = np.log(((with_toxic + 0.5) / (toxic.sum() + 1)) / ((clean + 0.5) / ((~toxic).sum() + 1)))
-    usable = np.flatnonzero((with_toxic >= min(5, toxic.sum())) & (lift > 1.0))
+    expected = (with_toxic + clean) * toxic.mean()
+    excess = (with_toxic - expected) / np.sqrt(expected * (1 - toxic.mean()))  # in standard deviations
+    usable = np.flatnonzero((with_toxic >= min(5, toxic.sum())) & (lift > 1.0) & (excess > EXCESS))
     usable = usable[np.argsort(-(lift * with_toxic)[usable], kind="stable")[:features]]
     model = Model(np.sort(keys[usable]), np.zeros(len(usable)), -5.0)
     if not len(usable):
