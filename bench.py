@@ -9,7 +9,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from lakeops.plans import QUERIES
-from lakeops.session import build_session
+from lakeops.session import build_session, drop_scratch
 
 HEADLINE = (
     "product_sales_daily", "order_summary", "net_sales_reconciliation", "best_day_per_store", "gross_by_product",
@@ -22,7 +22,9 @@ HEADLINE = (
 def run(spark, name, folder):
     start = time.perf_counter()
     QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - start
+    took = time.perf_counter() - start
+    drop_scratch(spark)
+    return took
 
 
 def main():

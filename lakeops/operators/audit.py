@@ -10,25 +10,24 @@ from pyspark.sql import functions as F
 from lakeops.session import materialize
 
 
-def digest_tree(rows: DataFrame, key: str, columns: Sequence[str], block: int = 1000, levels: int = 3) -> DataFrame:
-    """Digests of blocks of ``block`` consecutive keys, then of blocks of blocks.
+def digest_tree(rows: DataFrame, key: str, columns: Sequence[str], block: int = 1000) -> DataFrame:
+    """Digests of blocks of ``block`` consecutive keys, then of blocks of blocks, until one block is left: the table's digest.
 
-    A block never holds more than ``block`` digests because ``key`` is a unique integer, so no
-    task sees more than one block; the top level is the table's digest.
+    A row's text is a JSON object with its column names and nulls, so different rows have different
+    texts. A block never holds more than ``block`` digests because ``key`` is a unique integer, so no
+    task sees more than one block. An empty table has no digest.
     """
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns])
+    text = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
     level = rows.select(F.col(key).alias("position"), F.sha2(text, 256).alias("digest"), F.lit(1).cast("bigint").alias("rows"))
-    parts = []
-    for number in range(1, levels + 1):
+    tree, number, blocks = None, 0, 2
+    while blocks > 1:
+        number += 1
         grouped = level.groupBy(F.floor(F.col("position") / block).alias("block")).agg(
             F.array_sort(F.collect_list(F.struct("position", "digest"))).alias("_d"), F.sum("rows").alias("rows"))
         digest = F.sha2(F.array_join(F.transform("_d", lambda d: d["digest"]), ""), 256)
         done = materialize(grouped.select(F.lit(number).alias("level"), "block", "rows", digest.alias("digest")), f"digest_{number}")
-        parts.append(done)
-        level = done.select(F.col("block").alias("position"), "digest", "rows")
-    tree = parts[0]
-    for part in parts[1:]:
-        tree = tree.unionByName(part)
+        tree = done if tree is None else tree.unionByName(done)
+        level, blocks = done.select(F.col("block").alias("position"), "digest", "rows"), done.count()
     return tree
 
 

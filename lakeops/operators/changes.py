@@ -20,20 +20,16 @@ def price_audit(before: DataFrame, after: DataFrame, key: str, price: str) -> Da
 
 
 def touch_modified(rows: DataFrame, updates: DataFrame, key: str, stamp: str, now: Column) -> DataFrame:
-    """Apply updates; where the caller left ``stamp`` alone it becomes ``now``."""
+    """Apply updates. Where ``updates`` has no ``stamp`` column, or no value in it, the stamp becomes ``now``."""
     changed = [c for c in updates.columns if c != key]
-    incoming = updates.select(key, F.struct(*changed).alias("_u"))
+    incoming = updates.select(key, F.struct(*changed, F.lit(True).alias("_there")).alias("_u"))
     joined = rows.join(incoming, key, "left")
-    untouched = F.col(f"_u.{stamp}").isNull() | (F.col(f"_u.{stamp}") == F.col(stamp))
     out = []
     for name in rows.columns:
+        new = F.col(f"_u.{name}") if name in changed else F.col(name)
         if name == stamp:
-            value = F.when(F.col("_u").isNull(), F.col(stamp)).when(untouched, now).otherwise(F.col(f"_u.{stamp}"))
-        elif name in changed:
-            value = F.when(F.col("_u").isNull(), F.col(name)).otherwise(F.col(f"_u.{name}"))
-        else:
-            value = F.col(name)
-        out.append(value.alias(name))
+            new = F.coalesce(F.col(f"_u.{stamp}"), now) if stamp in changed else now
+        out.append(F.when(F.col("_u").isNull(), F.col(name)).otherwise(new).alias(name))
     return joined.select(*out)
 
 
@@ -100,25 +96,30 @@ def net_changes(log: DataFrame, key: str, version: str = "version", op: str = "o
     return ends.where(~((F.col("_first") == "I") & (F.col("_last") == "D"))).select(key, net.alias(op), version)
 
 
-def changes_since(log: DataFrame, key: str, last: int, min_valid: int) -> DataFrame:
-    """Keys changed after version ``last`` with their net operation and newest version.
+def changes_since(log: DataFrame, key: str, last: int, min_valid: int, base: DataFrame | None = None) -> DataFrame:
+    """Keys changed after version ``last``: net operation ``op``, newest ``version``, all ``changed_columns``.
 
-    When ``last`` is older than the log reaches, every key is returned once with operation ``R``
-    (full refresh).
+    When ``last`` is older than the log reaches, what changed is unknown: every key of ``base``, the
+    table that the log is about, comes back with operation ``R`` and the log's newest version.
     """
     if last < min_valid:
-        return log.groupBy(key).agg(F.lit("R").alias("op"), F.max("version").alias("version"))
+        if base is None:
+            raise ValueError("the log does not reach back that far; a full refresh needs the base table")
+        newest = log.agg(F.max("version").alias("version"))  # one row
+        return base.select(key).distinct().crossJoin(F.broadcast(newest)).select(
+            key, F.lit("R").alias("op"), "version", F.lit(None).cast("array<string>").alias("changed_columns"))
     newer = log.where(F.col("version") > last)
     ends = newer.groupBy(key).agg(
-        F.min_by("op", "version").alias("_first"), F.max_by("op", "version").alias("_last"), F.max("version").alias("version"))
+        F.min_by("op", "version").alias("_first"), F.max_by("op", "version").alias("_last"), F.max("version").alias("version"),
+        F.array_distinct(F.flatten(F.collect_set("changed_columns"))).alias("changed_columns"))
     op = F.when(F.col("_last") == "D", "D").when(F.col("_first") == "I", "I").otherwise("U")
-    return ends.select(key, op.alias("op"), "version")
+    return ends.select(key, op.alias("op"), "version", "changed_columns")
 
 
 def touching(changes: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Updates that changed one of ``columns``, and all deletes; others need no re-embedding."""
+    """Updates that changed one of ``columns``, all deletes, and keys of a full refresh; others need no re-embedding."""
     wanted = F.arrays_overlap("changed_columns", F.array(*[F.lit(c) for c in columns]))
-    return changes.where((F.col("op") == "D") | ((F.col("op") == "U") & wanted))
+    return changes.where(F.col("op").isin("D", "R") | ((F.col("op") == "U") & wanted))
 
 
 def flag_stale_chunks(chunks: DataFrame, changes: DataFrame, source_type: str, key: str, columns: Sequence[str]) -> DataFrame:

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.embedding import toy_embedding
 from lakeops.functions.scalars import concat_nulls_empty
+from lakeops.operators.skew import latest_per_key
 
 MODEL_NAME = "toy-hash-768"
+# The number of each source type, and below the wording of the document templates.
 SOURCE_NUMBER = {"Product": 1, "Review": 2, "Ticket": 3}
 
 
@@ -59,9 +61,11 @@ def chunk_fixed(df: DataFrame, text: str, size: int = 500, overlap_percent: int
 
 
 def chunk_id() -> Column:
-    """One integer from source type, source key and chunk order."""
+    """One integer from source type, source key and chunk order; keys that do not fit are an error, not a collision."""
     number = F.create_map(*[F.lit(x) for pair in SOURCE_NUMBER.items() for x in pair])[F.col("source_type")]
-    return number * F.lit(10**18) + F.col("source_id") * F.lit(10**6) + F.col("chunk_order")
+    fits = F.col("source_id").between(0, 10**12 - 1) & F.col("chunk_order").between(0, 10**6 - 1)
+    value = number * F.lit(10**18) + F.col("source_id") * F.lit(10**6) + F.col("chunk_order")
+    return F.when(fits, value).otherwise(F.raise_error(F.lit("source or chunk number out of range for a chunk id")).cast("bigint"))
 
 
 def content_chunks(sources: DataFrame, size: int = 500, overlap_percent: int = 10) -> DataFrame:
@@ -103,16 +107,22 @@ def refresh_chunks(chunks: DataFrame, sources: DataFrame) -> DataFrame:
     return have_vector.unionByName(late.select(*kept.columns)).unionByName(added.select(*kept.columns))
 
 
-def merge_staged_vectors(chunks: DataFrame, staged: DataFrame, limit: int = 2000) -> DataFrame:
-    """Replace every chunk of the staged reviews by their one staged chunk, text cut at ``limit``."""
-    gone = staged.select(F.lit("Review").alias("source_type"), F.col("review_id").alias("source_id"))
+def merge_staged_vectors(chunks: DataFrame, staged: DataFrame, deleted: DataFrame | None = None) -> DataFrame:
+    """Replace every chunk of the staged reviews by their one staged chunk, and drop those of ``deleted`` reviews.
+
+    Texts stay whole. A review staged several times keeps one of its newest rows, by ``staged_at`` where that is there.
+    """
+    if "staged_at" in staged.columns:
+        staged = latest_per_key(staged, ["review_id"], ["staged_at", "chunk_text"]).drop("staged_at")
+    left = staged.select("review_id")
+    gone = left if deleted is None else left.union(deleted.select("review_id"))
+    gone = gone.distinct().select(F.lit("Review").alias("source_type"), F.col("review_id").alias("source_id"))
     kept = chunks.join(gone, ["source_type", "source_id"], "left_anti")
     fresh = (
         staged.withColumn("source_type", F.lit("Review"))
         .withColumn("source_id", F.col("review_id"))
         .withColumn("chunk_order", F.lit(1))
         .withColumn("chunk_id", chunk_id())
-        .withColumn("chunk_text", F.left("chunk_text", F.lit(limit)))
         .withColumn("embedding", F.from_json("embedding_json", "array<float>"))
         .withColumn("embedding_model", F.col("model"))
         .withColumn("is_stale", F.lit(False))

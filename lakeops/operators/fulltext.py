@@ -18,9 +18,13 @@ K1 = 1.2
 B = 0.75
 
 
+# Letters with their accents, and digits, of every script.
+SEPARATOR = r"[^\p{L}\p{M}\p{N}]+"
+
+
 def tokens(text: Column) -> Column:
-    """Lower-case runs of letters and digits."""
-    return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
+    """Lower-case runs of letters and digits of any script."""
+    return F.filter(F.split(F.lower(text), SEPARATOR), lambda w: w != "")
 
 
 def has_word(words: Column, word: str) -> Column:
@@ -163,33 +167,38 @@ def _word_scores(asked: dict[int, list[str]], idf: dict[str, float], average: fl
 
 
 def contains_passage(documents: DataFrame, passages: DataFrame, window: int = 6) -> DataFrame:
-    """Documents holding a passage (of three words or more) verbatim.
+    """Documents holding a passage verbatim; an empty passage is held by none.
 
     A run of inner words of the passage, whose first and last word may be cut in the document, is
-    looked up among the document's runs; the text decides about each candidate.
+    looked up among the document's runs. Passages of one or two words have no inner word; they are
+    looked up among the document's runs of characters. The text decides about each candidate.
     """
-    cut = passages.select("item_id", F.col("text").alias("passage"), tokens(F.col("text")).alias("_w"))
+    cut = passages.where(F.length("text") > 0).select("item_id", F.col("text").alias("passage"), tokens(F.col("text")).alias("_w"))
     inner = cut.where(F.size("_w") >= 3).withColumn("size", F.least(F.size("_w") - 2, F.lit(window)))
-    wanted = inner.select("item_id", "passage", "size", F.xxhash64(F.slice("_w", F.lit(2), F.col("size"))).alias("run"))
-    sizes = [r["size"] for r in wanted.select("size").distinct().collect()]  # at most ``window`` values
     words = documents.select("doc_id", tokens(F.col("text")).alias("_w"))
-    runs = None
-    for size in sorted(sizes):
-        part = _runs(words, "doc_id", size)
-        runs = part if runs is None else runs.unionByName(part)
-    if runs is None:
-        return documents.sparkSession.createDataFrame([], "item_id bigint, doc_id bigint")
-    candidates = runs.join(wanted, ["run", "size"]).select("doc_id", "item_id", "passage").distinct()
-    return (
-        candidates.join(documents.select("doc_id", "text"), "doc_id")
-        .where(F.contains(F.col("text"), F.col("passage"))).select("item_id", "doc_id")
-    )
+    letters = documents.select("doc_id", _letters(F.col("text")).alias("_w"))
+    by_words = inner.select("item_id", "passage", "size", F.xxhash64(F.slice("_w", F.lit(2), F.col("size"))).alias("run"))
+    by_letters = cut.where(F.size("_w") < 3).select("item_id", "passage", F.length("passage").alias("size"), F.xxhash64(_letters(F.col("passage"))).alias("run"))
+    found = documents.sparkSession.createDataFrame([], "item_id bigint, doc_id bigint")
+    for wanted, parts in ((by_words, words), (by_letters, letters)):
+        # As many sizes as there are short lengths: at most ``window``, or the lengths of passages of two words.
+        sizes = sorted(r["size"] for r in wanted.select("size").distinct().collect())
+        for size in sizes:
+            same = _runs(parts, "doc_id", size).distinct().join(wanted.where(F.col("size") == size).drop("size"), "run")
+            candidates = same.select("doc_id", "item_id", "passage").distinct()
+            found = found.unionByName(candidates.join(documents.select("doc_id", "text"), "doc_id").where(
+                F.contains(F.col("text"), F.col("passage"))).select("item_id", "doc_id"))
+    return found
+
+
+def _letters(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
 
 
 def _runs(df: DataFrame, key: str, window: int) -> DataFrame:
     starts = F.sequence(F.lit(1), F.size("_w") - (window - 1))
     hashes = F.transform(starts, lambda i: F.xxhash64(F.slice("_w", i, F.lit(window))))
-    return df.where(F.size("_w") >= window).select(key, F.lit(window).alias("size"), F.explode(hashes).alias("run"))
+    return df.where(F.size("_w") >= window).select(key, F.explode(hashes).alias("run"))
 
 
 def matches_all(conditions: Sequence[Column]) -> Column:

@@ -122,20 +122,21 @@ class CellIndex:
 
 
 def build_cell_index(stored: DataFrame, key: str = "id", vector: str = "embedding", cells: int | None = None, seed: int = 7,
-                     keep: tuple[str, ...] = ()) -> CellIndex:
+                     keep: tuple[str, ...] = (), train_rows_per_cell: int = TRAIN_ROWS_PER_CELL, min_rows: int = MIN_INDEX_ROWS) -> CellIndex:
     """Train cells on unit vectors and write the vectors out by cell.
 
-    Centres are learned from at most ``TRAIN_ROWS_PER_CELL`` vectors per cell; every vector is
-    then assigned and stored. A big cell is written as several files.
+    The number of cells grows with the square root of the rows. Centres are learned from about
+    ``train_rows_per_cell`` vectors per cell; every vector is then assigned and stored. A big cell is
+    written as several files. Tables below ``min_rows`` get no cells and are searched exactly.
     """
     base = stored.where(F.col(vector).isNotNull()).select(F.col(key).cast("bigint").alias("id"), F.col(vector).alias("embedding"), *keep)
     rows = base.count()
-    if rows < MIN_INDEX_ROWS:
+    if rows < min_rows:
         return CellIndex(base.withColumn("cell", F.lit(0)), np.zeros((0, 0)), rows, 0)
-    cells = cells or max(2, min(4096, int(math.sqrt(rows) / 2)))
+    cells = cells or max(2, int(math.sqrt(rows) / 2))
     unit = base.withColumn("_unit", V.normalize(F.col("embedding"))).where(F.col("_unit").isNotNull())
     points = materialize(unit, "unit_vectors").select("*", array_to_vector("_unit").alias("features")).drop("_unit")
-    share = min(1.0, TRAIN_ROWS_PER_CELL * cells / rows)
+    share = min(1.0, train_rows_per_cell * cells / rows)
     model = KMeans(k=cells, seed=seed, maxIter=10, initSteps=1).fit(points if share == 1.0 else points.sample(share, seed))
     assigned = model.transform(points).withColumnRenamed("prediction", "cell").drop("features")
     by_cell = assigned.repartition("cell", F.pmod(F.xxhash64("id"), F.lit(max(1, rows // (cells * 100_000)))))
@@ -168,7 +169,7 @@ def ann_search(index: CellIndex, queries: DataFrame, k: int, nprobe: int | None
     tables too small for an index, are answered by the exact scan.
     """
     rows = index.cells if condition is None else index.cells.where(condition)
-    if index.rows < MIN_INDEX_ROWS:
+    if not len(index.centers):
         return knn_exact(rows, queries, k)
     nprobe = nprobe or index.nprobe
     found = None

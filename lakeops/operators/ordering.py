@@ -62,6 +62,12 @@ def apply_transitions(orders: DataFrame, checked: DataFrame, now: Column, next_v
         else F.col(c) for c in orders.columns])
 
 
+def channel_fits() -> Column:
+    """A known channel, and a store exactly for orders in a store; an unknown value breaks the rule."""
+    in_store = (F.col("channel") == "Store") & F.col("store_id").isNotNull()
+    return F.coalesce(in_store | ((F.col("channel") == "Online") & F.col("store_id").isNull()), F.lit(False))
+
+
 class PlacedOrders(NamedTuple):
     """Result of a batch: new headers, new lines, coded rejects, and logged constraint failures."""
 
@@ -75,7 +81,7 @@ def place_orders(requests: DataFrame, customers: DataFrame, products: DataFrame,
     """Turn order requests (one JSON array of lines each) into orders, all or nothing per request.
 
     Coded validation (bad JSON, customer, product) only rejects. Constraint failures (quantity,
-    missing region) are rejected and go to the error log as well. Judged requests and priced items
+    channel and store, missing region) are rejected and go to the error log as well. Judged requests and priced items
     are written once, because all four results read them.
     """
     country_region = stores.groupBy("country").agg(F.min("region").alias("_country_region"))
@@ -104,8 +110,8 @@ def place_orders(requests: DataFrame, customers: DataFrame, products: DataFrame,
         .when(F.col("_known").isNull(), UNKNOWN_CUSTOMER)
         .when(F.col("_bad_product"), BAD_PRODUCT)
         .when(F.col("sales_region").isNull() | F.col("_no_quantity"), NULL_VIOLATION)
-        .when(F.col("_bad_quantity"), CHECK_VIOLATION),
-    ).drop("lines"), "judged_requests")
+        .when(F.col("_bad_quantity") | ~channel_fits(), CHECK_VIOLATION),
+    ).withColumn("_channel_fits", channel_fits()).drop("lines"), "judged_requests")
     accepted = numbered(judged.where(F.col("code").isNull()), "request_id", "_n").withColumn(
         "order_id", F.col("_n") + F.lit(max_order_id))
     headers = accepted.select(
@@ -118,7 +124,10 @@ def place_orders(requests: DataFrame, customers: DataFrame, products: DataFrame,
         discount.cast("decimal(4,2)").alias("discount_pct"),
     ).withColumn("line_total", (F.col("quantity") * F.col("unit_price") * (1 - F.col("discount_pct"))).cast("decimal(12,2)"))
     rejects = judged.where(F.col("code").isNotNull()).select("request_id", "code")
-    message = F.when(F.col("code") == CHECK_VIOLATION, "quantity must be positive").otherwise("a required value is missing")
-    error_log = rejects.where(F.col("code").isin(CHECK_VIOLATION, NULL_VIOLATION)).select(
+    message = (
+        F.when((F.col("code") == CHECK_VIOLATION) & F.col("_bad_quantity"), "quantity must be positive")
+        .when(F.col("code") == CHECK_VIOLATION, "channel and store do not fit").otherwise("a required value is missing")
+    )
+    error_log = judged.where(F.col("code").isin(CHECK_VIOLATION, NULL_VIOLATION)).select(
         "request_id", F.lit("place_orders").alias("procedure_name"), F.col("code").alias("error_number"), message.alias("error_message"))
     return PlacedOrders(headers, lines, rejects, error_log)

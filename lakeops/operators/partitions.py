@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.session import scratch_path
+from lakeops.sources.landing import by_folder
 
 
 def month_starts(first: dt.date, count: int) -> list[dt.date]:
@@ -32,13 +35,10 @@ def rows_per_partition(df: DataFrame, day: str, bounds: Sequence[dt.date]) -> Da
         "partition_number", "lower_boundary", F.coalesce("_n", F.lit(0)).alias("rows"))
 
 
-def write_monthly(df: DataFrame, ts: str, path: str, files_per_month: int = 8) -> None:
-    """Write by month. Rows of a month are spread over several files, so a big month is not one task."""
-    month = F.trunc(F.to_date(ts), "MM")
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_month))
-    out = df.withColumn("event_month", month).withColumn("_part", spread)
-    out.repartition("event_month", "_part").drop("_part").write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy("event_month").parquet(path)
+def write_monthly(df: DataFrame, ts: str, path: str) -> None:
+    """Write by month. A month gets as many tasks as its size asks for, and small months share one."""
+    out = by_folder(df.withColumn("event_month", F.trunc(F.to_date(ts), "MM")), "event_month")
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_month").parquet(path)
 
 
 def read_months(spark: SparkSession, path: str, start: dt.date, end: dt.date) -> DataFrame:
@@ -46,17 +46,34 @@ def read_months(spark: SparkSession, path: str, start: dt.date, end: dt.date) ->
     return spark.read.parquet(path).where((F.col("event_month") >= F.lit(start)) & (F.col("event_month") < F.lit(end)))
 
 
-def slide_window(spark: SparkSession, path: str, incoming: DataFrame, ts: str, oldest_kept: dt.date, target: str) -> None:
-    """Write the window's kept months and the incoming month to a new path; the old path stays as it was."""
-    kept = spark.read.parquet(path).where(F.col("event_month") >= F.lit(oldest_kept)).drop("event_month")
-    write_monthly(kept.unionByName(incoming), ts, target)
+@dataclass(frozen=True)
+class Manifest:
+    """Which months of which monthly folders make up a table: (folder, first month, month after the last).
 
+    Months come and go by changing the manifest, so no row of another month is written again.
+    """
 
-def archive_month(spark: SparkSession, path: str, month: dt.date, archive: str, remaining: str) -> None:
-    """Copy one month to the archive and the others to the remaining set, without repartitioning any row."""
-    table = spark.read.parquet(path)
-    table.where(F.col("event_month") == F.lit(month)).write.partitionBy("event_month").parquet(archive)
-    table.where(F.col("event_month") != F.lit(month)).write.partitionBy("event_month").parquet(remaining)
+    spans: tuple[tuple[str, dt.date, dt.date], ...]
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        parts = [read_months(spark, *span) for span in self.spans if span[1] < span[2]]
+        return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def slide_window(table: Manifest, incoming: DataFrame, ts: str, oldest_kept: dt.date, target: str, newest: dt.date) -> Manifest:
+    """Write the incoming rows, of months before ``newest``, to ``target``; months before ``oldest_kept`` leave the manifest."""
+    write_monthly(incoming, ts, target)
+    kept = [(path, max(start, oldest_kept), end) for path, start, end in table.spans if end > oldest_kept]
+    return Manifest((*kept, (target, oldest_kept, newest)))
+
+
+def archive_month(spark: SparkSession, table: Manifest, month: dt.date, archive: str) -> Manifest:
+    """Copy one month to the archive folder and take it out of the manifest."""
+    after = month_starts(month, 2)[1]
+    own = Manifest(tuple((path, max(start, month), min(end, after)) for path, start, end in table.spans))
+    by_folder(own.read(spark), "event_month").write.partitionBy("event_month").parquet(archive)
+    left = [(path, start, min(end, month)) for path, start, end in table.spans] + [(path, max(start, after), end) for path, start, end in table.spans]
+    return Manifest(tuple(span for span in left if span[1] < span[2]))
 
 
 def monthly_table(df: DataFrame, ts: str, name: str = "monthly") -> str:

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeops.session import materialize
+
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Newest row per key by ``order``; an aggregate, so hot keys are reduced before the shuffle."""
@@ -99,21 +101,18 @@ def rank_in_group(df: DataFrame, group: Sequence[str], value: str, bucket: Colum
 
 
 def numbered(df: DataFrame, key: str, out: str, width: int = 100_000) -> DataFrame:
-    """Dense 1..n numbering by a unique integer ``key``; only one row per ``width`` keys meets in one task."""
-    cut = df.withColumn("_bucket", F.floor(F.col(key) / width))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        cut.groupBy("_bucket")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .drop("_n")
-    )
-    inside = cut.withColumn("_pos", F.row_number().over(Window.partitionBy("_bucket").orderBy(key)))
-    return (
-        inside.join(offsets, "_bucket")
-        .withColumn(out, (F.col("_pos") + F.col("_offset")).cast("bigint"))
-        .drop("_pos", "_offset", "_bucket")
-    )
+    """Dense 1..n numbering by a unique ``key``, however its values are spread.
+
+    Rows are cut into key ranges of about ``width`` rows, written with the number of their range, and
+    numbered inside each; only one row per range meets in one task.
+    """
+    ranges = max(1, -(-df.count() // width))
+    cut = materialize(df.repartitionByRange(ranges, key).withColumn("_range", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cut.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    inside = cut.withColumn("_pos", F.row_number().over(Window.partitionBy("_range").orderBy(key)))
+    return inside.join(offsets, "_range").withColumn(out, (F.col("_pos") + F.col("_offset")).cast("bigint")).drop("_pos", "_offset", "_range")
 
 
 def exact_percentile(df: DataFrame, group: str, value: str, p: float, width: float) -> DataFrame:

@@ -27,9 +27,10 @@ def price_audit(t):
 def touch_modified(t):
     rows = t.sales_orders.select("order_id", "status", F.col("order_date").alias("modified_at"))
     updates = t.sales_orders.where("status = 'Placed'").select(
-        "order_id", F.lit("Shipped").alias("status"),
-        F.when(F.col("channel") == "Online", F.col("order_date") + F.expr("INTERVAL 3 DAY")).otherwise(F.col("order_date")).alias("modified_at"))
-    return changes.touch_modified(rows, updates, "order_id", "modified_at", F.lit("2002-01-01").cast("timestamp_ntz"))
+        "order_id", "channel", F.lit("Shipped").alias("status"), (F.col("order_date") + F.expr("INTERVAL 3 DAY")).alias("modified_at"))
+    now = F.lit("2002-01-01").cast("timestamp_ntz")
+    stamped = changes.touch_modified(rows, updates.where("channel = 'Online'").drop("channel"), "order_id", "modified_at", now)
+    return changes.touch_modified(stamped, updates.where("channel = 'Store'").drop("channel", "modified_at"), "order_id", "modified_at", now)
 
 
 @query("soft_delete", f"""WITH {SQL_PRODUCTS} SELECT product_id, product_name, is_active AND product_id NOT IN
@@ -70,17 +71,31 @@ def change_log(t):
 
 
 SQL_LOG = """log AS (SELECT user_id AS product_id, event_id AS version, event_type,
+  CASE event_type WHEN 'view' THEN ['description'] WHEN 'click' THEN ['list_price'] WHEN 'purchase' THEN ['product_name', 'list_price'] ELSE [] END AS columns,
   CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS op FROM events)"""
 
 
 @query("changes_since", f"""WITH {SQL_LOG}, e AS (SELECT product_id, arg_min(op, version) AS f, arg_max(op, version) AS l, max(version) AS version
   FROM log WHERE version > 9800 GROUP BY 1)
-SELECT 'since' AS mode, product_id, CASE WHEN l = 'D' THEN 'D' WHEN f = 'I' THEN 'I' ELSE 'U' END AS op, version FROM e
-UNION ALL SELECT 'too old', product_id, 'R', max(version) FROM log GROUP BY 2""")
+SELECT 'since' AS mode, product_id, CASE WHEN l = 'D' THEN 'D' WHEN f = 'I' THEN 'I' ELSE 'U' END AS op, version,
+  (SELECT array_to_string(list_sort(list(DISTINCT c)), ',') FROM (SELECT unnest(columns) AS c, product_id AS p FROM log WHERE version > 9800) WHERE p = e.product_id) AS changed FROM e
+UNION ALL SELECT 'too old', p_partkey, 'R', (SELECT max(version) FROM log), NULL FROM part""")
 def changes_since(t):
+    """Products changed since a version, and what a reader gets whose version the log no longer reaches."""
+    products = t.part.select(F.col("p_partkey").alias("product_id"))
     recent = changes.changes_since(change_log(t), "product_id", 9800, 0)
-    refresh = changes.changes_since(change_log(t), "product_id", 5, 100)
-    return recent.withColumn("mode", F.lit("since")).unionByName(refresh.withColumn("mode", F.lit("too old")))
+    refresh = changes.changes_since(change_log(t), "product_id", 5, 100, base=products)
+    both = recent.withColumn("mode", F.lit("since")).unionByName(refresh.withColumn("mode", F.lit("too old")))
+    changed = F.nullif(F.array_join(F.array_sort("changed_columns"), ","), F.lit(""))
+    return both.select("mode", "product_id", "op", "version", changed.alias("changed"))
+
+
+@query("refresh_after_lost_log", """SELECT p_partkey AS source_id, 1 AS chunk_order, TRUE AS is_stale FROM part""")
+def refresh_after_lost_log(t):
+    """A full refresh marks the chunks of every product."""
+    products = t.part.select(F.col("p_partkey").alias("product_id"))
+    refresh = changes.changes_since(change_log(t), "product_id", 5, 100, base=products)
+    return changes.flag_stale_chunks(part_chunks(t), refresh, "Product", "product_id", ["description"]).select("source_id", "chunk_order", "is_stale")
 
 
 @query("cdc_net_changes", f"""WITH {SQL_LOG}, e AS (SELECT product_id, arg_min(op, version) AS f, arg_max(op, version) AS l, max(version) AS version
@@ -98,12 +113,15 @@ def changed_columns_mask(t):
 @query("flag_stale_chunks", f"""WITH {SQL_LOG}, hit AS (SELECT DISTINCT product_id FROM log WHERE op = 'D' OR event_type IN ('view', 'purchase'))
 SELECT p_partkey AS source_id, 1 AS chunk_order, p_partkey IN (SELECT product_id FROM hit) AS is_stale FROM part""")
 def flag_stale_chunks(t):
-    texts = t.part.select(F.lit("Product").alias("source_type"), F.col("p_partkey").alias("source_id"), F.col("p_name").alias("doc_text"))
-    chunks = documents.content_chunks(texts).withColumn("is_stale", F.lit(False))
-    return changes.flag_stale_chunks(chunks, change_log(t), "Product", "product_id", ["description", "product_name"]).select(
+    return changes.flag_stale_chunks(part_chunks(t), change_log(t), "Product", "product_id", ["description", "product_name"]).select(
         "source_id", "chunk_order", "is_stale")
 
 
+def part_chunks(t):
+    texts = t.part.select(F.lit("Product").alias("source_type"), F.col("p_partkey").alias("source_id"), F.col("p_name").alias("doc_text"))
+    return documents.content_chunks(texts).withColumn("is_stale", F.lit(False))
+
+
 # ---- snapshots ---------------------------------------------------------------------------------
 
 def order_snapshots(t):
@@ -162,12 +180,18 @@ def cascade_delete(t):
 AUDIT_COLUMNS = ["order_id", "customer_id", "status", "order_total"]
 
 
+SQL_LEVELS = (1, 2, 3, 4, 5)
+
+
 def sql_tree(prefix, source):
-    parts = [f"""{prefix}0 AS (SELECT order_id AS position, 1 AS rows, sha256(concat_ws('|', order_id, customer_id, status, order_total)) AS digest FROM {source})"""]
-    for n in (1, 2, 3):
+    """Levels go on while the one below has more than one block."""
+    parts = [f"""{prefix}0 AS (SELECT order_id AS position, 1 AS rows, sha256('{{"order_id":' || order_id || ',"customer_id":' || customer_id
+      || ',"status":"' || status || '","order_total":' || order_total || '}}') AS digest FROM {source})"""]
+    for n in SQL_LEVELS:
         parts.append(f"""{prefix}{n} AS (SELECT position // 1000 AS position, CAST(sum(rows) AS BIGINT) AS rows,
-          sha256(string_agg(digest, '' ORDER BY position)) AS digest FROM {prefix}{n - 1} GROUP BY position // 1000)""")
-    union = " UNION ALL ".join(f"SELECT {n} AS level, position AS block, rows, digest FROM {prefix}{n}" for n in (1, 2, 3))
+          sha256(string_agg(digest, '' ORDER BY position)) AS digest FROM {prefix}{n - 1}
+          WHERE {n} = 1 OR (SELECT count(*) FROM {prefix}{n - 1}) > 1 GROUP BY position // 1000)""")
+    union = " UNION ALL ".join(f"SELECT {n} AS level, position AS block, rows, digest FROM {prefix}{n}" for n in SQL_LEVELS)
     return ", ".join(parts) + f", {prefix} AS ({union})"
 
 
@@ -190,16 +214,21 @@ def audit_digest_verify(t):
 
 # ---- order entry -------------------------------------------------------------------------------
 
-@query("status_transition_check", f"""WITH {SQL_ORDERS}, cur AS (SELECT order_id, status, CASE WHEN order_total > 400000 THEN customer_id + 1 ELSE customer_id END AS row_ver FROM sales_orders),
+SQL_EDGES = ", ".join(f"('{status}', '{after}')" for status, targets in ordering.TRANSITIONS.items() for after in targets)
+SQL_CODES = f"""{SQL_ORDERS}, cur AS (SELECT order_id, order_date, status, CASE WHEN order_total > 400000 THEN customer_id + 1 ELSE customer_id END AS row_ver FROM sales_orders),
 req AS (SELECT o_orderkey AS request_id, CASE WHEN o_orderpriority = '5-LOW' THEN o_orderkey + 1000000000 ELSE o_orderkey END AS order_id, o_custkey AS expected_ver,
-  CASE o_orderpriority WHEN '1-URGENT' THEN 'Shipped' WHEN '2-HIGH' THEN 'Cancelled' WHEN '3-MEDIUM' THEN 'Returned' ELSE 'Delivered' END AS new_status FROM orders)
-SELECT request_id, r.order_id, new_status, CASE WHEN status IS NULL THEN 50020
-  WHEN NOT ((status = 'Placed' AND new_status IN ('Shipped', 'Cancelled')) OR (status = 'Shipped' AND new_status = 'Delivered')
-    OR (status = 'Delivered' AND new_status = 'Returned')) THEN 50021 WHEN expected_ver <> row_ver THEN 50022 END AS code
-FROM req r LEFT JOIN cur c ON c.order_id = r.order_id""")
-def status_transition_check(t):
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'Shipped' WHEN '2-HIGH' THEN 'Cancelled' WHEN '3-MEDIUM' THEN 'Returned' ELSE 'Delivered' END AS new_status FROM orders),
+edges(status, new_status) AS (VALUES {SQL_EDGES}),
+found AS (SELECT request_id, status, row_ver, new_status, expected_ver FROM req JOIN cur USING (order_id)),
+off AS (SELECT request_id FROM found ANTI JOIN edges USING (status, new_status)),
+stale AS (SELECT request_id FROM found WHERE expected_ver <> row_ver),
+codes AS (SELECT request_id, 50020 AS code FROM req ANTI JOIN found USING (request_id) UNION ALL SELECT request_id, 50021 FROM off
+  UNION ALL SELECT request_id, 50022 FROM stale ANTI JOIN off USING (request_id))"""
+
+
+def transition_requests(t):
     current = t.sales_orders.select("order_id", "status", F.when(
-        F.col("order_total") > 400000, F.col("customer_id") + 1).otherwise(F.col("customer_id")).alias("row_ver"))
+        F.col("order_total") > 400000, F.col("customer_id") + 1).otherwise(F.col("customer_id")).alias("row_ver"), F.col("order_date").alias("modified_at"))
     priority = F.col("o_orderpriority")
     requests = t.orders.select(
         F.col("o_orderkey").alias("request_id"),
@@ -207,7 +236,20 @@ def status_transition_check(t):
         F.col("o_custkey").alias("expected_ver"),
         F.when(priority == "1-URGENT", "Shipped").when(priority == "2-HIGH", "Cancelled").when(priority == "3-MEDIUM", "Returned")
         .otherwise("Delivered").alias("new_status"))
-    return ordering.check_transitions(requests, current)
+    return requests, current
+
+
+@query("status_transition_check", f"""WITH {SQL_CODES} SELECT request_id, order_id, new_status, code FROM req LEFT JOIN codes USING (request_id)""")
+def status_transition_check(t):
+    return ordering.check_transitions(*transition_requests(t))
+
+
+@query("apply_transitions", f"""WITH {SQL_CODES}, done AS (SELECT order_id, new_status FROM req ANTI JOIN codes USING (request_id))
+SELECT order_id, coalesce(new_status, status) AS status, CASE WHEN new_status IS NULL THEN row_ver ELSE 777 END AS row_ver,
+  CASE WHEN new_status IS NULL THEN order_date ELSE TIMESTAMP '2002-01-01' END AS modified_at FROM cur LEFT JOIN done USING (order_id)""")
+def apply_transitions(t):
+    requests, current = transition_requests(t)
+    return ordering.apply_transitions(current, ordering.check_transitions(requests, current), F.lit("2002-01-01").cast("timestamp_ntz"), 777)
 
 
 def placed(t):
@@ -219,8 +261,8 @@ def placed(t):
     requests = t.events.select(
         F.col("event_id").alias("request_id"),
         F.when(kind == "signup", F.col("user_id") + 10**9).otherwise(F.col("user_id")).alias("customer_id"),
-        F.when(kind == "click", "Store").otherwise("Online").alias("channel"),
-        F.when(kind == "click", F.col("user_id")).alias("store_id"),
+        F.when(kind == "click", "Store").when((kind == "purchase") & (F.col("user_id") % 7 == 0), "Fax").otherwise("Online").alias("channel"),
+        F.when((kind == "click") | ((kind == "purchase") & (F.col("user_id") % 7 == 1)), F.col("user_id")).alias("store_id"),
         F.when(kind == "view", "not json").otherwise(lines).alias("lines"))
     largest = t.orders.agg(F.max("o_orderkey")).first()[0]
     return ordering.place_orders(requests, t.customers, t.products, t.stores, largest)
@@ -228,13 +270,14 @@ def placed(t):
 
 SQL_PLACED = f"""{SQL_CUSTOMERS}, {SQL_PRODUCTS}, {SQL_STORES}, cr AS (SELECT country, min(region) AS region FROM stores GROUP BY 1),
 req AS (SELECT event_id AS request_id, CASE WHEN event_type = 'signup' THEN user_id + 1000000000 ELSE user_id END AS customer_id, event_type,
-  CAST(props->>'$.k' AS BIGINT) AS k, CASE WHEN event_type = 'click' THEN user_id END AS store_id FROM events),
+  CAST(props->>'$.k' AS BIGINT) AS k, CASE WHEN event_type = 'click' OR (event_type = 'purchase' AND user_id % 7 = 1) THEN user_id END AS store_id,
+  event_type = 'purchase' AND user_id % 7 IN (0, 1) AS off FROM events),
 items AS (SELECT request_id, 1 AS line_number, k AS product_id, CASE WHEN event_type = 'error' THEN 0 ELSE 2 END AS quantity FROM req WHERE event_type <> 'view'
   UNION ALL SELECT request_id, 2, k * 3, 1 FROM req WHERE event_type <> 'view'),
 bad AS (SELECT request_id, bool_or(coalesce(NOT is_active, TRUE)) AS bad_product, bool_or(quantity <= 0) AS bad_quantity FROM items LEFT JOIN products USING (product_id) GROUP BY 1),
 judged AS (SELECT r.request_id, r.customer_id, r.store_id, event_type, loyalty_tier, CASE WHEN event_type = 'click' THEN s.region ELSE cr.region END AS sales_region,
   CASE WHEN event_type = 'view' THEN 50010 WHEN c.customer_id IS NULL THEN 50011 WHEN bad_product THEN 50012
-    WHEN CASE WHEN event_type = 'click' THEN s.region ELSE cr.region END IS NULL THEN 515 WHEN bad_quantity THEN 547 END AS code
+    WHEN CASE WHEN event_type = 'click' THEN s.region ELSE cr.region END IS NULL THEN 515 WHEN bad_quantity OR off THEN 547 END AS code, bad_quantity
   FROM req r LEFT JOIN customers c USING (customer_id) LEFT JOIN stores s ON s.store_id = r.store_id LEFT JOIN cr ON cr.country = c.country LEFT JOIN bad USING (request_id)),
 headers AS (SELECT (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY request_id) AS order_id, * FROM judged WHERE code IS NULL)"""
 
@@ -259,6 +302,7 @@ def place_orders_rejects(t):
 
 
 @query("error_log", f"""WITH {SQL_PLACED} SELECT request_id, 'place_orders' AS procedure_name, code AS error_number,
-  CASE WHEN code = 547 THEN 'quantity must be positive' ELSE 'a required value is missing' END AS error_message FROM judged WHERE code IN (547, 515)""")
+  CASE WHEN code = 547 AND bad_quantity THEN 'quantity must be positive' WHEN code = 547 THEN 'channel and store do not fit'
+    ELSE 'a required value is missing' END AS error_message FROM judged WHERE code IN (547, 515)""")
 def error_log(t):
     return placed(t).error_log

@@ -46,17 +46,12 @@ def customer_orders(t):
 
 @query("customer_orders_tvf", CUSTOMER_ORDERS_SQL)
 def customer_orders_tvf(t):
-    t.sales_orders.createOrReplaceTempView("lakeops_sales_orders")
-    t.order_lines.createOrReplaceTempView("lakeops_order_lines")
+    sales.customer_orders(t.sales_orders, t.order_lines).createOrReplaceTempView("lakeops_orders_with_totals")
     t.customers.createOrReplaceTempView("lakeops_customers")
-    t.spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION lakeops_customer_orders(cid BIGINT)
-      RETURNS TABLE(order_id BIGINT, order_number STRING, order_date DATE, status STRING,
-                    order_total DECIMAL(22,2), line_count BIGINT)
-      RETURN SELECT o.order_id, o.order_number, to_date(o.order_date), o.status,
-                    CAST(sum(l.line_total) AS DECIMAL(22,2)), count(*)
-             FROM lakeops_sales_orders o JOIN lakeops_order_lines l ON l.order_id = o.order_id
-             WHERE o.customer_id = cid
-             GROUP BY o.order_id, o.order_number, o.order_date, o.status""")
+    t.spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION lakeops_customer_orders(wanted BIGINT)
+      RETURNS TABLE(order_id BIGINT, order_number STRING, order_date DATE, status STRING, order_total DECIMAL(22,2), line_count BIGINT)
+      RETURN SELECT order_id, order_number, order_date, status, order_total, line_count
+        FROM lakeops_orders_with_totals WHERE customer_id = wanted""")
     return t.spark.sql("""SELECT c.customer_id, f.* FROM lakeops_customers c,
                           LATERAL lakeops_customer_orders(c.customer_id) f""")
 
@@ -163,11 +158,13 @@ def typed_literal_filter(t):
 MAX_PAGE = 1000
 
 
-def entity_page_of(df, key, after=None, first=50):
-    """Keyset page: rows after the cursor in key order, page size capped at 1000, with the next cursor."""
+def entity_page_of(df, key, after=None, first=50, most=MAX_PAGE):
+    """Keyset page: rows after the cursor in key order, with the next cursor; asking for more than ``most`` rows is an error."""
+    if first > most:
+        raise ValueError(f"a page has at most {most} rows")
     if after is not None:
         df = df.where(F.col(key) > F.lit(after))
-    size = min(first, MAX_PAGE)
+    size = first
     page = df.orderBy(key).limit(size + 1)
     whole = Window.orderBy(key)
     return (
@@ -384,9 +381,11 @@ def safe_ratio(t):
 @query("best_day_per_store", f"""WITH {SQL_GEO}, {SQL_STORES}, {SQL_ORDERS}, {SQL_LINES}, daily AS (
   SELECT l.store_id, CAST(order_date AS DATE) AS sales_date, CAST(sum(line_total) AS DECIMAL(22,2)) AS sales
   FROM order_lines l JOIN sales_orders o USING (order_id) WHERE status <> 'Cancelled' GROUP BY 1, 2),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY sales DESC, sales_date) AS rn,
-  rank() OVER (PARTITION BY sales_date ORDER BY sales DESC) AS rank_that_day FROM daily)
-SELECT store_id, store_name, sales_date, sales, rank_that_day FROM ranked JOIN stores USING (store_id) WHERE rn = 1""")
+top AS (SELECT store_id, max(sales) AS sales FROM daily GROUP BY store_id),
+best AS (SELECT store_id, sales, min(sales_date) AS sales_date FROM daily JOIN top USING (store_id, sales) GROUP BY ALL)
+SELECT store_id, store_name, best.sales_date, best.sales,
+  1 + (SELECT count(*) FROM daily other WHERE other.sales_date = best.sales_date AND other.sales > best.sales) AS rank_that_day
+FROM best JOIN stores USING (store_id)""")
 def best_day_per_store(t):
     return sales.best_day_per_store(t.order_lines, t.sales_orders, t.stores)
 

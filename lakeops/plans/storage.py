@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lakeops.operators import partitions
 from lakeops.plans.registry import query
 from lakeops.session import scratch_path
-from lakeops.sources import landing, series
+from lakeops.sources import landing
 from lakeops.tables import SQL_CUSTOMERS, SQL_ORDERS, TABLE_NAMES
 
 # ---- landing files -----------------------------------------------------------------------------
@@ -55,16 +55,6 @@ def scan_parquet(t):
     return found.where("o_totalprice > 100000").select("o_orderkey", "o_custkey", "o_orderdate").orderBy("o_orderkey").limit(10)
 
 
-@query("web_events_series", """WITH n AS (SELECT event_id AS i, (event_id * 7919) % (92 * 86400) AS secs FROM events)
-SELECT 'E' || i AS event_id, CAST(TIMESTAMP '2026-07-01' + to_seconds(secs) AS DATE) AS event_date, TIMESTAMP '2026-07-01' + to_seconds(secs) AS event_time,
-  'S' || (i // 6) AS session_id, CASE WHEN i % 5 <> 0 THEN 1 + (i * 31) % 1200 END AS customer_id,
-  (['page_view', 'search', 'product_view', 'product_view', 'add_to_cart', 'purchase'])[1 + i % 6] AS event_type,
-  CASE WHEN i % 6 IN (2, 3, 4) THEN 1 + (i * 17) % 240 END AS product_id, (['mobile', 'desktop', 'tablet'])[1 + i % 3] AS device,
-  200 + (i * 13) % 9000 AS duration_ms FROM n""")
-def web_events_series(t):
-    return series.web_events(t.events.select(F.col("event_id").alias("i")))
-
-
 @query("inline_values", f"""WITH {SQL_CUSTOMERS}, m AS (SELECT * FROM (VALUES ('analyst_asia', 'ASIA'), ('analyst_africa', 'AFRICA')) v(user_name, region))
 SELECT user_name, region, count(*) AS customers FROM m JOIN customers USING (region) GROUP BY 1, 2""")
 def inline_values(t):
@@ -84,6 +74,9 @@ def order_events(t):
     return t.orders.select("o_orderkey", "o_orderstatus", F.col("o_orderdate").alias("event_time"))
 
 
+ALL_MONTHS = (dt.date(1900, 1, 1), dt.date(2100, 1, 1))
+
+
 @query("write_monthly_partitions", """SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS event_month, count(*) AS rows FROM orders GROUP BY 1""")
 def write_monthly_partitions(t):
     path = partitions.monthly_table(order_events(t), "event_time")
@@ -122,19 +115,20 @@ def sliding_window(t):
     rows = order_events(t)
     newest = F.lit("2001-08-01").cast("timestamp_ntz")
     path = partitions.monthly_table(rows.where(F.col("event_time") < newest), "event_time")
-    target = scratch_path(t.spark, "window")
-    partitions.slide_window(t.spark, path, rows.where(F.col("event_time") >= newest), "event_time", dt.date(1996, 1, 1), target)
-    return t.spark.read.parquet(target).groupBy("event_month").agg(F.count(F.lit(1)).alias("rows"))
+    table = partitions.Manifest(((path, *ALL_MONTHS),))
+    window = partitions.slide_window(table, rows.where(F.col("event_time") >= newest), "event_time", dt.date(1996, 1, 1),
+                                     scratch_path(t.spark, "newest"), ALL_MONTHS[1])
+    return window.read(t.spark).groupBy("event_month").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query("archive_partition", """SELECT CASE WHEN date_trunc('month', o_orderdate) = TIMESTAMP '1995-01-01' THEN 'archive' ELSE 'remaining' END AS place, count(*) AS rows
 FROM orders GROUP BY 1""")
 def archive_partition(t):
     path = partitions.monthly_table(order_events(t), "event_time")
-    archive, remaining = scratch_path(t.spark, "archive"), scratch_path(t.spark, "remaining")
-    partitions.archive_month(t.spark, path, dt.date(1995, 1, 1), archive, remaining)
+    archive = scratch_path(t.spark, "archive")
+    remaining = partitions.archive_month(t.spark, partitions.Manifest(((path, *ALL_MONTHS),)), dt.date(1995, 1, 1), archive)
 
-    def counted(place, folder):
-        return t.spark.read.parquet(folder).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(place).alias("place"), "rows")
+    def counted(place, rows):
+        return rows.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(place).alias("place"), "rows")
 
-    return counted("archive", archive).unionByName(counted("remaining", remaining))
+    return counted("archive", t.spark.read.parquet(archive)).unionByName(counted("remaining", remaining.read(t.spark)))

@@ -2,9 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from lakeops.operators import documents
 from lakeops.plans.cleaning import SQL_EXTRACT, order_extract
 from lakeops.plans.registry import query
+from lakeops.plans.scalars import SQL_BUCKET, sql_words
 from lakeops.session import scratch_path
+from lakeops.sources import landing
 from lakeops.streaming import streams
 from lakeops.tables import SQL_REVIEWS
 
@@ -18,6 +21,14 @@ def written(t, rows, name):
     return streams.file_stream(t.spark, path, rows.schema)
 
 
+def in_steps(t, parts, name, start):
+    """Rows land part by part, and the stream goes on after each: one micro-batch or more for every part."""
+    path = scratch_path(t.spark, name)
+    for part in parts:
+        part.write.mode("append").parquet(path)
+        finish(start(streams.file_stream(t.spark, path, part.schema)))
+
+
 def timed_events(t):
     return t.events.withColumn("ts", F.col("ts").cast("timestamp")).drop("props")
 
@@ -73,35 +84,94 @@ SQL_LATEST = f"""{SQL_EXTRACT}, latest AS (SELECT * EXCLUDE n FROM (SELECT *, ro
 def stream_order_upsert(t):
     rows = order_extract(t).select("order_id", "status", "modified_at", "load_date")
     path, order = scratch_path(t.spark, "order_state"), ["modified_at", "load_date"]
-    finish(streams.start_batches(written(t, rows, "order_feed"), streams.upsert_handler(path, "order_id", order),
-                                 scratch_path(t.spark, "upsert_checkpoint")))
+    handler, checkpoint = streams.upsert_handler(path, "order_id", order, every=2), scratch_path(t.spark, "upsert_checkpoint")
+    in_steps(t, by_load_date(rows)[::-1], "order_feed", lambda stream: streams.start_batches(stream, handler, checkpoint))
     return streams.upserted_state(t.spark, path, "order_id", order)
 
 
-@query("stream_change_events", f"""WITH {SQL_LATEST} SELECT '{{"specversion":"1.0","id":"' || order_id || '-I","type":"sales.order.insert","time":"2002-01-01T00:00:00Z","data":{{"after":{{"order_id":'
-  || order_id || ',"status":"' || status || '"}}}}}}' AS event FROM latest""")
+STEPS = ("1996-01-01", "1998-01-01", "2000-01-01")
+
+
+def by_load_date(rows):
+    """Four parts of the feed."""
+    edges = [F.col("load_date") >= F.lit(day).cast("date") for day in STEPS]
+    return [rows.where(~edges[0]), rows.where(edges[0] & ~edges[1]), rows.where(edges[1] & ~edges[2]), rows.where(edges[2])]
+
+
+@query("stream_change_events", f"""WITH {SQL_EXTRACT}, parts AS (SELECT *, {' + '.join(f"CAST(load_date >= DATE '{day}' AS INTEGER)" for day in STEPS)} AS part FROM extract_rows),
+newest AS (SELECT order_id, part, last(status ORDER BY modified_at, load_date) AS status FROM parts GROUP BY 1, 2),
+steps AS (SELECT order_id, status, lag(status) OVER (PARTITION BY order_id ORDER BY part) AS before FROM newest)
+SELECT '{{"specversion":"1.0","id":"' || order_id || CASE WHEN before IS NULL THEN '-I' ELSE '-U' END || '","type":"sales.order.' || CASE WHEN before IS NULL THEN 'insert' ELSE 'update' END
+  || '","time":"2002-01-01T00:00:00Z","data":{{' || CASE WHEN before IS NULL THEN '' ELSE '"before":{{"order_id":' || order_id || ',"status":"' || before || '"}},' END
+  || '"after":{{"order_id":' || order_id || ',"status":"' || status || '"}}}}}}' AS event FROM steps WHERE before IS DISTINCT FROM status""")
 def stream_change_events(t):
     rows = order_extract(t).select("order_id", "status", "modified_at", "load_date")
     state, events = scratch_path(t.spark, "event_state"), scratch_path(t.spark, "events")
-    handler = streams.change_event_handler(state, events, "order_id", ["modified_at", "load_date"], ["status"], "sales.order")
-    finish(streams.start_batches(written(t, rows, "event_feed"), handler, scratch_path(t.spark, "event_checkpoint")))
+    handler = streams.change_event_handler(
+        state, events, "order_id", ["modified_at", "load_date"], ["status"], "sales.order", F.lit("2002-01-01T00:00:00Z"), every=2)
+    checkpoint = scratch_path(t.spark, "event_checkpoint")
+    in_steps(t, by_load_date(rows), "event_feed", lambda stream: streams.start_batches(stream, handler, checkpoint))
     return t.spark.read.text(events).select(F.col("value").alias("event"))
 
 
-@query("stream_review_embeddings", """SELECT doc_id AS review_id, CASE WHEN lang IN ('en', 'fr') THEN 'staged' ELSE 'deleted' END AS route,
-  CASE WHEN lang IN ('en', 'fr') THEN least(length(text), 2000) END AS chars, CASE WHEN lang IN ('en', 'fr') THEN 768 END AS dims FROM documents""")
-def stream_review_embeddings(t):
-    """Documents as a change feed: English inserted, French updated, others deleted."""
+SQL_FEED = f"""feed AS (SELECT doc_id AS id, lang, concat('Review (', 2 + 3 * quality - toxic, '/5): ', lang, '. ', text) AS text
+  FROM documents LEFT JOIN labels USING (doc_id)),
+staged AS (SELECT id, text FROM feed WHERE lang IN ('en', 'fr')), fw AS {sql_words('staged', 'id', 'text')},
+fb AS (SELECT id, bucket, count(*) AS n FROM fw JOIN (SELECT word, {SQL_BUCKET} AS bucket FROM (SELECT DISTINCT word FROM fw)) USING (word) GROUP BY 1, 2),
+vectors AS (SELECT id, string_agg(bucket || ':' || n, ',' ORDER BY bucket) AS vector FROM fb GROUP BY 1)"""
+
+
+def review_feed(t):
+    """Documents as a change feed in three steps: English inserted, French updated, others deleted. Gives the sinks' folders."""
     operation = F.when(F.col("lang") == "en", 0).when(F.col("lang") == "fr", 1).otherwise(2)
-    feed = t.documents.select(operation.alias("Operation"), F.struct(
-        F.col("doc_id").alias("ReviewID"), F.col("text").alias("ReviewText")).alias("Item"))
-    staged, deleted = scratch_path(t.spark, "staged"), scratch_path(t.spark, "deleted")
-    finish(streams.start_batches(written(t, feed, "review_feed"), streams.review_embedding_handler(staged, deleted),
-                                 scratch_path(t.spark, "review_checkpoint")))
-    kept = t.spark.read.parquet(staged).select(
-        "review_id", F.lit("staged").alias("route"), F.length("chunk_text").cast("bigint").alias("chars"), F.size("embedding").alias("dims"))
-    gone = t.spark.read.parquet(deleted).select("review_id", F.lit("deleted").alias("route"))
-    return kept.unionByName(gone, allowMissingColumns=True)
+    feed = t.documents.join(t.labels, "doc_id", "left").select(operation.alias("Operation"), F.struct(
+        F.col("doc_id").alias("ReviewID"), (F.lit(2) + 3 * F.col("quality") - F.col("toxic")).alias("Rating"), F.col("lang").alias("Title"),
+        F.col("text").alias("ReviewText")).alias("Item"))
+    staged, deleted, checkpoint = (scratch_path(t.spark, n) for n in ("staged", "deleted", "review_checkpoint"))
+    handler = streams.review_embedding_handler(staged, deleted)
+    parts = [feed.where(F.col("Item.ReviewID") % 3 == i) for i in range(3)]
+    in_steps(t, parts, "review_feed", lambda stream: streams.start_batches(stream, handler, checkpoint))
+    return t.spark.read.parquet(staged).drop("batch_id"), t.spark.read.parquet(deleted).drop("batch_id")
+
+
+def vector_text(vector):
+    """The non-zero components as position:value."""
+    numbered = F.transform(vector, lambda x, i: F.struct(i.alias("i"), x.cast("int").alias("x")))
+    return F.array_join(F.transform(F.filter(numbered, lambda c: c["x"] != 0), lambda c: F.concat_ws(":", c["i"].cast("string"), c["x"].cast("string"))), ",")
+
+
+@query("stream_review_embeddings", f"""WITH {SQL_FEED} SELECT id AS review_id, CASE WHEN lang IN ('en', 'fr') THEN 'staged' ELSE 'deleted' END AS route,
+  CASE WHEN lang IN ('en', 'fr') THEN md5(text) END AS text_md5, CASE WHEN lang IN ('en', 'fr') THEN coalesce(vector, '') END AS vector
+FROM feed LEFT JOIN vectors USING (id)""")
+def stream_review_embeddings(t):
+    staged, deleted = review_feed(t)
+    kept = staged.select("review_id", F.lit("staged").alias("route"), F.md5("chunk_text").alias("text_md5"),
+                         vector_text(F.from_json("embedding_json", "array<float>")).alias("vector"))
+    return kept.unionByName(deleted.select("review_id", F.lit("deleted").alias("route")), allowMissingColumns=True)
+
+
+@query("staged_reviews_to_chunks", f"""WITH {SQL_FEED} SELECT source_type, source_id, md5(doc_text) AS text_md5, 'toy-hash-768' AS model
+FROM (SELECT 'Ticket' AS source_type, conv_id AS source_id, 'ticket ' || conv_id AS doc_text FROM conversations GROUP BY conv_id
+UNION ALL SELECT 'Review', id, text FROM staged)""")
+def staged_reviews_to_chunks(t):
+    """The staged reviews replace all old review chunks, also those of deleted reviews; tickets stay."""
+    tickets = t.conversations.select("conv_id").distinct().select(
+        F.lit("Ticket").alias("source_type"), F.col("conv_id").alias("source_id"), F.concat(F.lit("ticket "), F.col("conv_id")).alias("doc_text"))
+    old = t.documents.select(F.lit("Review").alias("source_type"), F.col("doc_id").alias("source_id"), F.left("text", F.lit(900)).alias("doc_text"))
+    chunks = documents.embed_chunks(documents.content_chunks(tickets.unionByName(old))).withColumn("is_stale", F.lit(False))
+    return documents.merge_staged_vectors(chunks, *review_feed(t)).select(
+        "source_type", "source_id", F.md5("chunk_text").alias("text_md5"), F.col("embedding_model").alias("model"))
+
+
+@query("late_by_folder", """SELECT event_id, CAST(ts AS DATE) + CASE WHEN event_type = 'error' THEN 2 ELSE 0 END AS event_date, event_type = 'error' AS late FROM events""")
+def late_by_folder(t):
+    """Events land in the folder of the day they arrive on; errors two days late."""
+    base = scratch_path(t.spark, "late_events")
+    late = F.when(F.col("event_type") == "error", 2).otherwise(0)
+    landing.write_jsonl(t.events.select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("event_time"),
+                                        F.date_add(F.to_date("ts"), late).alias("event_date")), base, "event_date")
+    back = landing.read_jsonl(t.spark, base, "event_id BIGINT, event_time TIMESTAMP_NTZ, event_date DATE")
+    return back.select("event_id", "event_date", streams.late_by_folder("event_date", "event_time").alias("late"))
 
 
 @query("stream_negative_review_alerts", f"""WITH {SQL_REVIEWS} SELECT review_id, rating, 'negative review ' || review_id AS alert FROM reviews WHERE rating <= 2""")

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+SCAN_CONF = "lakeops.scan.partitions"
 
 
 def build_session(app: str = "lakeops", cores: int | str = "*", partitions: int = 8, **conf: str) -> SparkSession:
@@ -22,6 +23,8 @@ def build_session(app: str = "lakeops", cores: int | str = "*", partitions: int
         .config("spark.driver.memory", "12g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if cores != "*":
+        builder = builder.config(SCAN_CONF, str(cores))
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     spark = builder.getOrCreate()
@@ -30,11 +33,12 @@ def build_session(app: str = "lakeops", cores: int | str = "*", partitions: int
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: the cluster's checkpoint folder, or a local one in local mode."""
+    """Folder every executor can reach: the cluster's checkpoint folder. Only where one machine does it all is one made."""
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
     fallback = tempfile.mkdtemp(prefix="lakeops-")
     spark.conf.set(CHECKPOINT_CONF, fallback)
@@ -70,6 +74,9 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
 
 
 def spread(scan: DataFrame) -> DataFrame:
-    """Rebalance a scan of fewer tasks than cores before per-row heavy work; large scans pass unchanged."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    """Deal a scan out to as many tasks as the setting ``lakeops.scan.partitions`` names; without it the scan stays as it is.
+
+    For small files of one row group before heavy work per row, as in tests and benchmarks.
+    """
+    wanted = scan.sparkSession.conf.get(SCAN_CONF, None)
+    return scan.repartition(int(wanted)) if wanted else scan

@@ -35,16 +35,18 @@ def read_json_array(spark: SparkSession, base: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(base)
 
 
-def write_landing_csv(df: DataFrame, base: str, load_date: Column, files_per_day: int = 4) -> None:
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_day))
-    out = df.withColumn("load_date", load_date).withColumn("_part", spread)
-    out.repartition("load_date", "_part").drop("_part").write.partitionBy("load_date").option("header", True).option(
-        "escape", '"').csv(base)
+def by_folder(df: DataFrame, folder: str) -> DataFrame:
+    """Rows of a folder together, in as many tasks as their size asks for: large folders are split, small ones share a task."""
+    return df.hint("rebalance", F.col(folder))
+
+
+def write_landing_csv(df: DataFrame, base: str, load_date: Column) -> None:
+    out = by_folder(df.withColumn("load_date", load_date), "load_date")
+    out.write.partitionBy("load_date").option("header", True).option("escape", '"').csv(base)
 
 
 def write_jsonl(df: DataFrame, base: str, folder: str) -> None:
-    spread = F.pmod(F.xxhash64(*[c for c in df.columns if c != folder]), F.lit(4))
-    df.withColumn("_part", spread).repartition(folder, "_part").drop("_part").write.partitionBy(folder).json(base)
+    by_folder(df, folder).write.partitionBy(folder).json(base)
 
 
 def write_json_arrays(df: DataFrame, base: str, rows_per_file: int = 50_000) -> None:

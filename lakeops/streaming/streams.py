@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeops.functions.embedding import toy_embedding
+from lakeops.functions.scalars import concat_nulls_empty
 from lakeops.operators import changes
 from lakeops.operators.documents import MODEL_NAME
 from lakeops.operators.skew import latest_per_key
@@ -73,6 +74,11 @@ def split_late(rows: DataFrame, arrived: str, ts: str, bound: Column) -> LateSpl
     return LateSplit(rows.where(~late), rows.where(late))
 
 
+def late_by_folder(folder_date: str, ts: str, days: int = 0) -> Column:
+    """Whether a row landed in the folder of a day more than ``days`` after its own."""
+    return F.date_diff(F.col(folder_date), F.to_date(ts)) > days
+
+
 def once(handle: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
     """Keep a micro-batch while a handler reads it several times."""
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -107,6 +113,27 @@ def upsert_handler(path: str, key: str, order: list[str], every: int = COMPACT_E
     return handle
 
 
+def _numbers(spark: SparkSession, folder: str, prefix: str) -> list[int]:
+    """Numbers of the finished sub-folders ``prefix=number``."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(root):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(root)]
+    done = [n for n in names if n.startswith(f"{prefix}=") and system.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{n}/_SUCCESS"))]
+    return sorted(int(n.partition("=")[2]) for n in done)
+
+
+def _expire(spark: SparkSession, path: str, batch_id: int, every: int) -> None:
+    """Remove what stands behind the last base that an earlier batch finished; no replay reads it."""
+    base = ((batch_id - 1) // every) * every if batch_id else 0
+    for folder, prefix in ((path, "batch_id"), (f"{path}_base", "upto")):
+        for number in _numbers(spark, folder, prefix):
+            if number < base:
+                old = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{prefix}={number}")
+                old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+
+
 def _state_folders(path: str, batch_id: int, every: int) -> list[str]:
     """Folders holding the state before ``batch_id``: the last compaction and the batches since."""
     base = (batch_id // every) * every
@@ -115,7 +142,11 @@ def _state_folders(path: str, batch_id: int, every: int) -> list[str]:
 
 
 def _compact_before(spark: SparkSession, path: str, key: str, order: list[str], batch_id: int, every: int) -> None:
-    """At every ``every``-th batch, merge all earlier ones; reads only older folders, so a replay writes the same."""
+    """At every ``every``-th batch, merge all earlier ones; reads only older folders, so a replay writes the same.
+
+    Folders that a base of an earlier batch holds are removed.
+    """
+    _expire(spark, path, batch_id, every)
     if batch_id and batch_id % every == 0:
         older = _state_folders(path, batch_id - 1, every) + [f"{path}/batch_id={batch_id - 1}"]
         latest_per_key(spark.read.parquet(*older), [key], order).write.mode("overwrite").parquet(f"{path}_base/upto={batch_id}")
@@ -128,14 +159,20 @@ def state_before(spark: SparkSession, path: str, key: str, order: list[str], bat
 
 
 def upserted_state(spark: SparkSession, path: str, key: str, order: list[str]) -> DataFrame:
-    """Current row per key over all written batches; out-of-order batches give the same result."""
-    return latest_per_key(spark.read.parquet(path).drop("batch_id"), [key], order)
+    """Current row per key: the newest base and the batches since; out-of-order rows give the same result."""
+    bases = _numbers(spark, f"{path}_base", "upto")
+    start = bases[-1] if bases else 0
+    folders = [f"{path}_base/upto={start}"] if bases else []
+    folders += [f"{path}/batch_id={n}" for n in _numbers(spark, path, "batch_id") if n >= start]
+    return latest_per_key(spark.read.parquet(*folders), [key], order)
 
 
 def change_event_handler(state: str, events: str, key: str, order: list[str], columns: list[str], source: str,
-                         every: int = COMPACT_EVERY) -> Callable[[DataFrame, int], None]:
+                         time: Column | None = None, every: int = COMPACT_EVERY) -> Callable[[DataFrame, int], None]:
     """Upsert a micro-batch and write its changes against the earlier state as JSON events.
 
+    ``time`` is the events' time as text; by default the moment at which the batch is handled.
+
     The earlier state is read from older folders only, so replaying a batch gives the same events.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -147,20 +184,25 @@ def change_event_handler(state: str, events: str, key: str, order: list[str], co
         current = latest_per_key(before.unionByName(newest), [key], order)
         write_batch(newest, state, batch_id)
         diff = changes.snapshot_diff(before, current, key, columns)
-        write_batch(changes.change_events(diff, key, source, F.lit("2002-01-01T00:00:00Z")).select("event"), events, batch_id, "text")
+        stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'") if time is None else time
+        write_batch(changes.change_events(diff, key, source, stamp).select("event"), events, batch_id, "text")
 
     return once(handle)
 
 
-def review_embedding_handler(staged: str, deleted: str, limit: int = 2000) -> Callable[[DataFrame, int], None]:
-    """Change batches ``(Operation, Item)``: inserts and updates are embedded and staged, deletes routed."""
+def review_embedding_handler(staged: str, deleted: str) -> Callable[[DataFrame, int], None]:
+    """Change batches ``(Operation, Item)``: inserts and updates are embedded as whole texts and staged, deletes routed.
+
+    What is staged and deleted fits ``documents.merge_staged_vectors``.
+    """
     def handle(batch: DataFrame, batch_id: int) -> None:
         item = batch.select("Operation", "Item.*")
         upserts = item.where(F.col("Operation").isin(0, 1))
-        text = F.left("ReviewText", F.lit(limit))
-        write_batch(upserts.select(
-            F.col("ReviewID").alias("review_id"), text.alias("chunk_text"), toy_embedding(text).alias("embedding"),
-            F.lit(MODEL_NAME).alias("model")), staged, batch_id)
+        text = concat_nulls_empty(
+            F.lit("Review ("), F.col("Rating"), F.lit("/5): "), F.col("Title"), F.lit(". "), F.col("ReviewText"))
+        write_batch(upserts.select(F.col("ReviewID").alias("review_id"), text.alias("chunk_text")).select(
+            "review_id", "chunk_text", F.to_json(toy_embedding(F.col("chunk_text"))).alias("embedding_json"),
+            F.lit(MODEL_NAME).alias("model"), F.lit(batch_id).alias("staged_at")), staged, batch_id)
         write_batch(item.where("Operation = 2").select(F.col("ReviewID").alias("review_id")), deleted, batch_id)
 
     return once(handle)

@@ -29,7 +29,9 @@ def test_touch_modified(spark):
     rows = spark.createDataFrame([(1, "a", 5), (2, "b", 5), (3, "c", 5)], "id int, s string, m int")
     updates = spark.createDataFrame([(1, "x", 5), (2, "y", 9)], "id int, s string, m int")
     got = {tuple(r) for r in changes.touch_modified(rows, updates, "id", "m", F.lit(99)).collect()}
-    assert got == {(1, "x", 99), (2, "y", 9), (3, "c", 5)}
+    assert got == {(1, "x", 5), (2, "y", 9), (3, "c", 5)}
+    got = {tuple(r) for r in changes.touch_modified(rows, updates.drop("m"), "id", "m", F.lit(99)).collect()}
+    assert got == {(1, "x", 99), (2, "y", 99), (3, "c", 5)}
 
 
 def test_soft_delete(spark):
@@ -46,7 +48,15 @@ def log(spark):
 def test_changes_since_and_net(spark):
     assert {tuple(r) for r in changes.net_changes(log(spark), "id").select("id", "op", "version").collect()} == {(1, "I", 2), (2, "U", 3), (4, "U", 7)}
     assert {tuple(r) for r in changes.changes_since(log(spark), "id", 3, 0).select("id", "op", "version").collect()} == {(3, "D", 5), (4, "U", 7)}
-    assert {r.op for r in changes.changes_since(log(spark), "id", 0, 1).collect()} == {"R"}
+    assert {r.id: r.changed_columns for r in changes.changes_since(log(spark), "id", 1, 0).collect()} == {1: ["price"], 2: ["description"], 3: [], 4: []}
+    base = spark.createDataFrame([(1,), (2,), (77,)], "id int")
+    refresh = changes.changes_since(log(spark), "id", 0, 1, base=base)
+    assert {(r.id, r.op, r.version) for r in refresh.collect()} == {(1, "R", 7), (2, "R", 7), (77, "R", 7)}
+    texts = spark.createDataFrame([("Product", i, "t") for i in (1, 2, 77)], "source_type string, source_id long, doc_text string")
+    chunks = documents.content_chunks(texts).withColumn("is_stale", F.lit(False))
+    assert all(r.is_stale for r in changes.flag_stale_chunks(chunks, refresh, "Product", "id", ["name"]).collect())
+    with pytest.raises(ValueError):
+        changes.changes_since(log(spark), "id", 0, 1)
 
 
 def test_price_change_does_not_flag(spark):
@@ -65,15 +75,24 @@ def test_cdc_images(spark):
 
 def test_digest_finds_changed_missing_and_added_rows(spark):
     rows = spark.range(0, 500).select("id", (F.col("id") * 3).alias("v"))
-    tree = audit.digest_tree(rows, "id", ["id", "v"], block=10, levels=3)
+    tree = audit.digest_tree(rows, "id", ["id", "v"], block=10)
     def broken(other):
-        checked = audit.verify_tree(tree, audit.digest_tree(other, "id", ["id", "v"], block=10, levels=3))
+        checked = audit.verify_tree(tree, audit.digest_tree(other, "id", ["id", "v"], block=10))
         return sorted(r.block for r in checked.where("level = 1 and not intact").collect()), checked.where("level = 3 and not intact").count()
 
     assert broken(rows) == ([], 0)
     assert broken(rows.withColumn("v", F.when(F.col("id") == 123, 0).otherwise(F.col("v")))) == ([12], 1)
     assert broken(rows.where("id <> 40")) == ([4], 1)
     assert broken(rows.unionByName(spark.range(500, 501).select("id", F.lit(1).alias("v")))) == ([50], 1)
+    assert tree.where("level = 3").count() == 1 and tree.agg(F.max("level")).first()[0] == 3
+
+
+def test_digests_tell_similar_rows_apart(spark):
+    rows = [(1, "a|b", "c"), (1, "a", "b|c"), (1, None, "~"), (1, "~", None), (1, "", None)]
+    roots = {audit.digest_tree(spark.createDataFrame([r], "id long, x string, y string"), "id", ["id", "x", "y"]).first().digest for r in rows}
+    assert len(roots) == 5
+    deep = audit.digest_tree(spark.createDataFrame([(0, "x"), (10**7, "y")], "id long, x string"), "id", ["id", "x"], block=10)
+    assert deep.orderBy(F.desc("level")).first().rows == 2 and deep.where(f"level = {deep.agg(F.max('level')).first()[0]}").count() == 1
 
 
 def orders(spark):
@@ -110,9 +129,13 @@ def test_rejects_and_error_log(spark):
     good = '[{"productId":1,"qty":1}]'
     result = placed(spark, (1, "Online", None, "not json"), (9, "Online", None, good), (1, "Online", None, '[{"productId":7,"qty":1}]'),
                     (1, "Online", None, '[{"productId":2,"qty":1}]'), (1, "Online", None, '[{"productId":1,"qty":1},{"productId":1,"qty":0}]'),
-                    (2, "Online", None, good), (1, "Store", 10, good), (1, "Online", None, '{"productId":1}'), (1, "Online", None, None))
-    assert {r.request_id: r.code for r in result.rejects.collect()} == {1: 50010, 2: 50011, 3: 50012, 4: 50012, 5: 547, 6: 515, 8: 50010, 9: 50010}
-    assert {r.request_id: r.error_number for r in result.error_log.collect()} == {5: 547, 6: 515}
+                    (2, "Online", None, good), (1, "Store", 10, good), (1, "Online", None, '{"productId":1}'), (1, "Online", None, None),
+                    (1, "Online", 10, good), (1, "Fax", None, good), (1, None, None, good))
+    assert {r.request_id: r.code for r in result.rejects.collect()} == {
+        1: 50010, 2: 50011, 3: 50012, 4: 50012, 5: 547, 6: 515, 8: 50010, 9: 50010, 10: 547, 11: 547, 12: 547}
+    logged = {r.request_id: (r.error_number, r.error_message) for r in result.error_log.collect()}
+    assert {i: n for i, (n, _) in logged.items()} == {5: 547, 6: 515, 10: 547, 11: 547, 12: 547}
+    assert "quantity" in logged[5][1] and "channel" in logged[10][1]
     assert [(r.request_id, r.order_id) for r in result.orders.collect()] == [(7, 100001)]
     assert {r.order_id for r in result.lines.collect()} == {100001}
 
@@ -129,8 +152,8 @@ def test_referral_depths_and_limits(spark):
         hierarchy.roots_and_depths(spark.createDataFrame([(1, 2), (2, 1)], "id long, parent long"), "id", "parent")
 
 
-@pytest.mark.parametrize("large", [2, 4, 64])
-def test_bought_with_equals_brute_force(spark, large):
+@pytest.mark.parametrize("chunk, least", [(2, 1), (4, 2), (64, 1)])
+def test_bought_with_equals_brute_force(spark, chunk, least):
     rng = random.Random(4)
     rows = [(b, rng.randint(1, 12)) for b in range(60) for _ in range(rng.randint(1, 5))]
     rows += [(1000, i) for i in range(1, 40)] + [(1001, i) for i in range(5, 30, 2)]
@@ -138,8 +161,8 @@ def test_bought_with_equals_brute_force(spark, large):
     for b, i in rows:
         baskets.setdefault(b, set()).add(i)
     counts = Counter(p for items in baskets.values() for p in itertools.combinations(sorted(items), 2))
-    want = {(a, b, n) for (a, b), n in counts.items() if n >= 2}
-    got = hierarchy.bought_with(spark.createDataFrame(rows, "o int, p int"), "o", "p", 2, large)
+    want = {(a, b, n) for (a, b), n in counts.items() if n >= least}
+    got = hierarchy.bought_with(spark.createDataFrame(rows, "o int, p int"), "o", "p", least, chunk)
     assert {(r.a, r.b, r.times) for r in got.collect()} == want
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.scalars import boundaries_crossed, mask_digits_but_last, mask_email, mask_partial, redact
 from lakeops.operators import cleaning, governance, partitions
-from lakeops.sources import landing, series
+from lakeops.sources import landing
 
 
 def test_mixed_dates(spark):
@@ -82,11 +82,6 @@ def test_full_and_delta_files(spark, tmp_path):
     assert [r[landing.CORRUPT] for r in rows if r[landing.CORRUPT]] == ["x,Bad,"]
 
 
-def test_first_series_event(spark):
-    row = series.web_events(series.number_series(spark, 1, 3)).orderBy("event_id").first()
-    assert tuple(row) == ("E1", dt.date(2026, 7, 1), dt.datetime(2026, 7, 1, 2, 11, 59), "S0", 32, "search", None, "desktop", 213)
-
-
 def test_partition_numbers_and_pruning(spark, tables):
     bounds = partitions.month_starts(dt.date(2026, 7, 1), 4)
     days = spark.sql("SELECT * FROM VALUES (date'2026-08-15'), (date'2026-06-30'), (date'2026-07-01'), (date'2027-01-01') AS d(day)")

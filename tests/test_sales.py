@@ -86,6 +86,9 @@ def test_numbered_is_dense(spark):
     df = spark.range(0, 5000).where("id % 7 <> 3")
     rows = skew.numbered(df, "id", "n", width=100).orderBy("id").collect()
     assert [r.n for r in rows] == list(range(1, len(rows) + 1))
+    sparse = spark.range(0, 3000).select(F.xxhash64("id").alias("id"))
+    rows = skew.numbered(sparse, "id", "n", width=100).orderBy("id").collect()
+    assert [r.n for r in rows] == list(range(1, 3001))
 
 
 @pytest.mark.parametrize("p", [0.0, 0.5, 0.95, 1.0])

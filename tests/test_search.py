@@ -1,6 +1,7 @@
 import json
 import math
 import random
+import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -109,7 +110,7 @@ def test_small_table_uses_exact_search(spark):
 
 
 def words_of(text):
-    return [w for w in "".join(c if c.isascii() and c.isalnum() else " " for c in text.lower()).split() if w]
+    return [w for w in "".join(c if unicodedata.category(c)[0] in "LMN" else " " for c in text.lower()).split() if w]
 
 
 def brute_bm25(corpus, asked, k):
@@ -155,8 +156,21 @@ def test_word_predicates(spark):
 
 def test_contains_passage(spark):
     documents = spark.createDataFrame([(1, "xx the quick brown fox jumps over the lazy dog yy"), (2, "the quick brown fox jumps over a lazy dog"), (3, "big red barn")], "doc_id long, text string")
-    passages = spark.createDataFrame([(1, "quick brown fox jumps over the lazy dog"), (2, "ig red bar"), (3, "absent words are here")], "item_id long, text string")
-    assert {(r.item_id, r.doc_id) for r in fulltext.contains_passage(documents, passages).collect()} == {(1, 1), (2, 3)}
+    passages = spark.createDataFrame([(1, "quick brown fox jumps over the lazy dog"), (2, "ig red bar"), (3, "absent words are here"), (4, "brown fox"),
+                                      (5, "d b"), (6, "--"), (7, ""), (8, None), (9, "x")], "item_id long, text string")
+    assert {(r.item_id, r.doc_id) for r in fulltext.contains_passage(documents, passages).collect()} == {
+        (1, 1), (2, 3), (4, 1), (4, 2), (5, 3), (9, 1), (9, 2)}
+
+
+@pytest.mark.parametrize("text", ["Größe über Maß, Äpfel-Öl", "L'été déjà où naïve cœur", "El niño comió ¿qué? año", "Привет, мир! Ёлка", "東京 タワー 2024", "e\u0301te\u0301 x"])
+def test_words_of_every_script(spark, text):
+    assert one(spark, w=fulltext.tokens(F.lit(text))).w == words_of(text)
+
+
+def test_bm25_finds_words_outside_ascii(spark):
+    corpus = spark.createDataFrame([(1, "Die Größe zählt"), (2, "Die Grosse zahlt"), (3, "Привет мир")], "id long, text string")
+    asked = spark.createDataFrame([(1, "größe"), (2, "МИР")], "query_id long, query_text string")
+    assert {(r.query_id, r.id) for r in fulltext.bm25(corpus, asked, 5).collect()} == {(1, 1), (2, 3)}
 
 
 def test_rrf_values(spark):

@@ -2,6 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from lakeops.operators import documents
 from lakeops.streaming import streams
 
 ORDER_SCHEMA = "order_id long, status string, modified_at int, load_date int"
@@ -34,10 +35,14 @@ def test_compacted_state_equals_all_batches(spark, tmp_path):
     rows = [[(i % 3, f"s{i}", i, i), (9, "x", 1, 1)] for i in range(6)]
     for number, batch in enumerate(rows):
         handle(spark.createDataFrame(batch, ORDER_SCHEMA), number)
-    left = sorted(map(str, streams.state_before(spark, path, "order_id", order, 6 - 1, every=2).collect()))
     want = {0: "s3", 1: "s4", 2: "s2", 9: "x"}
-    assert {r.order_id: r.status for r in streams.state_before(spark, path, "order_id", order, 5, every=2).collect()} == want and len(left) == 4
+    assert {r.order_id: r.status for r in streams.state_before(spark, path, "order_id", order, 5, every=2).collect()} == want
     assert spark.read.parquet(path + "_base/upto=4").count() == 4
+    assert {r.order_id: r.status for r in streams.upserted_state(spark, path, "order_id", order).collect()} == {0: "s3", 1: "s4", 2: "s5", 9: "x"}
+    kept = sorted(p.name for p in tmp_path.glob("state*/*=*"))
+    assert kept == ["batch_id=4", "batch_id=5", "upto=4"]  # what a base holds is gone
+    handle(spark.createDataFrame(rows[5], ORDER_SCHEMA), 5)  # a replay of the last batch changes nothing
+    assert {r.order_id: r.status for r in streams.upserted_state(spark, path, "order_id", order).collect()} == {0: "s3", 1: "s4", 2: "s5", 9: "x"}
 
 
 def test_change_events_over_batches(spark, tmp_path):
@@ -73,14 +78,19 @@ def test_late_rows_are_routed_not_lost(spark, tmp_path):
 def test_change_batches_from_json_arrays(spark, tmp_path):
     folder = tmp_path / "changes"
     folder.mkdir()
-    item = lambda i, text: {"ReviewID": i, "ReviewText": text}
-    (folder / "b1.json").write_text(json.dumps([{"Operation": 0, "Item": item(1, "x" * 3000)}, {"Operation": 2, "Item": item(2, "")}]))
+    item = lambda i, text: {"ReviewID": i, "Rating": 4, "Title": "T", "ReviewText": text}
+    (folder / "b1.json").write_text(json.dumps([{"Operation": 0, "Item": item(1, "x " * 3000 + "waterproof")}, {"Operation": 2, "Item": item(2, "")}]))
     (folder / "b2.json").write_text(json.dumps([{"Operation": 1, "Item": item(3, "dry boots")}]))
-    stream = streams.file_stream(spark, str(folder), "Operation INT, Item STRUCT<ReviewID: BIGINT, ReviewText: STRING>", "json", max_files=1, multiLine="true")
+    stream = streams.file_stream(spark, str(folder), "Operation INT, Item STRUCT<ReviewID: BIGINT, Rating: INT, Title: STRING, ReviewText: STRING>", "json", max_files=1, multiLine="true")
     handler = streams.review_embedding_handler(str(tmp_path / "staged"), str(tmp_path / "gone"))
     streams.start_batches(stream, handler, str(tmp_path / "cp")).awaitTermination()
-    staged = {r.review_id: (len(r.chunk_text), len(r.embedding)) for r in spark.read.parquet(str(tmp_path / "staged")).collect()}
-    assert staged == {1: (2000, 768), 3: (9, 768)}
+    rows = {r.review_id: r for r in spark.read.parquet(str(tmp_path / "staged")).collect()}
+    assert rows[1].chunk_text == "Review (4/5): T. " + "x " * 3000 + "waterproof" and rows[3].chunk_text == "Review (4/5): T. dry boots"
+    assert json.loads(rows[1].embedding_json)[580] == 1.0  # the last word of a long text counts
+    old = spark.createDataFrame([("Review", i, f"old {i}") for i in (1, 2, 9)], "source_type string, source_id long, doc_text string")
+    chunks = documents.embed_chunks(documents.content_chunks(old)).withColumn("is_stale", F.lit(False))
+    merged = documents.merge_staged_vectors(chunks, spark.read.parquet(str(tmp_path / "staged")).drop("batch_id"), spark.read.parquet(str(tmp_path / "gone")))
+    assert {r.source_id: r.chunk_text for r in merged.collect()} == {1: rows[1].chunk_text, 3: rows[3].chunk_text, 9: "old 9"}
     assert [r.review_id for r in spark.read.parquet(str(tmp_path / "gone")).collect()] == [2]
 
 
