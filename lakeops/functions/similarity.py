@@ -86,6 +86,18 @@ def similar_names(df: DataFrame, block: Sequence[str], name: str, key: str) -> D
         "similarity", F.round(jaro_winkler(F.col(f"{name}_a"), F.col(f"{name}_b")), 6))
 
 
+def similar_members(df: DataFrame, block: Sequence[str], name: str, key: str) -> DataFrame:
+    """Every two rows whose names are one edit apart inside the same block, as ``id_a`` < ``id_b``.
+
+    Names are matched once per distinct name; their rows are joined back afterwards.
+    """
+    pairs = similar_names(df, block, name, key).select(*block, f"{name}_a", f"{name}_b")
+    left = df.select(*block, F.col(name).alias(f"{name}_a"), F.col(key).alias("_a"))
+    right = df.select(*block, F.col(name).alias(f"{name}_b"), F.col(key).alias("_b"))
+    both = pairs.join(left, [*block, f"{name}_a"]).join(right, [*block, f"{name}_b"])
+    return both.select(F.least("_a", "_b").alias("id_a"), F.greatest("_a", "_b").alias("id_b"))
+
+
 def fuzzy_search(products: DataFrame, key: str, name: str, term: str, top: int | None = 5) -> DataFrame:
     """Best edit distance and Jaro-Winkler similarity of ``term`` against each word of the name."""
     words = products.select(key, name, F.explode(F.split(F.lower(F.col(name)), " ")).alias("word"))

@@ -172,3 +172,17 @@ def pair_quality(found: DataFrame, truth: DataFrame, columns: Sequence[str]) ->
     return joined.agg(F.count("_f").alias("found"), F.count("_t").alias("labelled"), hits.alias("hits")).withColumn(
         "precision", F.round(F.col("hits") / F.nullif(F.col("found"), F.lit(0)), 6)).withColumn(
         "recall", F.round(F.col("hits") / F.nullif(F.col("labelled"), F.lit(0)), 6))
+
+
+def duplicate_count(rows: DataFrame, name: str) -> DataFrame:
+    """How many rows an exact deduplication removes."""
+    copies = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n"))
+    return copies.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("found")).select(F.lit(name).alias("issue"), "found")
+
+
+def compare_with_keys(found: DataFrame, keys: DataFrame) -> DataFrame:
+    """``found`` and ``expected`` counts per issue, and whether they are equal; a kind that one side lacks counts 0 there."""
+    none = F.lit(0).cast("bigint")
+    return found.join(keys, "issue", "full").select(
+        "issue", F.coalesce("found", none).alias("found"), F.coalesce("expected", none).alias("expected"),
+        (F.coalesce("found", none) == F.coalesce("expected", none)).alias("as_expected"))

@@ -115,40 +115,32 @@ def numbered(df: DataFrame, key: str, out: str, width: int = 100_000) -> DataFra
     return inside.join(offsets, "_range").withColumn(out, (F.col("_pos") + F.col("_offset")).cast("bigint")).drop("_pos", "_offset", "_range")
 
 
-def exact_percentile(df: DataFrame, group: str, value: str, p: float, width: float) -> DataFrame:
+def exact_percentile(df: DataFrame, group: str, value: str, p: float, width: float, refine: int = 2, parts: int = 1024) -> DataFrame:
     """Interpolated percentile per group from a histogram of ``width``-wide bins.
 
-    Only the bins holding the two neighbouring ranks are expanded, as (value, count) rows.
+    The bins that hold the two neighbouring ranks are cut into ``parts`` finer ones, ``refine`` times;
+    only the last ones are expanded, as (value, count) rows.
     """
-    binned = df.where(F.col(value).isNotNull()).select(group, value, F.floor(F.col(value) / width).alias("_bin"))
-    bins = binned.groupBy(group, "_bin").agg(F.count(F.lit(1)).alias("_n"))
-    per_group = Window.partitionBy(group)
-    ranked = (
-        bins.withColumn("_total", F.sum("_n").over(per_group))
-        .withColumn("_end", F.sum("_n").over(per_group.orderBy("_bin")))
-        .withColumn("_start", F.col("_end") - F.col("_n"))
-        .withColumn("_pos", (F.col("_total") - 1) * F.lit(p))
-        .withColumn("_low", F.floor("_pos"))
-        .withColumn("_high", F.ceil("_pos"))
-    )
-    hit = ranked.where(
-        ((F.col("_low") >= F.col("_start")) & (F.col("_low") < F.col("_end")))
-        | ((F.col("_high") >= F.col("_start")) & (F.col("_high") < F.col("_end")))
-    )
-    values = (
-        binned.join(hit.select(group, "_bin", "_start", "_pos", "_low", "_high"), [group, "_bin"])
-        .groupBy(group, "_bin", "_start", "_pos", "_low", "_high", value)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    spread = Window.partitionBy(group, "_bin").orderBy(value)
-    placed = (
-        values.withColumn("_to", F.col("_start") + F.sum("_n").over(spread))
-        .withColumn("_from", F.col("_to") - F.col("_n"))
-    )
+    rows = df.where(F.col(value).isNotNull()).select(group, value)
+    ends = ["_pos", "_low", "_high"]
+    wanted = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_total")).withColumn("_pos", (F.col("_total") - 1) * F.lit(p))
+    wanted = wanted.select(group, "_pos", F.floor("_pos").alias("_low"), F.ceil("_pos").alias("_high"))
+    rows, keys = rows.join(wanted, group).withColumn("_start", F.lit(0).cast("bigint")), [group]
+    for level in range(refine + 1):
+        bin_ = f"_bin{level}"
+        rows = rows.withColumn(bin_, F.floor(F.col(value) / F.lit(width) * F.lit(float(parts**level))))
+        before = Window.partitionBy(*keys).orderBy(bin_)
+        bins = rows.groupBy(*keys, bin_, "_start", *ends).agg(F.count(F.lit(1)).alias("_n")).withColumn("_to", F.col("_start") + F.sum("_n").over(before))
+        bins = bins.withColumn("_from", F.col("_to") - F.col("_n"))
+        hit = bins.where((F.col("_low").between(F.col("_from"), F.col("_to") - 1)) | (F.col("_high").between(F.col("_from"), F.col("_to") - 1)))
+        keys = [*keys, bin_]
+        rows = rows.drop("_start").join(hit.select(*keys, F.col("_from").alias("_start")), keys)
+    values = rows.groupBy(*keys, "_start", *ends, value).agg(F.count(F.lit(1)).alias("_n"))
+    placed = values.withColumn("_to", F.col("_start") + F.sum("_n").over(Window.partitionBy(*keys).orderBy(value))).withColumn(
+        "_from", F.col("_to") - F.col("_n"))
+
     def at(rank: str) -> Column:
         return F.max(F.when((F.col(rank) >= F.col("_from")) & (F.col(rank) < F.col("_to")), F.col(value)))
 
-    ends = placed.groupBy(group).agg(
-        at("_low").alias("_a"), at("_high").alias("_b"), F.max(F.col("_pos") - F.col("_low")).alias("_f")
-    )
-    return ends.select(group, (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_f")).alias("percentile"))
+    two = placed.groupBy(group).agg(at("_low").alias("_a"), at("_high").alias("_b"), F.max(F.col("_pos") - F.col("_low")).alias("_f"))
+    return two.select(group, (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_f")).alias("percentile"))

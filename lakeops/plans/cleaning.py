@@ -4,9 +4,10 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from lakeops.functions.similarity import similar_names
+from lakeops.functions.similarity import similar_members
 from lakeops.operators import cleaning
 from lakeops.plans.registry import query
+from lakeops.streaming.streams import late_by_folder
 from lakeops.tables import SQL_CUSTOMERS, SQL_LINES, SQL_ORDERS, money
 
 
@@ -219,15 +220,22 @@ def constraint_report(t):
     ])
 
 
-@query("issue_counts", f"""WITH {SQL_EXTRACT}, {SQL_FAULTY}
-SELECT 'orders_status_updates' AS issue, count(*) AS found FROM extract_rows WHERE status <> 'Placed'
+@query("issue_counts", f"""WITH {SQL_EXTRACT}, {SQL_FAULTY}, counts AS (SELECT 'orders_status_updates' AS issue, count(*) AS found FROM extract_rows WHERE status <> 'Placed'
 UNION ALL SELECT 'orders_late_arriving', count(*) FROM orders WHERE o_orderpriority = '5-LOW'
 UNION ALL SELECT 'lines_negative_quantity', count(*) FROM faulty WHERE quantity <= 0
 UNION ALL SELECT 'lines_unknown_product', count(*) FROM faulty WHERE product_id NOT IN (SELECT p_partkey FROM part)
 UNION ALL SELECT 'customers_missing_email', count(*) FROM customer WHERE c_mktsegment = 'BUILDING'
 UNION ALL SELECT 'customers_invalid_email', count(*) FROM customer WHERE c_mktsegment = 'MACHINERY'
-UNION ALL SELECT 'customers_dirty_country', count(*) FROM customer WHERE c_mktsegment IN ('HOUSEHOLD', 'FURNITURE')""")
+UNION ALL SELECT 'customers_dirty_country', count(*) FROM customer WHERE c_mktsegment IN ('HOUSEHOLD', 'FURNITURE')
+UNION ALL SELECT 'lines_missing_unit_price', count(*) FROM lineitem WHERE l_quantity > 45
+UNION ALL SELECT 'lines_exact_duplicates', count(*) FROM (SELECT DISTINCT * FROM lineitem) WHERE l_quantity > 25
+UNION ALL SELECT 'orders_exact_duplicates', count(*) FROM orders WHERE o_orderpriority = '2-HIGH'
+UNION ALL SELECT 'orders_bad_date_format', count(*) FROM orders WHERE o_orderpriority = '3-MEDIUM'
+UNION ALL SELECT 'events_late', count(*) FROM events WHERE event_type = 'error'
+UNION ALL SELECT 'events_duplicates', count(*) FROM events WHERE event_type = 'click')
+SELECT issue, found, found + CASE issue WHEN 'events_late' THEN 1 ELSE 0 END AS expected, issue <> 'events_late' AS as_expected FROM counts""")
 def issue_counts(t):
+    """Every kind of issue counted by the operator that cleans it, next to the key of what was put in; one key is wrong on purpose."""
     def counted(name, df, condition):
         return df.agg(F.count_if(condition).alias("found")).select(F.lit(name).alias("issue"), "found")
 
@@ -235,7 +243,12 @@ def issue_counts(t):
     _, flag = cleaning.standardize_email(F.col("email"))
     dirty = dirty_customers(t)
     cleaned = cleaning.standardize_country(dirty.withColumn("raw", F.col("country")), t.geography)
-    return union_all([
+    lines = t.lineitem.distinct()
+    day = F.col("o_orderdate")
+    raw = F.when(F.col("o_orderpriority") == "3-MEDIUM", F.date_format(day, "yyyy.MM.dd")).otherwise(F.date_format(day, cleaning.ISO_FORMAT))
+    dated = t.orders.select(cleaning.parse_mixed_dates(raw)[1].alias("reason"))
+    landed = t.events.select("ts", F.date_add(F.to_date("ts"), F.when(F.col("event_type") == "error", 2).otherwise(0)).alias("event_date"))
+    found = union_all([
         counted("orders_status_updates", order_extract(t), F.col("status") != "Placed"),
         counted("orders_late_arriving", cleaning.late_arrival_tag(order_extract(t)), F.col("days_late") > 0),
         counted("lines_negative_quantity", rejected, F.array_contains("reasons", "quantity not positive")),
@@ -243,14 +256,37 @@ def issue_counts(t):
         counted("customers_missing_email", dirty, flag == "missing"),
         counted("customers_invalid_email", dirty, flag == "invalid"),
         counted("customers_dirty_country", cleaned, (F.col("raw") != F.col("country")) | ~F.col("country_known")),
+        counted("lines_missing_unit_price", t.lineitem.select(F.when(F.col("l_quantity") <= 45, F.col("l_extendedprice")).alias("price")), F.col("price").isNull()),
+        cleaning.duplicate_count(lines.unionByName(lines.where("l_quantity > 25")), "lines_exact_duplicates"),
+        cleaning.duplicate_count(t.orders.unionByName(t.orders.where("o_orderpriority = '2-HIGH'")), "orders_exact_duplicates"),
+        counted("orders_bad_date_format", dated, F.col("reason") == "unknown date format"),
+        counted("events_late", landed, late_by_folder("event_date", "ts")),
+        cleaning.duplicate_count(t.events.unionByName(t.events.where("event_type = 'click'")), "events_duplicates"),
     ])
+    return cleaning.compare_with_keys(found, injected(t))
+
+
+def injected(t):
+    """How many issues of each kind were put in, from the rules that put them in."""
+    def key(name, rows):
+        return rows.agg(F.count(F.lit(1)).alias("expected")).select(F.lit(name).alias("issue"), "expected")
+
+    segment, priority, kind = F.col("c_mktsegment"), F.col("o_orderpriority"), F.col("event_type")
+    keys = union_all([
+        key("orders_status_updates", t.orders.where("o_orderstatus <> 'O'")), key("orders_late_arriving", t.orders.where(priority == "5-LOW")),
+        key("lines_negative_quantity", t.lineitem.where("l_returnflag = 'R' AND l_discount = 0")), key("lines_unknown_product", t.lineitem.where("l_quantity = 50")),
+        key("customers_missing_email", t.customer.where(segment == "BUILDING")), key("customers_invalid_email", t.customer.where(segment == "MACHINERY")),
+        key("customers_dirty_country", t.customer.where(segment.isin("HOUSEHOLD", "FURNITURE"))), key("lines_missing_unit_price", t.lineitem.where("l_quantity > 45")),
+        key("lines_exact_duplicates", t.lineitem.distinct().where("l_quantity > 25")), key("orders_exact_duplicates", t.orders.where(priority == "2-HIGH")),
+        key("orders_bad_date_format", t.orders.where(priority == "3-MEDIUM")), key("events_late", t.events.where(kind == "error")),
+        key("events_duplicates", t.events.where(kind == "click"))])
+    return keys.withColumn("expected", F.col("expected") + F.when(F.col("issue") == "events_late", 1).otherwise(0))
 
 
 @query("near_duplicate_eval", f"""WITH {SQL_CUSTOMERS}, people AS (SELECT customer_id, country, segment, customer_name FROM customers
   UNION ALL SELECT customer_id + 1000000000, country, segment, 'Custmoer' || substr(customer_name, 9) FROM customers WHERE segment = 'BUILDING'),
-n AS (SELECT country, segment, customer_name, min(customer_id) AS id FROM people GROUP BY 1, 2, 3),
-found AS (SELECT least(x.id, y.id) AS a, greatest(x.id, y.id) AS b FROM n x JOIN n y ON x.country = y.country AND x.segment = y.segment AND x.customer_name < y.customer_name
-  WHERE damerau_levenshtein(x.customer_name, y.customer_name) = 1),
+found AS (SELECT least(x.customer_id, y.customer_id) AS a, greatest(x.customer_id, y.customer_id) AS b FROM people x JOIN people y
+  ON x.country = y.country AND x.segment = y.segment AND x.customer_name < y.customer_name WHERE damerau_levenshtein(x.customer_name, y.customer_name) = 1),
 truth AS (SELECT customer_id AS a, customer_id + 1000000000 AS b FROM customers WHERE segment = 'BUILDING'),
 c AS (SELECT (SELECT count(*) FROM found) AS found, (SELECT count(*) FROM truth) AS labelled, (SELECT count(*) FROM found JOIN truth USING (a, b)) AS hits)
 SELECT *, round(hits / nullif(found, 0), 6) AS precision, round(hits / nullif(labelled, 0), 6) AS recall FROM c""")
@@ -258,7 +294,7 @@ def near_duplicate_eval(t):
     people = t.customers.select("customer_id", "country", "segment", "customer_name")
     copies = people.where("segment = 'BUILDING'").withColumn("customer_id", F.col("customer_id") + 10**9).withColumn(
         "customer_name", F.concat(F.lit("Custmoer"), F.substring("customer_name", 9, 100)))
-    pairs = similar_names(people.unionByName(copies), ["country", "segment"], "customer_name", "customer_id")
-    found = pairs.select(F.least("first_id_a", "first_id_b").alias("a"), F.greatest("first_id_a", "first_id_b").alias("b"))
+    pairs = similar_members(people.unionByName(copies), ["country", "segment"], "customer_name", "customer_id")
+    found = pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
     truth = people.where("segment = 'BUILDING'").select(F.col("customer_id").alias("a"), (F.col("customer_id") + 10**9).alias("b"))
     return cleaning.pair_quality(found, truth, ["a", "b"])

@@ -1,5 +1,7 @@
 """Masking, policies and encryption over customers and orders."""
 
+import secrets
+
 from pyspark.sql import functions as F
 
 from lakeops.functions.scalars import mask_email, mask_partial
@@ -94,21 +96,28 @@ def write_guard(t):
     return split.accepted.withColumn("accepted", F.lit(True)).unionByName(split.blocked.withColumn("accepted", F.lit(False)))
 
 
-DEMO_KEY = "0123456789abcdef0123456789abcdef"
+KEY_CONF = "lakeops.encryption.key"
+
+
+def column_key(spark):
+    """The key is a setting of the session, never part of the code; without one a key for this process is made."""
+    if not spark.conf.get(KEY_CONF, None):
+        spark.conf.set(KEY_CONF, secrets.token_hex(16))
+    return spark.conf.get(KEY_CONF)
 
 
 @query("encrypt_column", """SELECT c_custkey AS customer_id, right('000000' || (c_custkey * 7919), 6) || '-' || (c_custkey % 90000 + 10000) AS national_id,
   CAST(DATE '2026-01-01' - CAST(c_custkey * 37 % 20000 AS INTEGER) - 6570 AS DATE) AS date_of_birth, TRUE AS is_encrypted, CAST(NULL AS VARCHAR) AS without_key, CAST(NULL AS VARCHAR) AS moved
 FROM customer""")
 def encrypt_column(t):
-    key = F.col("c_custkey")
+    key, secret = F.col("c_custkey"), column_key(t.spark)
     text = F.concat(F.right(F.concat(F.lit("000000"), (key * 7919).cast("string")), F.lit(6)), F.lit("-"), (key % 90000 + 10000).cast("string"))
     stored = t.customer.select(
-        key.alias("customer_id"), governance.encrypt(text, DEMO_KEY, key).alias("national_id_enc"),
+        key.alias("customer_id"), governance.encrypt(text, secret, key).alias("national_id_enc"),
         F.date_sub(F.lit("2026-01-01").cast("date"), (key * 37 % 20000 + 6570).cast("int")).alias("date_of_birth"))
     row = F.col("customer_id")
     return stored.select(
-        "customer_id", governance.decrypt(F.col("national_id_enc"), DEMO_KEY, row).alias("national_id"), "date_of_birth",
+        "customer_id", governance.decrypt(F.col("national_id_enc"), secret, row).alias("national_id"), "date_of_birth",
         (F.octet_length("national_id_enc") > 28).alias("is_encrypted"),
         governance.decrypt(F.col("national_id_enc"), None, row).alias("without_key"),
-        governance.decrypt(F.col("national_id_enc"), DEMO_KEY, row + 1).alias("moved"))
+        governance.decrypt(F.col("national_id_enc"), secret, row + 1).alias("moved"))

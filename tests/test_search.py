@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeops.functions import embedding, vectors
-from lakeops.functions.similarity import _jaro_winkler, fuzzy_search, similar_names
+from lakeops.functions.similarity import _jaro_winkler, fuzzy_search, similar_members, similar_names
 from lakeops.operators import documents as docs
 from lakeops.operators import fulltext, hybrid, nearest, rag
 from lakeops.plans import search as plans
@@ -224,6 +224,9 @@ def test_similar_names(spark):
     people += [(100 + i, "Riga", "Anna Berg") for i in range(300)]
     pairs = similar_names(spark.createDataFrame(people, "id long, city string, name string"), ["city"], "name", "id").collect()
     assert {(r.name_a, r.name_b, r.members_a, r.members_b) for r in pairs} == {("Anan Berg", "Anna Berg", 1, 301), ("Anna Berg", "Anna Brg", 301, 1)}
+    everyone = similar_members(spark.createDataFrame(people, "id long, city string, name string"), ["city"], "name", "id").collect()
+    berg = {1, *range(100, 400)}
+    assert {(r.id_a, r.id_b) for r in everyone} == {(min(2, i), max(2, i)) for i in berg} | {(min(3, i), max(3, i)) for i in berg}
 
 
 def test_fuzzy_search(spark):
