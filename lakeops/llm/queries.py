@@ -95,7 +95,7 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return substring.repeated_passages(table(spark, folder, "documents")).drop("text_hash")
+    return substring.repeated_passages(table(spark, folder, "documents"))
 
 
 @query

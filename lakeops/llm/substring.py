@@ -16,7 +16,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lakeops.llm.blocks import Block, blocks, mix
 from lakeops.session import materialize
@@ -24,7 +23,8 @@ from lakeops.session import materialize
 GEAR = (mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(48)).astype(np.uint16)
 LEAST_BYTES = 16
 ONE_IN = 16
-LEAST_WORDS = 15
+LEAST_CHARS = 80
+NO_ID = 2**63 - 1
 
 
 def gear(data: np.ndarray) -> np.ndarray:
@@ -59,18 +59,16 @@ def cuts(block: Block, least: int = LEAST_BYTES, one_in: int = ONE_IN) -> list[n
 
 
 def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST_BYTES, one_in: int = ONE_IN) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``at`` (chunk number), ``start`` and ``end`` in code points, ``words`` begun in it, and the digest as ``high``, ``low``.
+    """One row per chunk: ``doc`` (the id as a whole number), ``digest`` (8 bytes of BLAKE2b) and ``place``.
 
-    Null and empty texts have no chunks.
+    ``place`` is the start in code points times 2**32 plus the end. Three numbers a row keep the
+    shuffles small. Null and empty texts have no chunks; rows with a null id have the number ``NO_ID``.
     """
-    schema = T.StructType([
-        T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("text_hash", T.LongType()), T.StructField("at", T.IntegerType()),
-        T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("words", T.IntegerType()),
-        T.StructField("high", T.LongType()), T.StructField("low", T.LongType())])
+    schema = "doc bigint, digest bigint, place bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, _, block in blocks(batch.column(2)):
+            for first, _, block in blocks(batch.column(1)):
                 bounds = cuts(block, least, one_in)
                 raw = block.data.tobytes()
                 counts = np.array([max(0, len(b) - 1) for b in bounds])
@@ -78,64 +76,61 @@ def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: i
                     continue
                 low = np.concatenate([b[:-1] for b in bounds])
                 high = np.concatenate([b[1:] for b in bounds])
-                digests = b"".join(hashlib.blake2b(raw[s:e], digest_size=16).digest() for s, e in zip(low.tolist(), high.tolist(), strict=True))
-                both = np.frombuffer(digests, "<i8").reshape(-1, 2)
+                digests = b"".join(hashlib.blake2b(raw[s:e], digest_size=8).digest() for s, e in zip(low.tolist(), high.tolist(), strict=True))
                 points = np.concatenate([[0], np.cumsum((block.data & 0xC0) != 0x80)])
-                blank = block.data <= 32
-                begins = ~blank
-                begins[1:] &= blank[:-1]
-                words = np.concatenate([[0], np.cumsum(begins)])
                 owner = np.repeat(np.arange(len(block)), counts)
                 origin = points[block.bounds[owner]]
-                row = pa.array(owner + first)
+                place = ((points[low] - origin) << 32) + (points[high] - origin)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(row), batch.column(1).take(row), pa.array((np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)).astype(np.int32)),
-                     pa.array((points[low] - origin).astype(np.int32)), pa.array((points[high] - origin).astype(np.int32)),
-                     pa.array((words[high] - words[low]).astype(np.int32)), pa.array(both[:, 0]), pa.array(both[:, 1])], schema.names)
+                    [batch.column(0).take(pa.array(owner + first)), pa.array(np.frombuffer(digests, "<i8")), pa.array(place)], ["doc", "digest", "place"])
 
-    chosen = docs.select(F.col(f"`{doc_id}`"), F.xxhash64(f"`{text}`").alias("text_hash"), F.col(f"`{text}`").cast("string").alias("_text"))
+    chosen = docs.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(NO_ID)).alias("doc"), F.col(f"`{text}`").cast("string").alias("_text"))
     return chosen.mapInArrow(run, schema)
 
 
 def repeated_passages(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS,
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_chars: int = LEAST_CHARS,
     least: int = LEAST_BYTES, one_in: int = ONE_IN,
 ) -> DataFrame:
     """Passages that also stand in another document: runs of chunks, each of which occurs in two or more documents.
 
-    One row per run with ``least_words`` words or more: ``doc_id``, ``text_hash``, ``start`` and ``end``
-    (code points), ``n_chunks``, ``n_words``, and ``n_repeats``, how many of its chunks an earlier document
-    has already (earlier by id, null ids last; equal ids by the hash of the text). Equal rows count as
-    one document. Null and empty texts, and an empty table, give no rows.
+    One row per run of ``least_chars`` or more: ``doc_id``, ``start`` and ``end`` (code points),
+    ``n_chunks``, and ``n_repeats``, how many of its chunks a document with a smaller id has already.
+    Ids are whole numbers. Rows with one id are one document, and so are all rows without an id, which
+    come last; equal rows give their passages once. Null and empty texts, and an empty table, give none.
     """
     cut = materialize(chunks(docs, doc_id, text, least, one_in), "chunks")
-    who = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "text_hash")
-    known = cut.groupBy("high", "low").agg(F.min(who).alias("first"), F.max(who).alias("last"))
-    shared = known.where("first <> last").select(F.col("high").alias("_high"), F.col("low").alias("_low"), "first")
-    found = cut.join(shared, (F.col("high") == F.col("_high")) & (F.col("low") == F.col("_low")))
-    key = ["doc_id", "text_hash"]
-    rows = found.groupBy(*key, "at", "start", "end", "words").agg(F.max((F.col("first") != who).cast("int")).alias("late"))
-    # A run has consecutive numbers, so number less rank is the same for all of it.
-    rank = F.row_number().over(Window.partitionBy(*key).orderBy("at"))
-    runs = rows.withColumn("_run", F.col("at") - rank).groupBy(*key, "_run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n_chunks"),
-        F.sum("words").alias("n_words"), F.sum("late").cast("long").alias("n_repeats"))
-    return runs.where(F.col("n_words") >= least_words).drop("_run")
+    known = cut.groupBy("digest").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+    shared = known.where("first <> last").select(F.col("digest").alias("_digest"), "first")
+    found = cut.join(shared, F.col("digest") == F.col("_digest"))
+    rows = found.groupBy("doc", "place").agg(F.max((F.col("first") != F.col("doc")).cast("int")).alias("late"))
+    rows = rows.select("doc", F.expr("place >> 32").alias("start"), F.expr("place & 4294967295L").alias("end"), "late")
+    # A run goes on where a chunk starts at the end of the one before.
+    order = Window.partitionBy("doc").orderBy("start", "end")
+    fresh = F.coalesce((F.lag("end").over(order) != F.col("start")).cast("int"), F.lit(1))
+    numbered = rows.withColumn("_new", fresh).withColumn("_run", F.sum("_new").over(order))
+    runs = numbered.groupBy("doc", "_run").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n_chunks"), F.sum("late").cast("long").alias("n_repeats"))
+    kind = docs.schema[doc_id].dataType
+    return runs.where(F.col("end") - F.col("start") >= least_chars).select(
+        F.when(F.col("doc") != NO_ID, F.col("doc")).cast(kind).alias("doc_id"), "start", "end", "n_chunks", "n_repeats")
 
 
 def without_repeats(docs: DataFrame, passages: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id`` and ``text`` of every document without the passages that an earlier document has whole.
+    """``doc_id`` and ``text`` of every document without the passages that documents with smaller ids have whole.
 
-    A passage goes if all its chunks are in earlier documents; the earliest holder keeps it. Null texts stay null.
+    A passage goes if all its chunks are in earlier documents; the earliest holder keeps it. Texts
+    without an id, texts whose id another text has too, and null texts stay as they are.
     """
-    late = passages.where("n_repeats = n_chunks").groupBy("doc_id", "text_hash").agg(
+    late = passages.where("n_repeats = n_chunks AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(
         F.array_sort(F.collect_list(F.struct("start", "end"))).alias("cut"))
-    base = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(f"`{text}`").alias("_hash"), F.col(f"`{text}`").alias("text"))
-    gone = late.select(F.col("doc_id").alias("_id"), "text_hash", "cut")
-    joined = base.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("text_hash")), "left")
+    base = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    hashed = F.xxhash64("text")
+    clear = base.groupBy(F.col("doc_id").alias("_id")).agg((F.min(hashed) == F.max(hashed)).alias("_one")).where("_one")
+    joined = base.join(late.join(clear, "_id"), F.col("doc_id") == F.col("_id"), "left")
     # What stands before each passage, then what follows the last.
     kept = F.expr("""concat(
-        array_join(transform(cut, (c, i) -> substring(text, CASE WHEN i = 0 THEN 1 ELSE cut[i - 1].end + 1 END,
-          c.start - CASE WHEN i = 0 THEN 0 ELSE cut[i - 1].end END)), ''),
-        substring(text, element_at(cut, -1).end + 1, length(text)))""")
+        array_join(transform(cut, (c, i) -> substring(text, CAST(CASE WHEN i = 0 THEN 1 ELSE cut[i - 1].end + 1 END AS int),
+          CAST(c.start - CASE WHEN i = 0 THEN 0 ELSE cut[i - 1].end END AS int))), ''),
+        substring(text, CAST(element_at(cut, -1).end + 1 AS int), length(text)))""")
     return joined.select("doc_id", F.when(F.col("cut").isNull(), F.col("text")).otherwise(kept).alias("text"))
