@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.functions.embedding import stem
-from lakeops.operators.nearest import best_rows
+from lakeops.operators.nearest import best_rows, gathered
 
 K1 = 1.2
 B = 0.75
@@ -65,17 +65,19 @@ def bm25(corpus: DataFrame, queries: DataFrame, top: int, key: str = "id", text:
     shuffled. Queries are handled in blocks of bounded size.
     """
     split = corpus.select(F.col(key).cast("bigint").alias("id"), tokens(F.col(text)).alias("words"))
-    found = corpus.sparkSession.createDataFrame([], SCORE_SCHEMA)
-    for asked in _query_terms(queries, query_key, query_text):
-        vocabulary = sorted({term for terms in asked.values() for term in terms})
-        counted = split.select("words").mapInArrow(_word_statistics(vocabulary), "item int, n bigint")
-        totals = {r["item"]: r["n"] for r in counted.groupBy("item").agg(F.sum("n").alias("n")).collect()}  # one row per query word
-        docs, length = totals.get(_DOCS, 0), totals.get(_LENGTH, 0)
-        if not docs:
-            continue
-        df = np.array([totals.get(i, 0) for i in range(len(vocabulary))], np.float64)
-        idf = dict(zip(vocabulary, np.log(1 + (docs - df + 0.5) / (df + 0.5))))
-        found = found.unionByName(split.mapInArrow(_word_scores(asked, idf, max(length / docs, 1e-9), top), SCORE_SCHEMA))
+
+    def scored() -> Iterator[DataFrame]:
+        for asked in _query_terms(queries, query_key, query_text):
+            vocabulary = sorted({term for terms in asked.values() for term in terms})
+            counted = split.select("words").mapInArrow(_word_statistics(vocabulary), "item int, n bigint")
+            totals = {r["item"]: r["n"] for r in counted.groupBy("item").agg(F.sum("n").alias("n")).collect()}  # one row per query word
+            docs, length = totals.get(_DOCS, 0), totals.get(_LENGTH, 0)
+            if docs:
+                df = np.array([totals.get(i, 0) for i in range(len(vocabulary))], np.float64)
+                idf = dict(zip(vocabulary, np.log(1 + (docs - df + 0.5) / (df + 0.5))))
+                yield split.mapInArrow(_word_scores(asked, idf, max(length / docs, 1e-9), top), SCORE_SCHEMA)
+
+    found = gathered(corpus.sparkSession, scored(), SCORE_SCHEMA)
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top).withColumn("rank", F.col("rank").cast("bigint"))
 

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeops.functions import vectors as V
@@ -89,6 +89,25 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
 SCHEMA = "query_id bigint, id bigint, distance double"
 
 
+def gathered(spark: SparkSession, parts: Iterator[DataFrame], schema: str) -> DataFrame:
+    """The hits of all query blocks.
+
+    Of several blocks each is written to the shared folder before the one after the next is built, so
+    the driver never holds more than two blocks and the plan does not grow with their contents.
+    """
+    first = next(parts, None)
+    if first is None:
+        return spark.createDataFrame([], schema)
+    second = next(parts, None)
+    if second is None:
+        return first
+    found = materialize(first, "block_hits").unionByName(materialize(second, "block_hits"))
+    del first, second
+    for part in parts:
+        found = found.unionByName(materialize(part, "block_hits"))
+    return found
+
+
 def knn_exact(
     stored: DataFrame, queries: DataFrame, k: int, key: str = "id", vector: str = "embedding",
     query_key: str = "query_id", query_vector: str = "query_vector",
@@ -98,13 +117,8 @@ def knn_exact(
     Each task multiplies its block of vectors with the query matrix and keeps k rows per query.
     """
     narrow = stored.select(F.col(key).cast("bigint"), vector).where(F.col(vector).isNotNull())
-    found = None
-    for ids, matrix in query_blocks(queries, query_key, query_vector):
-        part = narrow.mapInArrow(_scan(ids, matrix, k, None), SCHEMA)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = stored.sparkSession.createDataFrame([], SCHEMA)
-    return _ranked(found, k)
+    parts = (narrow.mapInArrow(_scan(ids, matrix, k, None), SCHEMA) for ids, matrix in query_blocks(queries, query_key, query_vector))
+    return _ranked(gathered(stored.sparkSession, parts, SCHEMA), k)
 
 
 class CellIndex:
@@ -172,19 +186,17 @@ def ann_search(index: CellIndex, queries: DataFrame, k: int, nprobe: int | None
     if not len(index.centers):
         return knn_exact(rows, queries, k)
     nprobe = nprobe or index.nprobe
-    found = None
-    for ids, matrix in query_blocks(queries, "query_id", "query_vector"):
-        nearest = index.order(matrix)[:, :nprobe]
-        probes: dict[int, list[int]] = {}
-        for q, cells in enumerate(nearest):
-            for cell in cells:
-                probes.setdefault(int(cell), []).append(q)
-        wanted = rows.where(F.col("cell").isin([int(c) for c in probes])).select("id", "embedding", F.col("cell").cast("bigint"))
-        part = wanted.mapInArrow(_scan(ids, matrix, k, {c: np.array(q) for c, q in probes.items()}), SCHEMA)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return knn_exact(rows, queries, k)
-    ranked = materialize(_ranked(found, k), "ann_found")
+
+    def probed() -> Iterator[DataFrame]:
+        for ids, matrix in query_blocks(queries, "query_id", "query_vector"):
+            probes: dict[int, list[int]] = {}
+            for q, cells in enumerate(index.order(matrix)[:, :nprobe]):
+                for cell in cells:
+                    probes.setdefault(int(cell), []).append(q)
+            wanted = rows.where(F.col("cell").isin([int(c) for c in probes])).select("id", "embedding", F.col("cell").cast("bigint"))
+            yield wanted.mapInArrow(_scan(ids, matrix, k, {c: np.array(q) for c, q in probes.items()}), SCHEMA)
+
+    ranked = materialize(_ranked(gathered(rows.sparkSession, probed(), SCHEMA), k), "ann_found")
     full = ranked.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= k)
     short = queries.join(full, "query_id", "left_anti")
     if short.isEmpty():

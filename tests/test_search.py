@@ -101,6 +101,19 @@ def test_ann_recall_and_filter(spark, tables):
     assert limited.join(stored, "id").select("label").distinct().collect()[0].label == 3
 
 
+def test_clustered_vectors_are_pruned(spark):
+    """With real clusters a small share of the cells reaches nearly all neighbours."""
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(40, 16)) * 4
+    vectors = [(i, (centres[i % 40] + rng.normal(size=16) * 0.3).tolist()) for i in range(4000)]
+    stored = spark.createDataFrame(vectors, "id long, embedding array<float>").repartition(4)
+    queries = spark.createDataFrame([(q, vectors[q][1]) for q in range(0, 4000, 100)], "query_id long, query_vector array<double>")
+    index = nearest.build_cell_index(stored)
+    found = nearest.ann_search(index, queries, 10)
+    recall = nearest.recall_at_k(nearest.knn_exact(stored, queries, 10), found, 10).agg(F.avg("recall")).first()[0]
+    assert recall >= 0.95 and index.nprobe <= 0.3 * len(index.centers), (recall, index.nprobe, len(index.centers))
+
+
 def test_small_table_uses_exact_search(spark):
     stored = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(1, 20)], "id long, embedding array<float>")
     queries = spark.createDataFrame([(1, [1.0, 1.0])], "query_id long, query_vector array<double>")
@@ -233,3 +246,12 @@ def test_fuzzy_search(spark):
     products = spark.createDataFrame([(1, "Trail Headlamp"), (2, "Lamp Oil"), (3, "Tent")], "id long, name string")
     assert [r.id for r in fuzzy_search(products, "id", "name", "hedlamp", 2).collect()] == [1, 2]
     assert _jaro_winkler("martha", "marhta") == pytest.approx(0.961111, abs=1e-6) and _jaro_winkler("", "a") == 0.0
+
+
+def test_many_query_blocks_keep_the_plan_small(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "QUERY_BLOCK", 2)
+    stored = spark.createDataFrame([(i, [float(i % 7 + 1), float(i % 3)]) for i in range(50)], "id long, embedding array<float>")
+    queries = spark.createDataFrame([(q, [1.0, float(q)]) for q in range(12)], "query_id long, query_vector array<double>")
+    found = nearest.knn_exact(stored, queries, 3)
+    assert found.groupBy("query_id").count().where("count = 3").count() == 12
+    assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString()  # the hits of the blocks are read, not made again
