@@ -19,8 +19,9 @@ from lakeops.llm.blocks import kept
 
 _RUNS = re.compile(r"\s\s")
 _CONTROL = re.compile(r"[\x1c-\x1f\x85]")
-_WORD = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]*)")  # letters, then ASCII punctuation
-MEMORY = 400_000
+_WORD = re.compile(r"(\n?([^\W\d_]+))([!-/:-@\[-`{-~]*)")  # letters, then ASCII punctuation
+PUNCTUATION = frozenset("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+MEMORY = 600_000
 
 
 class Encoder:
@@ -35,8 +36,7 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.memory = memory
         self.kind = self._kind(json.loads(self.tokenizer.to_str()))
-        self.pieces: dict[str, bytes] = {}
-        self.cores: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}  # ids of a piece as it stands after a space, or with its line feed
         self.tails: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}
 
@@ -55,47 +55,53 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _bulk(self, lead: str, words: list[str]) -> list[bytes]:
-        """Ids of ``lead + word`` for words of letters only, encoded in one go."""
+    def _bulk(self, words: list[str], each: int) -> list[bytes]:
+        """Ids of words of letters only, each with what leads it, encoded in one go; ``each``: words a tokenizer sees in one."""
         if not words:
             return []
-        each = 1 if lead == " " else 2  # a line feed is a word of its own
-        if self.kind == "words":
-            each = 1
-        encoded = self.tokenizer.encode(lead + lead.join(words), add_special_tokens=False)
+        encoded = self.tokenizer.encode("".join(words), add_special_tokens=False)
         number = np.array(encoded.word_ids, np.int64)
-        cuts = np.flatnonzero(np.diff(number // each)) + 1
+        cuts = (np.flatnonzero(np.diff(number // each)) + 1) * self.dtype.itemsize
         if len(cuts) + 1 != len(words):
-            return [self._whole(lead + w) for w in words]
-        ids = np.array(encoded.ids, self.dtype)
-        return [part.tobytes() for part in np.split(ids, cuts)]
+            return [self._whole(w) for w in words]
+        ids = np.array(encoded.ids, self.dtype).tobytes()
+        edges = [0, *cuts.tolist(), len(ids)]
+        return [ids[a:b] for a, b in zip(edges, edges[1:], strict=False)]
 
     def _learn(self, new: Iterable[str]) -> None:
         """Remember pieces: a core of letters, encoded in bulk, and a tail of punctuation."""
-        todo, wanted = [], {" ": {}, "\n": {}}
+        pieces, tails, lower = self.pieces, self.tails, self.kind == "words"
+        todo, spaced, fed = [], {}, {}
         for piece in new:
-            lead = "\n" if piece[:1] == "\n" else " "
-            match = _WORD.fullmatch(piece[1:] if lead == "\n" else piece)
-            if not match or not match[1].isalpha():
-                self.pieces[piece] = self._whole(piece if lead == "\n" else " " + piece)
-                continue
-            core, tail = match[1], match[2]
-            if self.kind == "words" and "Σ" not in core:
-                core = core.lower()
-            key = lead + core
-            todo.append((piece, key, tail))
-            if key not in self.cores:
-                wanted[lead][core] = None
-        for lead, words in wanted.items():
-            for word, ids in zip(words, self._bulk(lead, list(words)), strict=True):
-                self.cores[lead + word] = ids
-        for piece, key, tail in todo:
-            if tail:
-                if tail not in self.tails:
-                    self.tails[tail] = self._whole(tail)
-                self.pieces[piece] = self.cores[key] + self.tails[tail]
+            if piece.isalpha():
+                core, tail = piece, ""
             else:
-                self.pieces[piece] = self.cores[key]
+                core, tail = piece[:-1], piece[-1:]
+                if not core.isalpha() or tail not in PUNCTUATION:
+                    match = _WORD.fullmatch(piece)
+                    if not match or not match[2].isalpha():
+                        pieces[piece] = self._whole(piece if piece[:1] == "\n" else " " + piece)
+                        continue
+                    core, tail = match[1], match[3]
+            if lower and not core.islower() and "Σ" not in core:
+                core = core.lower()
+            if core not in pieces:
+                if core[0] == "\n":
+                    fed[core] = None
+                else:
+                    spaced[core] = None
+                if core != piece:
+                    todo.append((piece, core, tail))
+            elif core != piece:
+                if tail and tail not in tails:
+                    tails[tail] = self._whole(tail)
+                pieces[piece] = pieces[core] + tails[tail] if tail else pieces[core]
+        pieces.update(zip(spaced, self._bulk([" " + w for w in spaced], 1), strict=True))
+        pieces.update(zip(fed, self._bulk(list(fed), 2), strict=True))  # a line feed is a word of its own
+        for piece, core, tail in todo:
+            if tail and tail not in tails:
+                tails[tail] = self._whole(tail)
+            pieces[piece] = pieces[core] + tails[tail] if tail else pieces[core]
 
     def _cut(self, text: str) -> list[str] | None:
         if self.kind == "words":
@@ -106,8 +112,8 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as the tokenizer gives them for the whole text."""
-        if len(self.pieces) > self.memory or len(self.cores) > self.memory:
-            self.pieces, self.cores, self.heads = {}, {}, {}
+        if len(self.pieces) + len(self.heads) > self.memory:
+            self.pieces, self.heads, self.tails = {}, {}, {}
         cut = [self._cut(t) for t in texts]
         head = 0 if self.kind == "words" else 1
         new: set[str] = set()
