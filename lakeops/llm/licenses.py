@@ -22,7 +22,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 @dataclass(frozen=True)
 class Rule:
-    """``pattern`` is matched over words joined by spaces; ``keyword`` is a word or phrase that each match contains."""
+    """``pattern`` is matched over words joined by spaces; each match contains ``keyword``, from the start of a word on."""
 
     label: str
     keyword: str
@@ -50,8 +50,8 @@ NAMES = (
     ("apache-1.1", "apache", r"apache (?:software )?licen[cs]e (?:version |v)?1 1"),
     ("apache-1.0", "apache", r"apache (?:software )?licen[cs]e (?:version |v)?1 0"),
     ("apache", "apache", r"apache (?:software )?licen[cs]e"),
-    ("mit-0", "mit no", r"mit no attribution(?: licen[cs]e)?"),
-    ("mit", "mit", r"mit licen[cs]e"),
+    ("mit-0", "mit no att", r"mit no attribution(?: licen[cs]e)?"),
+    ("mit", "mit licen", r"mit licen[cs]e"),
     ("bsd-4-clause", "bsd", r"bsd 4 clause(?: licen[cs]e)?"),
     ("bsd-3-clause", "bsd", r"(?:(?:new|modified|revised) bsd|bsd 3 clause)(?: licen[cs]e)?"),
     ("bsd-2-clause", "bsd", r"(?:simplified bsd|freebsd|bsd 2 clause)(?: licen[cs]e)?"),
@@ -68,18 +68,18 @@ NAMES = (
     ("cddl-1.1", "common development", r"common development and distribution licen[cs]e (?:version |v)?1 1"),
     ("cddl", "common development", r"common development and distribution licen[cs]e"),
     ("cpl-1.0", "common public", r"common public licen[cs]e(?: (?:version |v)?1(?: 0)?)?"),
-    ("artistic-2.0", "artistic", r"artistic licen[cs]e (?:version |v)?2(?: 0)?"),
-    ("artistic-1.0", "artistic", r"artistic licen[cs]e(?: (?:version |v)?1(?: 0)?)?"),
-    ("isc", "isc", r"isc licen[cs]e"),
+    ("artistic-2.0", "artistic licen", r"artistic licen[cs]e (?:version |v)?2(?: 0)?"),
+    ("artistic-1.0", "artistic licen", r"artistic licen[cs]e(?: (?:version |v)?1(?: 0)?)?"),
+    ("isc", "isc licen", r"isc licen[cs]e"),
     ("zlib", "zlib", r"zlib(?: libpng)? licen[cs]e"),
     ("boost-1.0", "boost", r"boost software licen[cs]e(?: (?:version |v)?1(?: 0)?)?"),
     ("unlicense", "unlicense", r"unlicense"),
     ("wtfpl", "wtfpl", r"wtfpl|do what the fuck you want to public licen[cs]e"),
     ("python-2.0", "python software", r"python software foundation licen[cs]e(?: (?:version |v)?2(?: 0)?)?"),
-    ("php-3.01", "php", r"php licen[cs]e(?: (?:version |v)?3 0?1)?"),
-    ("ruby", "ruby", r"ruby licen[cs]e"),
-    ("openssl", "openssl", r"openssl licen[cs]e"),
-    ("postgresql", "postgresql", r"postgresql licen[cs]e"),
+    ("php-3.01", "php licen", r"php licen[cs]e(?: (?:version |v)?3 0?1)?"),
+    ("ruby", "ruby licen", r"ruby licen[cs]e"),
+    ("openssl", "openssl licen", r"openssl licen[cs]e"),
+    ("postgresql", "postgresql licen", r"postgresql licen[cs]e"),
     ("ofl-1.1", "open font", r"(?:sil )?open font licen[cs]e(?: (?:version |v)?1 1)?"),
     ("ncsa", "ncsa", r"(?:university of illinois )?ncsa(?: open source)? licen[cs]e"),
     ("ms-pl", "microsoft public", r"microsoft public licen[cs]e"),
@@ -90,7 +90,7 @@ NAMES = (
     ("cecill", "cecill", r"cecill(?: [abc])?(?: (?:version |v)?2 [01])?(?: licen[cs]e)?"),
     ("busl-1.1", "business source", r"business source licen[cs]e(?: (?:version |v)?1 1)?"),
     ("sspl-1.0", "server side", r"server side public licen[cs]e(?: (?:version |v)?1(?: 0)?)?"),
-    ("elastic-2.0", "elastic", r"elastic licen[cs]e(?: (?:version |v)?2(?: 0)?)?"),
+    ("elastic-2.0", "elastic licen", r"elastic licen[cs]e(?: (?:version |v)?2(?: 0)?)?"),
     ("cc0-1.0", "cc0", r"cc0(?: 1 0)?(?: universal)?"),
     ("cc-by-nc-sa-4.0", "cc by", r"cc by nc sa 4 0"),
     ("cc-by-nc-nd-4.0", "cc by", r"cc by nc nd 4 0"),
@@ -126,14 +126,14 @@ SIGNS = (
     ("gpl", "free software", r"this program is free software you can redistribute it and or modify it"),
     ("lgpl", "free software", r"this library is free software you can redistribute it and or modify it"),
     ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
-    ("zlib", "in no", r"this software is provided as is without any express or implied warranty in no event"),
+    ("zlib", "this software is provided", r"this software is provided as is without any express or implied warranty in no event"),
     ("boost-1.0", "boost", r"distributed under the boost software license version 1 0"),
     ("apache-2.0", "apache", r"(?:www )?apache org licenses license 2 0"),
-    ("mit", "opensource", r"opensource org licenses mit"),
+    ("mit", "opensource org", r"opensource org licenses mit"),
     ("bsd-3-clause", "opensource", r"opensource org licenses bsd 3 clause"),
     ("bsd-2-clause", "opensource", r"opensource org licenses bsd 2 clause"),
-    ("gpl-3.0", "gnu", r"(?:www )?gnu org licenses gpl 3 0"),
-    ("gpl", "gnu", r"(?:www )?gnu org licenses(?: gpl)?"),
+    ("gpl-3.0", "gnu org", r"(?:www )?gnu org licenses gpl 3 0"),
+    ("gpl", "gnu org", r"(?:www )?gnu org licenses(?: gpl)?"),
     ("mpl-2.0", "mozilla", r"mozilla org mpl 2 0"),
     ("cc-by-sa", "creativecommons", r"creativecommons org licenses by sa [1-4] 0"),
     ("cc-by-nc", "creativecommons", r"creativecommons org licenses by nc [1-4] 0"),
@@ -185,14 +185,21 @@ def _places(joined: str, pattern: str) -> str:
 
 def _rule_table(known: list[Rule]) -> Column:
     """All rules as one constant array."""
-    return F.array(*[F.struct(F.lit(r.label).alias("label"), F.lit(f" {r.keyword} ").alias("keyword"), F.lit(r.pattern).alias("pattern"),
+    return F.array(*[F.struct(F.lit(r.label).alias("label"), F.lit(f" {r.keyword}").alias("keyword"), F.lit(r.pattern).alias("pattern"),
                               F.lit(r.priority).alias("priority"), F.lit(r.confidence).alias("confidence")) for r in known])
 
 
 def _gate(known: list[Rule]) -> str:
-    """One pattern that every text with a rule's keyword matches, in either case and with any separators."""
-    parts = sorted({"[^0-9A-Za-z]+".join(k.split()) for k in [r.keyword for r in known] + [p for p, _ in BASE]})
-    return "(?i)(?:" + "|".join(parts) + ")"
+    """One pattern that every text with a rule's keyword matches, in either case and with any separators.
+
+    Keywords are sorted by their first letter and only tried where a word may start.
+    """
+    words = {r.keyword for r in known} | {p for p, _ in BASE}
+    needed = [k for k in sorted(words) if not any(k != other and k.startswith(other) for other in words)]
+    first: dict[str, list[str]] = {}
+    for k in needed:
+        first.setdefault(k[0], []).append("[^0-9A-Za-z]+".join(k[1:].split(" ")))
+    return "(?i)(?<![0-9A-Za-z])(?:" + "|".join(f"{letter}(?:{'|'.join(rest)})" for letter, rest in first.items()) + ")"
 
 
 _RESOLVE = """aggregate(

@@ -74,3 +74,16 @@ def test_no_python_and_no_shuffle(spark, table):
 
 def test_empty_table(spark, table):
     assert licenses.scan_licenses(table([])).collect() == []
+
+
+def test_gate_and_keywords_let_every_match_through(spark):
+    known = licenses.rules()
+    names = [re.sub(r"\(\?:([^()|]*)\|[^()]*\)", r"\1", n[2]) for n in licenses.NAMES + licenses.SIGNS]
+    plain = [re.sub(r"\(\?:|\)|\?|\[cs\]|\[1-4\]|\[abc\]|\[123\]|\[05\]|\[01\]", lambda m: {"[cs]": "c", "[1-4]": "4", "[abc]": "b", "[123]": "3", "[05]": "0", "[01]": "1"}.get(m[0], ""), n) for n in names]
+    gate = re.compile(licenses._gate(known))
+    for text in plain + [f"SPDX-License-Identifier: {n[0]}" for n in licenses.NAMES]:
+        joined = f" {' '.join(words_of(text))} "
+        hit = [r for r in known if re.search(f"(?<= )(?:{r.pattern})(?= )", joined)]
+        for r in hit:
+            assert f" {r.keyword}" in joined, (r, text)
+            assert gate.search(text.upper().replace(" ", " -\n")), text
