@@ -68,6 +68,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", te
                 found = [ids + last for ids in own.encode(texts[low:high])]
                 width = pa.array(np.full(high - low, own.dtype.itemsize, np.int32))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), width, pa.array(found, pa.binary())], ["doc_id", "width", "ids"])
+        own.forget()
 
     chosen = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("_text"))
     return chosen.mapInArrow(run, "doc_id bigint, width int, ids binary")

@@ -21,7 +21,7 @@ _RUNS = re.compile(r"\s\s")
 _CONTROL = re.compile(r"[\x1c-\x1f\x85]")
 _WORD = re.compile(r"(\n?([^\W\d_]+))([!-/:-@\[-`{-~]*)")  # letters, then ASCII punctuation
 PUNCTUATION = frozenset("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
-MEMORY = 600_000
+MEMORY = 200_000
 
 
 class Encoder:
@@ -110,10 +110,14 @@ class Encoder:
             return text.replace("\n", " \n").split(" ")
         return None
 
+    def forget(self) -> None:
+        """Give the remembered pieces up; at the end of a task, so that they don't stand beside another stage's memory."""
+        self.pieces, self.heads, self.tails = {}, {}, {}
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as the tokenizer gives them for the whole text."""
         if len(self.pieces) + len(self.heads) > self.memory:
-            self.pieces, self.heads, self.tails = {}, {}, {}
+            self.forget()
         cut = [self._cut(t) for t in texts]
         head = 0 if self.kind == "words" else 1
         new: set[str] = set()
@@ -136,7 +140,7 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
-    """One encoder per worker and file, so its memory serves all of the worker's tasks."""
+    """One encoder per worker and file, so that a file is loaded once."""
     return kept(f"encoder {path}", lambda: Encoder(path))
 
 
