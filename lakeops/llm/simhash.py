@@ -203,7 +203,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     Of equal rows one stays. The columns are those of ``docs``.
     """
     _, classes = _classes(docs, doc_id, text, width)
-    kept = classes.select("_first._id", "_first._hash").distinct().withColumnsRenamed({"_id": "_kept_id", "_hash": "_kept_hash"})
-    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("_kept_id")) & (F.xxhash64(f"`{text}`") == F.col("_kept_hash"))
-    chosen = docs.join(kept, same, "left_semi").withColumn("_kept_hash", F.xxhash64(f"`{text}`"))
-    return chosen.dropDuplicates([doc_id, "_kept_hash"]).drop("_kept_hash")
+    kept = classes.select(F.xxhash64("_first._id").alias("_by_id"), F.col("_first._hash").alias("_by_text")).distinct()
+    keyed = docs.withColumns({"_by_id": F.xxhash64(f"`{doc_id}`"), "_by_text": F.xxhash64(f"`{text}`")})
+    # Both steps need rows of one key together, so the texts are shuffled once.
+    return keyed.join(kept, ["_by_id", "_by_text"], "left_semi").dropDuplicates(["_by_id", "_by_text"]).select(*docs.columns)
