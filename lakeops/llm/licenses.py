@@ -54,8 +54,10 @@ NAMES = (
     ("mit", "mit licen", r"mit licen[cs]e"),
     ("bsd-4-clause", "bsd", r"bsd 4 clause(?: licen[cs]e)?"),
     ("bsd-3-clause", "bsd", r"(?:(?:new|modified|revised) bsd|bsd 3 clause)(?: licen[cs]e)?"),
-    ("bsd-2-clause", "bsd", r"(?:simplified bsd|freebsd|bsd 2 clause)(?: licen[cs]e)?"),
-    ("bsd-0-clause", "bsd", r"(?:zero clause bsd|bsd zero clause|0bsd)(?: licen[cs]e)?"),
+    ("bsd-2-clause", "bsd", r"(?:simplified bsd|bsd 2 clause)(?: licen[cs]e)?"),
+    ("bsd-2-clause", "freebsd", r"freebsd(?: licen[cs]e)?"),
+    ("bsd-0-clause", "bsd", r"(?:zero clause bsd|bsd zero clause)(?: licen[cs]e)?"),
+    ("bsd-0-clause", "0bsd", r"0bsd(?: licen[cs]e)?"),
     ("bsd", "bsd", r"bsd (?:style )?licen[cs]e"),
     ("mpl-2.0", "mozilla", r"mozilla public licen[cs]e (?:version |v)?2(?: 0)?"),
     ("mpl-1.1", "mozilla", r"mozilla public licen[cs]e (?:version |v)?1 1"),
@@ -74,7 +76,8 @@ NAMES = (
     ("zlib", "zlib", r"zlib(?: libpng)? licen[cs]e"),
     ("boost-1.0", "boost", r"boost software licen[cs]e(?: (?:version |v)?1(?: 0)?)?"),
     ("unlicense", "unlicense", r"unlicense"),
-    ("wtfpl", "wtfpl", r"wtfpl|do what the fuck you want to public licen[cs]e"),
+    ("wtfpl", "wtfpl", r"wtfpl"),
+    ("wtfpl", "do what the", r"do what the fuck you want to public licen[cs]e"),
     ("python-2.0", "python software", r"python software foundation licen[cs]e(?: (?:version |v)?2(?: 0)?)?"),
     ("php-3.01", "php licen", r"php licen[cs]e(?: (?:version |v)?3 0?1)?"),
     ("ruby", "ruby licen", r"ruby licen[cs]e"),
@@ -142,13 +145,15 @@ SIGNS = (
     ("all-rights-reserved", "all rights", r"all rights reserved"),
     ("proprietary", "proprietary and", r"proprietary and confidential"),
 )
+# SPDX identifiers, as words, that are not the words of their label.
+TAGS = (("bsd-0-clause", "0bsd"), ("boost-1.0", "bsl 1 0"), ("python-2.0", "psf 2 0"))
 
 
 def _identifiers() -> list[Rule]:
-    """SPDX tags: ``spdx license identifier`` and the label's words, for every label."""
+    """SPDX tags: ``spdx license identifier`` and the label's words, for every label, or the identifier's own."""
     labels = dict.fromkeys([n[0] for n in NAMES] + [s[0] for s in SIGNS])
-    return [Rule(label, "spdx", "spdx licen[cs]e identifier " + label.replace("-", " ").replace(".", " ") + "(?: only| or later)?", 9000, 0.99)
-            for label in labels]
+    tags = [(label, label.replace("-", " ").replace(".", " ")) for label in labels] + list(TAGS)
+    return [Rule(label, "spdx", f"spdx licen[cs]e identifier {words}(?: only| or later)?", 9000, 0.99) for label, words in tags]
 
 
 def rules() -> list[Rule]:

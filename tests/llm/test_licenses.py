@@ -87,3 +87,46 @@ def test_gate_and_keywords_let_every_match_through(spark):
         for r in hit:
             assert f" {r.keyword}" in joined, (r, text)
             assert gate.search(text.upper().replace(" ", " -\n")), text
+
+
+def expand(pattern):
+    """Every text that a rule's pattern matches."""
+    import itertools
+    from re import _constants as c
+    from re import _parser
+
+    def of(part):
+        return ["".join(x) for x in itertools.product(*map(one, part))]
+
+    def one(item):
+        kind, value = item
+        if kind is c.LITERAL:
+            return [chr(value)]
+        if kind is c.IN:
+            return [x for k, v in value for x in (map(chr, range(v[0], v[1] + 1)) if k is c.RANGE else [chr(v)])]
+        if kind is c.BRANCH:
+            return [x for part in value[1] for x in of(part)]
+        if kind is c.SUBPATTERN:
+            return of(value[-1])
+        assert kind is c.MAX_REPEAT and value[:2] == (0, 1), item
+        return ["", *of(value[2])]
+
+    return of(_parser.parse(pattern))
+
+
+def test_every_alternative_of_every_pattern_has_its_keyword():
+    known = licenses.rules()
+    gate = re.compile(licenses._gate(known))
+    plain = [(k, p) for _, k, p in licenses.NAMES + licenses.SIGNS] + [(r.keyword, r.pattern) for r in licenses._identifiers()]
+    for keyword, pattern in plain:
+        for text in expand(pattern):
+            assert re.fullmatch(pattern, text)
+            assert f" {keyword}" in f" {text} ", (keyword, text)
+            assert gate.search(text.upper().replace(" ", "-\n")), text
+
+
+def test_names_alone_are_found(spark, table):  # noqa: F811
+    want = {"Under the FreeBSD license.": "bsd-2-clause", "0BSD License": "bsd-0-clause", "the Do What The Fuck You Want To Public License": "wtfpl",
+            "SPDX-License-Identifier: 0BSD": "bsd-0-clause", "SPDX-License-Identifier: BSL-1.0": "boost-1.0", "SPDX-License-Identifier: PSF-2.0": "python-2.0"}
+    rows = licenses.scan_licenses(table(list(enumerate(want)))).collect()
+    assert {r.doc_id: [d.label for d in r.detections] for r in rows} == {i: [label] for i, label in enumerate(want.values())}
