@@ -59,7 +59,6 @@ def pieces(docs: DataFrame, path: str, end_id: int, limit: int = LIMIT, doc_id:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(number, pa.int32()), pa.array(start, pa.int64()),
                      pa.array(length, pa.int64()), pa.array(ids, pa.binary())], schema.names)
-        own.forget()
 
     return docs.select(F.col(f"`{doc_id}`"), F.col(f"`{text}`").cast("string").alias("_text")).mapInArrow(run, schema)
 

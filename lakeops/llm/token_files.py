@@ -68,7 +68,6 @@ def tokenize(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", te
                 found = [ids + last for ids in own.encode(texts[low:high])]
                 width = pa.array(np.full(high - low, own.dtype.itemsize, np.int32))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), width, pa.array(found, pa.binary())], ["doc_id", "width", "ids"])
-        own.forget()
 
     chosen = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("_text"))
     return chosen.mapInArrow(run, "doc_id bigint, width int, ids binary")
@@ -135,12 +134,12 @@ def _read_header(stream, name: str) -> tuple[int, int, int, int] | None:
     return tuple(rest)
 
 
-def write_files(tokens: DataFrame, folder: str, doc_id_order: tuple[str, ...] = ("doc_id", "ids")) -> tuple[DataFrame, np.ndarray]:
+def write_files(tokens: DataFrame, folder: str) -> tuple[DataFrame, np.ndarray]:
     """Write ``tokens`` in ascending document order; gives the manifest and the id of each rank.
 
     ``folder`` must be reachable from all executors. Null ids come first; rows with one id are ordered
-    by their token ids, so equal tables give equal files. No rows give no files. The number of files
-    follows from the number of ids.
+    by a hash of their token ids, then by these, so equal tables give equal files. No rows give no
+    files. The number of files follows from the number of ids.
     """
     counts = materialize(id_counts(tokens), "id_counts")
     by_rank = _rank_table(counts)
@@ -178,7 +177,9 @@ def write_files(tokens: DataFrame, folder: str, doc_id_order: tuple[str, ...] =
 
     files = max(1, -(-total // IDS_PER_FILE))
     least = tokens.sparkSession.sparkContext.defaultParallelism
-    ordered = tokens.select("doc_id", "width", "ids").repartitionByRange(max(files, least), *doc_id_order).sortWithinPartitions(*doc_id_order)
+    # Ranges are found from a sample of ids and hashes; with the token ids it would bring whole documents to the driver.
+    ordered = tokens.select("doc_id", "width", "ids", F.xxhash64("ids").alias("hash")).repartitionByRange(max(files, least), "doc_id", "hash")
+    ordered = ordered.sortWithinPartitions("doc_id", "hash", "ids").select("doc_id", "width", "ids")
     manifest = materialize(ordered.mapInArrow(run, "number int, name string, first_doc bigint, n_docs bigint, n_ids bigint"), "manifest")
     return manifest, by_rank
 

@@ -1,9 +1,10 @@
-"""Token ids of whole texts, with the words of a text looked up rather than encoded again and again.
+"""Token ids of whole texts, as the tokenizers library gives them, at less cost.
 
-Byte-pair tokenizers split a text into words before they merge, and white space always begins a new
-word. So a text may be cut before each single space without a change to its ids, and the ids of a
-piece can be remembered. What a rule here does not cover (runs of white space, control characters,
-other kinds of tokenizer) is encoded as a whole.
+A byte-level tokenizer whose merges are ranked by the ids they make is handed to tiktoken, built from
+the same file. A tokenizer that drops white space and lowers letters splits a text into words before
+it merges, so the ids of a word can be remembered. What neither rule covers (characters whose class
+changed with Unicode's versions, control characters, runs without a space, other kinds of tokenizer)
+is encoded by the tokenizers library as a whole.
 """
 
 from __future__ import annotations
@@ -11,21 +12,86 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterable, Iterator
+import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 
 from lakeops.llm.blocks import kept
 
-_RUNS = re.compile(r"\s\s")
 _CONTROL = re.compile(r"[\x1c-\x1f\x85]")
-_WORD = re.compile(r"(\n?([^\W\d_]+))([!-/:-@\[-`{-~]*)")  # letters, then ASCII punctuation
+_WORD = re.compile(r"(([^\W\d_]+))([!-/:-@\[-`{-~]*)")  # letters, then ASCII punctuation
 PUNCTUATION = frozenset("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
-MEMORY = 200_000
+MEMORY = 128 << 20
+ENTRY = 230  # bytes that a remembered word takes besides its letters and ids
+LONG = 1000
+#: The pattern by which byte-level tokenizers of this family part words.
+BYTE_WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def byte_letters() -> dict[str, int]:
+    """The character that stands for each byte in byte-level vocabularies: printable ones for themselves, the others from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def _unsettled() -> re.Pattern:
+    """Characters whose class (letter, number, space, other) is not the same in old and new versions of Unicode."""
+    old, ranges, low = unicodedata.ucd_3_2_0, [], None
+    for code in range(0x10000):
+        c = chr(code)
+        settled = old.category(c) not in ("Cn", "Cs") and old.category(c)[0] == unicodedata.category(c)[0] and code not in (0x1C, 0x1D, 0x1E, 0x1F, 0x85)
+        if settled and low is None:
+            low = code
+        elif not settled and low is not None:
+            ranges.append((low, code - 1))
+            low = None
+    if low is not None:
+        ranges.append((low, 0xFFFF))
+    return re.compile("[^" + "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in ranges) + "]")
+
+
+def _long_run(text: str) -> bool:
+    """Whether ``LONG`` bytes follow each other without a space, or so many spaces without another byte."""
+    if len(text) < LONG // 4:
+        return False
+    raw = np.frombuffer(text.encode(), np.uint8)
+    at = np.concatenate([[-1], np.flatnonzero(raw == 32), [len(raw)]])
+    return bool((np.diff(at) > LONG).any() or (len(at) > LONG and (at[LONG:] - at[:-LONG] == LONG).any()))
+
+
+class Memory:
+    """Ids by word in two generations of at most ``most`` bytes each: what is in use moves to the young one, the old one goes when that is full."""
+
+    def __init__(self, most: int):
+        self.most, self.size = most, 0
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def turn(self) -> None:
+        """Between uses only: words that a caller still looks up stay in ``young``."""
+        if self.size > self.most:
+            self.old, self.young, self.size = self.young, {}, 0
+
+    def put(self, word: str, ids: bytes) -> None:
+        self.young[word] = ids
+        self.size += ENTRY + len(word) + len(ids)
+
+    def missing(self, words: set[str]) -> list[str]:
+        """The words that are not remembered; those that are stand in ``young`` afterwards."""
+        found = []
+        for word in words.difference(self.young):
+            ids = self.old.get(word)
+            if ids is None:
+                found.append(word)
+            else:
+                self.put(word, ids)
+        return found
 
 
 class Encoder:
-    """Whole texts to ids. ``path`` is a tokenizer file that every machine has; ids are little-endian bytes."""
+    """Whole texts to ids. ``path`` is a tokenizer file that every machine has; ids are little-endian bytes. ``memory``: bytes of a generation."""
 
     def __init__(self, path: str, memory: int = MEMORY):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -34,18 +100,35 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # control strings inside a text are text
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.memory = memory
-        self.kind = self._kind(json.loads(self.tokenizer.to_str()))
-        self.pieces: dict[str, bytes] = {}  # ids of a piece as it stands after a space, or with its line feed
-        self.tails: dict[str, bytes] = {}
-        self.heads: dict[str, bytes] = {}
+        spec = json.loads(self.tokenizer.to_str())
+        self.kind = self._kind(spec)
+        self.words = Memory(memory)
+        if self.kind == "bytes":
+            import tiktoken
+
+            self.fast = tiktoken.Encoding("own", pat_str=BYTE_WORDS, mergeable_ranks=self._ranks(spec), special_tokens={})
+            self.unsettled = _unsettled()
+
+    @staticmethod
+    def _ranks(spec: dict) -> dict[bytes, int]:
+        letters, vocab = byte_letters(), spec["model"]["vocab"]
+        made = [*letters, *(a + b for a, b in map(Encoder._pair, spec["model"]["merges"]))]
+        return {bytes(letters[c] for c in word): vocab[word] for word in made}
+
+    @staticmethod
+    def _pair(merge: str | list[str]) -> list[str]:
+        return merge.split(" ") if isinstance(merge, str) else merge
 
     @staticmethod
     def _kind(spec: dict) -> str:
-        """``bytes``: words keep a leading space; ``words``: white space is dropped, letters are lowered; else ``other``."""
-        before = spec.get("pre_tokenizer") or {}
+        """``bytes``: byte-level, merges in the order of their ids; ``words``: white space is dropped, letters are lowered; else ``other``."""
+        before, model = spec.get("pre_tokenizer") or {}, spec["model"]
         if before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and not spec.get("normalizer"):
-            return "bytes"
+            plain = model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+            ids = [model["vocab"].get("".join(Encoder._pair(m)), -1) for m in model["merges"]] if plain else []
+            letters = byte_letters()
+            ordered = len(ids) > 0 and ids[0] >= 0 and all(a < b for a, b in zip(ids, ids[1:], strict=False))
+            return "bytes" if ordered and all(c in model["vocab"] for c in letters) else "other"
         steps = before.get("pretokenizers", [])
         normal = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
         if steps and steps[0].get("type") == "Split" and steps[0].get("behavior") == "Removed" and normal == ["NFC", "Replace", "Lowercase"]:
@@ -55,88 +138,71 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _bulk(self, words: list[str], each: int) -> list[bytes]:
-        """Ids of words of letters only, each with what leads it, encoded in one go; ``each``: words a tokenizer sees in one."""
+    def _bulk(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters only, encoded in one go."""
         if not words:
             return []
-        encoded = self.tokenizer.encode("".join(words), add_special_tokens=False)
+        encoded = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
         number = np.array(encoded.word_ids, np.int64)
-        cuts = (np.flatnonzero(np.diff(number // each)) + 1) * self.dtype.itemsize
+        cuts = (np.flatnonzero(np.diff(number)) + 1) * self.dtype.itemsize
         if len(cuts) + 1 != len(words):
             return [self._whole(w) for w in words]
         ids = np.array(encoded.ids, self.dtype).tobytes()
         edges = [0, *cuts.tolist(), len(ids)]
         return [ids[a:b] for a, b in zip(edges, edges[1:], strict=False)]
 
-    def _learn(self, new: Iterable[str]) -> None:
-        """Remember pieces: a core of letters, encoded in bulk, and a tail of punctuation."""
-        pieces, tails, lower = self.pieces, self.tails, self.kind == "words"
-        todo, spaced, fed = [], {}, {}
-        for piece in new:
-            if piece.isalpha():
-                core, tail = piece, ""
+    def _learn(self, wanted: set[str]) -> None:
+        """Remember words: a core of letters, encoded in bulk, and a tail of punctuation."""
+        todo, cores, tails = [], {}, {}
+        for word in self.words.missing(wanted):
+            if word.isalpha():
+                core, tail = word, ""
             else:
-                core, tail = piece[:-1], piece[-1:]
+                core, tail = word[:-1], word[-1:]
                 if not core.isalpha() or tail not in PUNCTUATION:
-                    match = _WORD.fullmatch(piece)
+                    match = _WORD.fullmatch(word)
                     if not match or not match[2].isalpha():
-                        pieces[piece] = self._whole(piece if piece[:1] == "\n" else " " + piece)
+                        self.words.put(word, self._whole(word))
                         continue
                     core, tail = match[1], match[3]
-            if lower and not core.islower() and "Σ" not in core:
+            if not core.islower() and "Σ" not in core:
                 core = core.lower()
-            if core not in pieces:
-                if core[0] == "\n":
-                    fed[core] = None
-                else:
-                    spaced[core] = None
-                if core != piece:
-                    todo.append((piece, core, tail))
-            elif core != piece:
-                if tail and tail not in tails:
-                    tails[tail] = self._whole(tail)
-                pieces[piece] = pieces[core] + tails[tail] if tail else pieces[core]
-        pieces.update(zip(spaced, self._bulk([" " + w for w in spaced], 1), strict=True))
-        pieces.update(zip(fed, self._bulk(list(fed), 2), strict=True))  # a line feed is a word of its own
-        for piece, core, tail in todo:
-            if tail and tail not in tails:
-                tails[tail] = self._whole(tail)
-            pieces[piece] = pieces[core] + tails[tail] if tail else pieces[core]
-
-    def _cut(self, text: str) -> list[str] | None:
-        if self.kind == "words":
-            return None if _CONTROL.search(text) else text.split()
-        if self.kind == "bytes" and not _RUNS.search(text):
-            return text.replace("\n", " \n").split(" ")
-        return None
-
-    def forget(self) -> None:
-        """Give the remembered pieces up; at the end of a task, so that they don't stand beside another stage's memory."""
-        self.pieces, self.heads, self.tails = {}, {}, {}
+            cores[core] = b""
+            if tail:
+                tails[tail] = b""
+            todo.append((word, core, tail))
+        tails = {t: self._whole(t) for t in tails} | {"": b""}
+        for core in self.words.missing(set(cores)):
+            cores[core] = None
+        new = [c for c, ids in cores.items() if ids is None]
+        for core, ids in zip(new, self._bulk(new), strict=True):
+            self.words.put(core, ids)
+        find = self.words.young
+        for word, core, tail in todo:
+            if word != core:
+                self.words.put(word, find[core] + tails[tail])
+
+    def _encode_words(self, texts: list[str]) -> list[bytes]:
+        self.words.turn()
+        cut = [None if _CONTROL.search(t) else t.split() for t in texts]
+        new: set[str] = set()
+        for words in cut:
+            if words:
+                new.update(words)
+        self._learn(new)
+        find = self.words.young.__getitem__
+        return [self._whole(t) if words is None else b"".join(map(find, words)) for t, words in zip(texts, cut, strict=True)]
+
+    def _encode_bytes(self, text: str) -> bytes:
+        if (not text.isascii() or _CONTROL.search(text)) and self.unsettled.search(text) or _long_run(text):
+            return self._whole(text)
+        return np.array(self.fast.encode_ordinary(text), self.dtype).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as the tokenizer gives them for the whole text."""
-        if len(self.pieces) + len(self.heads) > self.memory:
-            self.forget()
-        cut = [self._cut(t) for t in texts]
-        head = 0 if self.kind == "words" else 1
-        new: set[str] = set()
-        for pieces in cut:
-            if pieces:
-                new.update(pieces[head:])
-        self._learn(new.difference(self.pieces))
-        out, find = [], self.pieces.__getitem__
-        for text, pieces in zip(texts, cut, strict=True):
-            if pieces is None:
-                out.append(self._whole(text))
-            elif head:
-                first = pieces[0]
-                if first not in self.heads:
-                    self.heads[first] = self._whole(first)
-                out.append(self.heads[first] + b"".join(map(find, pieces[1:])))
-            else:
-                out.append(b"".join(map(find, pieces)))
-        return out
+        if self.kind == "words":
+            return self._encode_words(texts)
+        return [self._encode_bytes(t) if self.kind == "bytes" else self._whole(t) for t in texts]
 
 
 def encoder(path: str) -> Encoder:

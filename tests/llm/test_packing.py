@@ -128,7 +128,7 @@ def test_remembered_pieces_give_the_ids_of_the_whole_text(name):
     rng = random.Random(3)
     odd = ["Σίσυφος ΟΔΟΣ", "İstanbul", "é", "ﬁ", "²", "½", "1234", "'s", "foo's", "don't", "a_b", "x--y", "...", "&&&", "漢字", "\U0001f600", " ",
            "\x1c", "\x85", " ", "\t", "\n", "  ", "<|endoftext|>", "K", "ſ", "Ünï", "A1b2", "​", "̀"]
-    texts = [prose(i, 40) for i in range(20)] + ["", " ", "\n"]
+    texts = [prose(i, 40) for i in range(20)] + ["", " ", "\n", "x" * 3000, "a " + " " * 3000 + "b", "\t" * 1500, "ab" * 700 + " c", "\u0870 \ua7ba \u180e"]
     for _ in range(400):
         texts.append("".join(rng.choice(odd + words_and_gaps(rng)) for _ in range(rng.randint(1, 14))))
     for low in range(0, len(texts), 37):
@@ -140,3 +140,14 @@ def test_remembered_pieces_give_the_ids_of_the_whole_text(name):
 def words_and_gaps(rng):
     return [" ", " ", " ", "\n"] + prose(rng.randint(0, 9**6), 4).split() + [w.capitalize() + "," for w in prose(rng.randint(0, 9**6), 2).split()]
 
+
+
+def test_two_generations_keep_what_is_in_use():
+    memory = tokens.Memory(3 * (tokens.ENTRY + 2))
+    for i in range(50):
+        memory.turn()
+        wanted = {"a", f"{i:x}"[-1]}
+        for word in memory.missing(wanted):
+            assert i == 0 or word != "a"
+            memory.put(word, b"1")
+        assert wanted <= set(memory.young) and len(memory.young) + len(memory.old) <= 10
