@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lakeops.llm import chat, decontaminate, licenses, packing, quality, secrets, simhash, substring, token_files, toxicity
+from lakeops.llm import chat, decontaminate, licenses, packing, quality, secrets, simhash, spelling, substring, token_files, toxicity
 from lakeops.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,6 +116,11 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@query
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(table(spark, folder, "documents"), slip=199))
+
+
 # Words of a text as DuckDB sees them; \\x7f to \\x9f and beyond count as letters from \\x80 on.
 _SQL_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')"
 
