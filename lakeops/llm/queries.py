@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lakeops.llm import chat, decontaminate, licenses, packing, quality, secrets, simhash, spelling, substring, token_files, toxicity
+from lakeops.llm import chat, decontaminate, licenses, packing, quality, secrets, simhash, spelling, substring, token_files, toxicity, warc
 from lakeops.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,6 +116,13 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@query
+def op12_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
+    place = scratch_path(spark, "archives")
+    manifest = warc.write_archives(table(spark, folder, "pages"), place)
+    return warc.read_archives(spark, manifest, place).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(spelling.word_counts(table(spark, folder, "documents"), slip=199))
