@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lakeops.llm import chat, decontaminate, licenses, packing, quality, secrets, simhash, spelling, substring, token_files, toxicity, warc
+from lakeops.llm import alignment, chat, decontaminate, licenses, packing, quality, secrets, simhash, spelling, substring, token_files, toxicity, warc
 from lakeops.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,6 +116,12 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@query
+def op11_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_tokenizers(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query
 def op12_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
     place = scratch_path(spark, "archives")
