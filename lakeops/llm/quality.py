@@ -24,7 +24,7 @@ from lakeops.llm.blocks import SPACE, Block, blocks, members, mix
 from lakeops.session import materialize
 
 WINDOW = 8
-PRIOR = 0.01
+PRIOR = 10.0
 SYMBOLS = members(b"#*$%&|<>")
 _UPPER, _LETTER = members(bytes(range(65, 91))), members(bytes(range(65, 91)) + bytes(range(97, 123)))
 _DIGIT, _SHOUT = members(b"0123456789"), members(b"!?")
@@ -151,15 +151,16 @@ def _digits(patterns: np.ndarray, n: int) -> np.ndarray:
     return patterns[:, None] // 3 ** np.arange(n) % 3
 
 
-def estimate(patterns: np.ndarray, counts: np.ndarray, n_rules: int, steps: int = 100) -> Accuracies:
+def estimate(patterns: np.ndarray, counts: np.ndarray, n_rules: int, steps: int = 300) -> Accuracies:
     """Expectation-maximisation over vote patterns, from the number of bad votes on.
 
     Junk breaks few rules, each kind others, so a bad vote says much and a good vote little. The prior
-    counts as ``PRIOR`` of the documents and says so; and no rule may come out as voting bad for good
-    texts more than half as often as for bad ones, which keeps the classes from changing places.
+    says so and counts as ``PRIOR`` documents of each class, however many there are, so that it fades;
+    and no rule may come out as voting bad for good texts more than half as often as for bad ones,
+    which keeps the classes from changing places.
     """
     table, total = _digits(patterns, n_rules), max(float(counts.sum()), 1.0)
-    prior = np.array([[0.1, 0.6, 0.3], [0.1, 0.88, 0.02]]) * PRIOR * total + 0.1
+    prior = np.array([[0.1, 0.6, 0.3], [0.1, 0.88, 0.02]]) * PRIOR
     good = 1 / (1 + np.exp(2.5 * (table == 2).sum(axis=1) - 3.0))
     for _ in range(steps):
         chances = np.empty((2, n_rules, 3))

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from helpers import awkward, prose, table  # noqa: F401
 
 from lakeops.llm import quality
@@ -45,17 +46,18 @@ def test_texts_of_one_block_do_not_touch():
     assert [tuple(int(found[n][i]) for n in NAMES) for i in range(len(texts))] == [brute(t) for t in texts]
 
 
-def test_estimation_recovers_accuracies():
+@pytest.mark.parametrize("n, share", [(20_000, 0.8), (2_000_000, 0.8), (2_000_000, 0.95)])
+def test_estimation_recovers_accuracies(n, share):
     rng = np.random.default_rng(3)
-    truth = rng.random(20000) < 0.8
+    truth = rng.random(n) < share
     right = np.array([0.95, 0.9, 0.8, 0.7])
-    votes = np.where(rng.random((20000, 4)) < right, np.where(truth, 1, 2)[:, None], np.where(truth, 2, 1)[:, None])
+    votes = np.where(rng.random((n, 4)) < right, np.where(truth, 1, 2)[:, None], np.where(truth, 2, 1)[:, None])
     votes[rng.random(votes.shape) < 0.3] = 0
     patterns, counts = np.unique(votes @ 3 ** np.arange(4), return_counts=True)
     found = quality.estimate(patterns, counts.astype(float), 4)
-    assert abs(found.good - 0.8) < 0.03
+    assert abs(found.good - share) < 0.01
     good = found.chances[1, :, 1] / (found.chances[1, :, 1] + found.chances[1, :, 2])
-    assert np.abs(good - right).max() < 0.05
+    assert np.abs(good - right).max() < 0.01
     posterior = dict(zip(patterns.tolist(), found.posterior(patterns).tolist(), strict=True))
     guess = np.array([posterior[p] for p in (votes @ 3 ** np.arange(4)).tolist()]) >= 0.5
     assert (guess == truth).mean() > 0.93

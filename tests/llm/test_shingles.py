@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from helpers import awkward, prose, table, words  # noqa: F401
 from pyspark.sql import functions as F
 
@@ -55,14 +56,17 @@ def kept_ids(docs):
 def test_one_of_each_group_stays_as_by_brute_force(spark, table, awkward):  # noqa: F811
     rows = awkward + [(100 + i, t) for i, t in enumerate(families(3, 25, 6, 6))]
     want = sorted(min((d is None, d or 0) for d, _ in group) for group in brute_groups(rows).values())
-    docs = table(rows, ["node", "root", "key", "keys", "size"])
+    docs = table(rows, ["node", "root", "key", "keys", "row", "by_id", "_by_id", "_by_text", "_whole", "_id"])
     kept = shingles.keep_one(docs)
     assert kept.columns == docs.columns and kept_ids(kept) == want
     assert len(want) < len(rows) - 50
 
 
-def test_a_large_family_and_small_chunks(spark, table, monkeypatch):  # noqa: F811
-    monkeypatch.setattr(shingles, "CHUNK", 7)
+@pytest.mark.parametrize("chunk, pivots, size", [(7, 30, 1 << 20), (1000, 200, 30_000)])
+def test_a_large_family_in_small_rounds(spark, table, monkeypatch, chunk, pivots, size):  # noqa: F811
+    monkeypatch.setattr(shingles, "CHUNK", chunk)
+    monkeypatch.setattr(shingles, "PIVOTS", pivots)
+    monkeypatch.setattr(shingles, "PIVOT_BYTES", size)
     rows = list(enumerate(families(5, 2, 90, 9) + families(6, 20, 1, 2)))
     want = sorted((False, min(d for d, _ in group)) for group in brute_groups(rows).values())
     assert kept_ids(shingles.keep_one(table(rows))) == want
@@ -77,13 +81,52 @@ def test_copies_with_one_changed_word_go_that_two_bits_leave(spark, table):  # n
     assert simhash.keep_one(table(rows)).count() > 40
 
 
+def test_no_more_rows_leave_a_task_than_sets_come_in():
+    base = words(77, 120)
+    rng, texts = random.Random(78), []
+    for i in range(5000):
+        copy = list(base)
+        for at in rng.sample(range(120), 4):
+            copy[at] = f"edit{i}{at}"
+        texts.append(" ".join(copy))
+    rows = []
+    for _, _, block in blocks(pa.array(texts)):
+        hashes, sizes = shingles.shingle_sets(block)
+        edges = np.concatenate([[0], np.cumsum(sizes)])
+        rows += [hashes[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    n = len(rows)
+    order = [*range(1000), *range(n)]
+    whole = pa.RecordBatch.from_arrays(
+        [pa.array([1] * len(order)), pa.array([0] * len(order)), pa.array([True] * 1000 + [False] * n), pa.array(order), pa.array(order),
+         pa.array([rows[i] for i in order], pa.binary())], ["key", "chunk", "pivot", "node", "root", "shingles"])
+    found = [b for low in range(0, len(order), 1500) for b in [whole.slice(low, 1500)]]
+    links = [(x, y) for b in shingles._compared(iter(found), 0.8) for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+    sets = [frozenset(np.frombuffer(r, np.uint64).tolist()) for r in rows]
+    assert len(links) < n and all(len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y]) - 1e-9 for x, y in links)
+
+    def groups(pairs):
+        root = list(range(n))
+
+        def find(i):
+            while root[i] != i:
+                root[i] = root[root[i]]
+                i = root[i]
+            return i
+
+        for x, y in pairs:
+            root[max(find(x), find(y))] = min(find(x), find(y))
+        return [find(i) for i in range(n)]
+
+    some = [(x, y) for x in range(0, 1000, 25) for y in range(n) if x != y and len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y]) - 1e-9]
+    assert groups(links) == groups(links + some)
+
+
 def test_sets_and_counts_are_those_of_brute_force(awkward):  # noqa: F811
     texts = [t for _, t in awkward] + ["a b c d", "a b c d e", "A b  c\td e f", "x " * 9]
     for _, _, block in blocks(pa.array(texts)):
         hashes, sizes = shingles.shingle_sets(block)
         assert sizes.tolist() == [len(brute_set(t)) for t in texts] and len(hashes) == sizes.sum()
-        nodes, keys, again, counts = shingles.signed(block)
-        assert (again == sizes).all() and counts.sum(1).tolist() == [min(n, int(c.sum())) for n, c in zip(sizes, counts, strict=True)]
+        nodes, keys = shingles.signed(block)
         assert len(np.unique(nodes)) == len({brute_set(t) for t in texts}) and keys.shape == (len(texts), shingles.BANDS)
 
 
