@@ -176,6 +176,7 @@ def contaminated(hits: DataFrame) -> DataFrame:
 def without_benchmarks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents without any hit; the columns stay as they are."""
     _, hits = benchmark_hits(docs, items, doc_id, text, **options)
-    flagged = hits.select(F.col("doc_id").alias("_hit_id"), F.col("text_hash").alias("_hit_hash")).distinct()
-    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("_hit_id")) & (F.xxhash64(f"`{text}`") == F.col("_hit_hash"))
-    return docs.join(flagged, same, "left_anti")
+    flagged = hits.select(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64(f"`{text}`").alias("hash"))
+    same = F.col("row").getField(doc_id).eqNullSafe(F.col("hit_id")) & (F.col("hash") == F.col("hit_hash"))
+    return rows.join(flagged, same, "left_anti").select("row.*")

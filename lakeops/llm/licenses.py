@@ -207,20 +207,28 @@ def _gate(known: list[Rule]) -> str:
     return "(?i)(?<![0-9A-Za-z])(?:" + "|".join(f"{letter}(?:{'|'.join(rest)})" for letter, rest in first.items()) + ")"
 
 
-_RESOLVE = """aggregate(
-    array_sort(_all, (a, b) -> CASE
-      WHEN a.start <> b.start THEN a.start - b.start
-      WHEN a.end <> b.end THEN b.end - a.end
+_HIT = "struct<start:int,end:int,priority:int,label:string,confidence:double>"
+_BETTER = """(a, b) -> CASE
       WHEN a.priority <> b.priority THEN b.priority - a.priority
-      WHEN a.label < b.label THEN -1 WHEN a.label > b.label THEN 1 ELSE 0 END),
-    struct(cast(NULL AS struct<start:int,end:int,priority:int,label:string,confidence:double>) AS last,
-      cast(array() AS array<struct<start:int,end:int,priority:int,label:string,confidence:double>>) AS kept),
-    (state, x) -> CASE
-      WHEN state.last IS NULL OR x.start >= state.last.end THEN struct(x AS last,
-        CASE WHEN state.last IS NULL THEN state.kept ELSE concat(state.kept, array(state.last)) END AS kept)
-      WHEN x.end <= state.last.end OR x.priority <= state.last.priority THEN state
-      ELSE struct(x AS last, state.kept AS kept) END,
-    state -> CASE WHEN state.last IS NULL THEN state.kept ELSE concat(state.kept, array(state.last)) END)"""
+      WHEN a.end - a.start <> b.end - b.start THEN (b.end - b.start) - (a.end - a.start)
+      WHEN a.start <> b.start THEN a.start - b.start
+      WHEN a.label < b.label THEN -1 WHEN a.label > b.label THEN 1 ELSE 0 END"""
+# Of detections that touch each other: the best of those that lie in no longer one stays, what overlaps
+# it goes, and what is left is judged anew.
+_JUDGE = f"""aggregate(sequence(1, size(group)), struct(group AS left, cast(array() AS array<{_HIT}>) AS kept),
+    (state, i) -> CASE WHEN size(state.left) = 0 THEN state ELSE element_at(transform(array(element_at(array_sort(
+        filter(state.left, x -> NOT exists(state.left, y -> y.start <= x.start AND x.end <= y.end AND y.end - y.start > x.end - x.start)),
+        {_BETTER}), 1)), best -> struct(
+          filter(state.left, x -> x.start >= best.end OR x.end <= best.start) AS left, concat(state.kept, array(best)) AS kept)), 1) END,
+    state -> state.kept)"""
+_RESOLVE = f"""array_sort(flatten(transform(aggregate(
+    array_sort(_all, (a, b) -> CASE WHEN a.start <> b.start THEN a.start - b.start ELSE b.end - a.end END),
+    struct(0 AS reach, cast(array() AS array<{_HIT}>) AS open, cast(array() AS array<array<{_HIT}>>) AS done),
+    (state, x) -> CASE WHEN x.start >= state.reach
+      THEN struct(x.end AS reach, array(x) AS open, CASE WHEN size(state.open) = 0 THEN state.done ELSE concat(state.done, array(state.open)) END AS done)
+      ELSE struct(greatest(state.reach, x.end) AS reach, concat(state.open, array(x)) AS open, state.done AS done) END,
+    state -> CASE WHEN size(state.open) = 0 THEN state.done ELSE concat(state.done, array(state.open)) END),
+    group -> CASE WHEN size(group) = 1 THEN group ELSE {_JUDGE} END)))"""
 
 
 def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", known: list[Rule] | None = None) -> DataFrame:

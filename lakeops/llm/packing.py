@@ -235,33 +235,32 @@ def _places(made: Plan) -> list[tuple[int, int, int, int, int, int]]:
 def pack(found: DataFrame, limit: int = LIMIT, length: str = "length") -> DataFrame:
     """``found`` with ``sequence_id`` and ``offset``: pieces of each sequence stand from 0 on without gaps.
 
-    ``length`` holds whole numbers from 1 to ``limit``; all other columns, whatever their values, are
-    carried along, and equal rows are as many pieces. An empty table gives no rows.
+    ``length`` holds whole numbers from 1 to ``limit``; all other columns, whatever their names and
+    values, are carried along, but for earlier ``sequence_id`` and ``offset``, which are made anew.
+    Equal rows are as many pieces. An empty table gives no rows.
     """
-    clash = {"sequence_id", "offset"} & set(found.columns)
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} are made here")
-    rest = [c for c in found.columns if c != length]
-    base = materialize(found.withColumn("_order", F.xxhash64(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(0)), "pieces")
-    counts = {r[0]: r[1] for r in base.groupBy(length).count().collect()}  # at most ``limit`` rows
+    row = found.drop("sequence_id", "offset")
+    # Equal rows are told apart by where they stand, so that they are spread as well.
+    place = F.monotonically_increasing_id()
+    base = materialize(row.select(F.struct("*").alias("row"), F.col(f"`{length}`").alias("length"), place.alias("place")), "pieces")
+    base = base.withColumn("_order", F.xxhash64("place"))
+    counts = {r[0]: r[1] for r in base.groupBy("length").count().collect()}  # at most ``limit`` rows
     if any(k is None or not 0 < k <= limit for k in counts):
         raise ValueError(f"lengths must be from 1 to {limit}")
     buckets = math.ceil(sum(counts.values()) / ROWS_PER_BUCKET)
     # The number of a piece within its length, by buckets, so that no length is sorted in one task.
     base = base.withColumn("_bucket", F.pmod("_order", F.lit(max(16, buckets))))
-    before = Window.partitionBy(length).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = base.groupBy(length, "_bucket").count().select(
-        F.col(length).alias("_l"), F.col("_bucket").alias("_b"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
-    order = [F.col("_order"), *[F.col(f"`{c}`") for c in rest]]
-    numbered = base.withColumn("_number", F.row_number().over(Window.partitionBy(length, "_bucket").orderBy(*order)) - 1)
-    numbered = numbered.join(starts, (F.col(length) == F.col("_l")) & (F.col("_bucket") == F.col("_b")))
+    before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = base.groupBy("length", "_bucket").count().select(
+        F.col("length").alias("_l"), F.col("_bucket").alias("_b"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    numbered = base.withColumn("_number", F.row_number().over(Window.partitionBy("length", "_bucket").orderBy("_order")) - 1)
+    numbered = numbered.join(starts, (F.col("length") == F.col("_l")) & (F.col("_bucket") == F.col("_b")))
     places = found.sparkSession.createDataFrame(
         _places(plan(counts, limit)), "_length bigint, _low bigint, _high bigint, _first bigint, _each bigint, _offset bigint")
     number = F.col("_number") + F.col("_before")
     # The plan has a few rows per length, so its size is bounded by ``limit``, not by the pieces.
     placed = numbered.withColumn("_n", number.cast("long")).join(
-        F.broadcast(places), (F.col(length) == F.col("_length")) & (F.col("_n") >= F.col("_low")) & (F.col("_n") < F.col("_high")))
+        F.broadcast(places), (F.col("length") == F.col("_length")) & (F.col("_n") >= F.col("_low")) & (F.col("_n") < F.col("_high")))
     return placed.select(
-        *[F.col(f"`{c}`") for c in found.columns],
-        F.expr("_first + (_n - _low) div _each").alias("sequence_id"),
-        (F.col("_offset") + F.pmod(F.col("_n") - F.col("_low"), F.col("_each")) * F.col(f"`{length}`")).cast("long").alias("offset"))
+        "row.*", F.expr("_first + (_n - _low) div _each").alias("sequence_id"),
+        (F.col("_offset") + F.pmod(F.col("_n") - F.col("_low"), F.col("_each")) * F.col("length")).cast("long").alias("offset"))

@@ -3,7 +3,8 @@
 For the second, a candidate string is cut into runs of each character class. A window of fixed size
 slides over a run; the Shannon entropy of its characters is kept up to date from the counts of the
 character that enters and the one that leaves. Runs of windows above the class's threshold are a
-span, unless an allow-list pattern recognises the string as harmless.
+span. An allow-list suppresses strings that are harmless as a whole, and of others the windows that
+touch a part between separators in which a harmless pattern stands.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ LEAST = {"assign": 12, "access": 18, "hex": 16}
 _LONG_HEX = re.compile(r"[0-9a-f]{16,}")  # a maximal run of hex digits is one match either way
 
 KINDS = ("assign", "access", "hex", "entropy")
+_PART = re.compile(r"[^+/_=-]+")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 
 
@@ -49,7 +51,7 @@ CLASSES = (
     CharacterClass("base64", SMALL + SMALL.upper() + DIGITS + "+/_-", 20, 3.7),
 )
 ALLOWED = (
-    r"(?i)example|sample|dummy|placeholder|changeme|redacted|x{6}|0{8}|1234567",
+    r"(?i)example|sample|dummy|placeholder|changeme|redacted|x{6}|0{8}|1234567|wjalrxutnfemi",
     r"(?i)abcdefgh",
     r"[0-9]+",  # a number
     r"[^0-9]+",  # no digit: words, names of functions, long compounds
@@ -88,7 +90,10 @@ class Scanner:
         self.runs = [re.compile("[" + re.escape(c.characters) + "]{" + str(c.size) + ",}") for c in classes]
 
     def harmless(self, found: str) -> bool:
-        return any(p.search(found) for p in self.partial) or any(p.fullmatch(found) for p in self.whole)
+        return any(p.fullmatch(found) for p in self.whole)
+
+    def harmless_parts(self, found: str) -> list[tuple[int, int]]:
+        return [part.span() for part in _PART.finditer(found) if any(p.search(part[0]) for p in self.partial)]
 
     def base(self, text: str) -> list[tuple[int, int, str]]:
         """The base kinds, leftmost and without overlap within a kind."""
@@ -104,13 +109,15 @@ class Scanner:
             string = candidate[0]
             if self.harmless(string.strip("=-_/+")):
                 continue
-            windows = []
+            windows, parts = [], self.harmless_parts(string)
             for kind, runs in zip(self.classes, self.runs, strict=True):
                 for run in runs.finditer(string):
                     if self.harmless(run[0].strip("=-_/+")):
                         continue
                     windows += [(run.start() + i, run.start() + i + kind.size)
                                 for i, bits in enumerate(window_entropies(run[0], kind.size)) if bits >= kind.bits]
+            if parts:
+                windows = [(start, end) for start, end in windows if not any(start < b and a < end for a, b in parts)]
             last = -1
             for start, end in sorted(windows):
                 start, end = candidate.start() + start, candidate.start() + end

@@ -204,6 +204,6 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     """
     _, classes = _classes(docs, doc_id, text, width)
     kept = classes.select(F.xxhash64("_first._id").alias("_by_id"), F.col("_first._hash").alias("_by_text")).distinct()
-    keyed = docs.withColumns({"_by_id": F.xxhash64(f"`{doc_id}`"), "_by_text": F.xxhash64(f"`{text}`")})
+    keyed = docs.select(F.struct("*").alias("row"), F.xxhash64(f"`{doc_id}`").alias("_by_id"), F.xxhash64(f"`{text}`").alias("_by_text"))
     # Both steps need rows of one key together, so the texts are shuffled once.
-    return keyed.join(kept, ["_by_id", "_by_text"], "left_semi").dropDuplicates(["_by_id", "_by_text"]).select(*docs.columns)
+    return keyed.join(kept, ["_by_id", "_by_text"], "left_semi").dropDuplicates(["_by_id", "_by_text"]).select("row.*")

@@ -59,16 +59,16 @@ def cuts(block: Block, least: int = LEAST_BYTES, one_in: int = ONE_IN) -> list[n
 
 
 def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST_BYTES, one_in: int = ONE_IN) -> DataFrame:
-    """One row per chunk: ``doc`` (the id as a whole number), ``digest`` (8 bytes of BLAKE2b) and ``place``.
+    """One row per chunk: ``doc`` (the id as a whole number), ``hash`` (of the text), ``digest`` (8 bytes of BLAKE2b) and ``place``.
 
-    ``place`` is the start in code points times 2**32 plus the end. Three numbers a row keep the
+    ``place`` is the start in code points times 2**32 plus the end. Four numbers a row keep the
     shuffles small. Null and empty texts have no chunks; rows with a null id have the number ``NO_ID``.
     """
-    schema = "doc bigint, digest bigint, place bigint"
+    schema = "doc bigint, hash bigint, digest bigint, place bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, _, block in blocks(batch.column(1)):
+            for first, _, block in blocks(batch.column(2)):
                 bounds = cuts(block, least, one_in)
                 raw = block.data.tobytes()
                 counts = np.array([max(0, len(b) - 1) for b in bounds])
@@ -82,9 +82,11 @@ def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: i
                 origin = points[block.bounds[owner]]
                 place = ((points[low] - origin) << 32) + (points[high] - origin)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(owner + first)), pa.array(np.frombuffer(digests, "<i8")), pa.array(place)], ["doc", "digest", "place"])
+                    [*(batch.column(i).take(pa.array(owner + first)) for i in (0, 1)), pa.array(np.frombuffer(digests, "<i8")), pa.array(place)],
+                    ["doc", "hash", "digest", "place"])
 
-    chosen = docs.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(NO_ID)).alias("doc"), F.col(f"`{text}`").cast("string").alias("_text"))
+    whole = F.col(f"`{text}`").cast("string")
+    chosen = docs.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(whole).alias("hash"), whole.alias("_text"))
     return chosen.mapInArrow(run, schema)
 
 
@@ -95,25 +97,27 @@ def repeated_passages(
     """Passages that also stand in another document: runs of chunks, each of which occurs in two or more documents.
 
     One row per run of ``least_chars`` or more: ``doc_id``, ``start`` and ``end`` (code points),
-    ``n_chunks``, and ``n_repeats``, how many of its chunks a document with a smaller id has already.
-    Ids are whole numbers. Rows with one id are one document, and so are all rows without an id, which
-    come last; equal rows give their passages once. Null and empty texts, and an empty table, give none.
+    ``n_chunks``, ``n_repeats``, how many of its chunks a document with a smaller id has already, and
+    ``text_hash``, the xxhash64 of the text that is meant. Ids are whole numbers. A document is an id
+    and a text: different texts of one id, or without an id, are documents of their own, none of them
+    earlier than the other; null ids come last. Equal rows are one document and give their passages
+    once. Null and empty texts, and an empty table, give none.
     """
     cut = materialize(chunks(docs, doc_id, text, least, one_in), "chunks")
-    known = cut.groupBy("digest").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-    shared = known.where("first <> last").select(F.col("digest").alias("_digest"), "first")
+    known = cut.groupBy("digest").agg(*(f(c).alias(f"{n}{c}") for c in ("doc", "hash") for f, n in ((F.min, "least_"), (F.max, "most_"))))
+    shared = known.where("least_doc <> most_doc OR least_hash <> most_hash").withColumnRenamed("least_doc", "first").select(F.col("digest").alias("_digest"), "first")
     found = cut.join(shared, F.col("digest") == F.col("_digest"))
-    rows = found.groupBy("doc", "place").agg(F.max((F.col("first") != F.col("doc")).cast("int")).alias("late"))
-    rows = rows.select("doc", F.expr("place >> 32").alias("start"), F.expr("place & 4294967295L").alias("end"), "late")
+    rows = found.groupBy("doc", "hash", "place").agg(F.max((F.col("first") != F.col("doc")).cast("int")).alias("late"))
+    rows = rows.select("doc", "hash", F.expr("place >> 32").alias("start"), F.expr("place & 4294967295L").alias("end"), "late")
     # A run goes on where a chunk starts at the end of the one before.
-    order = Window.partitionBy("doc").orderBy("start", "end")
+    order = Window.partitionBy("doc", "hash").orderBy("start", "end")
     fresh = F.coalesce((F.lag("end").over(order) != F.col("start")).cast("int"), F.lit(1))
     numbered = rows.withColumn("_new", fresh).withColumn("_run", F.sum("_new").over(order))
-    runs = numbered.groupBy("doc", "_run").agg(
+    runs = numbered.groupBy("doc", "hash", "_run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n_chunks"), F.sum("late").cast("long").alias("n_repeats"))
     kind = docs.schema[doc_id].dataType
     return runs.where(F.col("end") - F.col("start") >= least_chars).select(
-        F.when(F.col("doc") != NO_ID, F.col("doc")).cast(kind).alias("doc_id"), "start", "end", "n_chunks", "n_repeats")
+        F.when(F.col("doc") != NO_ID, F.col("doc")).cast(kind).alias("doc_id"), "start", "end", "n_chunks", "n_repeats", F.col("hash").alias("text_hash"))
 
 
 def without_repeats(docs: DataFrame, passages: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -122,12 +126,12 @@ def without_repeats(docs: DataFrame, passages: DataFrame, doc_id: str = "doc_id"
     A passage goes if all its chunks are in earlier documents; the earliest holder keeps it. Texts
     without an id, texts whose id another text has too, and null texts stay as they are.
     """
-    late = passages.where("n_repeats = n_chunks AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(
+    late = passages.where("n_repeats = n_chunks AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
         F.array_sort(F.collect_list(F.struct("start", "end"))).alias("cut"))
     base = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    hashed = F.xxhash64("text")
+    hashed = F.xxhash64(F.col("text").cast("string"))
     clear = base.groupBy(F.col("doc_id").alias("_id")).agg((F.min(hashed) == F.max(hashed)).alias("_one")).where("_one")
-    joined = base.join(late.join(clear, "_id"), F.col("doc_id") == F.col("_id"), "left")
+    joined = base.join(late.join(clear, "_id"), (F.col("doc_id") == F.col("_id")) & (hashed == F.col("_hash")), "left")
     # What stands before each passage, then what follows the last.
     kept = F.expr("""concat(
         array_join(transform(cut, (c, i) -> substring(text, CAST(CASE WHEN i = 0 THEN 1 ELSE cut[i - 1].end + 1 END AS int),

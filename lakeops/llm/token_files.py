@@ -64,7 +64,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", te
         last = np.array([end_id], own.dtype).tobytes()
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for low, high in groups([len(t) for t in texts]):
+            for low, high in groups([len(t) for t in texts], 4 << 20):
                 found = [ids + last for ids in own.encode(texts[low:high])]
                 width = pa.array(np.full(high - low, own.dtype.itemsize, np.int32))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), width, pa.array(found, pa.binary())], ["doc_id", "width", "ids"])

@@ -22,7 +22,7 @@ from lakeops.llm.blocks import kept
 _CONTROL = re.compile(r"[\x1c-\x1f\x85]")
 _WORD = re.compile(r"(([^\W\d_]+))([!-/:-@\[-`{-~]*)")  # letters, then ASCII punctuation
 PUNCTUATION = frozenset("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
-MEMORY = 128 << 20
+MEMORY = 192 << 20
 ENTRY = 230  # bytes that a remembered word takes besides its letters and ids
 LONG = 1000
 #: The pattern by which byte-level tokenizers of this family part words.

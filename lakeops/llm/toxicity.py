@@ -94,7 +94,9 @@ def train(texts: list[tuple[Block, np.ndarray, np.ndarray]], features: int = FEA
     """Fit the sentence model to (block, label of each text, weight of each text).
 
     Features are first screened: they must occur in toxic documents more often than in others, beyond
-    what chance explains. The noisy-or likelihood then trains the weights of those that remain, by gradient steps with momentum.
+    what chance explains. Rates are those of each class, and a feature's rate over all documents takes
+    the classes by their weights, so a sample of equal classes is screened as its documents would be.
+    At most ``features`` of them, those of most effect, bound the model. The noisy-or likelihood then trains the weights of those that remain, by gradient steps with momentum.
     """
     labels = np.concatenate([y for _, y, _ in texts]) if texts else np.empty(0)
     weight = np.concatenate([w for _, _, w in texts]) if texts else np.empty(0)
@@ -117,8 +119,10 @@ def train(texts: list[tuple[Block, np.ndarray, np.ndarray]], features: int = FEA
     with_toxic = np.bincount(place, toxic[all_text], len(keys))
     clean = np.bincount(place, (~toxic)[all_text], len(keys))
     lift = np.log(((with_toxic + 0.5) / (toxic.sum() + 1)) / ((clean + 0.5) / ((~toxic).sum() + 1)))
-    expected = (with_toxic + clean) * toxic.mean()
-    excess = (with_toxic - expected) / np.sqrt(expected * (1 - toxic.mean()))  # in standard deviations
+    share = weight[toxic].sum() / weight.sum()
+    rate, clean_rate = with_toxic / toxic.sum(), clean / (~toxic).sum()
+    spread = (share * rate + (1 - share) * clean_rate) * (1 / toxic.sum() + 1 / (~toxic).sum())
+    excess = (rate - clean_rate) / np.sqrt(spread)  # in standard deviations
     usable = np.flatnonzero((with_toxic >= min(5, toxic.sum())) & (lift > 1.0) & (excess > EXCESS))
     usable = usable[np.argsort(-(lift * with_toxic)[usable], kind="stable")[:features]]
     model = Model(np.sort(keys[usable]), np.zeros(len(usable)), -5.0)
@@ -175,7 +179,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     """Train on labelled rows that are not held out (crc32 of the id as text is not divisible by 5).
 
     ``per_class`` bounds the rows of each class; they are those with the smallest hashes of the id, so
-    the sample is the same on every run. Rows with a null id or label are not used; of several labels of
+    the sample is the same on every run. Of several texts of one id the least is used. Rows with a null id or label are not used; of several labels of
     one document the highest counts. Without both classes the model scores every document alike.
     """
     known = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_toxic")).dropna()
@@ -187,7 +191,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         share = F.when(F.col("_toxic") == kind, F.lit(min(1.0, per_class / n))).otherwise(share)
     # Twice ``per_class`` rows of a few bytes, which may be broadcast.
     sample = F.broadcast(known.where(spread < share))
-    chosen = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").cast("string").alias("_text")).join(sample, "_id").select("_text", "_toxic")
+    chosen = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").cast("string").alias("_text")).join(sample, "_id")
+    # One text per id, so that repeated ids don't lift the bound.
+    chosen = chosen.groupBy("_id", "_toxic").agg(F.min("_text").alias("_text")).select("_text", "_toxic")
     scale = {kind: max(1.0, n / per_class) for kind, n in counts.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

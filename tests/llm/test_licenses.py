@@ -130,3 +130,29 @@ def test_names_alone_are_found(spark, table):  # noqa: F811
             "SPDX-License-Identifier: 0BSD": "bsd-0-clause", "SPDX-License-Identifier: BSL-1.0": "boost-1.0", "SPDX-License-Identifier: PSF-2.0": "python-2.0"}
     rows = licenses.scan_licenses(table(list(enumerate(want)))).collect()
     assert {r.doc_id: [d.label for d in r.detections] for r in rows} == {i: [label] for i, label in enumerate(want.values())}
+
+
+def brute_resolved(hits):
+    left, kept = list(hits), []
+    while left:
+        outer = [x for x in left if not any(y[0] <= x[0] and x[1] <= y[1] and y[1] - y[0] > x[1] - x[0] for y in left)]
+        best = min(outer, key=lambda x: (-x[2], x[0] - x[1], x[0], x[3]))
+        kept.append(best)
+        left = [x for x in left if x[0] >= best[1] or x[1] <= best[0]]
+    return sorted(kept)
+
+
+def test_overlaps_are_resolved_as_by_brute_force(spark):
+    rng = random.Random(12)
+    cases = [[(1, 4, 1, "a"), (2, 3, 2, "b"), (3, 5, 9, "c")]]
+    for _ in range(300):
+        hits = set()
+        for _ in range(rng.randint(0, 12)):
+            start = rng.randrange(30)
+            hits.add((start, start + rng.randint(1, 8), rng.randrange(4), rng.choice("abc")))
+        cases.append(sorted(hits))
+    frame = spark.createDataFrame([(i, [(s, e, p, x, 0.5) for s, e, p, x in hits]) for i, hits in enumerate(cases)],
+                                  f"id int, _all array<{licenses._HIT}>")
+    for r in frame.selectExpr("id", f"{licenses._RESOLVE} AS kept").collect():
+        assert [(k.start, k.end, k.priority, k.label) for k in r.kept] == brute_resolved(cases[r.id]), cases[r.id]
+    assert {x[3] for x in brute_resolved(cases[0])} == {"b", "c"}

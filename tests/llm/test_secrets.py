@@ -80,3 +80,56 @@ def test_redaction_keeps_everything_else(spark, table, awkward):
         if i is not None:
             assert by_id[i].text == t
     assert secrets.redact(table([])).collect() == [] and secrets.find_secrets(table([])).collect() == []
+
+
+def test_a_harmless_part_does_not_hide_the_rest():
+    scanner, key = secrets.Scanner(), "k9Xz7Qm2Lp4Rt8Vw3Yb6Nc1Ds5Fg0Hj"
+    for text in (key, f"sample/{key}", f"{key}/example", f"my_dummy_{key}", f"x = {key}"):
+        found = scanner.uneven(text)
+        assert found and all(key in text[max(0, s - 1):e + 1] or text[s:e].strip("/_") in key for s, e, _ in found), text
+        assert max(e for _, e, _ in found) >= text.index(key) + len(key) and min(s for s, _, _ in found) <= text.index(key)
+    assert scanner.uneven("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY") == []
+
+
+def brute_uneven(text, classes=secrets.CLASSES, allowed=secrets.ALLOWED):
+    """Every window of every class counted anew; harmless strings and parts as the list says."""
+    whole = [p for p in allowed if not p.startswith("(?i)")]
+    parts = [p for p in allowed if p.startswith("(?i)")]
+    marked = set()
+    for c in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
+        if any(re.fullmatch(p, c[0].strip("=-_/+")) for p in whole):
+            continue
+        bad = set()
+        for part in re.finditer(r"[^+/_=-]+", c[0]):
+            if any(re.search(p, part[0]) for p in parts):
+                bad |= set(range(*part.span()))
+        for kind in classes:
+            for run in re.finditer("[" + re.escape(kind.characters) + "]+", c[0]):
+                if any(re.fullmatch(p, run[0].strip("=-_/+")) for p in whole):
+                    continue
+                for i in range(len(run[0]) - kind.size + 1):
+                    window = run[0][i:i + kind.size]
+                    bits = -sum(n / kind.size * math.log2(n / kind.size) for n in Counter(window).values())
+                    at = range(run.start() + i, run.start() + i + kind.size)
+                    if bits >= kind.bits - 1e-12 and not bad & set(at):
+                        marked.add((c.start() + at[0], c.start() + at[-1] + 1))
+    merged = []
+    for s, e in sorted(marked):
+        if merged and s <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], e)
+        else:
+            merged.append([s, e])
+    return [tuple(m) for m in merged]
+
+
+def test_entropy_spans_are_those_of_brute_force():
+    rng, scanner = random.Random(5), secrets.Scanner()
+    alphabet = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    for _ in range(300):
+        pieces = []
+        for _ in range(rng.randint(1, 8)):
+            kind = rng.choice([alphabet, "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ab1", "0123456789"])
+            pieces.append("".join(rng.choice(kind) for _ in range(rng.randint(1, 40))))
+            pieces.append(rng.choice(["", "/", "_", " ", "-", "example", "=", "sample_", "."]))
+        text = "".join(pieces)
+        assert [(s, e) for s, e, _ in scanner.uneven(text)] == brute_uneven(text), text

@@ -73,3 +73,28 @@ def test_texts_that_share_an_id_are_not_cut(spark, table):
     found = substring.repeated_passages(docs)
     cut = sorted((r.doc_id, r.text) for r in substring.without_repeats(docs, found).collect())
     assert cut[:3] == sorted([(1, text), (2, text), (2, other)]) and len(cut[3][1]) < 60
+
+
+def test_texts_without_an_id_or_with_a_shared_one_are_documents_of_their_own(spark, table):
+    import xxhash
+
+    passage = prose(50, 60)
+    for a, b in ((None, None), (7, 7)):
+        texts = [f"{prose(51, 60)} {passage} {prose(52, 60)}", f"{prose(53, 60)} {passage} {prose(54, 60)}"]
+        rows = substring.repeated_passages(table([(a, texts[0]), (b, texts[1]), (9, prose(55, 90))])).collect()
+        by_hash = {r.text_hash: r for r in rows}
+        assert len(rows) == 2 and all(r.doc_id == a and r.n_repeats == 0 for r in rows)
+        for t in texts:
+            h = xxhash.xxh64_intdigest(t.encode(), 42)
+            r = by_hash[h - (1 << 64) if h >> 63 else h]
+            assert t[r.start:r.end].strip() in passage
+
+
+def test_the_registered_query(spark, table, tmp_path, awkward):
+    from lakeops.llm.queries import QUERIES
+
+    passage = prose(60, 60)
+    rows = awkward + [(100 + i, f"{prose(61 + i, 40)} {passage}") for i in range(3)]
+    table(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id for r in QUERIES["op8_substring_dedup"](spark, str(tmp_path)).collect()}
+    assert got >= {100, 101, 102, 6, 7} and not got & {1, 2, 3, 4, 5, 8, 9}

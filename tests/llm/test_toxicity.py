@@ -76,3 +76,22 @@ def test_one_class_or_no_labels(spark, table):
         model = model_of(spark, table, rows, some)
         assert len({round(r.score, 12) for r in toxicity.score_documents(table([(1, "a b"), (2, "c")]), model).collect()}) == 1
     assert toxicity.score_documents(table([]), model).collect() == []
+
+
+def test_repeated_ids_teach_once(spark, table):
+    rows, labels = corpus(200)
+    one, many = model_of(spark, table, rows, labels), model_of(spark, table, rows + rows[:30] * 7, labels)
+    assert one.keys.tolist() == many.keys.tolist() and np.allclose(one.weights, many.weights)
+
+
+def test_a_sample_of_equal_classes_is_screened_like_all_documents():
+    """A rare word of toxic texts passes however many clean texts a weight stands for."""
+    toxic = [f"Plain words here {i % 7}. {'Rareword' if i < 12 else 'other'} there." for i in range(300)]
+    for clean, weight in ((2700, 1.0), (300, 9.0)):
+        texts = toxic + [f"Plain words here {i % 7}. Other there." for i in range(clean)]
+        labels = np.array([1] * 300 + [0] * clean)
+        weights = np.where(labels == 1, 1.0, weight)
+        held = [(b, labels[low:high], weights[low:high]) for low, high, b in blocks(pa.array(texts))]
+        model = toxicity.train(held)
+        with_word = next(blocks(pa.array(["Rareword."])))[2]
+        assert any((model.found(k) >= 0).any() for k in toxicity.sentences(with_word).keys), clean
