@@ -64,7 +64,7 @@ def bm25(corpus: DataFrame, queries: DataFrame, top: int, key: str = "id", text:
     against the query words and keeps ``top`` rows per query, so (query, text) pairs are never
     shuffled. Queries are handled in blocks of bounded size.
     """
-    split = corpus.select(F.col(key).cast("bigint").alias("id"), tokens(F.col(text)).alias("words"))
+    split = corpus.select(F.col(key).cast("bigint").alias("id"), tokens(F.coalesce(F.col(text), F.lit(""))).alias("words"))
 
     def scored() -> Iterator[DataFrame]:
         for asked in _query_terms(queries, query_key, query_text):
@@ -95,7 +95,7 @@ def _query_terms(queries: DataFrame, key: str, text: str) -> Iterator[dict[int,
     cut = queries.select(F.col(key).cast("bigint").alias("q"), F.array_distinct(tokens(F.col(text))).alias("terms"))
     for block in range(blocks):
         part = cut if blocks == 1 else cut.where(F.pmod(F.xxhash64("q"), F.lit(blocks)) == block)
-        asked = {r["q"]: r["terms"] for r in part.collect() if r["terms"]}
+        asked = {r["q"]: r["terms"] for r in part.where("terms IS NOT NULL").collect() if r["terms"]}
         if asked:
             yield asked
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from lakeops.functions import embedding, scalars
 from lakeops.functions.vectors import cosine_distance, mean_vectors
 from lakeops.operators import documents as docs
-from lakeops.operators import fulltext, hybrid, nearest, rag
+from lakeops.operators import fulltext, hybrid, nearest, postings, rag
 from lakeops.plans.registry import query
 from lakeops.plans.scalars import PHONES, SQL_BUCKET, SQL_DOT, sql_words
 from lakeops.session import materialize, spread
@@ -299,6 +299,33 @@ def bm25_rank(t):
     return fulltext.bm25(spread(t.documents).select(F.col("doc_id").alias("id"), "text"), questions(t), 10)
 
 
+@query("bm25_indexed", f"""WITH corpus AS (SELECT doc_id AS id, text FROM documents), {sql_bm25('k', 'corpus', 10)}
+SELECT query_id, id, score, rank FROM k_hits""")
+def bm25_indexed(t):
+    """The same ranking from posting lists: texts are tokenised once, when the index is built."""
+    index = postings.build_index(spread(t.documents).select(F.col("doc_id").alias("id"), "text"))
+    return postings.search(index, questions(t), 10)
+
+
+@query("bm25_refreshed", f"""WITH corpus AS (SELECT doc_id AS id, text FROM documents
+  WHERE NOT (lang = 'en' AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 0))), {sql_bm25('k', 'corpus', 10)}
+SELECT query_id, id, score, rank FROM k_hits""")
+def bm25_refreshed(t):
+    """English documents are indexed first; then the poor ones leave and those in other languages come."""
+    texts = spread(t.documents).select(F.col("doc_id").alias("id"), "text", "lang")
+    index = postings.build_index(texts.where("lang = 'en'"))
+    poor = t.labels.where("quality = 0").select(F.col("doc_id").alias("id"))
+    index = postings.refresh_index(index, poor, texts.where("lang <> 'en' OR lang IS NULL"))
+    return postings.search(index, questions(t), 10)
+
+
+@query("word_document_counts", f"""SELECT word, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest({SQL_TOKENS}) AS word FROM documents) GROUP BY 1""")
+def word_document_counts(t):
+    """How many documents hold each word, read off the postings alone."""
+    index = postings.build_index(spread(t.documents).select(F.col("doc_id").alias("id"), "text"))
+    return index.postings(t.spark).groupBy(F.col("term").alias("word")).agg(F.sum("n").alias("n"))
+
+
 # ---- hybrid ------------------------------------------------------------------------------------
 
 def sql_semantic(prefix, corpus, top, where=""):
@@ -345,6 +372,24 @@ def hybrid_rrf(t):
     return hybrid.hybrid_search(corpus_of(t), questions(t)).select(*HYBRID_COLUMNS)
 
 
+@query("hybrid_rrf_indexed", f"WITH {sql_hybrid(10)} SELECT {', '.join(HYBRID_COLUMNS)} FROM hybrid")
+def hybrid_rrf_indexed(t):
+    """The keyword list comes from postings; no chunk is tokenised for a question."""
+    corpus = corpus_of(t)
+    return hybrid.hybrid_search(corpus, questions(t), text_index=postings.build_index(corpus)).select(*HYBRID_COLUMNS)
+
+
+@query("hybrid_approximate_check", "SELECT count(DISTINCT item_id) AS queries, TRUE AS lists_full, TRUE AS average_reached FROM benchmark")
+def hybrid_approximate_check(t):
+    """Both indexes: each question has its ten rows, and on average nine of them or more are those of the exact search."""
+    corpus = corpus_of(t)
+    index, text_index = nearest.build_cell_index(corpus), postings.build_index(corpus)
+    found = hybrid.hybrid_search(corpus, questions(t), index=index, text_index=text_index).select("query_id", "id")
+    exact = hybrid.hybrid_search(corpus, questions(t), text_index=text_index).select("query_id", "id", F.lit(1).alias("_hit"))
+    each = found.join(exact, ["query_id", "id"], "left").groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.count("_hit").alias("hits"))
+    return each.agg(F.count(F.lit(1)).alias("queries"), F.bool_and(F.col("n") == 10).alias("lists_full"), (F.avg("hits") >= 9).alias("average_reached"))
+
+
 @query("hybrid_rrf_tickets", f"WITH {sql_hybrid(5, 'Ticket')} SELECT {', '.join(HYBRID_COLUMNS)} FROM hybrid")
 def hybrid_rrf_tickets(t):
     return hybrid.hybrid_search(corpus_of(t), questions(t), top=5, condition=F.col("source_type") == "Ticket").select(*HYBRID_COLUMNS)
