@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lakeops.functions.scalars import EMAIL_PATTERN
 from lakeops.operators.skew import latest_per_key, neighbour
 from lakeops.operators.temporal import asof_join, validity_intervals
+from lakeops.session import materialize
 
 # Date layouts found in the extracts.
 ISO_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}$"
@@ -51,7 +52,7 @@ def parse_mixed_dates(text: Column) -> tuple[Column, Column]:
     return parsed, reason
 
 
-def impute_unit_price(lines: DataFrame, prices: DataFrame, ordered_at: str, unit: str = "month") -> DataFrame:
+def impute_unit_price(lines: DataFrame, prices: DataFrame, ordered_at: str) -> DataFrame:
     """Fill missing prices with the product price in force on the order date, and flag them.
 
     A price file is dated one day after the change, so a price counts from ``load_date - 1``. Only
@@ -60,7 +61,7 @@ def impute_unit_price(lines: DataFrame, prices: DataFrame, ordered_at: str, unit
     versions = prices.select("product_id", F.col("list_price").alias("_price"),
                              (F.col("load_date") - F.expr("INTERVAL 1 DAY")).cast("timestamp_ntz").alias("_since"))
     missing = lines.where(F.col("unit_price").isNull())
-    filled = asof_join(missing, versions, ["product_id"], ordered_at, "_since", ["_price"], unit)
+    filled = asof_join(missing, versions, ["product_id"], ordered_at, "_since", ["_price"])
     imputed = filled.withColumn("unit_price", F.col("_price")).drop("_price").withColumn("price_imputed", F.col("unit_price").isNotNull())
     return lines.where(F.col("unit_price").isNotNull()).withColumn("price_imputed", F.lit(False)).unionByName(imputed)
 
@@ -118,16 +119,17 @@ def inferred_members(facts: DataFrame, dimension: DataFrame, key: str) -> DataFr
     return real.withColumn("is_inferred", F.lit(False)).unionByName(placeholders, allowMissingColumns=True)
 
 
-def scd2(changes: DataFrame, key: str, ts: str, tracked: Sequence[str], overwritten: Sequence[str], unit: str = "year") -> DataFrame:
+def scd2(changes: DataFrame, key: str, ts: str, tracked: Sequence[str], overwritten: Sequence[str]) -> DataFrame:
     """Type-2 versions where a tracked column changed; overwritten columns carry the newest value everywhere."""
-    before = neighbour(changes, [key], [ts], list(tracked), F.date_trunc(unit, F.col(ts)), "_before", step=-1)
+    changes = materialize(changes, "changes")
+    before = neighbour(changes, [key], [ts], list(tracked), None, "_before", step=-1)
     differs = F.col("_before").isNull()
     for name in tracked:
         differs = differs | ~F.col(f"_before.{name}").eqNullSafe(F.col(name))
     opened = before.where(differs).select(key, ts, *tracked)
     newest = changes.groupBy(key).agg(*[F.max_by(c, ts).alias(c) for c in overwritten])
     return (
-        validity_intervals(opened, [key], ts, unit).drop(ts)
+        validity_intervals(opened, [key], ts).drop(ts)
         .withColumn("is_current", F.year("valid_to") == 9999).join(newest, key)
     )
 

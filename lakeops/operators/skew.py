@@ -2,12 +2,14 @@
 
 A window over a key sorts all of that key's rows in one task. These helpers cut each key into
 buckets along the sort order, work per (key, bucket), and stitch the buckets together from one
-small row per bucket.
+small row per bucket. Where the caller names no bucket, the cuts come from the data: quantiles of the
+sort column for each key that has more rows than one task should sort.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,17 +35,52 @@ def left_join_sparse(left: DataFrame, right: DataFrame, key: str, spread_by: str
     return keyed.join(right.withColumnRenamed(key, "_key"), "_key", "left").drop("_key")
 
 
+RANGE_ROWS = 1_000_000
+QUANTILES = 512
+
+
+def with_ranges(df: DataFrame, keys: Sequence[str], by: str, rows: int = RANGE_ROWS) -> DataFrame:
+    """``df`` with ``_bucket``: 0 for keys of at most ``rows`` rows, else the number of a range of ``by`` that holds about so many.
+
+    Ranges follow the quantiles of ``by`` within the key, from a sketch that each task sums up before
+    the shuffle, and number ``QUANTILES`` at most; equal values of ``by`` stay together. ``df`` is
+    read twice, so a costly one should be stored first.
+    """
+    sketch = F.percentile_approx(by, [i / QUANTILES for i in range(1, QUANTILES)], 10 * QUANTILES)
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), sketch.alias("_points")).where(F.col("_rows") > rows)
+    step = F.greatest(F.lit(1), F.floor(F.lit(float(QUANTILES) * rows) / F.col("_rows"))).cast("int")
+    chosen = F.array_distinct(F.filter("_points", lambda p, i: (i + 1) % step == 0))
+    cuts = hot.select(*[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)], chosen.alias("_cuts"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{i}")) for i, k in enumerate(keys)])
+    met = df.join(cuts, same, "left")
+    passed = F.size(F.filter("_cuts", lambda p: F.coalesce(p <= F.col(by), F.lit(False))))
+    return met.withColumn("_bucket", F.when(F.col("_cuts").isNull(), 0).otherwise(passed)).select(*df.columns, "_bucket")
+
+
+def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column | None) -> DataFrame:
+    return with_ranges(df, keys, order[0]) if bucket is None else df.withColumn("_bucket", bucket)
+
+
+def _with_edges(inside: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on the keys, null ones included, and the bucket."""
+    columns = [*keys, "_bucket"]
+    named = edges.withColumnsRenamed({c: f"_edge_{i}" for i, c in enumerate(columns)})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_edge_{i}")) for i, c in enumerate(columns)])
+    return inside.join(named, same, "left").drop(*[f"_edge_{i}" for i in range(len(columns))])
+
+
 def neighbour(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], bucket: Column,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], bucket: Column | None,
     out: str, step: int = 1,
 ) -> DataFrame:
     """Struct of ``columns`` of the next (``step=1``) or previous (``-1``) row of the same key.
 
-    ``bucket`` must not decrease along ``order``. ``out`` is NULL at the end of a key.
+    ``bucket`` must not decrease along ``order``; with None keys of many rows are cut by the quantiles
+    of the first order column. ``out`` is NULL at the end of a key.
     """
     look = F.lead if step == 1 else F.lag
     edge_of = F.min_by if step == 1 else F.max_by
-    cut = df.withColumn("_bucket", bucket)
+    cut = _cut(df, keys, order, bucket)
     inside = cut.withColumn(
         "_inside", look(F.struct(*columns)).over(Window.partitionBy(*keys, "_bucket").orderBy(*order))
     )
@@ -54,17 +91,17 @@ def neighbour(
         .drop("_edge")
     )
     return (
-        inside.join(edges, [*keys, "_bucket"], "left")
+        _with_edges(inside, edges, keys)
         .withColumn(out, F.coalesce("_inside", "_beyond"))
         .drop("_inside", "_beyond", "_bucket")
     )
 
 
 def carried_forward(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, bucket: Column, out: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, bucket: Column | None, out: str
 ) -> DataFrame:
-    """Last non-NULL ``value`` at or before each row of the key."""
-    cut = df.withColumn("_bucket", bucket)
+    """Last non-NULL ``value`` at or before each row of the key; ``bucket`` as for ``neighbour``."""
+    cut = _cut(df, keys, order, bucket)
     run = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     inside = cut.withColumn("_inside", F.last(value, ignorenulls=True).over(run))
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -76,7 +113,7 @@ def carried_forward(
         .drop("_edge")
     )
     return (
-        inside.join(edges, [*keys, "_bucket"], "left")
+        _with_edges(inside, edges, keys)
         .withColumn(out, F.coalesce("_inside", "_before"))
         .drop("_inside", "_before", "_bucket")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.operators.skew import carried_forward, neighbour
+from lakeops.session import materialize
 
 OPEN_END = "9999-12-31 00:00:00"
 
@@ -16,9 +17,9 @@ def open_end() -> Column:
     return F.lit(OPEN_END).cast("timestamp_ntz")
 
 
-def validity_intervals(df: DataFrame, keys: Sequence[str], ts: str, unit: str = "year") -> DataFrame:
+def validity_intervals(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     """Each version is valid from its own time to the next version's; the last stays open."""
-    linked = neighbour(df, keys, [ts], [ts], F.date_trunc(unit, F.col(ts)), "_next")
+    linked = neighbour(materialize(df, "versions"), keys, [ts], [ts], None, "_next")
     return (
         linked.withColumn("valid_from", F.col(ts))
         .withColumn("valid_to", F.coalesce(F.col(f"_next.{ts}"), open_end()))
@@ -43,7 +44,7 @@ def history_retention(versions: DataFrame, now: Column, years: int = 2) -> DataF
 
 def asof_join(
     facts: DataFrame, versions: DataFrame, keys: Sequence[str], fact_ts: str, version_ts: str,
-    columns: Sequence[str], unit: str = "month",
+    columns: Sequence[str],
 ) -> DataFrame:
     """Attach to each fact the version of its key in force at the fact's time.
 
@@ -55,7 +56,7 @@ def asof_join(
     marks = versions.select(*keys, F.col(version_ts).alias("_ts"), F.lit(0).alias("_kind"),
                             F.struct(*columns).alias("_version"))
     merged = line.unionByName(marks, allowMissingColumns=True)
-    filled = carried_forward(merged, keys, ["_ts", "_kind"], "_version", F.date_trunc(unit, F.col("_ts")), "_current")
+    filled = carried_forward(materialize(merged, "time_line"), keys, ["_ts", "_kind"], "_version", None, "_current")
     return filled.where("_kind = 1").select(*facts.columns, "_current.*")
 
 

@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from lakeops.functions.similarity import similar_members
-from lakeops.operators import cleaning
+from lakeops.operators import cleaning, history
 from lakeops.plans.registry import query
 from lakeops.streaming.streams import late_by_folder
 from lakeops.tables import SQL_CUSTOMERS, SQL_LINES, SQL_ORDERS, money
@@ -82,7 +82,7 @@ def impute_unit_price(t):
     lines = t.lineitem.select(
         F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_number"), F.col("l_partkey").alias("product_id"),
         F.col("l_shipdate").alias("ordered_at"), F.when(F.col("l_quantity") <= 45, money("l_extendedprice", 10)).alias("unit_price"))
-    return cleaning.impute_unit_price(lines, prices, "ordered_at", "year")
+    return cleaning.impute_unit_price(lines, prices, "ordered_at")
 
 
 def faulty_lines(t):
@@ -163,19 +163,36 @@ SQL_CHANGES = f"""{SQL_ORDERS}, chg AS (SELECT customer_id, order_date AS change
   max('c' || customer_id || '.' || year(order_date) || '@example.com') AS email FROM sales_orders GROUP BY 1, 2)"""
 
 
-@query("scd2_customers", f"""WITH {SQL_CHANGES}, b AS (SELECT *, lag(city) OVER w AS old_city, lag(tier) OVER w AS old_tier, row_number() OVER w AS n
+SQL_SCD2 = f"""WITH {SQL_CHANGES}, b AS (SELECT *, lag(city) OVER w AS old_city, lag(tier) OVER w AS old_tier, row_number() OVER w AS n
   FROM chg WINDOW w AS (PARTITION BY customer_id ORDER BY changed_at)),
 o AS (SELECT * FROM b WHERE n = 1 OR city <> old_city OR tier <> old_tier),
 e AS (SELECT customer_id, arg_max(email, changed_at) AS email FROM chg GROUP BY 1),
 v AS (SELECT customer_id, city, tier, changed_at AS valid_from, coalesce(lead(changed_at) OVER (PARTITION BY customer_id ORDER BY changed_at),
   TIMESTAMP '9999-12-31') AS valid_to FROM o)
-SELECT v.*, year(valid_to) = 9999 AS is_current, email FROM v JOIN e USING (customer_id)""")
-def scd2_customers(t):
-    changes = t.sales_orders.groupBy("customer_id", F.col("order_date").alias("changed_at")).agg(
+SELECT {{}} FROM v JOIN e USING (customer_id)"""
+
+
+def customer_changes(t):
+    return t.sales_orders.groupBy("customer_id", F.col("order_date").alias("changed_at")).agg(
         F.max("channel").alias("city"), F.max("status").alias("tier"),
         F.max(F.concat(F.lit("c"), F.col("customer_id").cast("string"), F.lit("."), F.year("order_date").cast("string"),
                        F.lit("@example.com"))).alias("email"))
-    return cleaning.scd2(changes, "customer_id", "changed_at", ["city", "tier"], ["email"])
+
+
+@query("scd2_customers", SQL_SCD2.format("v.*, year(valid_to) = 9999 AS is_current, email"))
+def scd2_customers(t):
+    return cleaning.scd2(customer_changes(t), "customer_id", "changed_at", ["city", "tier"], ["email"])
+
+
+@query("scd2_from_batches", SQL_SCD2.format("v.*, year(valid_to) = 9999 AS is_current"))
+def scd2_from_batches(t):
+    """Newest changes come first; the older half splits and merges the intervals that are there."""
+    changes = customer_changes(t)
+    late = F.year("changed_at") < 1995
+    table = history.empty_history(changes, ["customer_id"], ["city", "tier"], buckets=16)
+    for batch in (changes.where(~late), changes.where(late)):
+        table = history.apply_changes(table, batch, "changed_at")
+    return history.collapsed(table.read(t.spark), ["customer_id"], ["city", "tier"])
 
 
 @query("scd1_products", """SELECT l_partkey AS product_id, max(struct_pack(d := l_shipdate, p := CAST(l_extendedprice AS DECIMAL(12,2)))).p AS list_price,
