@@ -35,9 +35,11 @@ def article_reviews(t):
 
 
 def tickets(t):
+    """Every turn is a ticket, numbered by conversation and turn. The turns get as many digits as the longest conversation needs, three at least."""
+    longest = t.conversations.agg(F.max("turn")).first()[0] or 0
+    width = 10 ** max(3, len(str(longest)))
     return t.conversations.select(
-        F.when(F.col("turn").between(0, 999), F.col("conv_id") * 1000 + F.col("turn")).otherwise(
-            F.raise_error(F.lit("a conversation of over 1000 turns has no ticket number")).cast("bigint")).alias("ticket_id"), F.col("role").alias("subject"), F.col("text").alias("body"))
+        (F.col("conv_id") * F.lit(width) + F.col("turn")).cast("bigint").alias("ticket_id"), F.col("role").alias("subject"), F.col("text").alias("body"))
 
 
 def sources(t):
@@ -58,7 +60,7 @@ sources AS (SELECT 'Product' AS source_type, product_id AS source_id, product_na
   || '. Size ' || p_size || '.' || CASE WHEN p_size >= 25 THEN ' Waterproof.' ELSE '' END AS doc_text FROM catalog WHERE p_size <= 45
 UNION ALL SELECT 'Review', review_id, concat('Review of ', product_name, ' (', rating, '/5): ', lang, '. ', text)
   FROM article_reviews JOIN catalog USING (product_id)
-UNION ALL SELECT 'Ticket', conv_id * 1000 + turn, role || '. ' || regexp_replace(regexp_replace(text,
+UNION ALL SELECT 'Ticket', conv_id * (SELECT CAST(10 ** greatest(3, length(CAST(max(turn) AS VARCHAR))) AS BIGINT) FROM conversations) + turn, role || '. ' || regexp_replace(regexp_replace(text,
   '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{{2,}}', '[email]', 'g'), '{PHONES}', '[phone]', 'g') FROM conversations)"""
 
 
@@ -131,7 +133,7 @@ def refresh_chunks(t):
   SELECT 'Product' AS source_type, product_id AS source_id, FALSE AS stale FROM catalog
   UNION ALL SELECT 'Review', review_id, review_id IN (SELECT doc_id FROM labels WHERE toxic = 1) FROM article_reviews
     JOIN catalog USING (product_id) WHERE lang = 'en'
-  UNION ALL SELECT 'Ticket', conv_id * 1000 + turn, FALSE FROM conversations WHERE role <> 'system')
+  UNION ALL SELECT 'Ticket', conv_id * (SELECT CAST(10 ** greatest(3, length(CAST(max(turn) AS VARCHAR))) AS BIGINT) FROM conversations) + turn, FALSE FROM conversations WHERE role <> 'system')
 SELECT coalesce(h.source_type, s.source_type) AS source_type, CASE WHEN s.source_id IS NULL THEN 'orphan' WHEN h.source_id IS NULL THEN 'new'
   WHEN stale THEN 'stale' ELSE 'kept' END AS action, count(*) AS sources
 FROM have h FULL JOIN (SELECT source_type, source_id FROM sources) s USING (source_type, source_id) GROUP BY 1, 2""")

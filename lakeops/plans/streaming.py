@@ -47,8 +47,8 @@ def appended(t, stream, name, fmt="parquet"):
 @query("replay_stream_source", "SELECT event_type, count(*) AS events, round(sum(value), 4) AS total FROM events GROUP BY 1")
 def replay_stream_source(t):
     path = scratch_path(t.spark, "replay")
-    streams.replay_source(timed_events(t), "ts", path, 4)
-    stream = streams.file_stream(t.spark, path, EVENT_SCHEMA, "json", max_files=2)
+    streams.replay_source(timed_events(t), "ts", path)
+    stream = streams.file_stream(t.spark, path, EVENT_SCHEMA, "json", max_files=8)
     return appended(t, stream, "replayed").groupBy("event_type").agg(
         F.count(F.lit(1)).alias("events"), F.round(F.sum("value"), 4).alias("total"))
 
@@ -82,11 +82,15 @@ SQL_LATEST = f"""{SQL_EXTRACT}, latest AS (SELECT * EXCLUDE n FROM (SELECT *, ro
 
 @query("stream_order_upsert", f"WITH {SQL_LATEST} SELECT order_id, status, modified_at, load_date FROM latest")
 def stream_order_upsert(t):
+    """The newest loads come first; one stream takes a few files a micro-batch and keeps the newest row per order in its state store."""
     rows = order_extract(t).select("order_id", "status", "modified_at", "load_date")
-    path, order = scratch_path(t.spark, "order_state"), ["modified_at", "load_date"]
-    handler, checkpoint = streams.upsert_handler(path, "order_id", order, every=2), scratch_path(t.spark, "upsert_checkpoint")
-    in_steps(t, by_load_date(rows)[::-1], "order_feed", lambda stream: streams.start_batches(stream, handler, checkpoint))
-    return streams.upserted_state(t.spark, path, "order_id", order)
+    feed, path, order = scratch_path(t.spark, "order_feed"), scratch_path(t.spark, "order_state"), ["modified_at", "load_date"]
+    for part in (rows.where("load_date >= DATE '1998-01-01'"), rows.where("load_date < DATE '1998-01-01'")):
+        part.write.mode("append").parquet(feed)
+    files = len(t.spark.read.schema(rows.schema).parquet(feed).inputFiles())
+    stream = streams.newest_per_key(streams.file_stream(t.spark, feed, rows.schema, max_files=-(-files // 3)), "order_id", order)
+    finish(streams.start_updates(stream, path, scratch_path(t.spark, "upsert_checkpoint")))
+    return streams.updated_state(t.spark, path, "order_id", order)
 
 
 STEPS = ("1996-01-01", "1998-01-01", "2000-01-01")
@@ -154,10 +158,10 @@ def stream_review_embeddings(t):
 FROM (SELECT 'Ticket' AS source_type, conv_id AS source_id, 'ticket ' || conv_id AS doc_text FROM conversations GROUP BY conv_id
 UNION ALL SELECT 'Review', id, text FROM staged)""")
 def staged_reviews_to_chunks(t):
-    """The staged reviews replace all old review chunks, also those of deleted reviews; tickets stay."""
+    """The staged reviews replace all chunks of the old whole reviews, also those of deleted reviews; tickets stay."""
     tickets = t.conversations.select("conv_id").distinct().select(
         F.lit("Ticket").alias("source_type"), F.col("conv_id").alias("source_id"), F.concat(F.lit("ticket "), F.col("conv_id")).alias("doc_text"))
-    old = t.documents.select(F.lit("Review").alias("source_type"), F.col("doc_id").alias("source_id"), F.left("text", F.lit(900)).alias("doc_text"))
+    old = t.documents.select(F.lit("Review").alias("source_type"), F.col("doc_id").alias("source_id"), F.col("text").alias("doc_text"))
     chunks = documents.embed_chunks(documents.content_chunks(tickets.unionByName(old))).withColumn("is_stale", F.lit(False))
     return documents.merge_staged_vectors(chunks, *review_feed(t)).select(
         "source_type", "source_id", F.md5("chunk_text").alias("text_md5"), F.col("embedding_model").alias("model"))

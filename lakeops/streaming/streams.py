@@ -50,9 +50,10 @@ def write_batch(rows: DataFrame, path: str, batch_id: int, fmt: str = "parquet")
     rows.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
 
 
-def replay_source(df: DataFrame, ts: str, path: str, files: int, max_events: int | None = None) -> None:
-    """Write events as time-ordered JSON Lines files for a replay."""
+def replay_source(df: DataFrame, ts: str, path: str, events_per_file: int = 50_000, max_events: int | None = None) -> None:
+    """Write events as time-ordered JSON Lines files for a replay; their number follows from the number of events."""
     ordered = df if max_events is None else df.orderBy(ts).limit(max_events)
+    files = max(1, -(-ordered.count() // events_per_file))
     ordered.repartitionByRange(files, ts).sortWithinPartitions(ts).write.json(path)
 
 
@@ -101,6 +102,27 @@ def late_router(arrived: str, ts: str, bound: Column, accepted: str, late: str)
     return once(handle)
 
 
+def newest_per_key(stream: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Newest row per key of a stream, in the state store: late and repeated rows change nothing.
+
+    Every micro-batch reads and writes the state of its own keys only.
+    """
+    rest = [c for c in stream.columns if c != key]
+    newest = stream.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
+    return newest.select(key, "_row.*").select(*stream.columns)
+
+
+def start_updates(stream: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Write the keys whose row changed, a folder per micro-batch; a replayed batch writes the same again."""
+    writer = stream.writeStream.outputMode("update").foreachBatch(lambda batch, batch_id: write_batch(batch, path, batch_id))
+    return _trigger(writer.option("checkpointLocation", checkpoint), every).start()
+
+
+def updated_state(spark: SparkSession, path: str, key: str, order: list[str]) -> DataFrame:
+    """Current row per key from the update folders."""
+    return latest_per_key(spark.read.parquet(path).drop("batch_id"), [key], order)
+
+
 COMPACT_EVERY = 20
 
 

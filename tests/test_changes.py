@@ -171,3 +171,29 @@ def test_recommendations_leave_out_owned(spark):
     edges = spark.createDataFrame([(10, 20, 5), (10, 30, 2), (20, 30, 4), (20, 40, 6)], "a long, b long, times long")
     got = hierarchy.two_hop_recommendations(owned, edges, 2).collect()
     assert {(r.customer_id, r.product_id, r.score, r.position) for r in got} == {(1, 30, 6, 1), (1, 40, 6, 2), (2, 20, 4, 1), (2, 10, 2, 2)}
+
+
+def test_two_hops_of_large_customers_and_popular_products(spark, monkeypatch):
+    import random
+    from collections import Counter, defaultdict
+
+    from lakeops.operators import hierarchy
+
+    monkeypatch.setattr(hierarchy, "OWNED_PER_GROUP", 7)
+    monkeypatch.setattr(hierarchy, "NEIGHBOURS_PER_ROW", 5)
+    rng = random.Random(6)
+    owned = {(0 if rng.random() < 0.4 else rng.randint(1, 12), rng.randint(1, 60)) for _ in range(200)}
+    edges = {(a, b): rng.randint(1, 4) for a, b in ((1 if rng.random() < 0.3 else rng.randint(1, 60), rng.randint(1, 60)) for _ in range(300)) if a < b}
+    scores = defaultdict(Counter)
+    for c, p in owned:
+        for (a, b), n in edges.items():
+            if p in (a, b):
+                scores[c][b if p == a else a] += n
+    want = []
+    for c, found in scores.items():
+        left = sorted(((-n, p) for p, n in found.items() if (c, p) not in owned))[:4]
+        want += [(c, p, -n, i + 1) for i, (n, p) in enumerate(left)]
+    got = hierarchy.two_hop_recommendations(
+        spark.createDataFrame(sorted(owned), "customer_id bigint, product_id bigint"),
+        spark.createDataFrame([(a, b, n) for (a, b), n in edges.items()], "a bigint, b bigint, times bigint"), 4)
+    assert sorted((r.customer_id, r.product_id, r.score, r.position) for r in got.collect()) == sorted(want)

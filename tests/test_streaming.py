@@ -97,3 +97,16 @@ def test_change_batches_from_json_arrays(spark, tmp_path):
 def test_replay_is_bounded_and_ordered(spark, tmp_path, tables):
     streams.replay_source(tables.events, "ts", str(tmp_path / "replay"), 3, max_events=100)
     assert spark.read.json(str(tmp_path / "replay")).agg(F.max("event_id")).first()[0] == 99
+
+
+def test_the_newest_row_per_key_survives_late_and_repeated_batches(spark, tmp_path):
+    from lakeops.streaming import streams
+
+    schema, feed, out, checkpoint = "k int, at int, s string", str(tmp_path / "feed"), str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    for rows in ([(1, 5, "new"), (2, 1, "a")], [(1, 3, "late"), (2, 2, "b")], [(1, 5, "new"), (3, 1, "c")]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(feed)
+        stream = streams.newest_per_key(streams.file_stream(spark, feed, schema, max_files=1), "k", ["at"])
+        streams.start_updates(stream, out, checkpoint).awaitTermination()
+    assert sorted(map(tuple, streams.updated_state(spark, out, "k", ["at"]).collect())) == [(1, 5, "new"), (2, 2, "b"), (3, 1, "c")]
+    written = spark.read.parquet(out).where("batch_id = 1").collect()
+    assert {r.k for r in written} >= {2}
