@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator
 
@@ -11,9 +12,10 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakeops.functions import vectors as V
-from lakeops.session import materialize
+from lakeops.session import materialize, scratch_path
 
 QUERY_BLOCK = 4096
 QUERY_SLICE = 256
@@ -136,12 +138,14 @@ class CellIndex:
 
 
 def build_cell_index(stored: DataFrame, key: str = "id", vector: str = "embedding", cells: int | None = None, seed: int = 7,
-                     keep: tuple[str, ...] = (), train_rows_per_cell: int = TRAIN_ROWS_PER_CELL, min_rows: int = MIN_INDEX_ROWS) -> CellIndex:
+                     keep: tuple[str, ...] = (), train_rows_per_cell: int = TRAIN_ROWS_PER_CELL, min_rows: int = MIN_INDEX_ROWS,
+                     folder: str | None = None) -> CellIndex:
     """Train cells on unit vectors and write the vectors out by cell.
 
     The number of cells grows with the square root of the rows. Centres are learned from about
     ``train_rows_per_cell`` vectors per cell; every vector is then assigned and stored. A big cell is
-    written as several files. Tables below ``min_rows`` get no cells and are searched exactly.
+    written as several files. Tables below ``min_rows`` get no cells and are searched exactly. An index
+    under ``folder`` is there for later runs, which load it with ``load_cell_index``.
     """
     base = stored.where(F.col(vector).isNotNull()).select(F.col(key).cast("bigint").alias("id"), F.col(vector).alias("embedding"), *keep)
     rows = base.count()
@@ -154,12 +158,26 @@ def build_cell_index(stored: DataFrame, key: str = "id", vector: str = "embeddin
     model = KMeans(k=cells, seed=seed, maxIter=10, initSteps=1).fit(points if share == 1.0 else points.sample(share, seed))
     assigned = model.transform(points).withColumnRenamed("prediction", "cell").drop("features")
     by_cell = assigned.repartition("cell", F.pmod(F.xxhash64("id"), F.lit(max(1, rows // (cells * 100_000)))))
-    stored_cells = materialize(by_cell, "vector_cells", ("cell",))
+    spark, place = stored.sparkSession, folder or scratch_path(stored.sparkSession, "cell_index")
+    by_cell.write.partitionBy("cell").parquet(f"{place}/cells")
+    stored_cells = spark.read.schema(by_cell.schema).parquet(f"{place}/cells")
     index = CellIndex(stored_cells, np.array(model.clusterCenters()), rows, len(model.clusterCenters()))
     index.nprobe = _calibrate(index)
+    # A row per cell, and one row of numbers.
+    spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(index.centers)], "cell int, centre array<double>").coalesce(1).write.parquet(f"{place}/centres")
+    held = json.dumps({"rows": index.rows, "nprobe": index.nprobe, "schema": by_cell.schema.json()})
+    spark.createDataFrame([(held,)], "value string").coalesce(1).write.text(f"{place}/index")
     return index
 
 
+def load_cell_index(spark: SparkSession, folder: str) -> CellIndex:
+    """An index that ``build_cell_index`` wrote under ``folder``."""
+    held = json.loads(spark.read.text(f"{folder}/index").first()[0])
+    centres = spark.read.schema("cell int, centre array<double>").parquet(f"{folder}/centres").orderBy("cell").collect()
+    cells = spark.read.schema(StructType.fromJson(json.loads(held["schema"]))).parquet(f"{folder}/cells")
+    return CellIndex(cells, np.array([r["centre"] for r in centres]), held["rows"], held["nprobe"])
+
+
 def _calibrate(index: CellIndex, target: float = 0.98, probes: int = 64, k: int = 10) -> int:
     """Cells to probe so that ``target`` of the true neighbours of some stored vectors are reached.
 

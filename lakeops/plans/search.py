@@ -5,10 +5,10 @@ from pyspark.sql import functions as F
 from lakeops.functions import embedding, scalars
 from lakeops.functions.vectors import cosine_distance, mean_vectors
 from lakeops.operators import documents as docs
-from lakeops.operators import fulltext, hybrid, nearest, postings, rag
+from lakeops.operators import fulltext, hybrid, hyperplanes, nearest, postings, rag
 from lakeops.plans.registry import query
 from lakeops.plans.scalars import PHONES, SQL_BUCKET, SQL_DOT, sql_words
-from lakeops.session import materialize, spread
+from lakeops.session import materialize, scratch_path, spread
 
 
 # ---- source documents --------------------------------------------------------------------------
@@ -246,6 +246,29 @@ def recall_check(t):
     return recall_at_k(t).agg(F.count(F.lit(1)).alias("queries"), (F.avg("recall") >= 0.95).alias("average_reached"))
 
 
+@query("hyperplane_lists_check", SQL_LISTS_FINE)
+def hyperplane_lists_check(t):
+    index = hyperplanes.build(stored_vectors(t), keep=("label",))
+    return list_check(t, hyperplanes.search(index, label_centres(t), 10, condition=F.col("label") < 5), F.col("label") < 5)
+
+
+@query("hyperplane_recall_check", "SELECT count(*) AS queries, TRUE AS average_reached FROM embeddings WHERE vec_id % 50 = 0")
+def hyperplane_recall_check(t):
+    """Every vector whose id is divisible by 50 as a query: the average recall of its ten nearest is 0.95 or more."""
+    asked = t.embeddings.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    index = hyperplanes.build(stored_vectors(t))
+    found = nearest.recall_at_k(nearest.knn_exact(stored_vectors(t), asked, 10), hyperplanes.search(index, asked, 10), 10)
+    return found.agg(F.count(F.lit(1)).alias("queries"), (F.avg("recall") >= 0.95).alias("average_reached"))
+
+
+@query("stored_index_check", SQL_LISTS_FINE)
+def stored_index_check(t):
+    """Cells that one step writes and another loads."""
+    folder = scratch_path(t.spark, "kept_cells")
+    nearest.build_cell_index(stored_vectors(t), keep=("label",), folder=folder)
+    return list_check(t, nearest.ann_search(nearest.load_cell_index(t.spark, folder), label_centres(t), 10), F.lit(True))
+
+
 @query("model_dimension_check", """SELECT label AS model, count(*) AS vectors, CAST(min(len(embedding)) AS INTEGER) AS min_dims,
   CAST(max(len(embedding)) AS INTEGER) AS max_dims, min(len(embedding)) = max(len(embedding)) AS consistent FROM embeddings GROUP BY 1""")
 def model_dimension_check(t):
