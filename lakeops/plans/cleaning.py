@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from lakeops.functions.similarity import similar_members
-from lakeops.operators import cleaning, history
+from lakeops.operators import cleaning, entities, history
 from lakeops.plans.registry import query
 from lakeops.streaming.streams import late_by_folder
 from lakeops.tables import SQL_CUSTOMERS, SQL_LINES, SQL_ORDERS, money
@@ -308,10 +308,43 @@ truth AS (SELECT customer_id AS a, customer_id + 1000000000 AS b FROM customers
 c AS (SELECT (SELECT count(*) FROM found) AS found, (SELECT count(*) FROM truth) AS labelled, (SELECT count(*) FROM found JOIN truth USING (a, b)) AS hits)
 SELECT *, round(hits / nullif(found, 0), 6) AS precision, round(hits / nullif(labelled, 0), 6) AS recall FROM c""")
 def near_duplicate_eval(t):
+    people, found = people_and_pairs(t)
+    truth = people.where("segment = 'BUILDING' AND customer_id < 1000000000").select(F.col("customer_id").alias("a"), (F.col("customer_id") + 10**9).alias("b"))
+    return cleaning.pair_quality(found, truth, ["a", "b"])
+
+
+def people_and_pairs(t):
+    """Customers with a misspelt copy of those in one segment, and the pairs of similar names."""
     people = t.customers.select("customer_id", "country", "segment", "customer_name")
     copies = people.where("segment = 'BUILDING'").withColumn("customer_id", F.col("customer_id") + 10**9).withColumn(
         "customer_name", F.concat(F.lit("Custmoer"), F.substring("customer_name", 9, 100)))
-    pairs = similar_members(people.unionByName(copies), ["country", "segment"], "customer_name", "customer_id")
-    found = pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
-    truth = people.where("segment = 'BUILDING'").select(F.col("customer_id").alias("a"), (F.col("customer_id") + 10**9).alias("b"))
-    return cleaning.pair_quality(found, truth, ["a", "b"])
+    everyone = people.unionByName(copies)
+    pairs = similar_members(everyone, ["country", "segment"], "customer_name", "customer_id")
+    return everyone, pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+
+
+SQL_ENTITIES = f"""{SQL_CUSTOMERS}, people AS (SELECT customer_id, country, segment, customer_name FROM customers
+  UNION ALL SELECT customer_id + 1000000000, country, segment, 'Custmoer' || substr(customer_name, 9) FROM customers WHERE segment = 'BUILDING'),
+links AS (SELECT x.customer_id AS a, y.customer_id AS b FROM people x JOIN people y ON x.country = y.country AND x.segment = y.segment
+  AND x.customer_name <> y.customer_name WHERE damerau_levenshtein(x.customer_name, y.customer_name) = 1),
+reach AS (SELECT customer_id AS node, customer_id AS root FROM people UNION SELECT b, root FROM reach JOIN links ON a = node),
+entity AS (SELECT node AS customer_id, min(root) AS entity FROM reach GROUP BY 1)"""
+
+
+@query("customer_entities", f"""WITH RECURSIVE {SQL_ENTITIES} SELECT entity, min(customer_id) AS customer_id, count(*) AS members,
+  arg_min(customer_name, customer_id) AS customer_name, min(country) AS country FROM entity JOIN people USING (customer_id) GROUP BY 1""")
+def customer_entities(t):
+    """Customers whose names are connected by single edits are one entity; the record of the least id survives."""
+    people, pairs = people_and_pairs(t)
+    return entities.surviving(entities.with_entities(people, "customer_id", pairs), "customer_id", ["customer_name", "country"])
+
+
+@query("entity_quality", f"""WITH RECURSIVE {SQL_ENTITIES}, c AS (SELECT entity, customer_id % 1000000000 AS person FROM entity),
+n AS (SELECT (SELECT CAST(sum(n * (n - 1) // 2) AS BIGINT) FROM (SELECT count(*) AS n FROM c GROUP BY entity)) AS found,
+  (SELECT CAST(sum(n * (n - 1) // 2) AS BIGINT) FROM (SELECT count(*) AS n FROM c GROUP BY person)) AS labelled,
+  (SELECT CAST(sum(n * (n - 1) // 2) AS BIGINT) FROM (SELECT count(*) AS n FROM c GROUP BY entity, person)) AS hits)
+SELECT *, round(hits / nullif(found, 0), 6) AS precision, round(hits / nullif(labelled, 0), 6) AS recall FROM n""")
+def entity_quality(t):
+    people, pairs = people_and_pairs(t)
+    grouped = entities.with_entities(people, "customer_id", pairs).withColumn("person", F.col("customer_id") % 10**9)
+    return entities.group_quality(grouped, "entity", "person")

@@ -3,9 +3,10 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lakeops.operators import sales
+from lakeops.operators import sales, sketches
 from lakeops.operators.skew import exact_percentile, left_join_sparse
 from lakeops.plans.registry import query
+from lakeops.session import materialize
 from lakeops.tables import (
     SQL_CUSTOMERS, SQL_GEO, SQL_LINES, SQL_ORDERS, SQL_PRODUCTS, SQL_REVIEWS, SQL_STORES, line_net, money,
 )
@@ -337,6 +338,19 @@ def latency_percentiles(t):
     return slow.join(p95, "event_type").select("event_type", F.round("percentile", 6).alias("p95"), "slow")
 
 
+SHARES = (0.5, 0.95, 0.99)
+
+
+@query("latency_sketch_check", f"""SELECT event_type, share, count(value) AS events, TRUE AS within_bound
+FROM events, (VALUES {', '.join(f'(CAST({p} AS DOUBLE))' for p in SHARES)}) s(share) GROUP BY ALL""")
+def latency_sketch_check(t):
+    """Percentiles of all days from daily sketches: each rank is within a hundredth of the exact one."""
+    days = materialize(sketches.daily_sketches(t.events, ["event_type"], "ts", "value"), "daily_sketches")
+    found = materialize(sketches.percentiles(sketches.merged(days, ["event_type"]), SHARES), "percentiles")
+    errors = sketches.rank_errors(found, t.events, ["event_type"], "value")
+    return errors.join(found, ["event_type", "share"]).select("event_type", "share", F.col("n").alias("events"), (F.col("rank_error") <= 0.01).alias("within_bound"))
+
+
 @query("top_groups_by_sum", f"""WITH {SQL_LINES} SELECT store_id, CAST(sum(line_total) AS DECIMAL(24,2)) AS sales
 FROM order_lines GROUP BY 1 ORDER BY sales DESC, store_id LIMIT 10""")
 def top_groups_by_sum(t):
