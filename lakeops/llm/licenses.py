@@ -2,8 +2,8 @@
 
 A text is first tested for any rule's keyword; only texts that have one go on. Their words are joined
 by single spaces, and each rule whose own keyword is there is matched as a regular expression over
-them. Detections are then resolved in order of their start: one that lies inside another is dropped,
-and of two that overlap otherwise the one of the rule with the higher priority stays.
+them. Of detections that touch each other the best by priority among those that lie in no longer one
+stays and what overlaps it is dropped, until all are judged.
 """
 
 from __future__ import annotations
@@ -144,6 +144,118 @@ SIGNS = (
     ("cc0-1.0", "creativecommons", r"creativecommons org publicdomain zero 1 0"),
     ("all-rights-reserved", "all rights", r"all rights reserved"),
     ("proprietary", "proprietary and", r"proprietary and confidential"),
+    # Sentences of license texts and notices.
+    ("mit", "the above copyright notice", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("mit", "the software is provided", r"the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability"),
+    ("x11", "except as contained", r"except as contained in this notice the names? of the x consortium shall not be used"),
+    ("isc", "the software is provided", r"the software is provided as is and the author disclaims all warranties with regard to this software"),
+    ("hpnd", "permission to use", r"permission to use copy modify and distribute this software and its documentation for any purpose and without fee is hereby granted"),
+    ("ntp", "permission to use", r"permission to use copy modify and distribute this software and its documentation for any purpose with or without fee is hereby granted"),
+    ("bsd-2-clause", "redistributions of source", r"redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd-2-clause", "redistributions in binary", r"redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation"),
+    ("bsd-3-clause", "neither the name", r"neither the names? of (?:the copyright holders?|the author|the university|the organization|the company) nor the names of its contributors may be used to endorse or promote products"),
+    ("bsd-3-clause-clear", "no express or implied", r"no express or implied licenses to any party s patent rights are granted by this license"),
+    ("bsd-4-clause", "all advertising materials", r"all advertising materials mentioning features or use of this software must display the following acknowledge?ment"),
+    ("bsd", "this software is provided", r"this software is provided by the (?:copyright holders and contributors|regents and contributors|author) as is and any express or implied warranties"),
+    ("apache-1.1", "the end user", r"the end user documentation included with the redistribution if any must include the following acknowledge?ment this product includes software developed by the apache software foundation"),
+    ("apache-1.0", "this product includes", r"this product includes software developed by the apache group"),
+    ("apache-2.0", "you may not use this file", r"you may not use this file except in compliance with the license you may obtain a copy of the license at"),
+    ("apache-2.0", "unless required by applicable", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
+    ("apache-2.0", "grant of patent license", r"grant of patent license subject to the terms and conditions of this license each contributor hereby grants to you a perpetual worldwide"),
+    ("apache-2.0", "licensed to the apache", r"licensed to the apache software foundation asf under one or more contributor license agreements"),
+    ("gpl-2.0", "either version", r"as published by the free software foundation either version 2 of the license or at your option any later version"),
+    ("gpl-3.0", "either version", r"as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("lgpl-2.1", "either version", r"as published by the free software foundation either version 2 1 of the license or at your option any later version"),
+    ("gpl-2.0", "version 2 as published", r"under the terms of the gnu general public license version 2 as published by the free software foundation"),
+    ("gpl", "this program is distributed", r"this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability"),
+    ("lgpl", "this library is distributed", r"this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability"),
+    ("gpl", "you should have received", r"you should have received a copy of the gnu general public license along with this (?:program|file|package)"),
+    ("lgpl", "you should have received", r"you should have received a copy of the gnu (?:lesser|library) general public license along with this (?:library|program)"),
+    ("agpl-3.0", "you should have received", r"you should have received a copy of the gnu affero general public license along with this program"),
+    ("gpl-2.0", "the licenses for most", r"the licenses for most software are designed to take away your freedom to share and change it by contrast"),
+    ("gpl-3.0", "the gnu general public", r"the gnu general public license is a free copyleft license for software and other kinds of works"),
+    ("agpl-3.0", "the gnu affero general", r"the gnu affero general public license is a free copyleft license for software and other kinds of works specifically designed to ensure cooperation"),
+    ("agpl-3.0", "remote network interaction", r"remote network interaction use with the gnu general public license"),
+    ("lgpl-2.1", "this is the first released", r"this is the first released version of the lesser gpl"),
+    ("lgpl-3.0", "this version of the gnu lesser", r"this version of the gnu lesser general public license incorporates the terms and conditions of version 3 of the gnu general public license"),
+    ("gpl-2.0-classpath", "as a special exception", r"as a special exception the copyright holders of this library give you permission to link this library with independent modules"),
+    ("gpl-3.0-gcc", "gcc runtime library", r"gcc runtime library exception(?: version)? 3 1"),
+    ("gpl-autoconf", "as a special exception", r"as a special exception the free software foundation gives unlimited permission to copy distribute and modify the configure scripts"),
+    ("gpl-bison", "as a special exception", r"as a special exception you may create a larger work that contains part or all of the bison parser skeleton"),
+    ("gfdl", "permission is granted", r"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
+    ("gfdl", "the purpose of this license", r"the purpose of this license is to make a manual textbook or other functional and useful document free in the sense of freedom"),
+    ("all-permissive", "copying and distribution", r"copying and distribution of this file with or without modification are permitted in any medium without royalty"),
+    ("mpl-2.0", "this source code form", r"this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("mpl-2.0", "if a copy of the mpl", r"if a copy of the mpl was not distributed with this file you can obtain one at"),
+    ("mpl-2.0", "incompatible with secondary", r"this source code form is incompatible with secondary licenses as defined by the mozilla public license v 2 0"),
+    ("mpl-1.1", "the contents of this file", r"the contents of this file are subject to the mozilla public license version 1 1 the license you may not use this file except in compliance with the license"),
+    ("mpl-1.0", "the contents of this file", r"the contents of this file are subject to the mozilla public license version 1 0 the license"),
+    ("npl-1.1", "the contents of this file", r"the contents of this file are subject to the netscape public license version 1 1"),
+    ("cddl-1.0", "the contents of this file", r"the contents of this file are subject to the terms of the common development and distribution license"),
+    ("cpl-1.0", "the accompanying program", r"the accompanying program is provided under the terms of this common public license"),
+    ("epl-1.0", "the accompanying program", r"the accompanying program is provided under the terms of this eclipse public license agreement"),
+    ("epl-1.0", "this program and the accompanying", r"this program and the accompanying materials are made available under the terms of the eclipse public license v1 0"),
+    ("epl-2.0", "this program and the accompanying", r"this program and the accompanying materials are made available under the terms of the eclipse public license(?: v)? ?2 0"),
+    ("epl-2.0", "this source code may also", r"this source code may also be made available under the following secondary licenses when the conditions for such availability"),
+    ("eupl-1.1", "european union public", r"european union public licen[cs]e v ?1 1 eupl copyright"),
+    ("eupl-1.2", "licensed under the eupl", r"licensed under the eupl version 1 2 or as soon they will be approved by the european commission subsequent versions of the eupl"),
+    ("eupl-1.2", "european union public", r"european union public licen[cs]e v ?1 2 eupl"),
+    ("artistic-1.0", "the intent of this document", r"the intent of this document is to state the conditions under which a package may be copied such that the copyright holder maintains some semblance of artistic control"),
+    ("artistic-2.0", "this license establishes", r"this license establishes the terms under which a given free software package may be copied modified distributed and or redistributed"),
+    ("perl", "this library is free", r"this library is free software you can redistribute it and or modify it under the same terms as perl itself"),
+    ("ofl-1.1", "this font software", r"this font software is licensed under the sil open font license version 1 1"),
+    ("ofl-1.1", "the goals of the open", r"the goals of the open font license ofl are to stimulate worldwide development of collaborative font projects"),
+    ("ubuntu-font-1.0", "this licence allows", r"this licence allows the licensed fonts to be used studied modified and redistributed freely"),
+    ("bitstream-vera", "bitstream vera", r"bitstream vera is a trademark of bitstream inc"),
+    ("cc-by-4.0", "by exercising the licensed", r"by exercising the licensed rights defined below you accept and agree to be bound by the terms and conditions of this creative commons attribution 4 0 international public license"),
+    ("cc-by-sa-4.0", "by exercising the licensed", r"by exercising the licensed rights defined below you accept and agree to be bound by the terms and conditions of this creative commons attribution sharealike 4 0 international public license"),
+    ("cc-by-nc-4.0", "by exercising the licensed", r"by exercising the licensed rights defined below you accept and agree to be bound by the terms and conditions of this creative commons attribution noncommercial 4 0 international public license"),
+    ("cc", "the work as defined", r"the work as defined below is provided under the terms of this creative commons public license ccpl or license"),
+    ("cc0-1.0", "to the extent possible", r"to the extent possible under law (?:the (?:author|person who associated cc0 with this work)(?: s)?) (?:has|have) waived all copyright and related or neighboring rights to this work"),
+    ("cc0-1.0", "the laws of most", r"the laws of most jurisdictions throughout the world automatically confer exclusive copyright and related rights"),
+    ("public-domain", "the author hereby", r"the author hereby disclaims copyright to this source code"),
+    ("public-domain", "no copyright is claimed", r"no copyright is claimed in the united states"),
+    ("blessing", "may you do good", r"may you do good and not evil may you find forgiveness for yourself and forgive others"),
+    ("unlicense", "anyone is free", r"anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary"),
+    ("wtfpl", "everyone is permitted", r"everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed"),
+    ("gpl", "everyone is permitted", r"everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed"),
+    ("beerware", "as long as you retain", r"as long as you retain this notice you can do whatever you want with this stuff"),
+    ("zlib", "the origin of this", r"the origin of this software must not be misrepresented you must not claim that you wrote the original software"),
+    ("zlib", "altered source versions", r"altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("libpng", "this copy of the libpng", r"this copy of the libpng notices is provided for your convenience"),
+    ("ijg", "this software is based", r"this software is based in part on the work of the independent jpeg group"),
+    ("curl", "except as contained", r"except as contained in this notice the name of a copyright holder shall not be used in advertising or otherwise to promote the sale"),
+    ("boost-1.0", "permission is hereby", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("openssl", "this product includes", r"this product includes software developed by the openssl project for use in the openssl toolkit"),
+    ("ssleay", "this product includes", r"this product includes cryptographic software written by eric young"),
+    ("php-3.01", "this product includes php", r"this product includes php software freely available from"),
+    ("python-2.0", "this license agreement", r"this license agreement is between the python software foundation psf and the individual or organization licensee"),
+    ("zope-2.1", "this software consists", r"this software consists of voluntary contributions made by zope corporation and many individuals on behalf of zope"),
+    ("ruby", "you may make and give", r"you may make and give away verbatim copies of the source form of the software without restriction provided that you duplicate all of the original copyright notices"),
+    ("tcl", "the authors hereby grant", r"the authors hereby grant permission to use copy modify distribute and license this software and its documentation for any purpose"),
+    ("postgresql", "permission to use", r"permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("unicode", "permission is hereby", r"permission is hereby granted free of charge to any person obtaining a copy of the unicode data files and any associated documentation"),
+    ("icu", "provided that the above", r"provided that the above copyright notice(?: s)? and this permission notice appear in all copies of the software and that both the above copyright notice"),
+    ("ncsa", "redistributions of source", r"redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimers"),
+    ("w3c", "permission to copy", r"permission to copy modify and distribute this (?:software and its documentation|work) with or without modification for any purpose and without fee or royalty is hereby granted"),
+    ("afl-3.0", "licensed under the academic", r"licensed under the academic free license version 3 0"),
+    ("osl-3.0", "licensed under the open", r"licensed under the open software license version 3 0"),
+    ("ms-pl", "this license governs", r"this license governs use of the accompanying software if you use the software you accept this license"),
+    ("jsr", "the software shall be used", r"the software shall be used for good not evil"),
+    ("odbl-1.0", "open database license", r"this database is made available under the open database license"),
+    ("pddl-1.0", "public domain dedication", r"this database is made available under the public domain dedication and license"),
+    ("sspl-1.0", "server side public", r"server side public license(?: version)? 1"),
+    ("busl-1.1", "business source license", r"business source license(?: version)? 1 1"),
+    ("elastic-2.0", "you may not provide", r"you may not provide the software to third parties as a hosted or managed service"),
+    ("commons-clause", "the software is provided to you", r"the software is provided to you by the licensor under the license as defined below subject to the following condition"),
+    ("polyform-nc", "polyform noncommercial", r"polyform noncommercial license(?: 1 0 0)?"),
+    ("llama", "community license agreement", r"llama [1-4](?: [1-4])? community license agreement"),
+    ("openrail-m", "responsible ai", r"(?:bigscience|creativeml) (?:open )?responsible ai license"),
+    ("openrail-m", "openrail", r"(?:bigscience|creativeml) (?:open )?openrail(?: m)? license"),
+    ("gutenberg", "this ebook is for the use", r"this ebook is for the use of anyone anywhere (?:in the united states and most other parts of the world )?at no cost and with almost no restrictions"),
+    ("fair-use-notice", "no part of this", r"no part of this (?:publication|book) may be reproduced(?: distributed)?(?: stored in a retrieval system)? or transmitted in any form or by any means"),
+    ("proprietary", "copying of this file", r"unauthori[sz]ed copying of this file via any medium is strictly prohibited"),
+    ("proprietary", "this software contains", r"this software contains (?:confidential|proprietary) (?:and (?:confidential|proprietary|trade secret) )?information of"),
 )
 # SPDX identifiers, as words, that are not the words of their label.
 TAGS = (("bsd-0-clause", "0bsd"), ("boost-1.0", "bsl 1 0"), ("python-2.0", "psf 2 0"))
