@@ -7,6 +7,7 @@ append, and the caller writes them to a new path.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,6 +117,35 @@ def changes_since(log: DataFrame, key: str, last: int, min_valid: int, base: Dat
     return ends.select(key, op.alias("op"), "version", "changed_columns")
 
 
+class CompactLog(NamedTuple):
+    """What is left of a log, and the oldest version that a reader may ask from."""
+
+    log: DataFrame
+    min_valid: int
+
+
+def compact_log(log: DataFrame, key: str, consumers: DataFrame, last_sync: str = "last_sync", min_valid: int = 0) -> CompactLog:
+    """The log without what no consumer needs: every consumer reads the same changes from it as before.
+
+    Rows up to the oldest sync go, and that becomes the oldest valid version. Between two syncs, and
+    after the last, a key keeps its first and its last row, with all columns changed in between on the
+    last. Consumers that never synced (null) keep everything from ``min_valid`` on.
+    """
+    syncs = sorted({max(min_valid, r[0] or min_valid) for r in consumers.select(last_sync).distinct().collect()})  # one number per consumer at most
+    if not syncs:
+        return CompactLog(log, min_valid)
+    points = F.array(*[F.lit(s) for s in syncs])
+    newer = log.where(F.col("version") > syncs[0]).withColumn("_span", F.size(F.filter(points, lambda p: p < F.col("version"))))
+    ends = newer.groupBy(key, "_span").agg(
+        F.min("version").alias("_low"), F.max("version").alias("_high"), F.min_by("op", "version").alias("_first"), F.max_by("op", "version").alias("_last"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("changed_columns")))).alias("_columns"))
+    none = F.array().cast("array<string>")
+    first = F.struct(F.col("_low").alias("version"), F.col("_first").alias("op"), none.alias("changed_columns"))
+    last = F.struct(F.col("_high").alias("version"), F.col("_last").alias("op"), F.col("_columns").alias("changed_columns"))
+    rows = ends.select(key, F.explode(F.when(F.col("_low") == F.col("_high"), F.array(last)).otherwise(F.array(first, last))).alias("_r"))
+    return CompactLog(rows.select(key, "_r.*"), syncs[0])
+
+
 def touching(changes: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Updates that changed one of ``columns``, all deletes, and keys of a full refresh; others need no re-embedding."""
     wanted = F.arrays_overlap("changed_columns", F.array(*[F.lit(c) for c in columns]))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.embedding import toy_embedding
@@ -60,6 +60,17 @@ def chunk_fixed(df: DataFrame, text: str, size: int = 500, overlap_percent: int
     )
 
 
+def register_chunk_function(spark: SparkSession, name: str = "lakeops_chunks") -> None:
+    """A SQL table function ``name(text, size, overlap_percent)`` with the chunks of ``chunk_fixed``, for LATERAL calls; it runs without Python."""
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {name}(content STRING, size INT, overlap_percent INT)
+      RETURNS TABLE (chunk_order INT, chunk_offset INT, chunk_text STRING, chunk_length INT)
+      RETURN SELECT i + 1, i * (size - size * overlap_percent div 100) + 1,
+        substring(content, CAST(i * (size - size * overlap_percent div 100) + 1 AS INT), size),
+        length(substring(content, CAST(i * (size - size * overlap_percent div 100) + 1 AS INT), size))
+      FROM explode(CASE WHEN length(content) > 0 THEN
+        sequence(0, CAST(greatest(ceil((length(content) - size) / (size - size * overlap_percent div 100)), 0) AS INT)) END) AS e(i)""")
+
+
 def chunk_id() -> Column:
     """One integer from source type, source key and chunk order; keys that do not fit are an error, not a collision."""
     number = F.create_map(*[F.lit(x) for pair in SOURCE_NUMBER.items() for x in pair])[F.col("source_type")]

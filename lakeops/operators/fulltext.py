@@ -176,31 +176,29 @@ def contains_passage(documents: DataFrame, passages: DataFrame, window: int = 6)
     looked up among the document's runs of characters. The text decides about each candidate.
     """
     cut = passages.where(F.length("text") > 0).select("item_id", F.col("text").alias("passage"), tokens(F.col("text")).alias("_w"))
-    inner = cut.where(F.size("_w") >= 3).withColumn("size", F.least(F.size("_w") - 2, F.lit(window)))
-    words = documents.select("doc_id", tokens(F.col("text")).alias("_w"))
-    letters = documents.select("doc_id", _letters(F.col("text")).alias("_w"))
-    by_words = inner.select("item_id", "passage", "size", F.xxhash64(F.slice("_w", F.lit(2), F.col("size"))).alias("run"))
-    by_letters = cut.where(F.size("_w") < 3).select("item_id", "passage", F.length("passage").alias("size"), F.xxhash64(_letters(F.col("passage"))).alias("run"))
-    found = documents.sparkSession.createDataFrame([], "item_id bigint, doc_id bigint")
-    for wanted, parts in ((by_words, words), (by_letters, letters)):
-        # As many sizes as there are short lengths: at most ``window``, or the lengths of passages of two words.
-        sizes = sorted(r["size"] for r in wanted.select("size").distinct().collect())
-        for size in sizes:
-            same = _runs(parts, "doc_id", size).distinct().join(wanted.where(F.col("size") == size).drop("size"), "run")
-            candidates = same.select("doc_id", "item_id", "passage").distinct()
-            found = found.unionByName(candidates.join(documents.select("doc_id", "text"), "doc_id").where(
-                F.contains(F.col("text"), F.col("passage"))).select("item_id", "doc_id"))
-    return found
+    short = F.size("_w") < 3
+    wanted = cut.select(
+        "item_id", "passage", F.when(short, -F.length("passage")).otherwise(F.least(F.size("_w") - 2, F.lit(window))).alias("size"),
+        F.xxhash64(F.when(short, _letters(F.col("passage"))).otherwise(F.slice("_w", F.lit(2), F.least(F.size("_w") - 2, F.lit(window))))).alias("run"))
+    # As many sizes as there are short lengths: at most ``window``, and the lengths of passages of two words (below zero).
+    sizes = sorted(r["size"] for r in wanted.select("size").distinct().collect())
+    if not sizes:
+        return documents.sparkSession.createDataFrame([], "item_id bigint, doc_id bigint")
+    parts = [F.struct(F.lit(n).alias("size"), _run_hashes(F.col("_words") if n > 0 else F.col("_letters"), abs(n)).alias("runs")) for n in sizes]
+    read = documents.select("doc_id", tokens(F.col("text")).alias("_words"), (_letters(F.col("text")) if sizes[0] < 0 else F.array()).alias("_letters"))
+    found = read.select("doc_id", F.explode(F.array(*parts)).alias("p")).select("doc_id", "p.size", F.explode(F.array_distinct("p.runs")).alias("run"))
+    candidates = found.join(wanted, ["size", "run"]).select("doc_id", "item_id", "passage").distinct()
+    return candidates.join(documents.select("doc_id", "text"), "doc_id").where(F.contains(F.col("text"), F.col("passage"))).select("item_id", "doc_id")
 
 
 def _letters(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
 
 
-def _runs(df: DataFrame, key: str, window: int) -> DataFrame:
-    starts = F.sequence(F.lit(1), F.size("_w") - (window - 1))
-    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice("_w", i, F.lit(window))))
-    return df.where(F.size("_w") >= window).select(key, F.explode(hashes).alias("run"))
+def _run_hashes(parts: Column, size: int) -> Column:
+    """Hashes of all runs of ``size`` neighbours; none where there are fewer."""
+    starts = F.when(F.size(parts) >= size, F.sequence(F.lit(1), F.size(parts) - (size - 1))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.xxhash64(F.slice(parts, i, F.lit(size))))
 
 
 def matches_all(conditions: Sequence[Column]) -> Column:

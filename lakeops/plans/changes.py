@@ -1,5 +1,7 @@
 """Change handling: audits, merges, change logs, order entry."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from lakeops.operators import audit, changes, documents, ordering
@@ -91,6 +93,24 @@ def changes_since(t):
     return both.select("mode", "product_id", "op", "version", changed.alias("changed"))
 
 
+SYNCS = (2000, 5000, 9800)
+
+
+@query("changes_since_compacted", f"""WITH {SQL_LOG}, e AS (SELECT since, product_id, arg_min(op, version) AS f, arg_max(op, version) AS l, max(version) AS version
+  FROM log, (VALUES {', '.join(f'({s})' for s in SYNCS)}) s(since) WHERE version > since GROUP BY 1, 2),
+c AS (SELECT since, product_id, array_to_string(list_sort(list(DISTINCT name)), ',') AS changed FROM (SELECT product_id, version, unnest(columns) AS name FROM log),
+  (VALUES {', '.join(f'({s})' for s in SYNCS)}) s(since) WHERE version > since GROUP BY 1, 2)
+SELECT CAST(since AS INTEGER) AS since, e.product_id, CASE WHEN l = 'D' THEN 'D' WHEN f = 'I' THEN 'I' ELSE 'U' END AS op, version, changed FROM e LEFT JOIN c USING (since, product_id)""")
+def changes_since_compacted(t):
+    """Three readers at different versions read the same changes after the log was compacted for them."""
+    readers = t.spark.createDataFrame([(s,) for s in SYNCS], "last_sync int")
+    kept = changes.compact_log(change_log(t), "product_id", readers)
+    log = materialize(kept.log, "compact_log")
+    parts = [changes.changes_since(log, "product_id", s, kept.min_valid).withColumn("since", F.lit(s)) for s in SYNCS]
+    changed = F.nullif(F.array_join(F.array_sort("changed_columns"), ","), F.lit(""))
+    return reduce(lambda a, b: a.unionByName(b), parts).select("since", "product_id", "op", "version", changed.alias("changed"))
+
+
 @query("refresh_after_lost_log", """SELECT p_partkey AS source_id, 1 AS chunk_order, TRUE AS is_stale FROM part""")
 def refresh_after_lost_log(t):
     """A full refresh marks the chunks of every product."""

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from lakeops.functions import embedding, scalars, vectors
+from lakeops.operators import json_index
 from lakeops.plans.registry import query
 from lakeops.session import spread
 
@@ -70,6 +71,13 @@ def json_extract(t):
     )
 
 
+@query("json_containing", """SELECT event_id FROM events WHERE CAST(props->>'$.k' AS INTEGER) = 7""")
+def json_containing(t):
+    """Events whose properties hold k = 7, from the index: one bucket is read."""
+    index = json_index.build_json_index(t.events, "event_id", "props", ["$.k"])
+    return json_index.containing(index, t.spark, [("$.k", 7)]).select(F.col("key").alias("event_id"))
+
+
 @query("regex_matches", r"""SELECT doc_id, unnest(regexp_extract_all(text,
   '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}')) AS match_value FROM documents""")
 def regex_matches(t):

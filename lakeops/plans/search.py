@@ -93,6 +93,16 @@ def chunk_fixed_small(t):
         F.col("chunk_length").cast("bigint"))
 
 
+@query("chunk_function", f"""SELECT doc_id, chunk_order, chunk_offset, md5(chunk_text) AS text_md5
+FROM {sql_chunks('documents', 'doc_id', 'text', 500, 450)}""")
+def chunk_function(t):
+    """Chunks by a table function that SQL calls for each row."""
+    docs.register_chunk_function(t.spark)
+    spread(t.documents.select("doc_id", "text")).createOrReplaceTempView("lakeops_chunk_texts")
+    return t.spark.sql("""SELECT doc_id, CAST(c.chunk_order AS BIGINT) AS chunk_order, CAST(c.chunk_offset AS BIGINT) AS chunk_offset, md5(c.chunk_text) AS text_md5
+      FROM lakeops_chunk_texts, LATERAL lakeops_chunks(text, 500, 10) AS c""")
+
+
 SQL_CHUNKS = f"""{SQL_SOURCES}, chunks AS (SELECT CASE source_type WHEN 'Product' THEN 1 WHEN 'Review' THEN 2 ELSE 3 END
   * 1000000000000000000 + source_id * 1000000 + chunk_order AS id, source_type, source_id, chunk_order, chunk_text AS text
   FROM {sql_chunks('sources', 'source_type, source_id', 'doc_text', 500, 450)})"""

@@ -60,6 +60,19 @@ def stream_dedup_events(t):
     return appended(t, streams.dedup_events(stream, "event_id", "ts", "1 day").select("event_id", "user_id", "event_type"), "deduped")
 
 
+@query("stream_accounts", """SELECT count(*) + count(*) FILTER (WHERE event_type = 'click') AS came, count(*) AS kept, count(*) FILTER (WHERE event_type = 'click') AS repeated,
+  TRUE AS all_accounted FROM events""")
+def stream_accounts(t):
+    """Every row of a stream with repeated clicks is accepted, repeated or dropped as late, in every micro-batch."""
+    events = timed_events(t)
+    stream = written(t, events.unionByName(events.where("event_type = 'click'")), "duplicated")
+    running = streams.start_append(streams.dedup_events(stream, "event_id", "ts", "1 day"), scratch_path(t.spark, "kept"), scratch_path(t.spark, "kept_checkpoint"))
+    finish(running)
+    rows = t.spark.createDataFrame(streams.accounts(running), "batch_id bigint, came bigint, accepted bigint, dropped_late bigint, repeated bigint")
+    whole = F.bool_and(F.col("came") == F.col("accepted") + F.col("dropped_late") + F.col("repeated"))
+    return rows.agg(F.sum("came").alias("came"), F.sum("accepted").alias("kept"), F.sum("repeated").alias("repeated"), whole.alias("all_accounted"))
+
+
 @query("stream_late_events", """SELECT event_id, event_type, CASE event_type WHEN 'error' THEN 'late' ELSE 'accepted' END AS route FROM events""")
 def stream_late_events(t):
     """Errors arrive a day late, views some minutes; the bound is ten minutes."""
@@ -118,6 +131,25 @@ def stream_change_events(t):
     return t.spark.read.text(events).select(F.col("value").alias("event"))
 
 
+@query("stream_delete_events", f"""WITH {SQL_EXTRACT}, parts AS (SELECT *, {' + '.join(f"CAST(load_date >= DATE '{day}' AS INTEGER)" for day in STEPS)} AS part FROM extract_rows),
+newest AS (SELECT order_id, part, last(status ORDER BY modified_at, load_date) AS status FROM parts GROUP BY 1, 2),
+steps AS (SELECT order_id, CASE WHEN part = 3 AND order_id % 2 = 0 THEN NULL ELSE status END AS status, lag(status) OVER (PARTITION BY order_id ORDER BY part) AS before FROM newest),
+kinds AS (SELECT order_id, CASE WHEN before IS NULL THEN 'insert' WHEN status IS NULL THEN 'delete' ELSE 'update' END AS kind FROM steps WHERE before IS DISTINCT FROM status)
+SELECT kind, count(*) AS events, CAST(sum(order_id) AS BIGINT) AS orders FROM kinds GROUP BY 1""")
+def stream_delete_events(t):
+    """In the last part of the feed orders with even numbers are deleted."""
+    rows = order_extract(t).select("order_id", "status", "modified_at", "load_date")
+    gone = (F.col("load_date") >= F.lit(STEPS[-1]).cast("date")) & (F.col("order_id") % 2 == 0)
+    state, events = scratch_path(t.spark, "event_state"), scratch_path(t.spark, "events")
+    handler = streams.change_event_handler(state, events, "order_id", ["modified_at", "load_date"], ["status"], "sales.order",
+                                           F.lit("2002-01-01T00:00:00Z"), every=2, deleted="gone")
+    checkpoint = scratch_path(t.spark, "event_checkpoint")
+    in_steps(t, by_load_date(rows.withColumn("gone", gone)), "event_feed", lambda stream: streams.start_batches(stream, handler, checkpoint))
+    event = F.from_json("value", "type STRING, data STRUCT<before: STRUCT<order_id: BIGINT>, after: STRUCT<order_id: BIGINT>>")
+    found = t.spark.read.text(events).select(event.alias("e")).select(F.substring_index("e.type", ".", -1).alias("kind"), F.coalesce("e.data.after.order_id", "e.data.before.order_id").alias("id"))
+    return found.groupBy("kind").agg(F.count(F.lit(1)).alias("events"), F.sum("id").alias("orders"))
+
+
 SQL_FEED = f"""feed AS (SELECT doc_id AS id, lang, concat('Review (', 2 + 3 * quality - toxic, '/5): ', lang, '. ', text) AS text
   FROM documents LEFT JOIN labels USING (doc_id)),
 staged AS (SELECT id, text FROM feed WHERE lang IN ('en', 'fr')), fw AS {sql_words('staged', 'id', 'text')},

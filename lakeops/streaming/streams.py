@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from typing import NamedTuple
 
@@ -64,6 +65,36 @@ def dedup_events(stream: DataFrame, key: str, ts: str, lateness: str) -> DataFra
     return stream.withWatermark(ts, lateness).dropDuplicatesWithinWatermark([key])
 
 
+class BatchAccount(NamedTuple):
+    """Rows of one micro-batch: what came, what went on, what the watermark dropped, and repeated rows."""
+
+    batch_id: int
+    came: int
+    accepted: int
+    dropped_late: int
+    repeated: int
+
+
+def accounts(running: StreamingQuery) -> list[BatchAccount]:
+    """Where the rows of a deduplicated stream went, batch by batch; ``accepted``, ``dropped_late`` and ``repeated`` add up to ``came``.
+
+    What the watermark drops is counted by the stateful operator; nothing leaves unseen. The stream
+    writes one sink and was started in this session.
+    """
+    found: dict[int, BatchAccount] = {}
+    for progress in running.recentProgress:
+        step = json.loads(progress.json) if hasattr(progress, "json") else progress
+        states = step.get("stateOperators", [])
+        if not states or not step.get("numInputRows"):
+            continue
+        late = sum(s.get("numRowsDroppedByWatermark", 0) for s in states)
+        repeated = sum(s.get("customMetrics", {}).get("numDroppedDuplicateRows", 0) for s in states)
+        came = step["numInputRows"]
+        accepted = sum(s.get("numRowsUpdated", 0) for s in states)
+        found[step["batchId"]] = BatchAccount(step["batchId"], came, accepted, late, repeated)
+    return [found[b] for b in sorted(found)]
+
+
 class LateSplit(NamedTuple):
     accepted: DataFrame
     late: DataFrame
@@ -190,9 +221,11 @@ def upserted_state(spark: SparkSession, path: str, key: str, order: list[str]) -
 
 
 def change_event_handler(state: str, events: str, key: str, order: list[str], columns: list[str], source: str,
-                         time: Column | None = None, every: int = COMPACT_EVERY) -> Callable[[DataFrame, int], None]:
+                         time: Column | None = None, every: int = COMPACT_EVERY, deleted: str | None = None) -> Callable[[DataFrame, int], None]:
     """Upsert a micro-batch and write its changes against the earlier state as JSON events.
 
+    A newest row with a true ``deleted`` column takes its key out: a delete event if it was there, and
+    none if not; the mark stays in the state, so an older row that comes late does not bring it back.
     ``time`` is the events' time as text; by default the moment at which the batch is handled.
 
     The earlier state is read from older folders only, so replaying a batch gives the same events.
@@ -205,6 +238,8 @@ def change_event_handler(state: str, events: str, key: str, order: list[str], co
         before = newest.where(F.lit(False)) if older is None else older.join(newest.select(key), key, "left_semi")
         current = latest_per_key(before.unionByName(newest), [key], order)
         write_batch(newest, state, batch_id)
+        if deleted:
+            before, current = (rows.where(~F.coalesce(F.col(deleted), F.lit(False))) for rows in (before, current))
         diff = changes.snapshot_diff(before, current, key, columns)
         stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'") if time is None else time
         write_batch(changes.change_events(diff, key, source, stamp).select("event"), events, batch_id, "text")
