@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
@@ -18,6 +22,7 @@ STOP_WORDS = (
 )
 # Fixed value: endings removed by the crude stemmer.
 SUFFIX_PATTERN = "(ing|ed|es|s)$"
+_SUFFIX = re.compile(SUFFIX_PATTERN)
 
 
 def stem(word: Column) -> Column:
@@ -55,5 +60,27 @@ def dense(bucket_array: Column, dims: int = DIMENSIONS) -> Column:
     return count(F.coalesce(bucket_array, F.array().cast("array<int>")))
 
 
+def _bucket(word: str, dims: int) -> int:
+    """The bucket of one word as it stands, by the rules above; -1 for words that do not count."""
+    low = word.lower()
+    if len(word) <= 2 or low in STOP_WORDS:
+        return -1
+    digest = hashlib.sha256(_SUFFIX.sub("", low).encode("utf-16-le")).digest()
+    return int.from_bytes(digest[:4], "big") % dims
+
+
 def toy_embedding(text: Column, dims: int = DIMENSIONS) -> Column:
-    return dense(buckets(text, dims), dims)
+    """The counts of ``dense(buckets(text))``; each distinct word of an Arrow batch is stemmed and hashed once."""
+
+    @F.arrow_udf(ArrayType(FloatType()))
+    def count(batch: pa.Array) -> pa.Array:
+        rows = len(batch)
+        words = batch.flatten().dictionary_encode()
+        bucket = np.array([_bucket(w, dims) for w in words.dictionary.to_pylist()], np.int64)
+        lengths = pc.fill_null(batch.value_lengths(), 0).to_numpy(zero_copy_only=False)
+        found = bucket[words.indices.to_numpy(zero_copy_only=False)] if len(words) else np.empty(0, np.int64)
+        cell = (np.repeat(np.arange(rows), lengths) * dims + found)[found >= 0]
+        counts = np.bincount(cell, minlength=rows * dims).astype(np.float32)
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, rows * dims + 1, dims, dtype=np.int32)), pa.array(counts))
+
+    return count(F.coalesce(F.split(F.regexp_replace(text, "[^A-Za-z]+", " "), " "), F.array().cast("array<string>")))

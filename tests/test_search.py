@@ -255,3 +255,12 @@ def test_many_query_blocks_keep_the_plan_small(spark, monkeypatch):
     found = nearest.knn_exact(stored, queries, 3)
     assert found.groupBy("query_id").count().where("count = 3").count() == 12
     assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString()  # the hits of the blocks are read, not made again
+
+
+def test_words_hashed_once_a_batch_give_the_same_vectors(spark):
+    from lakeops.functions import embedding
+
+    texts = [None, "", "the THE tent", "Running runs RUN seas sing ed ing s", "Ünder naïve café's x1y2 tent-tent", "as is us bed beds bedes\nsings", " a  b " * 50 + "leaks"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    rows = df.select(embedding.toy_embedding(F.col("t")).alias("a"), embedding.dense(embedding.buckets(F.col("t"))).alias("b")).collect()
+    assert all(r.a == r.b for r in rows) and any(sum(r.a) for r in rows)
