@@ -16,13 +16,14 @@ import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from lakeops.llm.blocks import kept
 
 _CONTROL = re.compile(r"[\x1c-\x1f\x85]")
-_WORD = re.compile(r"(([^\W\d_]+))([!-/:-@\[-`{-~]*)")  # letters, then ASCII punctuation
-PUNCTUATION = frozenset("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
-MEMORY = 192 << 20
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+MEMORY = 96 << 20
 ENTRY = 230  # bytes that a remembered word takes besides its letters and ids
 LONG = 1000
 #: The pattern by which byte-level tokenizers of this family part words.
@@ -152,46 +153,53 @@ class Encoder:
         return [ids[a:b] for a, b in zip(edges, edges[1:], strict=False)]
 
     def _learn(self, wanted: set[str]) -> None:
-        """Remember words: a core of letters, encoded in bulk, and a tail of punctuation."""
-        todo, cores, tails = [], {}, {}
-        for word in self.words.missing(wanted):
-            if word.isalpha():
-                core, tail = word, ""
-            else:
-                core, tail = word[:-1], word[-1:]
-                if not core.isalpha() or tail not in PUNCTUATION:
-                    match = _WORD.fullmatch(word)
-                    if not match or not match[2].isalpha():
-                        self.words.put(word, self._whole(word))
-                        continue
-                    core, tail = match[1], match[3]
-            if not core.islower() and "Σ" not in core:
-                core = core.lower()
-            cores[core] = b""
-            if tail:
-                tails[tail] = b""
-            todo.append((word, core, tail))
-        tails = {t: self._whole(t) for t in tails} | {"": b""}
-        for core in self.words.missing(set(cores)):
-            cores[core] = None
-        new = [c for c, ids in cores.items() if ids is None]
-        for core, ids in zip(new, self._bulk(new), strict=True):
+        """Remember cores of letters, encoded in bulk, and other words as they are."""
+        new = self.words.missing(wanted)
+        cores = [w for w in new if w.isalpha()]
+        for core, ids in zip(cores, self._bulk(cores), strict=True):
             self.words.put(core, ids)
-        find = self.words.young
-        for word, core, tail in todo:
-            if word != core:
-                self.words.put(word, find[core] + tails[tail])
+        for word in new:
+            if not word.isalpha():
+                self.words.put(word, self._whole(word))
+
+    def _ids_of(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words: a core of letters, in lower case, and the punctuation behind it apart; else as the word stands."""
+        cores, tails = words.copy(), {}
+        for i, word in enumerate(words):
+            if word.isalpha():
+                if not word.islower() and "Σ" not in word:
+                    cores[i] = word.lower()
+                continue
+            core = word.rstrip(PUNCTUATION)
+            if core.isalpha():
+                cores[i] = core if core.islower() or "Σ" in core else core.lower()
+                tails[i] = word[len(core):]
+        ends = {t: self._whole(t) for t in set(tails.values())}
+        self.words.turn()
+        self._learn(set(cores))
+        found = list(map(self.words.young.__getitem__, cores))
+        for i, tail in tails.items():
+            found[i] += ends[tail]
+        return found
 
     def _encode_words(self, texts: list[str]) -> list[bytes]:
-        self.words.turn()
-        cut = [None if _CONTROL.search(t) else t.split() for t in texts]
-        new: set[str] = set()
-        for words in cut:
-            if words:
-                new.update(words)
-        self._learn(new)
-        find = self.words.young.__getitem__
-        return [self._whole(t) if words is None else b"".join(map(find, words)) for t, words in zip(texts, cut, strict=True)]
+        plain = [not _CONTROL.search(t) for t in texts]
+        cut = pc.utf8_split_whitespace(pa.array([t if p else "" for t, p in zip(texts, plain, strict=True)], pa.large_string()))
+        coded = cut.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        empty = words.index("") if "" in words else -1  # what stands around white space at the ends of a text
+        ids = self._ids_of([w or "a" for w in words])
+        if empty >= 0:
+            ids[empty] = b""
+        size = np.array([len(i) for i in ids], np.int64) // self.dtype.itemsize
+        table = np.frombuffer(b"".join(ids), self.dtype)
+        at = coded.indices.to_numpy()
+        length, first = size[at], (np.cumsum(size) - size)[at]
+        ends = np.cumsum(length)
+        total = int(ends[-1]) if len(ends) else 0
+        out = table[np.repeat(first - (ends - length), length) + np.arange(total)].tobytes()
+        edges = (np.concatenate([[0], ends])[cut.offsets.to_numpy()] * self.dtype.itemsize).tolist()
+        return [out[a:b] if p else self._whole(t) for t, p, a, b in zip(texts, plain, edges, edges[1:], strict=False)]
 
     def _encode_bytes(self, text: str) -> bytes:
         if (not text.isascii() or _CONTROL.search(text)) and self.unsettled.search(text) or _long_run(text):
