@@ -39,26 +39,48 @@ RANGE_ROWS = 1_000_000
 QUANTILES = 512
 
 
+def range_cuts(df: DataFrame, keys: Sequence[str], by: str, rows: int = RANGE_ROWS) -> DataFrame | None:
+    """Where keys of more than ``rows`` rows are cut into ranges of ``by``: ``_hot_0``, ... (the key) and ``_cuts``; None without such keys.
+
+    Only rows of these keys are sketched, and each task sums its sketches up before the shuffle.
+    """
+    counts = df.groupBy(*[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = materialize(counts.where(F.col("_rows") > rows), "hot_keys")
+    if hot.isEmpty():
+        return None
+    names = [f"_hot_{i}" for i in range(len(keys))]
+    met = df.select(*keys, F.col(by).alias("_by")).join(hot, _same_keys(keys), "inner")
+    sketch = F.percentile_approx("_by", [i / QUANTILES for i in range(1, QUANTILES)], 10 * QUANTILES)
+    found = met.groupBy(*names, "_rows").agg(sketch.alias("_points"))
+    step = F.greatest(F.lit(1), F.floor(F.lit(float(QUANTILES) * rows) / F.col("_rows"))).cast("int")
+    return found.select(*names, F.array_distinct(F.filter("_points", lambda p, i: (i + 1) % step == 0)).alias("_cuts"))
+
+
+def _same_keys(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{i}")) for i, k in enumerate(keys)])
+
+
 def with_ranges(df: DataFrame, keys: Sequence[str], by: str, rows: int = RANGE_ROWS) -> DataFrame:
     """``df`` with ``_bucket``: 0 for keys of at most ``rows`` rows, else the number of a range of ``by`` that holds about so many.
 
-    Ranges follow the quantiles of ``by`` within the key, from a sketch that each task sums up before
-    the shuffle, and number ``QUANTILES`` at most; equal values of ``by`` stay together. ``df`` is
-    read twice, so a costly one should be stored first.
+    Ranges follow the quantiles of ``by`` within the key and number ``QUANTILES`` at most; equal values
+    of ``by`` stay together. ``df`` is read several times, so a costly one should be stored first.
     """
-    sketch = F.percentile_approx(by, [i / QUANTILES for i in range(1, QUANTILES)], 10 * QUANTILES)
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), sketch.alias("_points")).where(F.col("_rows") > rows)
-    step = F.greatest(F.lit(1), F.floor(F.lit(float(QUANTILES) * rows) / F.col("_rows"))).cast("int")
-    chosen = F.array_distinct(F.filter("_points", lambda p, i: (i + 1) % step == 0))
-    cuts = hot.select(*[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)], chosen.alias("_cuts"))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{i}")) for i, k in enumerate(keys)])
-    met = df.join(cuts, same, "left")
+    cuts = range_cuts(df, keys, by, rows)
+    return df.withColumn("_bucket", F.lit(0)) if cuts is None else _with_cuts(df, keys, by, cuts)
+
+
+def _with_cuts(df: DataFrame, keys: Sequence[str], by: str, cuts: DataFrame) -> DataFrame:
     passed = F.size(F.filter("_cuts", lambda p: F.coalesce(p <= F.col(by), F.lit(False))))
-    return met.withColumn("_bucket", F.when(F.col("_cuts").isNull(), 0).otherwise(passed)).select(*df.columns, "_bucket")
+    return df.join(cuts, _same_keys(keys), "left").withColumn("_bucket", F.when(F.col("_cuts").isNull(), 0).otherwise(passed)).select(*df.columns, "_bucket")
 
 
-def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column | None) -> DataFrame:
-    return with_ranges(df, keys, order[0]) if bucket is None else df.withColumn("_bucket", bucket)
+def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column | None) -> DataFrame | None:
+    """``df`` with ``_bucket``; None where no key needs to be cut."""
+    if bucket is not None:
+        return df.withColumn("_bucket", bucket)
+    cuts = range_cuts(df, keys, order[0])
+    return None if cuts is None else _with_cuts(df, keys, order[0], cuts)
 
 
 def _with_edges(inside: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -81,6 +103,8 @@ def neighbour(
     look = F.lead if step == 1 else F.lag
     edge_of = F.min_by if step == 1 else F.max_by
     cut = _cut(df, keys, order, bucket)
+    if cut is None:
+        return df.withColumn(out, look(F.struct(*columns)).over(Window.partitionBy(*keys).orderBy(*order)))
     inside = cut.withColumn(
         "_inside", look(F.struct(*columns)).over(Window.partitionBy(*keys, "_bucket").orderBy(*order))
     )
@@ -102,6 +126,9 @@ def carried_forward(
 ) -> DataFrame:
     """Last non-NULL ``value`` at or before each row of the key; ``bucket`` as for ``neighbour``."""
     cut = _cut(df, keys, order, bucket)
+    if cut is None:
+        all_before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(out, F.last(value, ignorenulls=True).over(all_before))
     run = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     inside = cut.withColumn("_inside", F.last(value, ignorenulls=True).over(run))
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

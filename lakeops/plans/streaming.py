@@ -101,7 +101,7 @@ def stream_order_upsert(t):
     for part in (rows.where("load_date >= DATE '1998-01-01'"), rows.where("load_date < DATE '1998-01-01'")):
         part.write.mode("append").parquet(feed)
     files = len(t.spark.read.schema(rows.schema).parquet(feed).inputFiles())
-    stream = streams.newest_per_key(streams.file_stream(t.spark, feed, rows.schema, max_files=-(-files // 3)), "order_id", order)
+    stream = streams.newest_per_key(streams.file_stream(t.spark, feed, rows.schema, max_files=-(-files // 2)), "order_id", order)
     finish(streams.start_updates(stream, path, scratch_path(t.spark, "upsert_checkpoint")))
     return streams.updated_state(t.spark, path, "order_id", order)
 

@@ -89,8 +89,7 @@ def test_a_hot_key_within_one_year_is_cut_by_its_rows(spark):
 
 @pytest.mark.parametrize("step", [1, -1])
 def test_neighbours_by_ranges_equal_a_window(spark, monkeypatch, step):
-    monkeypatch.setattr(skew, "RANGE_ROWS", 50)
-    monkeypatch.setattr(skew.with_ranges, "__defaults__", (50,))
+    monkeypatch.setattr(skew.range_cuts, "__defaults__", (50,))
     rng = random.Random(step)
     rows = [(rng.choice([None, 0, 0, 0, 1, 2]), i, rng.choice([None, 1, 2])) for i in range(1500)]
     df = spark.createDataFrame(rows, "k int, at int, v int")
@@ -105,7 +104,7 @@ def test_neighbours_by_ranges_equal_a_window(spark, monkeypatch, step):
 
 
 def test_asof_join_of_a_hot_key(spark, monkeypatch):
-    monkeypatch.setattr(skew.with_ranges, "__defaults__", (40,))
+    monkeypatch.setattr(skew.range_cuts, "__defaults__", (40,))
     rng = random.Random(8)
     versions = [(1, dt.datetime(2026, 1, 1) + dt.timedelta(minutes=rng.randrange(5000)), i) for i in range(150)]
     facts = [(rng.choice([1, 1, 2]), dt.datetime(2026, 1, 1) + dt.timedelta(minutes=rng.randrange(5000))) for _ in range(600)]
