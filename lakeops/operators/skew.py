@@ -45,9 +45,10 @@ def range_cuts(df: DataFrame, keys: Sequence[str], by: str, rows: int = RANGE_RO
     Only rows of these keys are sketched, and each task sums its sketches up before the shuffle.
     """
     counts = df.groupBy(*[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = materialize(counts.where(F.col("_rows") > rows), "hot_keys")
+    hot = counts.where(F.col("_rows") > rows)
     if hot.isEmpty():
         return None
+    hot = materialize(hot, "hot_keys")
     names = [f"_hot_{i}" for i in range(len(keys))]
     met = df.select(*keys, F.col(by).alias("_by")).join(hot, _same_keys(keys), "inner")
     sketch = F.percentile_approx("_by", [i / QUANTILES for i in range(1, QUANTILES)], 10 * QUANTILES)

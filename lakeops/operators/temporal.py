@@ -56,7 +56,7 @@ def asof_join(
     marks = versions.select(*keys, F.col(version_ts).alias("_ts"), F.lit(0).alias("_kind"),
                             F.struct(*columns).alias("_version"))
     merged = line.unionByName(marks, allowMissingColumns=True)
-    filled = carried_forward(materialize(merged, "time_line"), keys, ["_ts", "_kind"], "_version", None, "_current")
+    filled = carried_forward(merged, keys, ["_ts", "_kind"], "_version", None, "_current")
     return filled.where("_kind = 1").select(*facts.columns, "_current.*")
 
 
