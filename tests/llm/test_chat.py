@@ -101,3 +101,18 @@ def test_a_known_reach_needs_only_so_many_turns(spark):
     for m in messages:
         conversation.add([m])
     assert conversation.turns == messages[-2:]
+
+
+def test_the_query_renders_whole_prefixes(spark, tmp_path, monkeypatch):
+    from lakeops.llm.queries import QUERIES
+
+    turns = [("system", "be"), *(("assistant" if i % 2 else "user", f"turn {i}") for i in range(300))]
+    spark.createDataFrame([(1, i, r, t) for i, (r, t) in enumerate(turns)], SCHEMA).write.parquet(f"{tmp_path}/conversations.parquet")
+
+    def opened(messages):  # every turn names the role of the first one
+        return "".join(f"<|im_start|>{r} after {messages[0][0]}\n{t.replace('<|', '<' + chr(92) + '|')}<|im_end|>\n" for r, t in messages)
+
+    real = chat.format_turns
+    monkeypatch.setattr(chat, "format_turns", lambda rows, **options: real(rows, opened, **options))
+    got = {r.conv_id: r.turns_sha256 for r in QUERIES["op6_chat_formatting"](spark, str(tmp_path)).collect()}
+    assert got[1] == digest([(f"{r} after system", t) for r, t in turns])[1]
