@@ -1,7 +1,10 @@
 """Near-duplicates by the Jaccard similarity of their sets of word shingles.
 
-Texts with one set of shingles are collapsed first. Sets are signed with MinHash and stored under a
-key per band of ``ROWS`` minima; two sets of similarity s share a key with probability
+Texts with one set of shingles are collapsed first. Sets whose SimHash fingerprints of the same
+shingles differ in at most two bits are found by multi-index hashing (``simhash.fingerprint_links``).
+Fingerprints of sets at the least similarity differ in more bits than that, so what they give is
+compared shingle by shingle and the rest is found by MinHash: sets are stored under a key per band
+of ``ROWS`` minima; two sets of similarity s share a key with probability
 1 - (1 - s ** ROWS) ** BANDS, which is over 0.99999 at 0.8. What shares a key is compared shingle by
 shingle, so no pair below ``least`` is linked.
 
@@ -23,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeops.llm import simhash
 from lakeops.llm.blocks import SPACE, Block, blocks, lists, mix
 from lakeops.llm.components import components
 from lakeops.session import materialize
@@ -78,16 +82,19 @@ def signed(block: Block, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _marked(docs: DataFrame, width: int) -> DataFrame:
-    """``_id``, ``_hash``, ``node`` and ``keys`` of rows with ``_id``, ``_hash`` and ``_whole``."""
-    schema = T.StructType([*docs.schema.fields[:2], T.StructField("node", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+    """``_id``, ``_hash``, ``node``, ``keys`` and SimHash ``fingerprint`` of rows with ``_id``, ``_hash`` and ``_whole``."""
+    schema = T.StructType([*docs.schema.fields[:2], T.StructField("node", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType())),
+                           T.StructField("fingerprint", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, high, block in blocks(batch.column(2)):
                 nodes, keys = signed(block, width)
                 values = lists(np.full(high - low, BANDS), pa.array(keys.view(np.int64).ravel()))
+                prints = np.array([simhash.fingerprint(block.text(i), width) for i in range(len(block))], np.uint64)
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(i).slice(low, high - low) for i in (0, 1)), pa.array(nodes.view(np.int64)), values], schema.names)
+                    [*(batch.column(i).slice(low, high - low) for i in (0, 1)), pa.array(nodes.view(np.int64)), values, pa.array(prints.view(np.int64))],
+                    schema.names)
 
     return docs.mapInArrow(run, schema)
 
@@ -132,6 +139,17 @@ def _to_least(entries: DataFrame) -> DataFrame:
     return entries.join(firsts, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
 
 
+def _by_fingerprint(nodes: DataFrame) -> DataFrame:
+    """Pairs of sets that connect all whose fingerprints differ in at most two bits; each fingerprint stands for its least set."""
+    full = nodes.where("node <> 0").select("node", "fingerprint")
+    least = materialize(full.groupBy("fingerprint").agg(F.min("node").alias("first")), "prints")
+    same = full.join(least, "fingerprint").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    ends = [least.select(F.col("fingerprint").alias(f"_{n}"), F.col("first").alias(n)) for n in ("x", "y")]
+    links = simhash.fingerprint_links(least.select("fingerprint")).select(F.col("a").alias("_x"), F.col("b").alias("_y"))
+    near = links.join(ends[0], "_x").join(ends[1], "_y")
+    return materialize(same.union(near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))).distinct(), "alike")
+
+
 class _Sets:
     """Sorted sets of shingles, one after the other, with their counts per bucket of the hash."""
 
@@ -241,16 +259,19 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     whole = F.col("row").getField(text).cast("string").alias("_whole")
     marked = materialize(_marked(rows.select(F.col("row").getField(doc_id).alias("_id"), F.col("by_text").alias("_hash"), whole), width), "signed")
     nodes = materialize(marked.groupBy("node").agg(
-        F.min(F.struct(F.isnull("_id").alias("_none"), "_id", "_hash")).alias("_least"), F.first("keys").alias("keys")), "nodes")
+        F.min(F.struct(F.isnull("_id").alias("_none"), "_id", "_hash")).alias("_least"), F.first("keys").alias("keys"),
+        F.min("fingerprint").alias("fingerprint")), "nodes")
+    alike = _by_fingerprint(nodes)
     entries = nodes.where("node <> 0").select("node", F.explode("keys").alias("key"))
     # Keys under which a set stands alone have nothing to compare.
     shared = entries.groupBy("key").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).where("_low <> _high").select("key")
     entries = materialize(entries.join(shared, "key", "left_semi"), "entries")
-    involved = nodes.join(entries.select("node").distinct(), "node", "left_semi").select(
+    met = entries.select("node").union(alike.select("a")).union(alike.select("b")).distinct()
+    involved = nodes.join(met, "node", "left_semi").select(
         "node", F.xxhash64("_least._id").alias("by_id"), F.col("_least._hash").alias("by_text"))
     texts = rows.select("by_id", "by_text", whole).join(involved, ["by_id", "by_text"]).select("node", "_whole")
     sets = materialize(_sets(texts, width).dropDuplicates(["node"]), "sets")
-    links = materialize(_verified(_to_least(entries), sets, least), "similar")
+    links = materialize(_verified(alike.union(_to_least(entries)).distinct(), sets, least), "similar")
     roots = components(_rounds(entries, sets, links, least))
     grouped = nodes.join(roots, "node", "left").select("_least", F.coalesce("root", "node").alias("root"))
     firsts = grouped.groupBy("root").agg(F.min("_least").alias("_first"))

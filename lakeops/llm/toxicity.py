@@ -90,6 +90,30 @@ def _document_log(text: np.ndarray, logit: np.ndarray, n: int) -> np.ndarray:
     return -np.bincount(text, np.logaddexp(0, logit), n)
 
 
+def _summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted keys, each once, and the sums of both counts."""
+    keys, place = np.unique(np.concatenate([k for k, _, _ in parts]), return_inverse=True)
+    one, other = (np.bincount(place, np.concatenate([p[i] for p in parts]), len(keys)).astype(np.int32) for i in (1, 2))
+    return keys, one, other
+
+
+def _document_counts(texts: list[tuple[Block, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every key and how many toxic and how many other texts have it. Some blocks' counts are held beside the sum, not all occurrences."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for block, labels, _ in texts:
+        found, toxic = sentences(block), labels == 1
+        word_text = found.text[found.sentence] if len(found.sentence) else found.sentence
+        spread = mix(word_text.astype(np.uint64))
+        for keys in found.keys:
+            _, once = np.unique(mix(keys + spread), return_index=True)  # one of each key in a text
+            is_toxic = toxic[word_text[once]]
+            held.append((keys[once], is_toxic.astype(np.int32), (~is_toxic).astype(np.int32)))
+        held = [held[0], _summed(held[1:])] if len(held) > 1 else held
+        if len(held[1][0]) * 4 > len(held[0][0]):
+            held = [_summed(held)]
+    return _summed(held) if held else (np.empty(0, np.uint64), np.empty(0, np.int32), np.empty(0, np.int32))
+
+
 def train(texts: list[tuple[Block, np.ndarray, np.ndarray]], features: int = FEATURES, steps: int = 300) -> Model:
     """Fit the sentence model to (block, label of each text, weight of each text).
 
@@ -100,24 +124,11 @@ def train(texts: list[tuple[Block, np.ndarray, np.ndarray]], features: int = FEA
     """
     labels = np.concatenate([y for _, y, _ in texts]) if texts else np.empty(0)
     weight = np.concatenate([w for _, _, w in texts]) if texts else np.empty(0)
-    seen_keys, seen_text, parts, offset = [], [], [], 0
-    for block, _, _ in texts:
-        found = sentences(block)
-        word_text = found.text[found.sentence] if len(found.sentence) else found.sentence
-        for keys in found.keys:
-            _, once = np.unique(mix(keys + mix(word_text.astype(np.uint64))), return_index=True)  # one of each key in a text
-            seen_keys.append(keys[once])
-            seen_text.append((word_text[once] + offset).astype(np.int32))
-        parts.append((found, offset))
-        offset += len(block)
     toxic = labels == 1
     if not toxic.any() or toxic.all():
         share = float(toxic.mean()) if len(toxic) else 0.0
         return Model(np.empty(0, np.uint64), np.empty(0), float(np.log(max(share, 1e-4) / max(1 - share, 1e-4))))
-    all_keys, all_text = np.concatenate(seen_keys), np.concatenate(seen_text)
-    keys, place = np.unique(all_keys, return_inverse=True)
-    with_toxic = np.bincount(place, toxic[all_text], len(keys))
-    clean = np.bincount(place, (~toxic)[all_text], len(keys))
+    keys, with_toxic, clean = _document_counts(texts)
     lift = np.log(((with_toxic + 0.5) / (toxic.sum() + 1)) / ((clean + 0.5) / ((~toxic).sum() + 1)))
     share = weight[toxic].sum() / weight.sum()
     rate, clean_rate = with_toxic / toxic.sum(), clean / (~toxic).sum()
@@ -131,7 +142,9 @@ def train(texts: list[tuple[Block, np.ndarray, np.ndarray]], features: int = FEA
     # Sentences with any feature; all others of a document share one logit, the bias.
     rows, columns, sentence_text, count = [], [], [], 0
     plain = np.zeros(len(labels))
-    for found, shift in parts:
+    shift = 0
+    for block, _, _ in texts:
+        found = sentences(block)
         hit_rows, hit_columns = [], []
         for k in found.keys:
             at = model.found(k)
@@ -146,6 +159,7 @@ def train(texts: list[tuple[Block, np.ndarray, np.ndarray]], features: int = FEA
         columns.append(c)
         sentence_text.append(found.text[used] + shift)
         count += len(used)
+        shift += len(block)
     row, column, text = np.concatenate(rows), np.concatenate(columns), np.concatenate(sentence_text)
     n, w, b = len(labels), model.weights, model.bias
     mean, square = np.zeros(len(w) + 1), np.zeros(len(w) + 1)

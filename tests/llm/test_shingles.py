@@ -133,3 +133,24 @@ def test_sets_and_counts_are_those_of_brute_force(awkward):  # noqa: F811
 def test_no_documents(spark, table):  # noqa: F811
     assert shingles.keep_one(table([])).collect() == []
     assert shingles.keep_one(table([(1, "a")]).where(F.lit(False))).collect() == []
+
+
+def test_fingerprints_find_copies_without_any_minhash_key(spark, table, monkeypatch):  # noqa: F811
+    rows = []
+    for i in range(12):
+        text = words(1700 + i, 1500)
+        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join([*text, "more"]))]
+    prints = [simhash.fingerprint(t.encode(), shingles.WIDTH) for _, t in rows]
+    close = [i for i in range(12) if (prints[2 * i] ^ prints[2 * i + 1]).bit_count() <= 2]
+    assert len(close) > 6
+    monkeypatch.setattr(shingles, "_to_least", lambda entries: entries.select(F.col("node").alias("a"), F.col("node").alias("b")).where("1 = 0"))
+    monkeypatch.setattr(shingles, "_rounds", lambda entries, sets, links, least: links)
+    gone = {2 * i + 1 for i in close}
+    assert kept_ids(shingles.keep_one(table(rows))) == [(False, d) for d, _ in rows if d not in gone]
+
+
+def test_fingerprints_alone_link_nothing_below_the_similarity(spark, table, monkeypatch):  # noqa: F811
+    a, b = words(1800, 60), words(1801, 60)
+    rows = [(1, " ".join(a)), (2, " ".join([*a[:20], *b[:20], *a[40:]])), (3, " ".join(b))]
+    monkeypatch.setattr(shingles.simhash, "fingerprint_links", lambda prints: prints.toDF("a").crossJoin(prints.toDF("b")).where("a < b"))
+    assert kept_ids(shingles.keep_one(table(rows))) == [(False, 1), (False, 2), (False, 3)]

@@ -95,3 +95,16 @@ def test_a_sample_of_equal_classes_is_screened_like_all_documents():
         model = toxicity.train(held)
         with_word = next(blocks(pa.array(["Rareword."])))[2]
         assert any((model.found(k) >= 0).any() for k in toxicity.sentences(with_word).keys), clean
+
+
+def test_training_holds_counts_and_not_every_word(monkeypatch):
+    import tracemalloc
+
+    texts = [" ".join(f"{w}{(7 * i + k) % 900}" for k, w in enumerate(["alpha", "bravo", "charlie", "delta"] * 60)) + (". vileword" if i % 2 else ".") for i in range(12000)]
+    held = [(block, (np.arange(low, high) % 2), np.ones(high - low)) for low, high, block in blocks(pa.array(texts))]
+    size = sum(len(b.data) for b, _, _ in held)
+    tracemalloc.start()
+    model = toxicity.train(held)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(model.keys) and most < 6 * size
