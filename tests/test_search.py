@@ -5,6 +5,7 @@ import unicodedata
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -264,3 +265,18 @@ def test_words_hashed_once_a_batch_give_the_same_vectors(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
     rows = df.select(embedding.toy_embedding(F.col("t")).alias("a"), embedding.dense(embedding.buckets(F.col("t"))).alias("b")).collect()
     assert all(r.a == r.b for r in rows) and any(sum(r.a) for r in rows)
+
+
+def test_scans_hold_what_they_score_and_not_a_cell_per_word_and_text():
+    import tracemalloc
+
+    n, terms = 4000, [f"w{i}" for i in range(1000)]
+    texts = pa.array([[terms[(7 * i + k) % 1000] for k in range(5)] for i in range(n)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), texts], ["id", "words"])
+    asked = {q: terms[5 * q:5 * q + 5] for q in range(200)}
+    task = fulltext._word_scores(asked, dict.fromkeys(terms, 1.0), 5.0, 3)
+    tracemalloc.start()
+    found = list(task(iter([batch])))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 200 and most < 8 * n * 1000  # one number per word and text would be this much
