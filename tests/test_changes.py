@@ -197,3 +197,35 @@ def test_two_hops_of_large_customers_and_popular_products(spark, monkeypatch):
         spark.createDataFrame(sorted(owned), "customer_id bigint, product_id bigint"),
         spark.createDataFrame([(a, b, n) for (a, b), n in edges.items()], "a bigint, b bigint, times bigint"), 4)
     assert sorted((r.customer_id, r.product_id, r.score, r.position) for r in got.collect()) == sorted(want)
+
+
+def test_two_hops_send_a_list_once_per_block_of_customers(spark, monkeypatch, tmp_path):
+    """Many owners of the same products: what meets the customers is bounded by blocks, not by owners."""
+    from lakeops.operators import sales
+
+    products = list(range(-40, 40)) + [2**40, 2**62]
+    owned = [(c, p) for c in range(500) for i, p in enumerate(products) if (c + i) % 2]
+    edges = [(a, b, 1 + (a * b) % 3) for i, a in enumerate(products) for b in products[i + 1:] if (a + b) % 3]
+    scores = {}
+    for c in (7, 8):
+        have = {p for x, p in owned if x == c}
+        found = Counter()
+        for a, b, n in edges:
+            for p, q in ((a, b), (b, a)):
+                if p in have and q not in have:
+                    found[q] += n
+        scores[c] = sorted((-n, q) for q, n in found.items())[:3]
+    seen = []
+    top = sales.top_children
+    monkeypatch.setattr(sales, "top_children", lambda df, *rest: seen.append(df) or top(df, *rest))
+    monkeypatch.setattr(hierarchy, "SUMS_AT_ONCE", 100)
+    monkeypatch.setattr(hierarchy, "ENTRIES_PER_TASK", 2000)
+    monkeypatch.setattr(hierarchy, "OWNED_PER_GROUP", 64)
+    monkeypatch.setattr(hierarchy, "NEIGHBOURS_PER_ROW", 16)
+    got = hierarchy.two_hop_recommendations(
+        spark.createDataFrame(owned, "customer_id long, product_id long"), spark.createDataFrame(edges, "a long, b long, times long"), 3).collect()
+    assert len(got) == 1500
+    for c, want in scores.items():
+        assert sorted((r.position, -r.score, r.product_id) for r in got if r.customer_id == c) == [(i + 1, *w) for i, w in enumerate(want)]
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and "Join Inner, (product_id" not in plan  # no row per customer and owned product carries a list
