@@ -229,3 +229,17 @@ def test_two_hops_send_a_list_once_per_block_of_customers(spark, monkeypatch, tm
         assert sorted((r.position, -r.score, r.product_id) for r in got if r.customer_id == c) == [(i + 1, *w) for i, w in enumerate(want)]
     plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression" in plan and "Join Inner, (product_id" not in plan  # no row per customer and owned product carries a list
+
+
+def test_bought_with_deals_pairs_to_tasks_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(hierarchy, "BASKET_ROWS_PER_TASK", 100)
+    monkeypatch.setattr(hierarchy, "PAIRS_PER_TASK", 50)
+    rows = [(b, (b * 7 + i * i) % 97) for b in range(200) for i in range(4)] + [(1, 1), (1, 1), (None, 3), (None, 4)]
+    baskets = {}
+    for b, i in rows:
+        if b is not None:
+            baskets.setdefault(b, set()).add(i)
+    counts = Counter(p for items in baskets.values() for p in itertools.combinations(sorted(items), 2))
+    got = hierarchy.bought_with(spark.createDataFrame(rows, "o int, p int"), "o", "p")
+    assert {(r.a, r.b): r.times for r in got.collect()} == counts
+    assert got.rdd.getNumPartitions() == -(-sum(counts.values()) // 50)
