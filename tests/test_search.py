@@ -280,3 +280,16 @@ def test_scans_hold_what_they_score_and_not_a_cell_per_word_and_text():
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(found) == 200 and most < 8 * n * 1000  # one number per word and text would be this much
+
+
+def test_bucket_counts_are_made_after_rows_are_dealt_out(spark, monkeypatch):
+    """A task holds the counts of its own rows only; keys that repeat or are null are added up."""
+    from conftest import plan_of
+
+    monkeypatch.setattr(embedding, "ROWS_PER_TASK", 5)
+    rows = [(None if i % 10 == 0 else i // 2, None if i == 7 else f"waterproof boots number{'abc'[i % 3]} trails trails") for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, t string")
+    got = embedding.bucket_counts(df, 60, "id", "t")
+    plain = Counter((r.id, b) for r in df.select("id", embedding.buckets(F.col("t")).alias("b")).collect() for b in r.b or [])
+    assert {(r.id, r.bucket): r.hits for r in got.collect()} == plain
+    assert got.rdd.getNumPartitions() == 12 and "Exchange" in plan_of(got)
