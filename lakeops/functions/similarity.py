@@ -70,14 +70,14 @@ def similar_names(df: DataFrame, block: Sequence[str], name: str, key: str) -> D
 
     Rows with the same (block, name) are first reduced to one with their count, and candidates
     meet on a shared deletion variant, so neither a large block nor a frequent name is paired
-    with itself.
+    with itself. Nothing that grows with the rows is broadcast.
     """
     names = df.groupBy(*block, name).agg(F.count(F.lit(1)).alias("members"), F.min(key).alias("first_id"))
     variants = names.select("*", F.explode(deletion_variants(F.col(name))).alias("_variant"))
     left = variants.select(*block, "_variant", *[F.col(c).alias(f"{c}_a") for c in (name, "members", "first_id")])
     right = variants.select(*block, "_variant", *[F.col(c).alias(f"{c}_b") for c in (name, "members", "first_id")])
     pairs = (
-        left.join(right, [*block, "_variant"])
+        left.join(right.hint("merge"), [*block, "_variant"])
         .where(F.col(f"{name}_a") < F.col(f"{name}_b"))
         .drop("_variant")
         .dropDuplicates([*block, f"{name}_a", f"{name}_b"])
@@ -94,7 +94,7 @@ def similar_members(df: DataFrame, block: Sequence[str], name: str, key: str) ->
     pairs = similar_names(df, block, name, key).select(*block, f"{name}_a", f"{name}_b")
     left = df.select(*block, F.col(name).alias(f"{name}_a"), F.col(key).alias("_a"))
     right = df.select(*block, F.col(name).alias(f"{name}_b"), F.col(key).alias("_b"))
-    both = pairs.join(left, [*block, f"{name}_a"]).join(right, [*block, f"{name}_b"])
+    both = pairs.join(left.hint("merge"), [*block, f"{name}_a"]).join(right.hint("merge"), [*block, f"{name}_b"])
     return both.select(F.least("_a", "_b").alias("id_a"), F.greatest("_a", "_b").alias("id_b"))
 
 

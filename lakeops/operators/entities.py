@@ -16,15 +16,16 @@ def entity_of(pairs: DataFrame) -> DataFrame:
     Each round a node takes the least label among its neighbours' and then its label's own label, so
     labels jump ahead and the rounds grow with the logarithm of the longest chain. A round is written
     before the next; minima are summed up before they are shuffled, so a node of many pairs is no hot key.
+    Joins merge in tasks: broadcasts of every round would add up on the driver.
     """
     a, b = pairs.columns
     known = pairs.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x IS NOT NULL AND y IS NOT NULL")
     edges = materialize(known.unionByName(known.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "edges")
     labels = materialize(edges.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("label")).select(F.col("x").alias("node"), "label"), "labels")
     while True:
-        near = edges.join(labels.select(F.col("node").alias("y"), "label"), "y").groupBy(F.col("x").alias("node")).agg(F.min("label").alias("_near"))
-        moved = materialize(labels.join(near, "node").select("node", "label", F.least("label", "_near").alias("_new")), "labels")
-        jumped = moved.join(moved.select(F.col("node").alias("_at"), F.col("_new").alias("_far")), F.col("_new") == F.col("_at")).select(
+        near = edges.join(labels.select(F.col("node").alias("y"), "label").hint("merge"), "y").groupBy(F.col("x").alias("node")).agg(F.min("label").alias("_near"))
+        moved = materialize(labels.join(near.hint("merge"), "node").select("node", "label", F.least("label", "_near").alias("_new")), "labels")
+        jumped = moved.join(moved.select(F.col("node").alias("_at"), F.col("_new").alias("_far")).hint("merge"), F.col("_new") == F.col("_at")).select(
             "node", "label", F.least("_new", "_far").alias("_new"))
         jumped = materialize(jumped, "labels")
         if jumped.where("label <> _new").isEmpty():
@@ -35,7 +36,7 @@ def entity_of(pairs: DataFrame) -> DataFrame:
 def with_entities(records: DataFrame, key: str, pairs: DataFrame) -> DataFrame:
     """``records`` with their ``entity``; a record in no pair is its own."""
     found = entity_of(pairs)
-    return records.join(found.withColumnRenamed("node", key), key, "left").withColumn("entity", F.coalesce("entity", key))
+    return records.join(found.withColumnRenamed("node", key).hint("merge"), key, "left").withColumn("entity", F.coalesce("entity", key))
 
 
 def surviving(records: DataFrame, key: str, columns: Sequence[str], newest: str | None = None) -> DataFrame:

@@ -69,3 +69,16 @@ def test_merged_days_give_ranks_within_bounds(spark):
         for r in found.where("share = 0.5").collect():
             assert r.n == len(exact[r.g]) and np.quantile(exact[r.g], 0.48) <= r.percentile <= np.quantile(exact[r.g], 0.52)
     assert days.selectExpr("max(length(sketch))").first()[0] < 20_000
+
+
+def test_joins_of_entities_are_not_broadcast(spark):
+    """Broadcasts go through the driver; with every round they would add up there."""
+    from conftest import plan_of
+
+    from lakeops.functions.similarity import similar_members
+
+    people = spark.createDataFrame([(i, "x", f"name{i}") for i in range(12)] + [(20, None, "name1"), (21, "x", None)], "id long, city string, name string")
+    pairs = similar_members(people, ["city"], "name", "id")
+    grouped = entities.with_entities(people, "id", pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")))
+    assert {r.id: r.entity for r in grouped.collect()} == {**{i: 0 for i in range(12)}, 20: 20, 21: 21}
+    assert pairs.count() and "Broadcast" not in plan_of(pairs) and "Broadcast" not in plan_of(grouped)
