@@ -293,3 +293,12 @@ def test_bucket_counts_are_made_after_rows_are_dealt_out(spark, monkeypatch):
     plain = Counter((r.id, b) for r in df.select("id", embedding.buckets(F.col("t")).alias("b")).collect() for b in r.b or [])
     assert {(r.id, r.bucket): r.hits for r in got.collect()} == plain
     assert got.rdd.getNumPartitions() == 12 and "Exchange" in plan_of(got)
+
+
+def test_chunk_profile_sorts_no_vectors(spark):
+    from conftest import plan_of
+
+    rows = [("a", "xy ", "m2", [1.0, 2.0]), ("a", "xyz", "m1", [1.0]), ("b", None, None, [1.0]), (None, "q", "m1", [1.0, 1.0, 1.0])]
+    profile = docs.chunk_profile(spark.createDataFrame(rows, "source_type string, chunk_text string, embedding_model string, embedding array<float>"), "source_type")
+    assert {tuple(r) for r in profile.collect()} == {("a", 2, 2, "m1", 1, 12), ("b", 1, None, None, 1, 4), (None, 1, 1, "m1", 3, 12)}
+    assert not any("SortAggregate" in line and "size(embedding" in line for line in plan_of(profile).splitlines())
