@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakeops.functions.similarity import similar_members
 from lakeops.operators import cleaning, entities, history
 from lakeops.plans.registry import query
+from lakeops.session import materialize
 from lakeops.streaming.streams import late_by_folder
 from lakeops.tables import SQL_CUSTOMERS, SQL_LINES, SQL_ORDERS, money
 
@@ -314,8 +315,8 @@ def near_duplicate_eval(t):
 
 
 def people_and_pairs(t):
-    """Customers with a misspelt copy of those in one segment, and the pairs of similar names."""
-    people = t.customers.select("customer_id", "country", "segment", "customer_name")
+    """Customers with a misspelt copy of those in one segment, and the pairs of similar names. Customers are joined with their countries once."""
+    people = materialize(t.customers.select("customer_id", "country", "segment", "customer_name"), "people")
     copies = people.where("segment = 'BUILDING'").withColumn("customer_id", F.col("customer_id") + 10**9).withColumn(
         "customer_name", F.concat(F.lit("Custmoer"), F.substring("customer_name", 9, 100)))
     everyone = people.unionByName(copies)
