@@ -243,3 +243,60 @@ def test_bought_with_deals_pairs_to_tasks_by_their_number(spark, monkeypatch):
     got = hierarchy.bought_with(spark.createDataFrame(rows, "o int, p int"), "o", "p")
     assert {(r.a, r.b): r.times for r in got.collect()} == counts
     assert got.rdd.getNumPartitions() == -(-sum(counts.values()) // 50)
+
+
+def test_two_hops_take_product_blocks_in_passes(spark, monkeypatch):
+    """Only the best products go from one pass to the next; rows are those of a single pass."""
+    from lakeops.operators import sales
+
+    rng = random.Random(8)
+    owned = spark.createDataFrame(sorted({(rng.randint(1, 40), rng.randint(1, 80)) for _ in range(300)}), "customer_id long, product_id long")
+    pairs = {tuple(sorted(rng.sample(range(1, 81), 2))): rng.randint(1, 300) for _ in range(600)}
+    edges = spark.createDataFrame([(a, b, n) for (a, b), n in pairs.items()], "a long, b long, times long")
+    want = sorted(map(tuple, hierarchy.two_hop_recommendations(owned, edges, 4).collect()))
+    passes = []
+    top = sales.top_children
+    monkeypatch.setattr(sales, "top_children", lambda df, *rest: passes.append(df) or top(df, *rest))
+    monkeypatch.setattr(hierarchy, "ENTRIES_PER_TASK", 100)
+    monkeypatch.setattr(hierarchy, "ENTRIES_PER_PASS", 300)
+    assert sorted(map(tuple, hierarchy.two_hop_recommendations(owned, edges, 4).collect())) == want and len(want) > 100
+    assert len(passes) >= 4 and all("Union" in p._jdf.queryExecution().optimizedPlan().toString() for p in passes[1:])
+
+
+def test_pairs_and_baskets_travel_packed(spark, monkeypatch):
+    monkeypatch.setattr(hierarchy, "PAIRS_PER_JOB", 40)
+    monkeypatch.setattr(hierarchy, "ROWS_AT_ONCE", 64)
+    rng = random.Random(9)
+    rows = [(b, rng.choice([-3, 0, 5, 2**40, 2**62, *range(100, 140)])) for b in range(50) for _ in range(8)]
+    rows += [(-7, 10 * i) for i in range(90) for _ in range(3)] + [(2**50, 1), (3, None), (None, 3)]
+    baskets = {}
+    for b, i in rows:
+        if b is not None and i is not None:
+            baskets.setdefault(b, set()).add(i)
+    counts = Counter(p for items in baskets.values() for p in itertools.combinations(sorted(items), 2))
+    got = hierarchy.bought_with(spark.createDataFrame(rows, "o long, p long"), "o", "p", chunk=16)
+    assert {(r.a, r.b): r.times for r in got.collect()} == counts
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Repartition" in line]
+    assert dealt and all("block" in line or "job" in line for line in dealt)  # no row per pair or basket item is shuffled
+
+
+def test_shuffles_leave_the_disk_with_the_table_they_made(spark):
+    import os
+    import time
+
+    from lakeops.session import CLEANUP_CONF, discard, materialize
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")
+        return {f for f in files.split() if "/shuffle_" in f}
+
+    before, set_before = shuffled(), spark.conf.get(CLEANUP_CONF, None)
+    table = materialize(spark.range(20_000).selectExpr("id % 5000 AS k", "id").groupBy("k").count(), "counted")
+    deadline = time.time() + 20
+    while shuffled() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert table.count() == 5000 and spark.conf.get(CLEANUP_CONF, None) == set_before
+    discard(table)
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in table.inputFiles())
