@@ -302,3 +302,23 @@ def test_chunk_profile_sorts_no_vectors(spark):
     profile = docs.chunk_profile(spark.createDataFrame(rows, "source_type string, chunk_text string, embedding_model string, embedding array<float>"), "source_type")
     assert {tuple(r) for r in profile.collect()} == {("a", 2, 2, "m1", 1, 12), ("b", 1, None, None, 1, 4), (None, 1, 1, "m1", 3, 12)}
     assert not any("SortAggregate" in line and "size(embedding" in line for line in plan_of(profile).splitlines())
+
+
+def test_corpus_vectors_are_made_where_they_are_read(spark, tables):
+    """No table of vectors is written for hybrid search, and one scan makes each vector once."""
+    import pyarrow.parquet as pq
+
+    from lakeops.plans import search
+
+    corpus = search.corpus_of(tables)
+    assert corpus.columns == ["id", "source_type", "source_id", "chunk_order", "text", "embedding"]
+    assert "embedding" not in pq.read_schema(corpus.inputFiles()[0].removeprefix("file://")).names
+    found = nearest.knn_exact(corpus, hybrid.embed_queries(search.questions(tables).limit(3)), 2)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("EvalPython") == 1
+
+
+def test_rows_without_a_vector_are_no_neighbours(spark):
+    rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [0.6, 0.8])], "id long, embedding array<float>")
+    asked = spark.createDataFrame([(9, [1.0, 0.1])], "query_id long, query_vector array<float>")
+    assert [(r.id, r.rank) for r in nearest.knn_exact(rows, asked, 5).orderBy("rank").collect()] == [(1, 1), (4, 2)]
