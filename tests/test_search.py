@@ -304,21 +304,44 @@ def test_chunk_profile_sorts_no_vectors(spark):
     assert not any("SortAggregate" in line and "size(embedding" in line for line in plan_of(profile).splitlines())
 
 
-def test_corpus_vectors_are_made_where_they_are_read(spark, tables):
-    """No table of vectors is written for hybrid search, and one scan makes each vector once."""
-    import pyarrow.parquet as pq
-
-    from lakeops.plans import search
-
-    corpus = search.corpus_of(tables)
-    assert corpus.columns == ["id", "source_type", "source_id", "chunk_order", "text", "embedding"]
-    assert "embedding" not in pq.read_schema(corpus.inputFiles()[0].removeprefix("file://")).names
-    found = nearest.knn_exact(corpus, hybrid.embed_queries(search.questions(tables).limit(3)), 2)
-    plan = found._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("EvalPython") == 1
+def test_a_scan_makes_vectors_once(spark):
+    texts = spark.createDataFrame([(i, f"word{'abcdefg'[i % 7]} other{'xyz'[i % 3]}") for i in range(30)], "id long, text string")
+    asked = spark.createDataFrame([(9, "wordd othery")], "query_id long, query_text string")
+    found = nearest.knn_exact(texts.withColumn("embedding", embedding.toy_embedding(F.col("text"))), hybrid.embed_queries(asked), 2)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("EvalPython") == 1
+    assert found.orderBy("rank").first().id == 10
 
 
 def test_rows_without_a_vector_are_no_neighbours(spark):
     rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [0.6, 0.8])], "id long, embedding array<float>")
     asked = spark.createDataFrame([(9, [1.0, 0.1])], "query_id long, query_vector array<float>")
     assert [(r.id, r.rank) for r in nearest.knn_exact(rows, asked, 5).orderBy("rank").collect()] == [(1, 1), (4, 2)]
+
+
+def test_cells_are_learned_and_given_in_two_steps(spark, monkeypatch):
+    """Beyond ``GROUP_CELLS`` cells a vector is compared with the groups and the cells of one group, not with all cells."""
+    monkeypatch.setattr(nearest, "GROUP_CELLS", 8)
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(60, 16)) * 4
+    rows = [(i, (centres[i % 60] + rng.normal(size=16) * 0.3).tolist(), i % 7) for i in range(6000)]
+    rows += [(6000 + i, [0.0] * 16, 0) for i in range(5)] + [(7000 + i, None, 0) for i in range(5)] + [(8000 + i, [1.0] * 16, 0) for i in range(500)]
+    stored = spark.createDataFrame(rows, "id long, embedding array<float>, label int").repartition(4)
+    index = nearest.build_cell_index(stored, keep=("label",))
+    assert index.rows == 6505 and 20 <= len(index.centers) <= 60
+    kept = {r.id: (list(r.embedding), r.label) for r in index.cells.collect()}
+    assert set(kept) == {i for i, v, _ in rows if v and any(v)}
+    assert all(kept[i] == (pytest.approx(v, rel=1e-6), label) for i, v, label in rows[::500] if v and any(v))
+    assert index.cells.agg(F.count_distinct("cell"), F.max("cell")).first()[1] < len(index.centers)
+    queries = spark.createDataFrame([(q, rows[q][1]) for q in range(0, 6000, 150)], "query_id long, query_vector array<double>")
+    found = nearest.ann_search(index, queries, 10)
+    recall = nearest.recall_at_k(nearest.knn_exact(stored, queries, 10), found, 10).agg(F.avg("recall")).first()[0]
+    assert recall >= 0.95 and index.nprobe <= 0.4 * len(index.centers), (recall, index.nprobe, len(index.centers))
+    coarse, fine = nearest._train(stored.where("embedding IS NOT NULL").select("id", "embedding"), 40, 7, 256)
+    assert len(fine) == len(coarse) > 1 and max(map(len, fine)) <= 16
+
+
+def test_vectors_without_a_length_are_searched_exactly(spark):
+    stored = spark.createDataFrame([(i, [0.0, 0.0]) for i in range(200)], "id long, embedding array<float>")
+    index = nearest.build_cell_index(stored)
+    queries = spark.createDataFrame([(1, [1.0, 1.0])], "query_id long, query_vector array<double>")
+    assert index.rows == 200 and nearest.ann_search(index, queries, 3).count() == 0
